@@ -59,10 +59,12 @@ def keyed_dictionary(dictionary: DataFrame) -> DataFrame:
     form is empty or contains whitespace (e.g. multi-word places) never
     match; dropping them here only shrinks the join.
     """
+    # The predicates are on entity_name, not on key: a predicate on key would be
+    # inferred onto the token side through ``word = key`` and run per token.
     key = java_lower("entity_name")
-    return dictionary.select("entity_type", "entity_name", key.alias("key")).where(
-        (F.col("key") != "") & ~F.col("key").rlike(config.WHITESPACE_RE)
-    )
+    return dictionary.where(
+        (F.col("entity_name") != "") & ~F.col("entity_name").rlike(config.WHITESPACE_RE)
+    ).select("entity_type", "entity_name", key.alias("key"))
 
 
 def prepare_dictionary(
@@ -104,7 +106,13 @@ def field_words(
 
 
 def _dictionary_side(dictionary: PreparedDictionary, df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if dictionary.broadcast else df
+    """Broadcast when the size check passed; otherwise pin a shuffle hash join.
+
+    The hint keeps Catalyst from broadcasting on a file-size estimate that
+    the measured size already refuted, and makes the dictionary partition
+    the hash-table side so the (much larger) token side streams unsorted.
+    """
+    return F.broadcast(df) if dictionary.broadcast else df.hint("shuffle_hash")
 
 
 def entity_hits(
