@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.formatting import describe
-from feedlens.schemas import ENTITY_TYPES, TOTAL_LABEL
+from feedlens.schemas import ENTITY_TYPES, TOTAL_LABEL, literal_table
 
 
 def entity_counts_from_hits(hits: DataFrame) -> DataFrame:
@@ -72,9 +72,8 @@ def type_stats(with_total: DataFrame) -> DataFrame:
     dimension is seven literal rows; the counts side has one row per type.
     """
     spark = with_total.sparkSession
-    dim = spark.createDataFrame(
-        [(0, TOTAL_LABEL)] + [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)],
-        "ordinal int, entity_type string",
+    dim = literal_table(
+        spark, [(0, TOTAL_LABEL)] + [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)], "ordinal int, entity_type string"
     )
     return dim.join(with_total, "entity_type", "left").select(
         "ordinal", "entity_type", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")

@@ -93,6 +93,17 @@ def prepare_dictionary(
     return PreparedDictionary(keyed, rows, nbytes, broadcast)
 
 
+def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDictionary:
+    """A dictionary given as rows on the driver: its size is known without a job."""
+    from feedlens.schemas import literal_table
+
+    usable = [(t, n) for t, n in rows if n and not any(c in n for c in " \t\n\x0b\f\r")]
+    nbytes = sum(len(t.encode()) + 2 * len(n.encode()) + 24 for t, n in usable)
+    fits = len(usable) <= config.MAX_BROADCAST_DICTIONARY_ROWS and nbytes <= config.MAX_BROADCAST_DICTIONARY_BYTES
+    df = keyed_dictionary(literal_table(spark, rows, "entity_type string, entity_name string"))
+    return PreparedDictionary(df, len(usable), nbytes, fits)
+
+
 def field_words(
     posts: DataFrame, keys: tuple[str, ...] = ("post_id",), fields: tuple[str, ...] = POST_FIELDS
 ) -> DataFrame:

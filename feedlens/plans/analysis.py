@@ -94,7 +94,7 @@ def run_analysis(
 
     proc = stats.processing_stats(parsed)
     proc_row = proc.first().asDict()
-    checks = quality.quality_checks(subs.files, subs.validated, missing, parsed, all_posts)
+    checks = quality.quality_checks(subs.files, subs.validated, missing, parsed)
     result = AnalysisResult(
         subscriptions=valid,
         rejected_subscriptions=subs.rejected,

@@ -192,6 +192,8 @@ def _doc_kept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _literal(spark: SparkSession, force: str | None = None) -> detect.PreparedDictionary:
+    if force is None:
+        return detect.prepare_literal_dictionary(spark, tables.LITERAL_DICTIONARY)
     return detect.prepare_dictionary(tables.literal_dictionary(spark), force=force)
 
 
@@ -573,10 +575,7 @@ FROM checks"""
 
 @register("quality_checks", _QC_SQL)
 def q_quality_checks(spark, sf):
-    feeds = _doc_feeds(spark, sf)
-    return quality.quality_checks(
-        None, _page_entries(spark, sf), _line_missing(spark, sf), feeds, posts.explode_posts(feeds)
-    )
+    return quality.quality_checks(None, _page_entries(spark, sf), _line_missing(spark, sf), _doc_feeds(spark, sf))
 
 
 _WARN_SQL = (

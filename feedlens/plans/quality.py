@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions import formatting as fmt
-from feedlens.operators.posts import live_keep
+from feedlens.operators.stats import feed_partials
 
 
 class NoValidPosts(ValueError):
@@ -24,10 +24,19 @@ class NoValidPosts(ValueError):
         self.result = result
 
 
-def _row(df: DataFrame, check_id: str, name: str, n, ok) -> DataFrame:
-    return df.agg(n.cast("bigint").alias("n")).select(
-        F.lit(check_id).alias("check_id"), F.lit(name).alias("check_name"), ok.alias("ok"), "n"
-    )
+def _stack(agg: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Unpivot one aggregate row into check rows ``(check_id, check_name, ok, n)``.
+
+    ``checks``: (check_id, check_name, column of ``agg``, ok rule ``'zero'`` or
+    ``'positive'``).
+    """
+    parts = []
+    for cid, name, col, _ in checks:
+        parts += [f"'{cid}'", f"'{name}'", f"cast({col} as bigint)"]
+    stacked = agg.selectExpr(f"stack({len(checks)}, {', '.join(parts)}) as (check_id, check_name, n)")
+    positive = [cid for cid, _, _, rule in checks if rule == "positive"]
+    ok = F.when(F.col("check_id").isin(*positive), F.col("n") > 0).otherwise(F.col("n") == 0) if positive else F.col("n") == 0
+    return stacked.select("check_id", "check_name", ok.alias("ok"), "n")
 
 
 def quality_checks(
@@ -35,31 +44,46 @@ def quality_checks(
     validated_entries: DataFrame,
     missing_files: DataFrame,
     parsed_feeds: DataFrame,
-    posts: DataFrame,
 ) -> DataFrame:
-    """Q2, Q3, Q5-Q8 and S6 as rows; ``ok`` is True when nothing is wrong.
+    """Q1-Q8 and S6 as rows; ``ok`` is True when nothing is wrong.
 
+    One aggregate pass per source (entries, feeds, missing files, files),
+    unpivoted with ``stack``: each source is scanned once. Kept posts (Q5)
+    are counted from the per-feed partials, without exploding the posts.
     Q1 and Q4 (missing paths) stop the run before any DataFrame exists, so
     reaching this point means both passed; they are reported as ok.
     """
-    n = F.col("n")
-    rows = []
     spark = validated_entries.sparkSession
-    one = spark.range(1)
-    rows.append(_row(one, "Q1", "subscriptions_file_found", F.lit(0), F.lit(True)))
+    fixed = spark.range(1).select(F.lit(0).alias("zero"))
+    rows = [_stack(fixed, [("Q1", "subscriptions_file_found", "zero", "zero"), ("Q4", "entities_dir_found", "zero", "zero")])]
     if subscription_files is not None:
-        rows.append(_row(subscription_files, "Q2", "subscriptions_file_invalid", F.count_if(~F.col("file_ok")), n == 0))
+        files = subscription_files.agg(F.count_if(~F.col("file_ok")).alias("bad"))
     else:
-        rows.append(_row(one, "Q2", "subscriptions_file_invalid", F.lit(0), F.lit(True)))
-    rows.append(_row(validated_entries, "Q3", "valid_subscriptions", F.count_if(F.col("is_valid")), n > 0))
-    rows.append(_row(one, "Q4", "entities_dir_found", F.lit(0), F.lit(True)))
-    rows.append(_row(posts, "Q5", "posts_after_filter", F.count_if(live_keep()), n > 0))
-    rows.append(_row(validated_entries, "Q6", "malformed_subscriptions", F.count_if(~F.col("is_valid")), n == 0))
-    rows.append(_row(parsed_feeds, "Q7", "failed_downloads", F.count_if(~F.col("downloaded")), n == 0))
+        files = fixed.select(F.col("zero").alias("bad"))
+    rows.append(_stack(files, [("Q2", "subscriptions_file_invalid", "bad", "zero")]))
+    entries = validated_entries.agg(
+        F.count_if(F.col("is_valid")).alias("valid"), F.count_if(~F.col("is_valid")).alias("rejected")
+    )
+    rows.append(
+        _stack(entries, [("Q3", "valid_subscriptions", "valid", "positive"), ("Q6", "malformed_subscriptions", "rejected", "zero")])
+    )
+    feeds = feed_partials(parsed_feeds).agg(
+        F.coalesce(F.sum("n_kept"), F.lit(0)).alias("kept"),
+        F.count_if(~F.col("downloaded")).alias("failed"),
+        F.count_if(F.col("downloaded") & ~F.col("parse_ok")).alias("unparsed"),
+    )
     rows.append(
-        _row(parsed_feeds, "Q8", "failed_parses", F.count_if(F.col("downloaded") & ~F.col("parse_ok")), n == 0)
+        _stack(
+            feeds,
+            [
+                ("Q5", "posts_after_filter", "kept", "positive"),
+                ("Q7", "failed_downloads", "failed", "zero"),
+                ("Q8", "failed_parses", "unparsed", "zero"),
+            ],
+        )
     )
-    rows.append(_row(missing_files, "S6", "missing_dictionary_files", F.count(F.lit(1)), n == 0))
+    missing = missing_files.agg(F.count(F.lit(1)).alias("missing"))
+    rows.append(_stack(missing, [("S6", "missing_dictionary_files", "missing", "zero")]))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

@@ -8,6 +8,7 @@ adding a row here and, if it has a dictionary file, a row to the file map.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- Fixed values: must equal the reference for identical output. ---------
@@ -55,15 +56,28 @@ DICTIONARY = T.StructType(
 )
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table built in the JVM (no Python worker, no RDD).
+
+    ``schema`` is a DDL string such as ``"ordinal int, entity_type string"``.
+    Used only for the handful of fixed rows of this module and for literal
+    test dictionaries.
+    """
+    fields = [f.strip().split() for f in schema.split(",")]
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def entity_types(spark: SparkSession) -> DataFrame:
     """The six types with their report ordinal (1-based)."""
-    return spark.createDataFrame(
-        [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)], "ordinal int, entity_type string"
-    )
+    return literal_table(spark, [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)], "ordinal int, entity_type string")
 
 
 def dictionary_file_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         [(i + 1, f, t) for i, (f, t) in enumerate(DICTIONARY_FILES)],
         "file_order int, file_name string, entity_type string",
     )
