@@ -658,3 +658,27 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ===================================================== streaming ===========
+
+_GOOD_POSTS_SQL = sql_with(sql_doc_posts(), SQL_FEEDS).rstrip() + """,
+kept AS (SELECT post_id, title, selftext FROM good WHERE title <> '' AND selftext <> ''),
+"""
+
+
+@register(
+    "stream_entity_counts",
+    _GOOD_POSTS_SQL + sql_words() + ",\n" + LITERAL_DICT_CTE + ",\n" + sql_hits() + ",\n" + SQL_COUNTS
+    + "\nSELECT entity_type, entity_name, n FROM counts",
+)
+def q_stream_entity_counts(spark, sf):
+    """Document feeds landed as parquet, counted by a Structured Streaming query."""
+    from feedlens import config
+    from feedlens.sources.feeds import land_to
+    from feedlens.streaming.feeds import entity_count_stream, landed_feed_stream, run_available
+
+    landed_dir = land_to(tables.feeds_from_documents(_docs(spark, sf)), "stream-feeds")
+    stream = entity_count_stream(landed_feed_stream(spark, landed_dir), _literal(spark))
+    out = run_available(stream, config.scratch_path(spark, "stream-counts"), "stream-counts")
+    return spark.read.parquet(out)

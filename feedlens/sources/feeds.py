@@ -74,12 +74,16 @@ def fetch_feeds(
     )
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to parquet under the shared checkpoint dir; read it back."""
-    spark = df.sparkSession
-    path = config.scratch_path(spark, name)
+def land_to(df: DataFrame, name: str) -> str:
+    """Write ``df`` once to a fresh parquet path under the shared checkpoint dir."""
+    path = config.scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once (``land_to``) and read it back: lineage stops here."""
+    return df.sparkSession.read.parquet(land_to(df, name))
 
 
 def read_landed_feed_files(spark: SparkSession, subscriptions: DataFrame, feeds_dir: str) -> DataFrame:

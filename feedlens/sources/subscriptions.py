@@ -122,3 +122,36 @@ def require_valid(subs: Subscriptions) -> DataFrame:
     if valid.isEmpty():
         raise NoValidSubscriptions("No valid subscriptions found")
     return valid
+
+
+def read_subscription_lines(spark: SparkSession, path: str, check: bool = True) -> Subscriptions:
+    """Scale variant of S1: one JSON object per line (JSON Lines).
+
+    Lines are split across tasks, so a list of millions of subscriptions is
+    parsed in parallel. A non-empty line that is not a JSON object of strings
+    makes the input invalid (Q2), like a bad element of an array file.
+    ``feed_id`` is a hash of (file, line text): stable on retry. A line listed
+    twice keeps two rows (fetched and counted twice) that share the id.
+    """
+    try:
+        raw = spark.read.text(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise SubscriptionsNotFound(f"Could not load {path} - file not found") from e
+        raise
+    lines = raw.where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"),
+        parse_entry(F.col("value")).alias("entry"),
+        F.col("value"),
+    )
+    if check:
+        bad = lines.where(F.col("entry").isNull()).limit(1).count()
+        if bad:
+            raise InvalidSubscriptionsFile(f"Could not load {path} - invalid JSON format")
+    entries = lines.select(
+        "file", F.xxhash64("file", "value").alias("feed_id"), F.lit(None).cast("int").alias("entry_index"), "entry"
+    )
+    files = lines.groupBy("file").agg(F.count_if(F.col("entry").isNull()).alias("bad")).select(
+        "file", F.lit(None).cast(f"array<{ENTRY_TYPE}>").alias("entries"), (F.col("bad") == 0).alias("file_ok")
+    )
+    return Subscriptions(files, validate_entries(entries))
