@@ -27,13 +27,13 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _field(child: Column, field: str) -> Column:
-    return F.try_variant_get(child, f"$.data.{field}", "variant")
+def _field(child: Column, field: str, base: str = "$.data") -> Column:
+    return F.try_variant_get(child, f"{base}.{field}", "variant")
 
 
-def field_ok(child: Column, field: str) -> Column:
+def field_ok(child: Column, field: str, base: str = "$.data") -> Column:
     """Present, and a scalar or JSON null (not an object or an array)."""
-    v = _field(child, field)
+    v = _field(child, field, base)
     kind = F.schema_of_variant(v)
     return v.isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
 

@@ -682,3 +682,15 @@ def q_stream_entity_counts(spark, sf):
     stream = entity_count_stream(landed_feed_stream(spark, landed_dir), _literal(spark))
     out = run_available(stream, config.scratch_path(spark, "stream-counts"), "stream-counts")
     return spark.read.parquet(out)
+
+
+@register("entity_counts_post_lines", SQL_DOC_COUNTS + "SELECT entity_type, entity_name, n FROM counts")
+def q_entity_counts_post_lines(spark, sf):
+    """Posts landed as a JSON Lines bulk dump, read line by line, then counted."""
+    from feedlens import config
+    from feedlens.sources.feeds import read_post_lines
+
+    path = config.scratch_path(spark, "post-lines")
+    _doc_posts(spark, sf).select(F.to_json(F.struct("title", "selftext")).alias("value")).write.text(path)
+    lines = read_post_lines(spark, path).where("line_ok")
+    return detect.entity_counts(posts.live_filter(lines), _literal(spark))

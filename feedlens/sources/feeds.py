@@ -98,3 +98,25 @@ def read_landed_feed_files(spark: SparkSession, subscriptions: DataFrame, feeds_
     ).where(F.col("fid") != "")
     files = files.select(F.col("fid").cast("bigint").alias("feed_id"), "content")
     return subscriptions.select("feed_id", "feed_name", "url").join(files, "feed_id", "left")
+
+
+def read_post_lines(spark: SparkSession, path: str, prefix: str = "$") -> DataFrame:
+    """Bulk dumps as JSON Lines, one post object per line, entering at F1.
+
+    A single feed is one row, so one giant feed would be one task; a bulk
+    dump split into lines is parsed by as many tasks as it has splits. Each
+    line follows the feed field rules (string / number / boolean / null
+    kept, missing or object / array rejected), applied per post: a bad line
+    rejects only itself. Returns ``(file, line_ok, title, selftext)``.
+    """
+    from feedlens.functions.jsonfeed import field_ok
+
+    raw = spark.read.text(path).where(F.trim("value") != "")
+    v = F.try_parse_json("value")
+    ok = F.coalesce(v.isNotNull() & field_ok(v, "title", prefix) & field_ok(v, "selftext", prefix), F.lit(False))
+    return raw.select(
+        F.col("_metadata.file_path").alias("file"),
+        ok.alias("line_ok"),
+        F.when(ok, F.try_variant_get(v, f"{prefix}.title", "string")).alias("title"),
+        F.when(ok, F.try_variant_get(v, f"{prefix}.selftext", "string")).alias("selftext"),
+    )

@@ -44,24 +44,36 @@ def processing_stats_stream(feeds: DataFrame) -> DataFrame:
     return stats.processing_stats(posts.parse_feeds(feeds))
 
 
-def run_available(result_stream: DataFrame, out_path: str, name: str = "stream") -> str:
+def run_available(
+    result_stream: DataFrame, out_path: str, name: str = "stream", state_partitions: int | None = None
+) -> str:
     """Process everything available now into ``out_path`` (parquet) and stop.
 
     Uses ``trigger(availableNow=True)``; each micro-batch overwrites the
-    output with the complete aggregate. Returns ``out_path``.
+    output with the complete aggregate. The state has at most one row per
+    dictionary entry, so it gets ``state_partitions`` partitions (default:
+    the cluster's default parallelism) instead of the session's shuffle
+    setting; the number is fixed in the checkpoint when the stream starts.
+    Returns ``out_path``.
     """
     spark = result_stream.sparkSession
     checkpoint = config.scratch_path(spark, f"{name}-checkpoint")
+    n = state_partitions or spark.sparkContext.defaultParallelism
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    q = (
-        result_stream.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_batch)
-        .trigger(availableNow=True)
-        .start()
-    )
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = (
+            result_stream.writeStream.outputMode("complete")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(write_batch)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     return out_path

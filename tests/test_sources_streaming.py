@@ -130,3 +130,23 @@ def test_feed_posts_keep_json_text_exactly(spark):
     p = posts.explode_posts(posts.parse_feeds(df)).first()
     assert p["title"] == text and p["selftext"] == text
     assert df.select(F.col("content").isNotNull()).first()[0]
+
+
+def test_post_lines_rules(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "dump.jsonl")
+    with open(p, "w") as f:
+        f.write(
+            '{"title":"a","selftext":"b","score":3}\n'
+            '{"title":"a"}\n'
+            '{"title":"a","selftext":null}\n'
+            '{"title":"a","selftext":{"x":1}}\n'
+            "not json\n"
+            '{"title":7,"selftext":"s"}\n'
+        )
+    rows = [(r["line_ok"], r["title"], r["selftext"]) for r in feedsrc.read_post_lines(spark, p).collect()]
+    assert rows == [
+        (True, "a", "b"), (False, None, None), (True, "a", None),
+        (False, None, None), (False, None, None), (True, "7", "s"),
+    ]
+    kept = posts.live_filter(feedsrc.read_post_lines(spark, p).where("line_ok"))
+    assert kept.count() == 2
