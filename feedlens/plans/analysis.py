@@ -20,7 +20,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from feedlens import config
 from feedlens.functions import formatting as fmt
@@ -87,8 +88,18 @@ def run_analysis(
     dictionary = dictsrc.load_dictionary(spark, entities_dir)
     missing = dictsrc.missing_dictionary_files(present)
 
-    # Fetch and parse once; land the parsed feeds (raw content dropped).
-    parsed = feedsrc.land(posts.parse_feeds(fetch(valid)).drop("content"), "parsed-feeds")
+    # Fetch and parse once; land the parsed feeds (raw content dropped). The
+    # observed counters ride on the landing job (monitoring only; the reported
+    # statistics below are exact aggregates over the landed table).
+    fetch_obs = Observation("fetch")
+    fetched = posts.parse_feeds(fetch(valid)).drop("content").observe(
+        fetch_obs,
+        F.count(F.lit(1)).alias("feeds"),
+        F.count_if(~F.col("downloaded")).alias("feeds_failed"),
+        F.count_if(F.col("downloaded") & ~F.col("parse_ok")).alias("feeds_unparsed"),
+        F.coalesce(F.sum(F.size("posts")), F.lit(0)).alias("posts"),
+    )
+    parsed = feedsrc.land(fetched, "parsed-feeds")
     all_posts = posts.explode_posts(parsed)
     kept = posts.live_filter(all_posts)
 
@@ -107,6 +118,7 @@ def run_analysis(
         processing_stats_row=proc_row,
         quality_checks=checks,
         warnings=quality.warnings(subs.validated, parsed, missing),
+        extras={"fetch_metrics": fetch_obs.get},
     )
     if proc_row["posts_success"] - proc_row["posts_filtered"] == 0:
         raise quality.NoValidPosts("No valid posts downloaded after filtering", result)

@@ -215,10 +215,7 @@ def _page_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_missing(spark: SparkSession, sf: str) -> DataFrame:
-    present = tables.dictionary_lines_from_documents(_docs(spark, sf)).select("file_name").where(
-        F.col("file_name").isNotNull()
-    )
-    return dictsrc.missing_dictionary_files(present)
+    return dictsrc.missing_dictionary_files(tables.dictionary_files_from_documents(_docs(spark, sf)))
 
 
 # ====================================================== step 1: text ========

@@ -180,6 +180,18 @@ def dictionary_lines_from_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def dictionary_files_from_documents(docs: DataFrame) -> DataFrame:
+    """File names present in the document-derived dictionary directory.
+
+    Every document has at least one line (``split`` never returns an empty
+    array), so a file exists exactly when a document of its language does:
+    no need to split the texts.
+    """
+    return docs.select(_lookup(LINE_FILE_BY_LANG, "lang").alias("file_name")).where(
+        F.col("file_name").isNotNull()
+    )
+
+
 def requested_types_from_documents(docs: DataFrame) -> DataFrame:
     """Document lines with a caller-given type string per language."""
     return document_lines(docs).select(

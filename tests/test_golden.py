@@ -63,6 +63,11 @@ def test_golden_report_text(spark, golden):
     ]
 
 
+def test_golden_observed_fetch_metrics(spark, golden):
+    r = run_analysis(spark, golden, ENTITIES_DIR)
+    assert r.extras["fetch_metrics"] == {"feeds": 3, "feeds_failed": 1, "feeds_unparsed": 1, "posts": 4}
+
+
 def test_golden_warnings(spark, golden):
     r = run_analysis(spark, golden, ENTITIES_DIR)
     msgs = sorted(x["message"] for x in r.warnings.collect())
