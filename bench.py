@@ -4,7 +4,7 @@
 
 Each query is fully materialised (``noop`` sink, no collect of large
 results). One untimed warm-up pass runs first, then each query is timed
-``BENCH_REPEAT`` times (default 2) and the best time is kept.
+``BENCH_REPEAT`` times (default 3) and the best time is kept.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 1) * 2, app_name="feedlens-bench", driver_memory="16g")
     qs = queries()
     for name in HEADLINE[:3]:  # warm-up: JIT, codegen caches, file listing

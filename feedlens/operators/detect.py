@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from feedlens import config
 from feedlens.functions.text import java_lower, word_set
+from feedlens.operators.partitioning import spread
 
 POST_FIELDS = ("title", "selftext")
 
@@ -107,8 +108,16 @@ def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDi
 def field_words(
     posts: DataFrame, keys: tuple[str, ...] = ("post_id",), fields: tuple[str, ...] = POST_FIELDS
 ) -> DataFrame:
-    """U2 + U3: one row per (post, field, distinct non-empty lowercase token)."""
+    """U2 + U3: one row per (post, field, distinct non-empty lowercase token).
+
+    Tokenising is the CPU-heavy step, so a narrow input is spread first
+    (a no-op on large inputs, see ``partitioning.spread``).
+    """
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
+    # spread on the post key (the output key, else a ``post_id`` column when
+    # present): unique, so copies of one text never pile into one partition
+    on = tuple(keys) or (("post_id",) if "post_id" in posts.columns else ())
+    posts = spread(posts.select(*dict.fromkeys([*on, *keys, *fields])), on)
     return (
         posts.select(*keys, F.inline(arr))
         .select(*keys, "field", F.explode(word_set("text")).alias("word"))

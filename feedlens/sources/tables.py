@@ -54,32 +54,6 @@ BENCHMARK_TYPES = ["Person", "Organization", "University", "Place", "Programming
 # --- end of fixed values ----------------------------------------------------
 
 
-# Unique key of each text table, used to spread a scan that is too narrow.
-TABLE_KEYS = {
-    "documents": ["doc_id"],
-    "pages": ["page_id"],
-    "conversations": ["conv_id", "turn"],
-    "benchmark": ["item_id"],
-}
-
-
-def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than the cluster can run.
-
-    Parquet splits only at row-group boundaries, so a file written as one row
-    group is read by one task however many cores there are. When the scan
-    has fewer partitions than ``2 x defaultParallelism``, rows are
-    hash-partitioned by their unique key (deterministic on retry, no sort).
-    A large input already has far more splits than that, so at scale this is
-    a no-op and adds no shuffle. Column pruning and filters still reach the
-    scan below the exchange.
-    """
-    target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
-
-
 # Declared schemas of the text tables: reading with a schema skips footer
 # inference (a distributed job over every file on a large input).
 TABLE_SCHEMAS = {
@@ -94,9 +68,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    keys = TABLE_KEYS.get(name)
-    return spread(df, keys) if keys else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _lookup(pairs: list[tuple[str, str]], col: str):
