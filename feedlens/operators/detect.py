@@ -20,6 +20,7 @@ Both give the same counts; tests check that.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from feedlens import config
 from feedlens.functions.text import java_lower, word_set
 from feedlens.operators.partitioning import spread
+from feedlens.schemas import literal_table
 
 POST_FIELDS = ("title", "selftext")
 
@@ -45,15 +47,23 @@ class PreparedDictionary:
     rows: int
     approx_bytes: int
     broadcast: bool
+    weighted_df: DataFrame | None = None
 
     def weighted(self) -> DataFrame:
-        """One row per distinct entry with its multiplicity ``mult``."""
+        """One row per distinct entry with its multiplicity ``mult``.
+
+        ``key`` is a function of ``entity_name``, so grouping by (key, type,
+        name) is grouping by (type, name); partial aggregation folds
+        duplicated entries map-side.
+        """
+        if self.weighted_df is not None:
+            return self.weighted_df
         return self.df.groupBy("key", "entity_type", "entity_name").agg(
             F.count(F.lit(1)).alias("mult")
         )
 
 
-def keyed_dictionary(dictionary: DataFrame) -> DataFrame:
+def keyed_dictionary(dictionary: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Add the match key; drop entries no token can equal.
 
     A token is non-empty and holds no whitespace, so names whose lowercase
@@ -65,7 +75,7 @@ def keyed_dictionary(dictionary: DataFrame) -> DataFrame:
     key = java_lower("entity_name")
     return dictionary.where(
         (F.col("entity_name") != "") & ~F.col("entity_name").rlike(config.WHITESPACE_RE)
-    ).select("entity_type", "entity_name", key.alias("key"))
+    ).select("entity_type", "entity_name", *extra, key.alias("key"))
 
 
 def prepare_dictionary(
@@ -96,13 +106,17 @@ def prepare_dictionary(
 
 def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDictionary:
     """A dictionary given as rows on the driver: its size is known without a job."""
-    from feedlens.schemas import literal_table
-
     usable = [(t, n) for t, n in rows if n and not any(c in n for c in " \t\n\x0b\f\r")]
     nbytes = sum(len(t.encode()) + 2 * len(n.encode()) + 24 for t, n in usable)
     fits = len(usable) <= config.MAX_BROADCAST_DICTIONARY_ROWS and nbytes <= config.MAX_BROADCAST_DICTIONARY_BYTES
     df = keyed_dictionary(literal_table(spark, rows, "entity_type string, entity_name string"))
-    return PreparedDictionary(df, len(usable), nbytes, fits)
+    # multiplicities of the (type, name) rows are counted here, where the rows
+    # are; the key is still lowered by Spark (JVM case rules)
+    counted = [(t, n, c) for (t, n), c in Counter(rows).items()]
+    weighted = keyed_dictionary(
+        literal_table(spark, counted, "entity_type string, entity_name string, mult bigint"), extra=("mult",)
+    )
+    return PreparedDictionary(df, len(usable), nbytes, fits, weighted)
 
 
 def field_words(

@@ -2,7 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster can run at once (falls back to configuration when the
+    session has no SparkContext, e.g. a Spark Connect client)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        conf = spark.conf.get("spark.default.parallelism", None) or spark.conf.get(
+            "spark.sql.shuffle.partitions", "200"
+        )
+        return int(conf)
+
+
+def _num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave placement to AQE
+        return None
 
 
 def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), min_partitions: int | None = None) -> DataFrame:
@@ -21,7 +40,8 @@ def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), min_partitions
     """
     if df.isStreaming:
         return df
-    target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or 2 * default_parallelism(df.sparkSession)
+    n = _num_partitions(df)
+    if n is None or n >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import config
+from feedlens.operators.partitioning import default_parallelism
 
 FETCHED_SCHEMA = "feed_id bigint, feed_name string, url string, content string"
 
@@ -66,7 +67,7 @@ def fetch_feeds(
     fetched twice, as in the reference.
     """
     spark = subscriptions.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or default_parallelism(spark)
     return (
         subscriptions.select("feed_id", "feed_name", "url")
         .repartition(n, "feed_id")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedlens import config
 from feedlens.operators import detect, posts, stats
+from feedlens.operators.partitioning import default_parallelism
 from feedlens.schemas import FEED
 
 
@@ -58,7 +59,7 @@ def run_available(
     """
     spark = result_stream.sparkSession
     checkpoint = config.scratch_path(spark, f"{name}-checkpoint")
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    n = state_partitions or default_parallelism(spark)
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
