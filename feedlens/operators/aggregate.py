@@ -69,7 +69,7 @@ def type_counts_with_total(counts: DataFrame) -> DataFrame:
     return _with_total(labelled)
 
 
-def type_stats(with_total: DataFrame) -> DataFrame:
+def type_stats(with_total: DataFrame, types: list[str] | None = None) -> DataFrame:
     """``total`` then the six types in report order, absent types as 0.
 
     Zero-fill without a join: the seven fixed labels are unioned in with
@@ -77,7 +77,7 @@ def type_stats(with_total: DataFrame) -> DataFrame:
     fixed order. A type outside the six is part of the total but gets no row.
     """
     spark = with_total.sparkSession
-    labels = [TOTAL_LABEL] + ENTITY_TYPES
+    labels = [TOTAL_LABEL] + (ENTITY_TYPES if types is None else types)
     zeros = literal_table(spark, [(t, 0) for t in labels], "entity_type string, n bigint")
     filled = (
         with_total.unionByName(zeros)

@@ -70,14 +70,17 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def entity_types(spark: SparkSession) -> DataFrame:
-    """The six types with their report ordinal (1-based)."""
-    return literal_table(spark, [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)], "ordinal int, entity_type string")
+def entity_types(spark: SparkSession, types: list[str] | None = None) -> DataFrame:
+    """The entity types with their report ordinal (1-based)."""
+    types = ENTITY_TYPES if types is None else types
+    return literal_table(spark, [(i + 1, t) for i, t in enumerate(types)], "ordinal int, entity_type string")
 
 
-def dictionary_file_map(spark: SparkSession) -> DataFrame:
+def dictionary_file_map(spark: SparkSession, files: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``(file_order, file_name, entity_type)``; extend by passing more pairs."""
+    files = DICTIONARY_FILES if files is None else files
     return literal_table(
         spark,
-        [(i + 1, f, t) for i, (f, t) in enumerate(DICTIONARY_FILES)],
+        [(i + 1, f, t) for i, (f, t) in enumerate(files)],
         "file_order int, file_name string, entity_type string",
     )

@@ -46,26 +46,28 @@ def clean_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def type_by_file(lines: DataFrame) -> DataFrame:
-    """P3 for the five files + U1: inner join with the five-row file map.
+def type_by_file(lines: DataFrame, files: list[tuple[str, str]] | None = None) -> DataFrame:
+    """P3 for the dictionary files + U1: inner join with the file map.
 
-    The map is a fixed literal of five rows, so broadcasting it is bounded.
+    The map is a literal of a few rows (five by default; D6: pass more
+    ``(file_name, entity_type)`` pairs to add a type), so broadcasting it is
+    bounded.
     """
-    fmap = F.broadcast(dictionary_file_map(lines.sparkSession))
+    fmap = F.broadcast(dictionary_file_map(lines.sparkSession, files))
     return lines.join(fmap, "file_name")
 
 
-def load_dictionary(spark: SparkSession, entities_dir: str) -> DataFrame:
+def load_dictionary(spark: SparkSession, entities_dir: str, files: list[tuple[str, str]] | None = None) -> DataFrame:
     """The whole dictionary, ``(entity_type, entity_name)``, duplicates kept."""
-    return type_by_file(clean_lines(read_dictionary_lines(spark, entities_dir))).select(
+    return type_by_file(clean_lines(read_dictionary_lines(spark, entities_dir)), files).select(
         "entity_type", "entity_name"
     )
 
 
-def with_fallback_type(requested: Column | str) -> Column:
-    """P3 for a caller-given type: one of the six, else Person."""
+def with_fallback_type(requested: Column | str, types: list[str] | None = None) -> Column:
+    """P3 for a caller-given type: a known type (the six by default), else Person."""
     r = F.col(requested) if isinstance(requested, str) else requested
-    return F.when(r.isin(*ENTITY_TYPES), r).otherwise(F.lit(FALLBACK_ENTITY_TYPE))
+    return F.when(r.isin(*(ENTITY_TYPES if types is None else types)), r).otherwise(F.lit(FALLBACK_ENTITY_TYPE))
 
 
 def load_dictionary_file(spark: SparkSession, path: str, entity_type: str) -> DataFrame:
@@ -89,9 +91,9 @@ def present_dictionary_files(spark: SparkSession, entities_dir: str) -> DataFram
     return listing.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"))
 
 
-def missing_dictionary_files(present: DataFrame) -> DataFrame:
+def missing_dictionary_files(present: DataFrame, files: list[tuple[str, str]] | None = None) -> DataFrame:
     """Expected files not present, in load order (the run continues)."""
-    fmap = dictionary_file_map(present.sparkSession)
+    fmap = dictionary_file_map(present.sparkSession, files)
     return fmap.join(present.select("file_name").distinct(), "file_name", "left_anti").select(
         "file_order", "file_name", "entity_type"
     )

@@ -226,3 +226,23 @@ def test_top_k_order_and_validation(spark):
     for bad in (0, -1, 1.5, True):
         with pytest.raises(ValueError):
             aggregate.top_entities(counts, bad)
+
+
+def test_extension_by_dimension_rows(spark, tmpdir_path):
+    """A new type is a file-map row plus a type-list entry, no code change."""
+    d = os.path.join(tmpdir_path, "ents")
+    os.makedirs(d)
+    with open(os.path.join(d, "tools.txt"), "w") as f:
+        f.write("# tools\nSpark\nDuckDB\n")
+    with open(os.path.join(d, "people.txt"), "w") as f:
+        f.write("Ada\n")
+    files = [("people.txt", "Person"), ("tools.txt", "Tool")]
+    types = ["Person", "Tool"]
+    dic = dictsrc.load_dictionary(spark, d, files)
+    assert sorted(tuple(r) for r in dic.collect()) == [("Person", "Ada"), ("Tool", "DuckDB"), ("Tool", "Spark")]
+    p = _posts(spark, [(1, "spark and duckdb", "ada")])
+    counts = detect.entity_counts(p, detect.prepare_dictionary(dic))
+    st = aggregate.type_stats(aggregate.type_counts_with_total(counts), types)
+    assert [tuple(r) for r in st.orderBy("ordinal").collect()] == [(0, "total", 3), (1, "Person", 1), (2, "Tool", 2)]
+    fb = spark.createDataFrame([("Tool",), ("Robot",)], "t string")
+    assert [r[0] for r in fb.select(dictsrc.with_fallback_type("t", types)).collect()] == ["Tool", "Person"]
