@@ -8,4 +8,4 @@ tiny action on the driver.
 
 __version__ = "0.1.0"
 
-from feedlens.plans.analysis import AnalysisResult, run_analysis  # noqa: E402,F401
+from feedlens.plans.analysis import AnalysisResult, EntityReport, analyze_posts, run_analysis  # noqa: E402,F401

@@ -123,11 +123,44 @@ def run_analysis(
     if proc_row["posts_success"] - proc_row["posts_filtered"] == 0:
         raise quality.NoValidPosts("No valid posts downloaded after filtering", result)
 
+    report = analyze_posts(kept, dictionary, top_k, plan)
+    result.entity_counts = report.entity_counts
+    result.top_entities = report.top_entities
+    result.type_stats = report.type_stats
+    result.plan = report.plan
+    return result
+
+
+@dataclass
+class EntityReport:
+    entity_counts: DataFrame
+    top_entities: DataFrame
+    type_stats: DataFrame
+    plan: str
+
+
+def analyze_posts(
+    kept_posts: DataFrame,
+    dictionary: DataFrame,
+    top_k: int = config.DEFAULT_TOP_K,
+    plan: str = "auto",
+    types: list[str] | None = None,
+) -> EntityReport:
+    """The entity half of the analysis on any posts DataFrame (title, selftext).
+
+    Use it on posts that are already landed (a bulk dump read with
+    ``read_post_lines``, a table): it measures the dictionary, picks the
+    plan, computes the counts once (reliable checkpoint under
+    ``spark.checkpoint.dir``) and derives the top-k and the type statistics
+    from them.
+    """
+    aggregate.validate_k(top_k)
     prepared = detect.prepare_dictionary(dictionary)
     chosen = plan if plan != "auto" else ("broadcast" if prepared.broadcast else "aggregate_first")
-    counts = detect.entity_counts(kept, prepared, plan=chosen).checkpoint(eager=True)
-    result.entity_counts = counts
-    result.top_entities = aggregate.top_entities(counts, top_k)
-    result.type_stats = aggregate.type_stats(aggregate.type_counts_with_total(counts))
-    result.plan = chosen
-    return result
+    counts = detect.entity_counts(kept_posts, prepared, plan=chosen).checkpoint(eager=True)
+    return EntityReport(
+        entity_counts=counts,
+        top_entities=aggregate.top_entities(counts, top_k),
+        type_stats=aggregate.type_stats(aggregate.type_counts_with_total(counts), types),
+        plan=chosen,
+    )

@@ -45,4 +45,6 @@ def render(lines: DataFrame, order: str, header: str, subheader_after: int | Non
     rows = [r["line"] for r in lines.orderBy(order).collect()]
     if subheader_after is not None:
         rows.insert(subheader_after, fmt.TYPE_SUBHEADER)
-    return "\n".join([header, *rows])
+    # header, newline, then the lines joined by newlines (so an empty
+    # report still ends with the newline after its header)
+    return header + "\n" + "\n".join(rows)
