@@ -15,25 +15,48 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import java_trim
-from feedlens.schemas import ENTITY_TYPES, FALLBACK_ENTITY_TYPE, dictionary_file_map
+from feedlens.schemas import ENTITY_TYPES, FALLBACK_ENTITY_TYPE, dictionary_file_map, literal_table
 
 
 class DictionaryDirNotFound(FileNotFoundError):
     """Q4: the entities directory does not exist."""
 
 
-def _read_text(spark: SparkSession, path: str, **options) -> DataFrame:
+def _not_found(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+
+
+def require_dictionary_dir(spark: SparkSession, entities_dir: str) -> None:
+    """Q4: raise when the directory does not exist (an empty one is fine).
+
+    A recursive listing has no partition discovery, so subdirectories of
+    any shape cannot make this check fail.
+    """
     try:
-        return spark.read.options(**options).text(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.txt"
+        ).load(entities_dir)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise DictionaryDirNotFound(f"entities directory '{path}' not found") from e
+        if _not_found(e):
+            raise DictionaryDirNotFound(f"entities directory '{entities_dir}' not found") from e
         raise
 
 
+def _top_level(entities_dir: str) -> str:
+    # files directly in the directory, as the reference reads them;
+    # subdirectories are ignored
+    return entities_dir.rstrip("/") + "/*.txt"
+
+
 def read_dictionary_lines(spark: SparkSession, entities_dir: str) -> DataFrame:
-    """S4 + S5: ``(file_name, value)`` for every line of every ``*.txt`` file."""
-    lines = _read_text(spark, entities_dir, pathGlobFilter="*.txt")
+    """S4 + S5: ``(file_name, value)`` for every line of every top-level ``*.txt`` file."""
+    require_dictionary_dir(spark, entities_dir)
+    try:
+        lines = spark.read.text(_top_level(entities_dir))
+    except AnalysisException as e:
+        if _not_found(e):  # the directory exists but holds no .txt file
+            return literal_table(spark, [], "file_name string, value string")
+        raise
     return lines.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
 
@@ -71,22 +94,32 @@ def with_fallback_type(requested: Column | str, types: list[str] | None = None)
 
 
 def load_dictionary_file(spark: SparkSession, path: str, entity_type: str) -> DataFrame:
-    """One file with a caller-given type (unknown types fall back to Person)."""
-    lines = clean_lines(_read_text(spark, path))
+    """One file with a caller-given type (unknown types fall back to Person).
+
+    A missing file contributes nothing (S6), like a missing file in a directory.
+    """
+    try:
+        raw = spark.read.text(path)
+    except AnalysisException as e:
+        if _not_found(e):
+            return literal_table(spark, [], "entity_type string, entity_name string")
+        raise
+    lines = clean_lines(raw)
     return lines.select(with_fallback_type(F.lit(entity_type)).alias("entity_type"), "entity_name")
 
 
 def present_dictionary_files(spark: SparkSession, entities_dir: str) -> DataFrame:
-    """File names present in the directory, empty files included.
+    """Top-level ``*.txt`` file names in the directory, empty files included.
 
     ``binaryFile`` lists files; with only ``path`` selected their content is
     not read.
     """
+    require_dictionary_dir(spark, entities_dir)
     try:
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(entities_dir)
+        listing = spark.read.format("binaryFile").load(_top_level(entities_dir))
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise DictionaryDirNotFound(f"entities directory '{entities_dir}' not found") from e
+        if _not_found(e):
+            return literal_table(spark, [], "file_name string")
         raise
     return listing.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"))
 

@@ -246,3 +246,27 @@ def test_extension_by_dimension_rows(spark, tmpdir_path):
     assert [tuple(r) for r in st.orderBy("ordinal").collect()] == [(0, "total", 3), (1, "Person", 1), (2, "Tool", 2)]
     fb = spark.createDataFrame([("Tool",), ("Robot",)], "t string")
     assert [r[0] for r in fb.select(dictsrc.with_fallback_type("t", types)).collect()] == ["Tool", "Person"]
+
+
+def test_dictionary_ignores_subdirectories(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "ents")
+    for sub in ("sub", "k=v"):
+        os.makedirs(os.path.join(d, sub))
+        with open(os.path.join(d, sub, "people.txt"), "w") as f:
+            f.write("Nested\n")
+    with open(os.path.join(d, "people.txt"), "w") as f:
+        f.write("Ada\n")
+    with open(os.path.join(d, "notes.md"), "w") as f:
+        f.write("Zed\n")
+    assert [tuple(r) for r in dictsrc.load_dictionary(spark, d).collect()] == [("Person", "Ada")]
+    assert sorted(r[0] for r in dictsrc.present_dictionary_files(spark, d).collect()) == ["people.txt"]
+    empty = os.path.join(tmpdir_path, "empty")
+    os.makedirs(empty)
+    assert dictsrc.load_dictionary(spark, empty).count() == 0
+    assert dictsrc.missing_dictionary_files(dictsrc.present_dictionary_files(spark, empty)).count() == 5
+    with pytest.raises(dictsrc.DictionaryDirNotFound):
+        dictsrc.load_dictionary(spark, os.path.join(tmpdir_path, "nope"))
+
+
+def test_single_missing_file_contributes_nothing(spark, tmpdir_path):
+    assert dictsrc.load_dictionary_file(spark, os.path.join(tmpdir_path, "none.txt"), "Place").count() == 0
