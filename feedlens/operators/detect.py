@@ -48,6 +48,7 @@ class PreparedDictionary:
     approx_bytes: int
     broadcast: bool
     weighted_df: DataFrame | None = None
+    pinned: str | None = None
 
     def weighted(self) -> DataFrame:
         """One row per distinct entry with its multiplicity ``mult``.
@@ -78,6 +79,20 @@ def keyed_dictionary(dictionary: DataFrame, extra: tuple[str, ...] = ()) -> Data
     ).select("entity_type", "entity_name", *extra, key.alias("key"))
 
 
+def _measure(keyed: DataFrame, max_rows: int, max_bytes: int, force: str | None) -> PreparedDictionary:
+    row = keyed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(
+            F.sum(F.octet_length("entity_type") + 2 * F.octet_length("entity_name") + 24), F.lit(0)
+        ).alias("b"),
+    ).first()
+    rows, nbytes = int(row["n"]), int(row["b"])
+    fits = rows <= max_rows and nbytes <= max_bytes
+    if force == "broadcast" and not fits:
+        raise ValueError(f"dictionary of {rows} rows / {nbytes} bytes is too large to broadcast")
+    return PreparedDictionary(keyed, rows, nbytes, fits and force != "shuffle", pinned=force)
+
+
 def prepare_dictionary(
     dictionary: DataFrame,
     max_rows: int = config.MAX_BROADCAST_DICTIONARY_ROWS,
@@ -89,19 +104,27 @@ def prepare_dictionary(
     ``force`` may be ``"broadcast"`` or ``"shuffle"`` to pin the plan (tests,
     benchmarks); a forced broadcast still has to pass the size check.
     """
-    keyed = keyed_dictionary(dictionary)
-    row = keyed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(
-            F.sum(F.octet_length("entity_type") + 2 * F.octet_length("entity_name") + 24), F.lit(0)
-        ).alias("b"),
-    ).first()
-    rows, nbytes = int(row["n"]), int(row["b"])
-    fits = rows <= max_rows and nbytes <= max_bytes
-    if force == "broadcast" and not fits:
-        raise ValueError(f"dictionary of {rows} rows / {nbytes} bytes is too large to broadcast")
-    broadcast = fits and force != "shuffle"
-    return PreparedDictionary(keyed, rows, nbytes, broadcast)
+    return _measure(keyed_dictionary(dictionary), max_rows, max_bytes, force)
+
+
+def restrict_to_corpus(
+    posts: DataFrame,
+    dictionary: PreparedDictionary,
+    fields: tuple[str, ...] = ("title", "selftext"),
+    max_rows: int = config.MAX_BROADCAST_DICTIONARY_ROWS,
+    max_bytes: int = config.MAX_BROADCAST_DICTIONARY_BYTES,
+) -> PreparedDictionary:
+    """Keep only entries whose key occurs as a token somewhere in ``posts``.
+
+    Exact: an entry whose key never occurs cannot produce a hit. The
+    vocabulary is built with map-side partial aggregation (hot words fold
+    before the shuffle), so this pass moves distinct words, not tokens. The
+    restricted dictionary is measured again; when it fits, per-post hits
+    use a broadcast join and tokens never cross the network.
+    """
+    vocab = field_words(posts, keys=(), fields=fields).select("word").distinct()
+    matched = dictionary.df.join(vocab, dictionary.df["key"] == vocab["word"], "left_semi")
+    return _measure(matched, max_rows, max_bytes, None)
 
 
 def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDictionary:
@@ -158,9 +181,14 @@ def entity_hits(
     """One row per (post, field, matching dictionary row); bag semantics.
 
     With a broadcast dictionary this is a BroadcastHashJoin and no token
-    leaves its task. Otherwise it is a shuffle join on the token; AQE's
+    leaves its task. A dictionary over the bound is first restricted to the
+    entries that occur in the corpus (``restrict_to_corpus``, one extra
+    pass that shuffles only distinct words); if that fits, the join is
+    broadcast. Otherwise it is a shuffle-hash join on the token, and AQE's
     skew-join handling splits a hot token's partition.
     """
+    if not dictionary.broadcast and dictionary.pinned != "shuffle":
+        dictionary = restrict_to_corpus(posts, dictionary, fields)
     words = field_words(posts, keys, fields)
     d = _dictionary_side(dictionary, dictionary.df)
     return words.join(d, words["word"] == d["key"]).select(

@@ -78,3 +78,25 @@ def test_hot_word_counts_all_plans_exact(spark):
     ):
         got = {(r[0], r[1]): r[2] for r in detect.entity_counts(posts, prep, plan=plan).collect()}
         assert got == dict(expected)
+
+
+def test_large_dictionary_hits_are_broadcast_after_restriction(spark):
+    """Over the bound, the dictionary is cut to entries present in the corpus
+    (exactly), re-measured, and broadcast when that fits."""
+    posts, dic = _fixture(spark)
+    # 502 entries > bound of 300 rows; entries present in the corpus: 2 + 500
+    big = detect.prepare_dictionary(dic, max_rows=300)
+    assert big.broadcast is False
+    cut = detect.restrict_to_corpus(posts, big, max_rows=600)
+    assert cut.broadcast is True and cut.rows == 502
+    hits = detect.entity_hits(posts, big)
+    got = Counter((r["entity_type"], r["entity_name"]) for r in hits.collect())
+    assert got == _brute_force()
+
+
+def test_restriction_drops_absent_entries(spark):
+    posts, dic = _fixture(spark)
+    absent = spark.createDataFrame([("Place", f"zz{i}") for i in range(50)], "entity_type string, entity_name string")
+    big = detect.prepare_dictionary(dic.unionByName(absent), max_rows=10)
+    cut = detect.restrict_to_corpus(posts, big)
+    assert cut.rows == 502
