@@ -15,7 +15,10 @@ Two physical plans:
   "the" map-side, so they cannot skew the shuffle), and only the vocabulary
   meets the dictionary in a shuffle join.
 
-Both give the same counts; tests check that.
+Both give the same counts; tests check that. Per-post hits cannot be
+pre-aggregated, so an over-bound dictionary is first cut to the entries that
+occur in the corpus and re-measured (``restrict_to_corpus``); only if that is
+still too large do tokens go through a shuffle-hash join.
 """
 
 from __future__ import annotations
