@@ -37,7 +37,7 @@ def word_set(col: Column | str) -> Column:
 
 def tokens(col: Column | str) -> Column:
     """Non-empty lowercase whitespace tokens, in order, with repeats."""
-    return F.filter(whitespace_split(java_lower(col)), lambda t: t != "")
+    return F.array_remove(whitespace_split(java_lower(col)), "")
 
 
 def utf16_length(col: Column | str) -> Column:

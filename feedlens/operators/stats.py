@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.functions.text import utf16_length
 from feedlens.operators.posts import truncated_average
 
 STAT_COLUMNS = [
@@ -30,10 +31,6 @@ def _kept(p: Column) -> Column:
     return F.coalesce((p["title"] != "") & (p["selftext"] != ""), F.lit(False))
 
 
-def _utf16(c: Column) -> Column:
-    return (F.octet_length(F.encode(c, "UTF-16BE")) / 2).cast("bigint")
-
-
 def feed_partials(parsed_feeds: DataFrame) -> DataFrame:
     """Per feed: downloaded, parse_ok, number of posts, kept posts, kept length."""
     kept_posts = F.filter("posts", _kept)
@@ -45,7 +42,7 @@ def feed_partials(parsed_feeds: DataFrame) -> DataFrame:
         F.aggregate(
             kept_posts,
             F.lit(0).cast("bigint"),
-            lambda acc, p: acc + _utf16(p["title"]) + _utf16(p["selftext"]),
+            lambda acc, p: acc + utf16_length(p["title"]) + utf16_length(p["selftext"]),
         ).alias("kept_chars"),
     )
 
