@@ -66,10 +66,34 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     fields = [f.strip().split() for f in schema.split(",")]
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+    if all(_plain(v) for r in rows for v in r):
+        # one SQL expression: one round trip to the JVM instead of one per value
+        structs = ", ".join(
+            "named_struct(" + ", ".join(f"'{n}', CAST({_sql_literal(v)} AS {t})" for v, (n, t) in zip(r, fields)) + ")"
+            for r in rows
+        )
+        return spark.range(1).selectExpr(f"inline(array({structs}))")
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _plain(v) -> bool:
+    """A value whose SQL literal needs no escaping (so parser settings cannot matter)."""
+    if v is None or isinstance(v, (bool, int, float)):
+        return True
+    return isinstance(v, str) and all(" " <= c and c not in "'\\" for c in v)
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return f"'{v}'"
+
+
 def entity_types(spark: SparkSession, types: list[str] | None = None) -> DataFrame:
     """The entity types with their report ordinal (1-based)."""
     types = ENTITY_TYPES if types is None else types
