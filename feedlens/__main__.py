@@ -14,6 +14,12 @@ from feedlens.plans.quality import NoValidPosts
 from feedlens.session import local_session
 
 
+def _print_warnings(result) -> None:
+    """Per-row warnings (Q6, Q7, Q8, S6), streamed partition by partition."""
+    for row in result.warnings.toLocalIterator():
+        print(row["message"])
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run from arguments; stops the session only when it created it."""
     p = argparse.ArgumentParser(prog="feedlens")
@@ -28,9 +34,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if owned:
         spark = local_session(cores=a.master[len("local["):-1] if a.master.startswith("local[") else "*")
     try:
-        print(run_analysis(spark, a.subscription_file, a.entities_dir, a.top_k).report())
+        result = run_analysis(spark, a.subscription_file, a.entities_dir, a.top_k)
+        _print_warnings(result)
+        print(result.report())
         return 0
     except NoValidPosts as e:
+        _print_warnings(e.result)
         print(e.result.report() + "\n")
         print(f"Error: {e}")
         return 1

@@ -113,6 +113,7 @@ def test_cli_main(spark, golden, capsys):
     out = capsys.readouterr().out
     assert rc == 0
     assert out.count("[Type=") == 3 and "Entidades totales: 10" in out
+    assert "Warning: Failed to download from 'B'" in out and "Warning: Failed to parse JSON from 'C'" in out
 
 
 def test_cli_error_line(spark, tmpdir_path, capsys):
