@@ -10,6 +10,7 @@ planted. All three physical plans must agree with the model.
 
 from __future__ import annotations
 
+import json
 import random
 import re
 from collections import Counter
@@ -67,3 +68,91 @@ def test_matching_matches_python_model(spark):
     ):
         got = {(r[0], r[1]): r[2] for r in detect.entity_counts(posts, prep, plan=plan).collect()}
         assert got == dict(expected)
+
+
+# ---------------------------------------------------------- feed parsing ----
+
+def _field_value(rng: random.Random):
+    kind = rng.choice(["str", "str", "str", "missing", "null", "int", "half", "bool", "obj", "arr"])
+    return kind, {
+        "str": lambda: rng.choice(WORDS) + rng.choice(WS) + rng.choice(WORDS),
+        "missing": lambda: None,
+        "null": lambda: None,
+        "int": lambda: rng.randint(-50, 50),
+        "half": lambda: rng.randint(0, 20) + 0.5,
+        "bool": lambda: rng.random() < 0.5,
+        "obj": lambda: {"k": 1},
+        "arr": lambda: [1, 2],
+    }[kind]()
+
+
+def _feed(rng: random.Random):
+    children = []
+    for _ in range(rng.randint(0, 4)):
+        if rng.random() < 0.03:
+            children.append(rng.choice([5, "x", [1]]))
+            continue
+        data = {}
+        for field in ("title", "selftext"):
+            # strings dominate so that many feeds are valid
+            kind, v = _field_value(rng) if rng.random() < 0.25 else ("str", rng.choice(WORDS))
+            if kind != "missing":
+                data[field] = v
+        children.append({"data": data})
+    content = json.dumps({"data": {"children": children}})
+    r = rng.random()
+    if r < 0.05:
+        return None
+    if r < 0.10:
+        return content[: len(content) // 2]
+    if r < 0.13:
+        return "<html>"
+    if r < 0.16:
+        return json.dumps({"data": {"children": {"a": 1}}})
+    return content
+
+
+def _as_text(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
+
+
+def _parse_model(content):
+    if content is None:
+        return (False, False, [])
+    try:
+        obj = json.loads(content)
+    except ValueError:
+        return (True, False, [])
+    data = obj.get("data") if isinstance(obj, dict) else None
+    children = data.get("children") if isinstance(data, dict) else None
+    if not isinstance(children, list):
+        return (True, False, [])
+    posts = []
+    for c in children:
+        d = c.get("data") if isinstance(c, dict) else None
+        if not isinstance(d, dict) or "title" not in d or "selftext" not in d:
+            return (True, False, [])
+        if any(isinstance(d[f], (dict, list)) for f in ("title", "selftext")):
+            return (True, False, [])
+        posts.append((_as_text(d["title"]), _as_text(d["selftext"])))
+    return (True, True, posts)
+
+
+def test_feed_parse_matches_python_model(spark):
+    from feedlens.operators import posts as P
+
+    rng = random.Random(7)
+    feeds = [(i, f"f{i}", "u", _feed(rng)) for i in range(300)]
+    df = spark.createDataFrame(feeds, "feed_id bigint, feed_name string, url string, content string")
+    got = {
+        r["feed_id"]: (r["downloaded"], r["parse_ok"], [(p["title"], p["selftext"]) for p in r["posts"]])
+        for r in P.parse_feeds(df).collect()
+    }
+    expected = {i: _parse_model(c) for i, _, _, c in feeds}
+    outcomes = Counter((d, ok) for d, ok, _ in expected.values())
+    assert outcomes[(True, True)] > 50 and outcomes[(True, False)] > 30 and outcomes[(False, False)] > 5
+    assert got == expected
