@@ -27,9 +27,10 @@ TABLE_NAMES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# --- Fixed values: the literal dictionary used on the shared tables. -------
-# Mixed case, a duplicate, one word under two types with two spellings, a
-# multi-word name, punctuation inside a token, and a name that never occurs.
+# --- Fixture design for the shared tables (chosen here, not reference values).
+# Literal dictionary: mixed case, a duplicate, one word under two types with
+# two spellings, a multi-word name, punctuation inside a token, and a name
+# that never occurs.
 LITERAL_DICTIONARY = [
     ("Person", "The"),
     ("Person", "of"),
@@ -51,7 +52,7 @@ LINE_FILE_BY_LANG = [("en", "people.txt"), ("de", "languages.txt"), ("fr", "plac
 TYPE_BY_LANG = [("en", "Person"), ("de", "ProgrammingLanguage"), ("fr", "Place"), ("es", "Persona")]
 # Types given to benchmark tokens by ``length(token) % 5``.
 BENCHMARK_TYPES = ["Person", "Organization", "University", "Place", "ProgrammingLanguage"]
-# --- end of fixed values ----------------------------------------------------
+# --- end of fixture design -------------------------------------------------
 
 
 # Declared schemas of the text tables: reading with a schema skips footer
