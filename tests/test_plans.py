@@ -67,13 +67,16 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_entity_counts", "entity_counts_post_lines"}))
-def test_no_cartesian_join_and_no_python(spark, name):
+def test_no_cartesian_join_no_python_deterministic(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     # every registered query runs on built-in expressions only
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
         assert python_node not in plan
+    # deterministic: a partition recomputed after a lost executor gives the same rows
+    for nondeterministic in ("rand(", "randn(", "uuid(", "monotonically_increasing_id", "shuffle(", "current_timestamp"):
+        assert nondeterministic not in plan
 
 
 def test_tokenize_match_and_partial_count_share_one_codegen_stage(spark):
