@@ -8,16 +8,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlens.config import JAVA_TRIM_RE, WHITESPACE_RE
+from feedlens.config import WHITESPACE_RE
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Java ``String.trim`` strips every char from U+0000 to U+0020 (a rule, not a list).
+_JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
+
+
 def java_trim(col: Column | str) -> Column:
-    """``String.trim``: strip chars <= U+0020 at both ends (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(_c(col), JAVA_TRIM_RE, "")
+    """``String.trim``: strip chars <= U+0020 at both ends.
+
+    Spark's one-argument ``trim`` strips spaces only; the two-argument form
+    with the explicit character set is exact and scans only the two ends
+    (no regex over the whole text).
+    """
+    return F.trim(_c(col), F.lit(_JAVA_TRIM_CHARS))
+
+
+def has_visible_char(col: Column | str) -> Column:
+    """``java_trim(x) <> ''`` without building the trimmed copy: some char > U+0020."""
+    return _c(col).rlike(r"[^\x00-\x20]")
 
 
 def java_lower(col: Column | str) -> Column:

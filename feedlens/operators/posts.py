@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.jsonfeed import children_ok, children_posts, feed_children
-from feedlens.functions.text import java_trim, non_empty, utf16_length
+from feedlens.functions.text import has_visible_char, non_empty, utf16_length
 
 POST_STRUCT = "array<struct<title:string,selftext:string>>"
 
@@ -50,7 +50,7 @@ def live_keep(title: Column | str = "title", selftext: Column | str = "selftext"
 def strict_keep(title: Column | str = "title", selftext: Column | str = "selftext") -> Column:
     """F1 and the Java-trimmed selftext non-empty (title not trimmed)."""
     s = F.col(selftext) if isinstance(selftext, str) else selftext
-    return F.coalesce(live_keep(title, selftext) & non_empty(java_trim(s)), F.lit(False))
+    return F.coalesce(live_keep(title, selftext) & has_visible_char(s), F.lit(False))
 
 
 def live_filter(posts: DataFrame) -> DataFrame:
