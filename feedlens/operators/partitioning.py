@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,7 +20,20 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(conf)
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    """Whether the physical plan already shuffles (planning only, nothing runs)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return "Exchange" in buf.getvalue()
+
+
 def _num_partitions(df: DataFrame) -> int | None:
+    """Partitions of a shuffle-free input (file splits); None when unknown.
+
+    Only asked for plans without an exchange: on a plan with one, building
+    the RDD would run the upstream shuffle stages early under AQE.
+    """
     try:
         return df.rdd.getNumPartitions()
     except Exception:  # no RDD view (Spark Connect): leave placement to AQE
@@ -35,10 +51,11 @@ def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), min_partitions
     input partition first, so a retry sees the same assignment).
 
     A large input already has far more splits than that, so at scale this
-    returns ``df`` unchanged and adds no shuffle. Streaming inputs are left
-    as they are.
+    returns ``df`` unchanged and adds no shuffle. Streaming inputs, and
+    inputs that already shuffle, are left as they are; deciding runs no job.
     """
-    if df.isStreaming:
+    if df.isStreaming or _has_exchange(df):
+        # an input that already went through a shuffle is spread by it
         return df
     target = min_partitions or 2 * default_parallelism(df.sparkSession)
     n = _num_partitions(df)

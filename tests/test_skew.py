@@ -100,3 +100,16 @@ def test_restriction_drops_absent_entries(spark):
     big = detect.prepare_dictionary(dic.unionByName(absent), max_rows=10)
     cut = detect.restrict_to_corpus(posts, big)
     assert cut.rows == 502
+
+
+def test_spread_runs_no_job_and_skips_shuffled_inputs(spark):
+    from feedlens.operators.partitioning import spread
+
+    tracker = spark.sparkContext.statusTracker()
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = set(tracker.getJobIdsForGroup())
+    assert spread(grouped, ("k",)) is grouped  # already shuffled: left as is
+    assert set(tracker.getJobIdsForGroup()) == before  # and deciding ran nothing
+    narrow = spark.range(0, 1000, 1, 1)
+    spread_out = spread(narrow, ("id",))
+    assert spread_out is not narrow and spread_out.rdd.getNumPartitions() >= 2
