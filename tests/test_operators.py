@@ -67,6 +67,9 @@ def _parse(spark, content):
         ('{"data":{"children":{"a":1}}}', False, []),
         ('{"data":{"children":[]}}', True, []),
         ('{"data":{"children":[{"data":{"title":"a","selftext":"b"}}, 5]}}', False, []),
+        # documented choices where the reference's JSON library is not decidable from its source
+        ('{"data":{"children":[{"data":{"title":"a","selftext":"b"}}]}} trailing', True, [("a", "b")]),
+        ('{"data":{"children":[{"data":{"title":"a","title":"c","selftext":"b"}}]}}', False, []),
     ],
 )
 def test_feed_parse_rules(spark, content, ok, expected):
@@ -122,6 +125,7 @@ def test_avg_chars_zero_when_nothing_kept(spark):
         ("[]", True, 0, 0),
         ("This is not json", False, 0, 0),
         ('[{"name":"a","url":"u","extra":"z"}]', True, 1, 0),
+        ('[{"name":"a","name":"b","url":"u"}]', False, 0, 0),  # duplicate key: invalid file
     ],
 )
 def test_subscription_files(spark, tmpdir_path, text, valid_file, n_valid, n_rejected):
