@@ -151,3 +151,18 @@ def test_post_lines_rules(spark, tmpdir_path):
     ]
     kept = posts.live_filter(feedsrc.read_post_lines(spark, p).where("line_ok"))
     assert kept.count() == 2
+
+
+def test_cli_partial_dictionary_warns(spark, golden, tmpdir_path, capsys):
+    import shutil
+
+    from feedlens.__main__ import main
+
+    d = os.path.join(tmpdir_path, "partial")
+    os.makedirs(d)
+    shutil.copy(os.path.join(ENTITIES_DIR, "places.txt"), d)
+    rc = main(["--subscription-file", golden, "--entities-dir", d], spark=spark)
+    out = capsys.readouterr().out
+    assert rc == 0
+    assert "Warning: Could not load dictionary file 'people.txt'" in out
+    assert "[Type=Place] Stockholm: 2 apariciones" in out and "ProgrammingLanguage] Scala" not in out
