@@ -20,6 +20,10 @@ DEFAULT_TOP_K = 10
 # aggregate-first plan (shuffle by token, then join) is used instead.
 MAX_BROADCAST_DICTIONARY_ROWS = 2_000_000
 MAX_BROADCAST_DICTIONARY_BYTES = 64 * 1024 * 1024
+# A broadcast dictionary with at most this many rows also has its keys
+# inlined into the plan: each field's token array is intersected with them
+# before exploding, so only matching tokens become rows.
+MAX_INLINE_KEYS = 1024
 
 # Feed fetches: per-request timeout (the reference had none).
 FETCH_TIMEOUT_SECONDS = 30.0

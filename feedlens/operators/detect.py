@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens import config
-from feedlens.functions.text import java_lower, word_set
+from feedlens.functions.text import java_lower, whitespace_split, word_set
 from feedlens.operators.partitioning import spread
 from feedlens.schemas import literal_table
 
@@ -52,6 +52,7 @@ class PreparedDictionary:
     broadcast: bool
     weighted_df: DataFrame | None = None
     pinned: str | None = None
+    inline_keys: tuple[str, ...] | None = None
 
     def weighted(self) -> DataFrame:
         """One row per distinct entry with its multiplicity ``mult``.
@@ -93,7 +94,12 @@ def _measure(keyed: DataFrame, max_rows: int, max_bytes: int, force: str | None)
     fits = rows <= max_rows and nbytes <= max_bytes
     if force == "broadcast" and not fits:
         raise ValueError(f"dictionary of {rows} rows / {nbytes} bytes is too large to broadcast")
-    return PreparedDictionary(keyed, rows, nbytes, fits and force != "shuffle", pinned=force)
+    broadcast = fits and force != "shuffle"
+    inline = None
+    if broadcast and rows <= config.MAX_INLINE_KEYS:
+        # the row count above proves this collect is small
+        inline = tuple(sorted(r["key"] for r in keyed.select("key").distinct().collect()))
+    return PreparedDictionary(keyed, rows, nbytes, broadcast, pinned=force, inline_keys=inline)
 
 
 def prepare_dictionary(
@@ -142,14 +148,28 @@ def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDi
     weighted = keyed_dictionary(
         literal_table(spark, counted, "entity_type string, entity_name string, mult bigint"), extra=("mult",)
     )
-    return PreparedDictionary(df, len(usable), nbytes, fits, weighted)
+    inline = None
+    if fits and len(usable) <= config.MAX_INLINE_KEYS:
+        if all(n.isascii() for _, n in usable):
+            inline = tuple(sorted({n.lower() for _, n in usable}))  # ASCII: same as the JVM's lower
+        else:
+            inline = tuple(sorted(r["key"] for r in df.select("key").distinct().collect()))
+    return PreparedDictionary(df, len(usable), nbytes, fits, weighted, inline_keys=inline)
 
 
 def field_words(
-    posts: DataFrame, keys: tuple[str, ...] = ("post_id",), fields: tuple[str, ...] = POST_FIELDS
+    posts: DataFrame,
+    keys: tuple[str, ...] = ("post_id",),
+    fields: tuple[str, ...] = POST_FIELDS,
+    match_keys: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """U2 + U3: one row per (post, field, distinct non-empty lowercase token).
 
+    With ``match_keys`` (a small dictionary's keys), each field's tokens are
+    intersected with them first (``array_intersect`` is distinct, like the
+    token set), so only tokens that can match become rows; the result of the
+    join is the same.
+
     Tokenising is the CPU-heavy step, so a narrow input is spread first
     (a no-op on large inputs, see ``partitioning.spread``).
     """
@@ -158,9 +178,14 @@ def field_words(
     # present): unique, so copies of one text never pile into one partition
     on = tuple(keys) or (("post_id",) if "post_id" in posts.columns else ())
     posts = spread(posts.select(*dict.fromkeys([*on, *keys, *fields])), on)
+    if match_keys is None:
+        words = word_set("text")
+    else:
+        key_array = F.array(*[F.lit(k) for k in match_keys]) if match_keys else F.array().cast("array<string>")
+        words = F.array_intersect(whitespace_split(java_lower("text")), key_array)
     return (
         posts.select(*keys, F.inline(arr))
-        .select(*keys, "field", F.explode(word_set("text")).alias("word"))
+        .select(*keys, "field", F.explode(words).alias("word"))
         .where(F.col("word") != "")
     )
 
@@ -192,7 +217,7 @@ def entity_hits(
     """
     if not dictionary.broadcast and dictionary.pinned != "shuffle":
         dictionary = restrict_to_corpus(posts, dictionary, fields)
-    words = field_words(posts, keys, fields)
+    words = field_words(posts, keys, fields, dictionary.inline_keys)
     d = _dictionary_side(dictionary, dictionary.df)
     return words.join(d, words["word"] == d["key"]).select(
         *keys, "field", "entity_type", "entity_name"
@@ -201,7 +226,7 @@ def entity_hits(
 
 def entity_counts_broadcast(posts: DataFrame, dictionary: PreparedDictionary) -> DataFrame:
     """Counts via the broadcast plan, weighting duplicate dictionary rows."""
-    words = field_words(posts, keys=())
+    words = field_words(posts, keys=(), match_keys=dictionary.inline_keys)
     d = F.broadcast(dictionary.weighted())
     return (
         words.join(d, words["word"] == d["key"])
