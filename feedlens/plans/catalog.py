@@ -149,7 +149,7 @@ SQL_CLEAN = f"""clean AS (
 SQL_CLEAN_KEPT = "clean_kept AS (SELECT * FROM clean WHERE entity_name <> '' AND NOT starts_with(entity_name, '#'))"
 
 # Paged document feeds: page = doc_id div page size; three damaged sources.
-_FAILED, _TRUNC, _MISSING = (_q(tables.FAILED_SOURCE), _q(tables.TRUNCATED_SOURCE), _q(tables.MISSING_FIELD_SOURCE))
+_FAILED, _TRUNC, _MISSING = (_q(tables.FAILED_SOURCE), _q(tables.HTML_PAGE_SOURCE), _q(tables.MISSING_FIELD_SOURCE))
 SQL_FEEDS = f"""fp AS (SELECT *, CAST(post_id // {tables.FEED_PAGE_SIZE} AS BIGINT) AS page FROM posts),
 feeds AS (
   SELECT feed_name AS source, page, min(post_id) AS feed_id, count(*) AS n_posts,

@@ -43,7 +43,7 @@ LITERAL_DICTIONARY = [
 ]
 # Feed damage applied to paged document feeds.
 FAILED_SOURCE = "src3"        # download failed: content NULL
-TRUNCATED_SOURCE = "src4"     # content cut in half: not JSON
+HTML_PAGE_SOURCE = "src4"     # the whole feed wrapped in an HTML error page: not JSON
 MISSING_FIELD_SOURCE = "src5" # first child has no selftext: feed rejected
 FEED_PAGE_SIZE = 100
 # Dictionary file name given to document lines, by language.
@@ -204,7 +204,7 @@ def feeds_from_documents(docs: DataFrame, page_size: int = FEED_PAGE_SIZE) -> Da
     body = F.concat(F.lit('{"data":{"children":['), F.array_join(children, ","), F.lit("]}}"))
     content = (
         F.when(F.col("source") == FAILED_SOURCE, F.lit(None).cast("string"))
-        .when(F.col("source") == TRUNCATED_SOURCE, body.substr(F.lit(1), F.floor(F.length(body) / 2).cast("int")))
+        .when(F.col("source") == HTML_PAGE_SOURCE, F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")))
         .otherwise(body)
     )
     return grouped.select(
