@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlens import config
 from feedlens.functions.text import java_trim, tokens, utf16_length
 from feedlens.operators import aggregate, detect, posts, stats
 from feedlens.plans import quality, reports
@@ -42,11 +43,12 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-WS_SQL = r"'[ \t\n\x0B\f\r]+'"
+# The same Java-semantics regexes as the engine (config), as RE2 patterns.
+WS_SQL = f"'{config.WHITESPACE_RE}'"
 
 
 def sql_jtrim(x: str) -> str:
-    return rf"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+    return f"regexp_replace({x}, '{config.JAVA_TRIM_RE}', '', 'g')"
 
 
 def sql_u16(x: str) -> str:
@@ -671,7 +673,6 @@ kept AS (SELECT post_id, title, selftext FROM good WHERE title <> '' AND selftex
 )
 def q_stream_entity_counts(spark, sf):
     """Document feeds landed as parquet, counted by a Structured Streaming query."""
-    from feedlens import config
     from feedlens.sources.feeds import land_to
     from feedlens.streaming.feeds import entity_count_stream, landed_feed_stream, run_available
 
@@ -684,7 +685,6 @@ def q_stream_entity_counts(spark, sf):
 @register("entity_counts_post_lines", SQL_DOC_COUNTS + "SELECT entity_type, entity_name, n FROM counts")
 def q_entity_counts_post_lines(spark, sf):
     """Posts landed as a JSON Lines bulk dump, read line by line, then counted."""
-    from feedlens import config
     from feedlens.sources.feeds import read_post_lines
 
     path = config.scratch_path(spark, "post-lines")
