@@ -30,6 +30,7 @@ HEADLINE = [
     "feed_posts",
     "quality_checks",
     "posts_strict",
+    "post_counts",  # the reference's two timed actions: count of all posts, count of kept posts
     "top_entities_pages",
     "top_entities_conversations",
 ]
