@@ -62,18 +62,3 @@ def children_posts(children: Column | str) -> Column:
             F.try_variant_get(c, "$.data.selftext", "string").alias("selftext"),
         ),
     )
-
-
-def parse_feed(content: Column | str) -> Column:
-    """``struct<parse_ok boolean, posts array<struct<title, selftext>>>``.
-
-    ``posts`` is empty (never NULL) when the feed is rejected, so a
-    downstream ``inline`` produces zero rows for it.
-    """
-    ch = feed_children(content)
-    ok = children_ok(ch)
-    empty = F.array().cast("array<struct<title:string,selftext:string>>")
-    return F.struct(
-        ok.alias("parse_ok"),
-        F.when(ok, children_posts(ch)).otherwise(empty).alias("posts"),
-    )

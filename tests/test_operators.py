@@ -274,3 +274,21 @@ def test_dictionary_ignores_subdirectories(spark, tmpdir_path):
 
 def test_single_missing_file_contributes_nothing(spark, tmpdir_path):
     assert dictsrc.load_dictionary_file(spark, os.path.join(tmpdir_path, "none.txt"), "Place").count() == 0
+
+
+def test_entity_type_dimension(spark):
+    from feedlens.schemas import entity_types
+
+    rows = [tuple(r) for r in entity_types(spark).orderBy("ordinal").collect()]
+    assert rows == [(1, "Person"), (2, "Organization"), (3, "University"), (4, "Place"),
+                    (5, "Technology"), (6, "ProgrammingLanguage")]
+
+
+def test_post_statistics_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "ab", "c\U0001F600"), (2, "", "x"), (3, "t", None), (4, "d", "e")],
+        "post_id bigint, title string, selftext string",
+    )
+    row = posts.post_statistics(df).first().asDict()
+    # kept: posts 1 (2 + 3 UTF-16 units) and 4 (1 + 1): (5 + 2) / 2 = 3.5 -> 3
+    assert row == {"posts_total": 4, "posts_kept": 2, "posts_dropped": 2, "avg_chars": 3}
