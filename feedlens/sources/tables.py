@@ -189,7 +189,10 @@ def feeds_from_documents(docs: DataFrame, page_size: int = FEED_PAGE_SIZE) -> Da
         F.floor(F.col("post_id") / page_size).cast("bigint").alias("page"),
     )
     full = F.to_json(F.struct(F.struct("title", "selftext").alias("data")))
-    title_only = F.to_json(F.struct(F.struct("title").alias("data")))
+    # only the damaged source needs a title-only child
+    title_only = F.when(
+        F.col("source") == MISSING_FIELD_SOURCE, F.to_json(F.struct(F.struct("title").alias("data")))
+    )
     child = F.struct("post_id", F.struct(full.alias("j"), title_only.alias("t")).alias("c"))
     grouped = posts.groupBy("source", "page").agg(
         F.min("post_id").alias("feed_id"),
