@@ -8,9 +8,12 @@ This is what a user of the reference runs, as one function::
 Jobs it launches (everything else stays lazy):
 
 1. a one-row check of the subscriptions file (Q2) and of valid entries (Q3);
-2. fetch + parse, landed once as parquet under ``spark.checkpoint.dir``;
+2. fetch + parse, landed once as parquet under ``spark.checkpoint.dir``
+   (with observed counters for monitoring);
 3. the one-row processing statistics (needed for the Q5 decision);
-4. the dictionary size check that decides broadcast vs aggregate-first;
+4. the dictionary size check that decides broadcast vs aggregate-first
+   (plus, for a dictionary of at most ``MAX_INLINE_KEYS`` rows, one small
+   collect of its distinct keys);
 5. entity counts, written once (reliable checkpoint) and then reused by the
    top-k and the type statistics.
 """
