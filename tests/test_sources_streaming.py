@@ -166,3 +166,23 @@ def test_cli_partial_dictionary_warns(spark, golden, tmpdir_path, capsys):
     assert rc == 0
     assert "Warning: Could not load dictionary file 'people.txt'" in out
     assert "[Type=Place] Stockholm: 2 apariciones" in out and "ProgrammingLanguage] Scala" not in out
+
+
+def test_cli_as_a_process(golden):
+    """``python -m feedlens`` as a user runs it (own JVM, own session)."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "feedlens", "--subscription-file", golden, "--entities-dir", ENTITIES_DIR,
+         "--top-k", "2", "--master", "local[2]"],
+        cwd=root, capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = out.stdout.splitlines()
+    assert [ln for ln in lines if ln.startswith("[Type=")] == [
+        "[Type=Place] Stockholm: 2 apariciones",
+        "[Type=ProgrammingLanguage] Scala: 2 apariciones",
+    ]
+    assert "Feeds fallidos: 1" in lines
