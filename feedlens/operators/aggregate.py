@@ -100,8 +100,10 @@ def top_entities(counts: DataFrame, k: int = 10) -> DataFrame:
     """Count desc, type asc, name asc; first k, with their 1-based rank.
 
     Plans as TakeOrderedAndProject (each task keeps k, one task merges), so
-    only k rows per task ever move. The order is total on distinct rows,
-    hence deterministic.
+    only k rows per task ever move, and the rank window runs over those k
+    rows only. The order is total on distinct rows, hence deterministic.
+    This is the report operator, meant for report-sized k; a full ranking
+    of all entities is ``counts.orderBy(...)``, a distributed range sort.
     """
     validate_k(k)
     order = [F.desc("n"), F.asc("entity_type"), F.asc("entity_name")]
