@@ -12,10 +12,6 @@ downloading again and changing the counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,23 +21,33 @@ from feedlens.operators.partitioning import default_parallelism
 FETCHED_SCHEMA = "feed_id bigint, feed_name string, url string, content string"
 
 
-def download(url: str, timeout: float = config.FETCH_TIMEOUT_SECONDS) -> str | None:
-    """Whole body as UTF-8 text, or None on any error (bad URL, HTTP error, bad bytes)."""
-    import urllib.request
+def _fetcher(timeout: float, threads: int):
+    """The per-partition fetch function.
+
+    Self-contained on purpose: it imports what it needs inside and refers to
+    nothing in this package, so it is shipped to Python workers by value and
+    executors do not need ``feedlens`` installed.
+    """
+
+    def fetch(batches):
+        import urllib.request
+        from concurrent.futures import ThreadPoolExecutor
 
-    try:
-        with urllib.request.urlopen(url, timeout=timeout) as resp:
-            return resp.read().decode("utf-8")
-    except Exception:
-        return None
+        import pandas as pd
 
+        def download(url):
+            # whole body as UTF-8 text; None on any error (bad URL, HTTP error, bad bytes)
+            if not url:
+                return None
+            try:
+                with urllib.request.urlopen(url, timeout=timeout) as resp:
+                    return resp.read().decode("utf-8")
+            except Exception:
+                return None
 
-def _fetcher(timeout: float, threads: int):
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for pdf in batches:
-                urls = pdf["url"].tolist()
-                contents = list(pool.map(lambda u: download(u, timeout) if u else None, urls))
+                contents = list(pool.map(download, pdf["url"].tolist()))
                 yield pd.DataFrame(
                     {
                         "feed_id": pdf["feed_id"].astype("int64"),

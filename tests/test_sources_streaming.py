@@ -186,3 +186,28 @@ def test_cli_as_a_process(golden):
         "[Type=ProgrammingLanguage] Scala: 2 apariciones",
     ]
     assert "Feeds fallidos: 1" in lines
+
+
+def test_fetch_needs_no_package_on_workers(tmpdir_path):
+    """Python workers start without ``feedlens`` on their path (cwd elsewhere,
+    package only on the driver's sys.path): the fetch function must be shipped
+    by value."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    feed = write_json(os.path.join(tmpdir_path, "a.json"), feed_json(GOLDEN_POSTS))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from feedlens.session import local_session
+from feedlens.sources.feeds import fetch_feeds
+spark = local_session(cores=2)
+subs = spark.createDataFrame([(0, "A", "file://{feed}")], "feed_id bigint, feed_name string, url string")
+print("LEN", len(fetch_feeds(subs, partitions=1).first()["content"]))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmpdir_path, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert "LEN " in out.stdout and int(out.stdout.split("LEN ")[1].split()[0]) > 50
