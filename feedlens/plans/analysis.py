@@ -49,16 +49,34 @@ class AnalysisResult:
     entity_counts: DataFrame | None = None
     top_entities: DataFrame | None = None
     type_stats: DataFrame | None = None
-    quality_checks: DataFrame | None = None
-    warnings: DataFrame | None = None
     plan: str | None = None
     extras: dict = field(default_factory=dict)
+    # builders of the check DataFrames: plan construction only on first use
+    _builders: dict = field(default_factory=dict, repr=False)
+    _built: dict = field(default_factory=dict, repr=False)
+
+    def _lazy(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    @property
+    def quality_checks(self) -> DataFrame:
+        """Q1-Q8 + S6 as ``(check_id, check_name, ok, n)`` rows."""
+        return self._lazy("quality_checks")
+
+    @property
+    def warnings(self) -> DataFrame:
+        """Per-row warnings."""
+        return self._lazy("warnings")
 
     def report(self) -> str:
-        """The three reports as text (fixed, small number of rows collected)."""
-        out = [
-            reports.render(reports.processing_stats_lines(self.processing_stats), "ordinal", fmt.PROCESSING_HEADER)
-        ]
+        """The three reports as text (fixed, small number of rows collected).
+
+        The processing statistics are already on the driver (one row, six
+        numbers), so their report is formatted from that row directly.
+        """
+        out = [reports.render_processing_stats(self.processing_stats_row)]
         if self.top_entities is not None:
             out.append(reports.render(reports.entity_lines(self.top_entities), "rank", fmt.ENTITY_HEADER))
             out.append(
@@ -108,7 +126,6 @@ def run_analysis(
 
     proc = stats.processing_stats(parsed)
     proc_row = proc.first().asDict()
-    checks = quality.quality_checks(subs.files, subs.validated, missing, parsed)
     result = AnalysisResult(
         subscriptions=valid,
         rejected_subscriptions=subs.rejected,
@@ -119,9 +136,11 @@ def run_analysis(
         missing_dictionary_files=missing,
         processing_stats=proc,
         processing_stats_row=proc_row,
-        quality_checks=checks,
-        warnings=quality.warnings(subs.validated, parsed, missing),
         extras={"fetch_metrics": fetch_obs.get},
+        _builders={
+            "quality_checks": lambda: quality.quality_checks(subs.files, subs.validated, missing, parsed),
+            "warnings": lambda: quality.warnings(subs.validated, parsed, missing),
+        },
     )
     if proc_row["posts_success"] - proc_row["posts_filtered"] == 0:
         raise quality.NoValidPosts("No valid posts downloaded after filtering", result)
@@ -164,6 +183,6 @@ def analyze_posts(
     return EntityReport(
         entity_counts=counts,
         top_entities=aggregate.top_entities(counts, top_k),
-        type_stats=aggregate.type_stats(aggregate.type_counts_with_total(counts), types),
+        type_stats=aggregate.type_stats_from_counts(counts, types),
         plan=chosen,
     )

@@ -445,7 +445,7 @@ def q_type_counts_with_total(spark, sf):
     SQL_DOC_COUNTS.rstrip() + ",\n" + SQL_TWT + ",\n" + SQL_TYPE_STATS + "\nSELECT ordinal, entity_type, n FROM type_stats",
 )
 def q_type_stats_zero_filled(spark, sf):
-    return aggregate.type_stats(aggregate.type_counts_with_total(_doc_counts(spark, sf)))
+    return aggregate.type_stats_from_counts(_doc_counts(spark, sf))
 
 
 @register("top_entities", SQL_DOC_COUNTS + sql_top(10))
@@ -548,7 +548,7 @@ def q_entity_lines(spark, sf):
     "ELSE printf('    [%s]: %d', entity_type, n) END AS line FROM type_stats",
 )
 def q_type_lines(spark, sf):
-    return reports.type_lines(aggregate.type_stats(aggregate.type_counts_with_total(_doc_counts(spark, sf))))
+    return reports.type_lines(aggregate.type_stats_from_counts(_doc_counts(spark, sf)))
 
 
 _QC_SQL = (

@@ -27,6 +27,13 @@ def processing_stats_lines(stats: DataFrame) -> DataFrame:
     )
 
 
+def render_processing_stats(row: dict) -> str:
+    """K2 text from the one collected statistics row (same lines as
+    ``processing_stats_lines``)."""
+    lines = [f"{label}: {int(row[col])}" for (_, label), col in zip(fmt.PROCESSING_LABELS, STAT_COLUMNS)]
+    return fmt.PROCESSING_HEADER + "\n" + "\n".join(lines)
+
+
 def entity_lines(top: DataFrame) -> DataFrame:
     """K4 + P6: ``(rank, line)`` for the top-k rows."""
     return top.select("rank", fmt.entity_line(F.col("entity_type"), F.col("entity_name"), F.col("n")).alias("line"))

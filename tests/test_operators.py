@@ -292,3 +292,15 @@ def test_post_statistics_one_pass(spark):
     row = posts.post_statistics(df).first().asDict()
     # kept: posts 1 (2 + 3 UTF-16 units) and 4 (1 + 1): (5 + 2) / 2 = 3.5 -> 3
     assert row == {"posts_total": 4, "posts_kept": 2, "posts_dropped": 2, "avg_chars": 3}
+
+
+def test_type_stats_one_pass_equals_composition(spark):
+    counts = spark.createDataFrame(
+        [("Place", "a", 3), ("Place", "b", 2), ("Alien", "x", 4), ("University", "c", 1)],
+        "entity_type string, entity_name string, n bigint",
+    )
+    empty = counts.where("false")
+    for c in (counts, empty):
+        one = sorted(tuple(r) for r in aggregate.type_stats_from_counts(c).collect())
+        two = sorted(tuple(r) for r in aggregate.type_stats(aggregate.type_counts_with_total(c)).collect())
+        assert one == two and len(one) == 7
