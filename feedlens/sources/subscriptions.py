@@ -60,16 +60,21 @@ def read_subscription_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def entry_valid(e: Column) -> Column:
+    """F3 rule on one entry map: both ``name`` and ``url`` present and not null."""
+    return F.try_element_at(e, F.lit("name")).isNotNull() & F.try_element_at(e, F.lit("url")).isNotNull()
+
+
 def validate_entries(entries: DataFrame, entry: str = "entry") -> DataFrame:
     """add ``name``, ``url``, ``is_valid`` to a DataFrame with a map column.
 
     A key present with JSON null counts as missing.
     """
     e = F.col(entry)
-    name = F.try_element_at(e, F.lit("name"))
-    url = F.try_element_at(e, F.lit("url"))
-    return entries.withColumn("name", name).withColumn("url", url).withColumn(
-        "is_valid", F.col("name").isNotNull() & F.col("url").isNotNull()
+    return (
+        entries.withColumn("name", F.try_element_at(e, F.lit("name")))
+        .withColumn("url", F.try_element_at(e, F.lit("url")))
+        .withColumn("is_valid", entry_valid(e))
     )
 
 
@@ -87,6 +92,7 @@ def rejected_subscriptions(validated: DataFrame) -> DataFrame:
 class Subscriptions:
     files: DataFrame
     validated: DataFrame
+    n_valid: int | None = None  # known when the file check ran
 
     @property
     def valid(self) -> DataFrame:
@@ -106,20 +112,29 @@ def read_subscriptions(spark: SparkSession, path: str, check: bool = True) -> Su
     file). The check runs one tiny aggregate on the file rows.
     """
     files = read_subscription_files(spark, path)
+    n_valid = None
     if check:
-        row = files.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("file_ok")).alias("bad")).first()
+        # Q2 and the number of valid entries (for Q3) in one small aggregate
+        valid_in_file = F.size(F.filter("entries", entry_valid))
+        row = files.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(~F.col("file_ok")).alias("bad"),
+            F.coalesce(F.sum(F.when(F.col("file_ok"), valid_in_file)), F.lit(0)).alias("valid"),
+        ).first()
         if row["n"] == 0 or row["bad"] > 0:
             raise InvalidSubscriptionsFile(f"Could not load {path} - invalid JSON format")
+        n_valid = int(row["valid"])
     entries = files.where("file_ok").select(
         "file", F.posexplode("entries").alias("entry_index", "entry")
     ).withColumn("feed_id", F.col("entry_index").cast("bigint"))
-    return Subscriptions(files, validate_entries(entries))
+    return Subscriptions(files, validate_entries(entries), n_valid)
 
 
 def require_valid(subs: Subscriptions) -> DataFrame:
     """Q3: raise when no entry is valid; return the valid ones."""
     valid = subs.valid
-    if valid.isEmpty():
+    empty = subs.n_valid == 0 if subs.n_valid is not None else valid.isEmpty()
+    if empty:
         raise NoValidSubscriptions("No valid subscriptions found")
     return valid
 
