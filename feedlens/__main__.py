@@ -23,10 +23,12 @@ def _print_warnings(result) -> None:
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run from arguments; stops the session only when it created it."""
     p = argparse.ArgumentParser(prog="feedlens")
-    p.add_argument("--subscription-file", default="data/valid_subscriptions.json")
-    p.add_argument("--entities-dir", default="data/valid_entities")
-    p.add_argument("--top-k", type=int, default=10)
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--subscription-file", default="data/valid_subscriptions.json",
+                   help="JSON array of {name, url} subscriptions (default: %(default)s)")
+    p.add_argument("--entities-dir", default="data/valid_entities",
+                   help="directory with the dictionary .txt files (default: %(default)s)")
+    p.add_argument("--top-k", type=int, default=10, help="number of top entities to report (default: %(default)s)")
+    p.add_argument("--master", default="local[*]", help="Spark master for a local run (default: %(default)s)")
     a = p.parse_args(argv)
     if a.top_k <= 0:
         p.error("--top-k must be positive")
