@@ -37,10 +37,17 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Keep a configured ``spark.checkpoint.dir``; set one only when unset (tests)."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on a local master (one machine: tests, benchmarks) gets a
+    temporary folder; on a cluster a machine-local folder would lose data, so this raises.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master!r}; point it at shared storage")
     path = tempfile.mkdtemp(prefix="feedlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
