@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, mixing, packing, quality_classifier, quality_rules, token_binary, token_count, url_filter
+from feedlens.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, token_binary, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -57,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op7_token_binary, op8_token_counts, op9_best_fit_packing, op10_quality_rules)
+    for f in (op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op7_token_binary, op8_token_counts, op9_best_fit_packing, op10_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": exact_dedup.oracle_sql(), "op3_url_filter": url_filter.oracle_sql()}
