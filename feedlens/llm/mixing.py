@@ -9,8 +9,9 @@ certain. For the fractions, documents are ranked by the Pareto variable
 
     [u / (1 - u)] / [f / (1 - f)]     u: random, fixed by the document; f: the fraction
 
-and taken in that order until the source's remaining words are met, within half a document:
-an unequal-probability sample of fixed size in words.
+and taken in that order while they fit in the source's remaining words: an unequal-probability
+sample of fixed size in words. A long document at the boundary would leave a gap, so up to
+``ROUNDS`` times the documents that still fit in what is left are taken in the same order.
 
 At scale: after one pass over the texts all work is on a landed table of sizes; the ranking
 is a range-partitioned running sum, so a source may hold any share of the rows; targets are
@@ -23,15 +24,16 @@ documents of their own (equal rows share their random number); an empty table gi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import WORD_RE, land, running
+from feedlens.llm.common import WORD_RE, bounded_broadcast, land, running
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
 #: Documents below so many words are taken less often.
 FULL_WORDS = 50
+ROUNDS = 3
 SEED = 20240229
 
 
@@ -103,14 +105,23 @@ def copies(docs: DataFrame, targets: DataFrame) -> DataFrame:
     expected = docs.join(known, same).drop("_source").withColumn("c", F.least(F.lit(float(MAX_COPIES)), F.col("factor") * merit(F.col("size"))))
     split = expected.withColumn("whole", F.floor(F.col("c") + 1e-9)).withColumn("f", F.greatest(F.lit(0.0), F.col("c") - F.col("whole")))
     split = land(split.withColumn("f", F.when(F.col("f") > 1e-9, F.col("f")).otherwise(0.0)), "expected")
-    certain = split.groupBy("source").agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
-    pareto = (F.col("u") / (1 - F.col("u"))) / (F.col("f") / (1 - F.col("f")))
-    drawn = running(split.where("f > 0 and size > 0").withColumn("q", pareto), ["source", "q", "doc_id", "tie"], F.col("size"), ["source"], "drawn")
-    rest = certain.select(F.col("source").alias("_source"), "certain")
-    chosen = drawn.join(rest, same).withColumn("more", (F.col("before") + F.col("size") / 2 <= F.col("target") - F.col("certain")).cast("bigint"))
     columns = [*docs.columns, "source_size", "target"]
-    sure = split.where("f = 0 or size = 0").select(*columns, F.col("whole").cast("bigint").alias("n_copies"))
-    return sure.unionByName(chosen.select(*columns, (F.col("whole") + F.col("more")).cast("bigint").alias("n_copies")))
+    done = split.where("f = 0 or size = 0").select(*columns, F.col("whole").cast("bigint").alias("n_copies"))
+    pareto = (F.col("u") / (1 - F.col("u"))) / (F.col("f") / (1 - F.col("f")))
+    pool = split.where("f > 0 and size > 0").withColumn("q", pareto).drop("c", "f", "factor")
+    taken = split.groupBy("source", "target").agg(F.sum(F.col("whole") * F.col("size")).alias("got"))
+    gaps = land(taken.select("source", (F.col("target") - F.col("got")).alias("gap")), "gaps")
+    beside = lambda rows: rows.join(gaps.withColumnRenamed("source", "_source"), same).drop("_source")
+    for _ in range(ROUNDS):
+        ranked = running(beside(pool).where("size <= gap"), ["source", "q", "doc_id", "tie"], F.col("size"), ["source"], "ranked")
+        ranked = land(ranked.withColumn("more", F.col("before") + F.col("size") <= F.col("gap")), "drawn")
+        over = beside(pool).where("size > gap")
+        done = done.unionByName(ranked.where("more").select(*columns, (F.col("whole") + 1).cast("bigint").alias("n_copies")))
+        done = done.unionByName(over.select(*columns, F.col("whole").cast("bigint").alias("n_copies")))
+        got = ranked.where("more").groupBy("source").agg(F.sum("size").alias("got")).withColumnRenamed("source", "_source")
+        pool = ranked.where(~F.col("more")).select(*pool.columns)
+        gaps = land(gaps.join(got, same, "left").select("source", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")), "gaps")
+    return done.unionByName(pool.select(*columns, F.col("whole").cast("bigint").alias("n_copies")))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -122,12 +133,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it. Copies are found by id and text,
-    so only ids, text hashes and counts are joined back."""
+    so only ids, text hashes and counts are joined back. Equal rows (same id and text) share
+    the copies they were given, the first ones one more if these do not divide."""
     docs = land(sizes(df, id_col, text_col, source_col), "sizes")
     drawn = copies(docs, source_targets(docs)).groupBy("doc_id", "tie").agg(F.sum("n_copies").alias("n"), F.count(F.lit(1)).alias("rows"))
-    # equal rows (same id and text) share what they were given: the first n % rows of them get one more
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "n", "rows")
+    drawn = land(drawn.where("n > 0").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "n", "rows"), "copies")
     kept = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(id_col).cast("bigint").alias("_doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"))
-    joined = kept.join(drawn, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")))
-    share = F.floor(F.col("n") / F.col("rows"))
-    return joined.where(share > 0).select("row", F.explode(F.sequence(F.lit(1), share.cast("int")))).select("row.*")
+    joined = kept.join(bounded_broadcast(drawn), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")))
+    place = F.row_number().over(Window.partitionBy("_doc", "_hash").orderBy(F.lit(0)))
+    shared = joined.where("rows > 1").withColumn("place", place)
+    shared = shared.select("row", (F.floor(F.col("n") / F.col("rows")) + (F.col("place") <= F.col("n") % F.col("rows")).cast("bigint")).alias("n"))
+    each = joined.where("rows = 1").select("row", "n").unionByName(shared).where("n > 0")
+    return each.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")

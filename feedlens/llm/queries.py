@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, token_binary, token_count, url_filter
+from feedlens.llm import exact_dedup, lm_score, mixing, near_dedup, packing, quality_classifier, quality_rules, token_binary, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     read = token_binary.token_binary(docs, _tokenizer("word_bpe_49k.json"), 49_408, 2)
@@ -61,7 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op7_token_binary, op8_token_counts, op9_best_fit_packing, op10_quality_rules)
+    for f in (op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op6_lm_score, op7_token_binary, op8_token_counts, op9_best_fit_packing, op10_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": exact_dedup.oracle_sql(), "op3_url_filter": url_filter.oracle_sql()}
