@@ -1,0 +1,172 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from feedlens.llm import exact_dedup, near_dedup
+from feedlens.llm.components import components
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fold(text):
+    return (text or "").translate(FOLD)
+
+
+def test_exact_dedup_edge_cases(edge, edge_rows):
+    got = exact_dedup.exact_dedup(edge).collect()
+    assert len(got) == len(edge_rows)
+    groups = defaultdict(list)
+    for r in edge_rows:
+        groups[fold(r[1])].append(r[0])
+    want = Counter()
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        staying = [keep]
+        for i in ids:
+            kept = i in staying
+            if kept:
+                staying.remove(i)
+            want[(i, keep, len(ids), kept, digest)] += 1
+    assert Counter(tuple(r) for r in got) == want
+
+
+def test_exact_dedup_same_with_and_without_heavy_path(edge):
+    d = exact_dedup.with_digest(edge).select("id", "digest")
+    heavy = exact_dedup.heavy_digests(d, heavy_rows=2)
+    assert heavy.count() >= 10
+    rows = lambda w: Counter(map(tuple, exact_dedup.mark(d, w).select("id", "keep_id", "group_size", "kept").collect()))
+    assert rows(heavy) == rows(heavy.limit(0))
+
+
+def test_drop_copies_keeps_columns_and_one_row_each(edge, edge_rows):
+    got = exact_dedup.drop_copies(edge)
+    assert got.columns == edge.columns
+    assert Counter(fold(r.text) for r in got.collect()) == Counter({fold(r[1]) for r in edge_rows})
+
+
+def test_exact_dedup_empty(nothing):
+    assert exact_dedup.exact_dedup(nothing).count() == 0 and exact_dedup.drop_copies(nothing).count() == 0
+
+
+def test_heavy_digests_are_exact(spark):
+    df = spark.range(6000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' else cast(id as string) end as text")
+    d = exact_dedup.with_digest(df).select("id", "digest")
+    (row,) = exact_dedup.heavy_digests(d).collect()
+    assert (row.heavy_keep, row.heavy_size) == (5997, 2000)
+    assert exact_dedup.exact_dedup(df).where("kept").count() == 4001
+
+
+def sets_of(rows):
+    out = {}
+    for i, text, *_ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", fold(text))
+        out[i] = frozenset(tuple(w[k : k + 4]) for k in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+    return out
+
+
+def brute_components(sets):
+    """By comparing every pair."""
+    ids = sorted(i for i in sets if i is not None)
+    label = {i: i for i in ids}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = sorted((find(a), find(b)))
+                    label[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_near_duplicates_edge_cases(edge, edge_rows):
+    sets = sets_of(edge_rows)
+    want = brute_components(sets)
+    assert len(set(want.values())) < len(want) - 20
+    got = near_dedup.near_duplicates(edge).collect()
+    assert len(got) == len(edge_rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id)
+
+
+def near_group(seed, n, length=60, most=9, pivots=3):
+    """Copies of copies: chains and hangers around the threshold."""
+    rng = random.Random(seed)
+    fresh = lambda: "w" + str(rng.randrange(10**7))
+    texts = [[fresh() for _ in range(length)] for _ in range(pivots)]
+    for _ in range(n):
+        w = list(rng.choice(texts))
+        for _ in range(rng.randint(0, most)):
+            w[rng.randrange(length)] = fresh() if rng.random() < 0.7 else rng.choice(rng.choice(texts))
+        texts.append(w)
+    return [(i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_dense_groups(spark, seed):
+    rows = near_group(seed, 160)
+    want = brute_components(sets_of(rows))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
+
+
+def test_open_pairs_lose_no_link(spark):
+    """The bound of step 5 keeps every cross-component link, even with no link known yet."""
+    rows = near_group(7, 60, pivots=1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = near_dedup.full_sets(docs)
+    true = sets_of(rows)
+    members = spark.createDataFrame([(1, i, len(true[i]), i, 0, 99) for i, _ in rows], "key bigint, doc_id bigint, n bigint, comp bigint, pivot bigint, pivot_company bigint")
+    pairs = {tuple(r) for r in near_dedup.open_pairs(members, sets).collect()}
+    link = lambda a, b: 180 * len(true[a] & true[b]) >= 80 * (len(true[a]) + len(true[b]))
+    links = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if link(a, b)}
+    assert links and {x for x in links if 0 not in x} <= pairs | {x for x in links if 0 in x}
+    assert len(pairs) < len(rows) * (len(rows) - 1) // 2
+
+
+def test_near_duplicates_empty_and_drop(nothing, edge):
+    assert near_dedup.near_duplicates(nothing).count() == 0
+    kept = near_dedup.drop_near_duplicates(edge)
+    assert kept.columns == edge.columns
+    stays = {r.doc_id for r in near_dedup.near_duplicates(edge).where("kept").collect()}
+    assert {r.doc_id for r in kept.collect()} == stays
+
+
+def test_likelihood_estimates_similarity():
+    rng = np.random.default_rng(0)
+    for j in (0.3, 0.6, 0.8, 0.95):
+        both = int(2000 * j)
+        pool = rng.integers(0, 2**63, 4000 - both, dtype=np.uint64)
+        a, b = np.sort(pool[:2000]), np.sort(np.r_[pool[:both], pool[2000:]])
+        regs = near_dedup.registers(np.r_[a, b], np.array([len(a), len(b)]))
+        true = both / (len(a) + len(b) - both)
+        got = near_dedup.likely_similarity(regs[:1], regs[1:], np.array([len(a)]), np.array([len(b)]))[0]
+        assert abs(got - true) < 0.15
+
+
+def test_registers_are_mergeable():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    one, two, all_ = (near_dedup.registers(p, np.array([len(p)]))[0] for p in (x[:200], x[150:], x))
+    assert (np.maximum(one, two) == all_).all()
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(205, 203), (203, 201), (5, 5)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)} | {203: 201, 205: 201}
