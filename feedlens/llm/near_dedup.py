@@ -42,12 +42,13 @@ from feedlens.llm.common import bounded_broadcast, land, mix, slices, texts_of,
 from feedlens.llm.components import components
 
 SHINGLE = 4
+#: Bands take the first ``BANDS * BAND`` registers, likelihood estimates all of them.
 BANDS, BAND = 32, 4
-REGISTERS = BANDS * BAND
+REGISTERS = 256
 #: Base of the registers' scale, its last step, and the rate of the exponential variables.
 BASE, STEPS, RATE = 1.001, 65534, 20.0
 #: Likelihood estimates below this are six standard errors from 0.8.
-FAR_OFF = 0.58
+FAR_OFF = 0.65
 SEED = 5
 
 
@@ -155,10 +156,10 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(collect, "doc_id bigint, set binary")
 
 
-def _beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """``pairs(a, b, ...)`` with ``column`` of ``table(doc_id, ...)`` for both, as ``column_a`` and ``column_b``."""
+def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``pairs(a, b, ...)`` with ``columns`` of ``table(doc_id, ...)`` for both, as ``column_a`` and ``column_b``."""
     for side in ("a", "b"):
-        own = table.select(F.col("doc_id").alias(side), F.col(column).alias(f"{column}_{side}"))
+        own = table.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
         pairs = pairs.join(own, side)
     return pairs
 
@@ -187,8 +188,8 @@ def linked(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(out, pa.bool_()))
 
     # a size ratio below 0.8 rules a link out
-    sized = _beside(pairs, reps, "n").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
-    estimated = _beside(sized, reps, "regs").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(near, "a bigint, b bigint")
+    sized = _beside(pairs, reps, "n", "regs").where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    estimated = sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(near, "a bigint, b bigint")
     return _beside(land(estimated, "candidates"), sets, "set").select("a", "b", "set_a", "set_b").mapInArrow(verify, "a bigint, b bigint")
 
 
