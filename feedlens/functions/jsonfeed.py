@@ -1,4 +1,4 @@
-"""JSON feed parsing with VARIANT, all-or-nothing per feed.
+"""JSON feed parsing with ``from_json``, all-or-nothing per feed.
 
 A feed is ``{"data": {"children": [{"data": {"title": .., "selftext": ..}}, ..]}}``.
 Rules for one child field (title or selftext):
@@ -10,8 +10,13 @@ Rules for one child field (title or selftext):
 * object / array        -> the whole feed is rejected
 
 A feed whose content is not JSON, or has no ``data.children`` array, is
-rejected too. Rejected feeds yield no posts but were still downloaded.
-Every expression here is a built-in (no Python per row).
+rejected too. Rejected feeds yield no posts but were still downloaded. A key
+given twice counts once, with its last value; text after the JSON is ignored.
+
+Fields are read as strings, with no limit on the length of a text or of a
+feed. Only where that leaves a doubt (a NULL may be missing, a text that
+begins with a bracket may be an object or array) is the content read again,
+as the other types. Every expression here is a built-in (no Python per row).
 """
 
 from __future__ import annotations
@@ -19,46 +24,59 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHILDREN_PATH = "$.data.children"
-POST_FIELDS = ("title", "selftext")
+#: No limit of the parser's own on strings (the JVM's is the only one left).
+UNLIMITED = {"maxStringLen": str(2**31 - 1)}
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _field(child: Column, field: str, base: str = "$.data") -> Column:
-    return F.try_variant_get(child, f"{base}.{field}", "variant")
+def _children(content: Column, kind: str) -> Column:
+    schema = f"data struct<children:array<struct<data:{kind}>>>"
+    return F.from_json(content, schema, UNLIMITED)["data"]["children"]
+
+
+def _fields(kind: str) -> str:
+    return f"struct<title:{kind},selftext:{kind}>"
 
 
-def field_ok(child: Column, field: str, base: str = "$.data") -> Column:
-    """Present, and a scalar or JSON null (not an object or an array)."""
-    v = _field(child, field, base)
-    kind = F.schema_of_variant(v)
-    return v.isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
+def plain(text: Column) -> Column:
+    """Surely a JSON scalar: not NULL and no text of an object or array."""
+    return F.coalesce(~text.startswith("{") & ~text.startswith("["), F.lit(False))
 
 
 def feed_children(content: Column | str) -> Column:
-    """``array<variant>`` of the feed's children; NULL when unparsable or absent."""
-    return F.try_variant_get(F.try_parse_json(_c(content)), CHILDREN_PATH, "array<variant>")
+    """The feed's children, ``array<struct<data:struct<title,selftext>>>``; NULL when unparsable or absent."""
+    return _children(_c(content), _fields("string"))
 
 
-def children_ok(children: Column | str) -> Column:
+def children_ok(children: Column | str, content: Column | str) -> Column:
     """True when there is a children array and every child has valid fields."""
-    ch = _c(children)
-    return F.coalesce(
-        ch.isNotNull()
-        & F.forall(ch, lambda c: field_ok(c, "title") & field_ok(c, "selftext")),
-        F.lit(False),
+    ch, text = _c(children), _c(content)
+    sure = F.forall(ch, lambda c: plain(c["data"]["title"]) & plain(c["data"]["selftext"]))
+    present = F.forall(
+        _children(text, "map<string,string>"),
+        lambda c: c["data"].isNotNull() & F.map_contains_key(c["data"], "title") & F.map_contains_key(c["data"], "selftext"),
     )
+    nested = [
+        F.exists(_children(text, _fields(kind)), lambda c: c["data"]["title"].isNotNull() | c["data"]["selftext"].isNotNull())
+        for kind in ("map<string,string>", "array<string>")
+    ]
+    careful = F.coalesce(present & ~nested[0] & ~nested[1], F.lit(False))
+    return F.when(ch.isNull(), F.lit(False)).when(F.coalesce(sure, F.lit(False)), F.lit(True)).otherwise(careful)
 
 
 def children_posts(children: Column | str) -> Column:
     """``array<struct<title, selftext>>`` extracted from each child."""
-    return F.transform(
-        _c(children),
-        lambda c: F.struct(
-            F.try_variant_get(c, "$.data.title", "string").alias("title"),
-            F.try_variant_get(c, "$.data.selftext", "string").alias("selftext"),
-        ),
-    )
+    return F.transform(_c(children), lambda c: F.struct(c["data"]["title"].alias("title"), c["data"]["selftext"].alias("selftext")))
+
+
+def post_fields(text: Column) -> tuple[Column, Column]:
+    """One post object's fields, and whether they are valid by the same rules."""
+    read = lambda kind: F.from_json(text, f"title {kind}, selftext {kind}", UNLIMITED)
+    fields, keys = read("string"), F.from_json(text, "map<string,string>", UNLIMITED)
+    has = F.map_contains_key(keys, "title") & F.map_contains_key(keys, "selftext")
+    nested = [read(k)["title"].isNotNull() | read(k)["selftext"].isNotNull() for k in ("map<string,string>", "array<string>")]
+    careful = F.coalesce(has & ~nested[0] & ~nested[1], F.lit(False))
+    return fields, F.when(plain(fields["title"]) & plain(fields["selftext"]), F.lit(True)).otherwise(careful)

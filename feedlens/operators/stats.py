@@ -33,18 +33,18 @@ def _kept(p: Column) -> Column:
 
 def feed_partials(parsed_feeds: DataFrame) -> DataFrame:
     """Per feed: downloaded, parse_ok, number of posts, kept posts, kept length."""
-    kept_posts = F.filter("posts", _kept)
-    return parsed_feeds.select(
-        "downloaded",
-        "parse_ok",
-        F.size("posts").cast("bigint").alias("n_posts"),
-        F.size(kept_posts).cast("bigint").alias("n_kept"),
-        F.aggregate(
-            kept_posts,
-            F.lit(0).cast("bigint"),
-            lambda acc, p: acc + utf16_length(p["title"]) + utf16_length(p["selftext"]),
-        ).alias("kept_chars"),
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("chars"))
+    folded = F.aggregate(
+        "posts",
+        zero,
+        lambda acc, p: F.when(
+            _kept(p),
+            F.struct((acc["n"] + 1).alias("n"), (acc["chars"] + utf16_length(p["title"]) + utf16_length(p["selftext"])).alias("chars")),
+        ).otherwise(acc),
     )
+    return parsed_feeds.select(
+        "downloaded", "parse_ok", F.size("posts").cast("bigint").alias("n_posts"), folded.alias("kept")
+    ).select("downloaded", "parse_ok", "n_posts", F.col("kept.n").alias("n_kept"), F.col("kept.chars").alias("kept_chars"))
 
 
 def feed_outcomes(parsed_feeds: DataFrame) -> DataFrame:

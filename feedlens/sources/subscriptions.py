@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlens.functions.jsonfeed import UNLIMITED, plain
+
 ENTRY_TYPE = "map<string,string>"
 
 
@@ -30,14 +32,27 @@ class NoValidSubscriptions(ValueError):
     """Q3: no entry has both a name and a url."""
 
 
+def _strict(entry: Column, text: Column) -> Column:
+    """``entry`` unless a value is an object or array. ``from_json`` gives those as their text,
+    so only an entry with a value that begins with a bracket is looked at again."""
+    doubtful = F.exists(F.map_values(entry), lambda v: F.coalesce(~plain(v) & v.isNotNull(), F.lit(False)))
+    values = F.map_values(F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>"))
+    kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    scalars = F.forall(values, lambda v: ~kind(v).startswith("OBJECT") & ~kind(v).startswith("ARRAY"))
+    return F.when(~doubtful | F.coalesce(scalars, F.lit(False)), entry)
+
+
 def parse_entry_array(text: Column) -> Column:
-    """N1 + N5: ``array<map<string,string>>``; NULL when the text does not fit."""
-    return F.try_variant_get(F.try_parse_json(text), "$", f"array<{ENTRY_TYPE}>")
+    """N1 + N5: ``array<map<string,string>>``; NULL when the text is not an array of maps, an
+    entry that does not fit is NULL. A key given twice counts once, with its last value."""
+    entries = F.from_json(text, f"array<{ENTRY_TYPE}>", UNLIMITED)
+    texts = F.from_json(text, "array<string>", UNLIMITED)
+    return F.zip_with(entries, texts, _strict)
 
 
 def parse_entry(text: Column) -> Column:
     """One entry given as its own JSON object text."""
-    return F.try_variant_get(F.try_parse_json(text), "$", ENTRY_TYPE)
+    return _strict(F.from_json(text, ENTRY_TYPE, UNLIMITED), text)
 
 
 def read_subscription_files(spark: SparkSession, path: str) -> DataFrame:
@@ -105,11 +120,18 @@ class Subscriptions:
         return rejected_subscriptions(self.validated)
 
 
+def file_entries(files: DataFrame) -> DataFrame:
+    """F3 on the entries of the valid files, keyed by ``feed_id``."""
+    entries = files.where("file_ok").select("file", F.posexplode("entries").alias("entry_index", "entry"))
+    return validate_entries(entries.withColumn("feed_id", F.xxhash64("file", "entry_index")))
+
+
 def read_subscriptions(spark: SparkSession, path: str, check: bool = True) -> Subscriptions:
     """Read, check the file (Q1, Q2) and validate entries.
 
-    ``feed_id`` is the entry's position in its file (unique within one
-    file). The check runs one tiny aggregate on the file rows.
+    ``feed_id`` is a hash of the file and the entry's position in it, so it
+    is unique over any number of files and stable on retry. The check runs
+    one tiny aggregate on the file rows.
     """
     files = read_subscription_files(spark, path)
     n_valid = None
@@ -124,10 +146,7 @@ def read_subscriptions(spark: SparkSession, path: str, check: bool = True) -> Su
         if row["n"] == 0 or row["bad"] > 0:
             raise InvalidSubscriptionsFile(f"Could not load {path} - invalid JSON format")
         n_valid = int(row["valid"])
-    entries = files.where("file_ok").select(
-        "file", F.posexplode("entries").alias("entry_index", "entry")
-    ).withColumn("feed_id", F.col("entry_index").cast("bigint"))
-    return Subscriptions(files, validate_entries(entries), n_valid)
+    return Subscriptions(files, file_entries(files), n_valid)
 
 
 def require_valid(subs: Subscriptions) -> DataFrame:

@@ -69,7 +69,13 @@ def _parse(spark, content):
         ('{"data":{"children":[{"data":{"title":"a","selftext":"b"}}, 5]}}', False, []),
         # documented choices where the reference's JSON library is not decidable from its source
         ('{"data":{"children":[{"data":{"title":"a","selftext":"b"}}]}} trailing', True, [("a", "b")]),
-        ('{"data":{"children":[{"data":{"title":"a","title":"c","selftext":"b"}}]}}', False, []),
+        ('{"data":{"children":[{"data":{"title":"a","title":"c","selftext":"b"}}]}}', True, [("c", "b")]),
+        ('{"x":1,"x":2,"data":{"children":[{"data":{"title":"a","selftext":"b"}}]}}', True, [("a", "b")]),
+        ('{"data":{"children":[{"data":{"title":"[OC] a","selftext":"{b}"}}]}}', True, [("[OC] a", "{b}")]),
+        ('{"data":{"children":[{"data":{"title":"[x]","selftext":["x"]}}]}}', False, []),
+        ('{"data":{"children":[{"data":{"title":"a","selftext":"b"}}]', False, []),  # cut short
+        ('{"data":{"children":["{}"]}}', False, []),
+        ('{"data":{"children":[null]}}', False, []),
     ],
 )
 def test_feed_parse_rules(spark, content, ok, expected):
@@ -123,9 +129,13 @@ def test_avg_chars_zero_when_nothing_kept(spark):
         ('[{"name":"a"},5]', False, 0, 0),
         ('[{"name":null,"url":"u"}]', True, 0, 1),
         ("[]", True, 0, 0),
-        ("This is not json", False, 0, 0),
+        ("no JSON here", False, 0, 0),
         ('[{"name":"a","url":"u","extra":"z"}]', True, 1, 0),
-        ('[{"name":"a","name":"b","url":"u"}]', False, 0, 0),  # duplicate key: invalid file
+        ('[{"name":"a","name":"b","url":"u"}]', True, 1, 0),  # a key given twice: the last value
+        ('[{"name":"[a]","url":"{u"}]', True, 1, 0),
+        ('[{"name":{"a":1},"url":"u"}]', False, 0, 0),
+        ('[{"name":"a","url":"u","extra":["z"]}]', False, 0, 0),
+        ('["{}"]', False, 0, 0),
     ],
 )
 def test_subscription_files(spark, tmpdir_path, text, valid_file, n_valid, n_rejected):
@@ -141,10 +151,13 @@ def test_subscription_files(spark, tmpdir_path, text, valid_file, n_valid, n_rej
     assert s.rejected.count() == n_rejected
 
 
-def test_subscription_order_is_feed_id(spark, tmpdir_path):
-    p = write_json(os.path.join(tmpdir_path, "s.json"), [{"name": "a", "url": "u1"}, {"name": "b", "url": "u2"}])
-    got = [tuple(r) for r in subsrc.read_subscriptions(spark, p).valid.orderBy("feed_id").collect()]
-    assert got == [(0, "a", "u1"), (1, "b", "u2")]
+def test_feed_ids_are_unique_over_files(spark, tmpdir_path):
+    for name in ("s1.json", "s2.json"):
+        write_json(os.path.join(tmpdir_path, name), [{"name": "a", "url": "u1"}, {"name": "a", "url": "u1"}])
+    got = subsrc.read_subscriptions(spark, tmpdir_path).valid
+    ids = [r.feed_id for r in got.collect()]
+    assert len(set(ids)) == 4
+    assert ids == [r.feed_id for r in subsrc.read_subscriptions(spark, tmpdir_path).valid.collect()]
 
 
 # ------------------------------------------------------------ dictionary ----
@@ -284,16 +297,6 @@ def test_entity_type_dimension(spark):
                     (5, "Technology"), (6, "ProgrammingLanguage")]
 
 
-def test_post_statistics_one_pass(spark):
-    df = spark.createDataFrame(
-        [(1, "ab", "c\U0001F600"), (2, "", "x"), (3, "t", None), (4, "d", "e")],
-        "post_id bigint, title string, selftext string",
-    )
-    row = posts.post_statistics(df).first().asDict()
-    # kept: posts 1 (2 + 3 UTF-16 units) and 4 (1 + 1): (5 + 2) / 2 = 3.5 -> 3
-    assert row == {"posts_total": 4, "posts_kept": 2, "posts_dropped": 2, "avg_chars": 3}
-
-
 def test_type_stats_one_pass_equals_composition(spark):
     counts = spark.createDataFrame(
         [("Place", "a", 3), ("Place", "b", 2), ("Alien", "x", 4), ("University", "c", 1)],
