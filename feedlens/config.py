@@ -20,13 +20,19 @@ DEFAULT_TOP_K = 10
 # aggregate-first plan (shuffle by token, then join) is used instead.
 MAX_BROADCAST_DICTIONARY_ROWS = 2_000_000
 MAX_BROADCAST_DICTIONARY_BYTES = 64 * 1024 * 1024
-# A broadcast dictionary with at most this many rows also has its keys
-# inlined into the plan: each field's token array is intersected with them
-# before exploding, so only matching tokens become rows.
-MAX_INLINE_KEYS = 1024
+# Rough bytes of one row in a broadcast hash relation besides its texts.
+BROADCAST_ROW_OVERHEAD = 96
 
-# Feed fetches: per-request timeout (the reference had none).
+# A word with over 1/HOT_SHARE of all tokens is hot: at most HOT_SHARE words
+# can be, whatever the corpus, so their list may be broadcast. A hot word's
+# rows are split so that each part has at most that share.
+HOT_SHARE = 2000
+
+# Feed fetches: limits of one socket operation and of a whole download, and
+# bytes of bodies a task holds before it hands them on.
 FETCH_TIMEOUT_SECONDS = 30.0
+FETCH_DEADLINE_SECONDS = 300.0
+FETCH_BATCH_BYTES = 16 * 1024 * 1024
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -35,7 +41,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Landed tables (fetched feeds) go here so that a lost executor recomputes
     from durable storage instead of re-running a non-deterministic fetch.
     The setting is read from the session; it is never replaced by a
-    machine-local temporary folder.
+    machine-local temporary folder. The folder is deleted when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -43,4 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(e.g. an HDFS/S3 prefix) before landing tables"
         )
-    return f"{base.rstrip('/')}/feedlens/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/feedlens/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path

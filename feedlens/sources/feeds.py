@@ -1,7 +1,7 @@
 """Feed fetch (S3) and landing.
 
 Fetching is the one step that needs Python: each partition downloads its
-URLs with a bounded thread pool (I/O bound) and an explicit timeout; any
+URLs with a bounded thread pool (I/O bound), a timeout and a deadline; any
 error yields NULL content (a failed feed), never a failed task.
 
 Download results are not deterministic, so they are landed once to parquet
@@ -16,46 +16,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import config
+from feedlens.functions.jsonfeed import post_fields
 from feedlens.operators.partitioning import default_parallelism
 
 FETCHED_SCHEMA = "feed_id bigint, feed_name string, url string, content string"
 
 
-def _fetcher(timeout: float, threads: int):
+def _fetcher(timeout: float, deadline: float, threads: int, batch_bytes: int):
     """The per-partition fetch function.
 
     Self-contained on purpose: it imports what it needs inside and refers to
     nothing in this package, so it is shipped to Python workers by value and
-    executors do not need ``feedlens`` installed.
+    executors do not need ``feedlens`` installed. At most ``2 * threads``
+    downloads are under way or waiting at a time, and bodies are handed on
+    as soon as they have ``batch_bytes`` together.
     """
 
     def fetch(batches):
+        import time
         import urllib.request
-        from concurrent.futures import ThreadPoolExecutor
+        from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
         import pandas as pd
 
         def download(url):
-            # whole body as UTF-8 text; None on any error (bad URL, HTTP error, bad bytes)
+            # whole body as UTF-8 text; None on any error (bad URL, HTTP error, bad bytes, too slow)
             if not url:
                 return None
             try:
+                end, parts = time.monotonic() + deadline, []
                 with urllib.request.urlopen(url, timeout=timeout) as resp:
-                    return resp.read().decode("utf-8")
+                    while part := resp.read(1 << 20):
+                        if time.monotonic() > end:
+                            return None
+                        parts.append(part)
+                return b"".join(parts).decode("utf-8")
             except Exception:
                 return None
 
+        def frame(rows):
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            out = pd.DataFrame(dict(zip(("feed_id", "feed_name", "url", "content"), columns)))
+            return out.astype({"feed_id": "int64", "feed_name": "object", "url": "object", "content": "object"})
+
         with ThreadPoolExecutor(max_workers=threads) as pool:
+            done, size, running = [], 0, {}
             for pdf in batches:
-                contents = list(pool.map(download, pdf["url"].tolist()))
-                yield pd.DataFrame(
-                    {
-                        "feed_id": pdf["feed_id"].astype("int64"),
-                        "feed_name": pdf["feed_name"],
-                        "url": pdf["url"],
-                        "content": pd.Series(contents, dtype="object"),
-                    }
-                )
+                for row in pdf[["feed_id", "feed_name", "url"]].itertuples(index=False):
+                    while len(running) >= 2 * threads:
+                        for f in wait(running, return_when=FIRST_COMPLETED).done:
+                            done.append((*running.pop(f), f.result()))
+                            size += len(done[-1][3] or "")
+                        if size >= batch_bytes:
+                            yield frame(done)
+                            done, size = [], 0
+                    running[pool.submit(download, row.url)] = tuple(row)
+            while running:
+                for f in wait(running, return_when=FIRST_COMPLETED).done:
+                    done.append((*running.pop(f), f.result()))
+                    size += len(done[-1][3] or "")
+                if size >= batch_bytes:
+                    yield frame(done)
+                    done, size = [], 0
+            yield frame(done)
 
     return fetch
 
@@ -65,6 +88,8 @@ def fetch_feeds(
     partitions: int | None = None,
     timeout: float = config.FETCH_TIMEOUT_SECONDS,
     threads: int = 8,
+    deadline: float = config.FETCH_DEADLINE_SECONDS,
+    batch_bytes: int = config.FETCH_BATCH_BYTES,
 ) -> DataFrame:
     """S3: ``(feed_id, feed_name, url, content)``; content NULL = download failed.
 
@@ -77,7 +102,7 @@ def fetch_feeds(
     return (
         subscriptions.select("feed_id", "feed_name", "url")
         .repartition(n, "feed_id")
-        .mapInPandas(_fetcher(timeout, threads), FETCHED_SCHEMA)
+        .mapInPandas(_fetcher(timeout, deadline, threads, batch_bytes), FETCHED_SCHEMA)
     )
 
 
@@ -100,14 +125,14 @@ def read_landed_feed_files(spark: SparkSession, subscriptions: DataFrame, feeds_
     failed feed (NULL content). Files are read whole, one row each.
     """
     files = spark.read.text(feeds_dir, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).alias("fid"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(-?\d+)\.json$", 1).alias("fid"),
         F.col("value").alias("content"),
     ).where(F.col("fid") != "")
     files = files.select(F.col("fid").cast("bigint").alias("feed_id"), "content")
     return subscriptions.select("feed_id", "feed_name", "url").join(files, "feed_id", "left")
 
 
-def read_post_lines(spark: SparkSession, path: str, prefix: str = "$") -> DataFrame:
+def read_post_lines(spark: SparkSession, path: str) -> DataFrame:
     """Bulk dumps as JSON Lines, one post object per line, entering at F1.
 
     A single feed is one row, so one giant feed would be one task; a bulk
@@ -116,14 +141,8 @@ def read_post_lines(spark: SparkSession, path: str, prefix: str = "$") -> DataFr
     kept, missing or object / array rejected), applied per post: a bad line
     rejects only itself. Returns ``(file, line_ok, title, selftext)``.
     """
-    from feedlens.functions.jsonfeed import field_ok
-
     raw = spark.read.text(path).where(F.trim("value") != "")
-    v = F.try_parse_json("value")
-    ok = F.coalesce(v.isNotNull() & field_ok(v, "title", prefix) & field_ok(v, "selftext", prefix), F.lit(False))
-    return raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        ok.alias("line_ok"),
-        F.when(ok, F.try_variant_get(v, f"{prefix}.title", "string")).alias("title"),
-        F.when(ok, F.try_variant_get(v, f"{prefix}.selftext", "string")).alias("selftext"),
-    )
+    fields, ok = post_fields(F.col("value"))
+    read = raw.select(F.col("_metadata.file_path").alias("file"), ok.alias("line_ok"), fields.alias("fields"))
+    own = lambda name: F.when(F.col("line_ok"), F.col(f"fields.{name}")).alias(name)
+    return read.select("file", "line_ok", own("title"), own("selftext"))
