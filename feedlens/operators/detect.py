@@ -17,22 +17,23 @@ Two physical plans:
 
 Both give the same counts; tests check that. Per-post hits cannot be
 pre-aggregated, so an over-bound dictionary is first cut to the entries that
-occur in the corpus and re-measured (``restrict_to_corpus``); only if that is
-still too large do tokens go through a shuffle-hash join.
+occur in the corpus, landed and measured again (``restrict_to_corpus``); only
+if that is still too large do tokens go through a sort-merge join, with hot
+words split by a salt (``salted_join``).
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens import config
-from feedlens.functions.text import java_lower, whitespace_split, word_set
-from feedlens.operators.partitioning import spread
+from feedlens.functions.text import java_lower, word_set
 from feedlens.schemas import literal_table
+from feedlens.sources.feeds import land
 
 POST_FIELDS = ("title", "selftext")
 
@@ -52,7 +53,7 @@ class PreparedDictionary:
     broadcast: bool
     weighted_df: DataFrame | None = None
     pinned: str | None = None
-    inline_keys: tuple[str, ...] | None = None
+    vocabulary: DataFrame | None = None  # landed (word, word_n) of the corpus it was cut to
 
     def weighted(self) -> DataFrame:
         """One row per distinct entry with its multiplicity ``mult``.
@@ -87,19 +88,14 @@ def _measure(keyed: DataFrame, max_rows: int, max_bytes: int, force: str | None)
     row = keyed.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(
-            F.sum(F.octet_length("entity_type") + 2 * F.octet_length("entity_name") + 24), F.lit(0)
+            F.sum(F.octet_length("entity_type") + 2 * F.octet_length("entity_name") + config.BROADCAST_ROW_OVERHEAD), F.lit(0)
         ).alias("b"),
     ).first()
     rows, nbytes = int(row["n"]), int(row["b"])
     fits = rows <= max_rows and nbytes <= max_bytes
     if force == "broadcast" and not fits:
         raise ValueError(f"dictionary of {rows} rows / {nbytes} bytes is too large to broadcast")
-    broadcast = fits and force != "shuffle"
-    inline = None
-    if broadcast and rows <= config.MAX_INLINE_KEYS:
-        # the row count above proves this collect is small
-        inline = tuple(sorted(r["key"] for r in keyed.select("key").distinct().collect()))
-    return PreparedDictionary(keyed, rows, nbytes, broadcast, pinned=force, inline_keys=inline)
+    return PreparedDictionary(keyed, rows, nbytes, fits and force != "shuffle", pinned=force)
 
 
 def prepare_dictionary(
@@ -127,19 +123,45 @@ def restrict_to_corpus(
 
     Exact: an entry whose key never occurs cannot produce a hit. The
     vocabulary is built with map-side partial aggregation (hot words fold
-    before the shuffle), so this pass moves distinct words, not tokens. The
-    restricted dictionary is measured again; when it fits, per-post hits
-    use a broadcast join and tokens never cross the network.
+    before the shuffle), so this pass moves distinct words, not tokens. Both
+    the vocabulary and the cut dictionary are landed: the corpus is read
+    once here, and measuring and joining read the landed tables. When the
+    cut dictionary fits, per-post hits use a broadcast join and tokens never
+    cross the network.
     """
-    vocab = field_words(posts, keys=(), fields=fields).select("word").distinct()
-    matched = dictionary.df.join(vocab, dictionary.df["key"] == vocab["word"], "left_semi")
-    return _measure(matched, max_rows, max_bytes, None)
+    counted = field_words(posts, keys=(), fields=fields).groupBy("word").agg(F.count(F.lit(1)).alias("word_n"))
+    vocab = land(counted, "vocabulary")
+    matched = land(dictionary.df.join(vocab.hint("merge"), dictionary.df["key"] == vocab["word"], "left_semi"), "dictionary")
+    return replace(_measure(matched, max_rows, max_bytes, dictionary.pinned), vocabulary=vocab)
+
+
+def salted_join(words: DataFrame, dictionary: PreparedDictionary, keys: tuple[str, ...]) -> DataFrame:
+    """``words`` joined to a dictionary too large to broadcast, hot words split.
+
+    The landed vocabulary tells which words hold over 1/``HOT_SHARE`` of all
+    tokens: at most ``HOT_SHARE`` of them, so their list is broadcast. A hot
+    word without an entry is dropped where it is read; the rows of one with
+    an entry get a salt, and its entries are repeated for each salt. The
+    rest is an ordinary sort-merge join, which can spill on either side.
+    """
+    vocab = dictionary.vocabulary
+    total = vocab.agg(F.sum("word_n").alias("n")).first()["n"] or 0
+    parts = F.ceil(F.col("word_n") * config.HOT_SHARE / F.lit(max(total, 1))).cast("int")
+    hot = vocab.where(F.col("word_n") * config.HOT_SHARE > total).select(F.col("word").alias("hot_word"), parts.alias("parts"))
+    entries = dictionary.df.select(F.col("key").alias("hot_word"), F.lit(True).alias("listed")).distinct()
+    hot = land(hot.join(entries, "hot_word", "left"), "hot-words")
+    marked = words.join(F.broadcast(hot), words["word"] == hot["hot_word"], "left").where("hot_word is null or listed")
+    salt = F.pmod(F.xxhash64(*keys, "field"), F.coalesce("parts", F.lit(1)))
+    salted = marked.withColumn("salt", salt.cast("int")).drop("hot_word", "parts", "listed")
+    split = dictionary.df.join(F.broadcast(hot.select("hot_word", "parts")), dictionary.df["key"] == hot["hot_word"], "left")
+    repeated = split.withColumn("entry_salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("hot_word", "parts")
+    return salted.join(repeated.hint("merge"), (F.col("word") == F.col("key")) & (F.col("salt") == F.col("entry_salt")))
 
 
 def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDictionary:
     """A dictionary given as rows on the driver: its size is known without a job."""
     usable = [(t, n) for t, n in rows if n and not any(c in n for c in " \t\n\x0b\f\r")]
-    nbytes = sum(len(t.encode()) + 2 * len(n.encode()) + 24 for t, n in usable)
+    nbytes = sum(len(t.encode()) + 2 * len(n.encode()) + config.BROADCAST_ROW_OVERHEAD for t, n in usable)
     fits = len(usable) <= config.MAX_BROADCAST_DICTIONARY_ROWS and nbytes <= config.MAX_BROADCAST_DICTIONARY_BYTES
     df = keyed_dictionary(literal_table(spark, rows, "entity_type string, entity_name string"))
     # multiplicities of the (type, name) rows are counted here, where the rows
@@ -148,56 +170,34 @@ def prepare_literal_dictionary(spark, rows: list[tuple[str, str]]) -> PreparedDi
     weighted = keyed_dictionary(
         literal_table(spark, counted, "entity_type string, entity_name string, mult bigint"), extra=("mult",)
     )
-    inline = None
-    if fits and len(usable) <= config.MAX_INLINE_KEYS:
-        if all(n.isascii() for _, n in usable):
-            inline = tuple(sorted({n.lower() for _, n in usable}))  # ASCII: same as the JVM's lower
-        else:
-            inline = tuple(sorted(r["key"] for r in df.select("key").distinct().collect()))
-    return PreparedDictionary(df, len(usable), nbytes, fits, weighted, inline_keys=inline)
+    return PreparedDictionary(df, len(usable), nbytes, fits, weighted)
 
 
 def field_words(
     posts: DataFrame,
     keys: tuple[str, ...] = ("post_id",),
     fields: tuple[str, ...] = POST_FIELDS,
-    match_keys: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """U2 + U3: one row per (post, field, distinct non-empty lowercase token).
 
-    With ``match_keys`` (a small dictionary's keys), each field's tokens are
-    intersected with them first (``array_intersect`` is distinct, like the
-    token set), so only tokens that can match become rows; the result of the
-    join is the same.
-
-    Tokenising is the CPU-heavy step, so a narrow input is spread first
-    (a no-op on large inputs, see ``partitioning.spread``).
+    Rows stay in the input's partitions; a caller whose files hold few row
+    groups spreads the posts before (``repartition`` on the post key).
     """
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    # spread on the post key (the output key, else a ``post_id`` column when
-    # present): unique, so copies of one text never pile into one partition
-    on = tuple(keys) or (("post_id",) if "post_id" in posts.columns else ())
-    posts = spread(posts.select(*dict.fromkeys([*on, *keys, *fields])), on)
-    if match_keys is None:
-        words = word_set("text")
-    else:
-        key_array = F.array(*[F.lit(k) for k in match_keys]) if match_keys else F.array().cast("array<string>")
-        words = F.array_intersect(whitespace_split(java_lower("text")), key_array)
     return (
         posts.select(*keys, F.inline(arr))
-        .select(*keys, "field", F.explode(words).alias("word"))
+        .select(*keys, "field", F.explode(word_set("text")).alias("word"))
         .where(F.col("word") != "")
     )
 
 
 def _dictionary_side(dictionary: PreparedDictionary, df: DataFrame) -> DataFrame:
-    """Broadcast when the size check passed; otherwise pin a shuffle hash join.
+    """Broadcast when the size check passed; otherwise a sort-merge join, which can spill.
 
     The hint keeps Catalyst from broadcasting on a file-size estimate that
-    the measured size already refuted, and makes the dictionary partition
-    the hash-table side so the (much larger) token side streams unsorted.
+    the measured size already refuted.
     """
-    return F.broadcast(df) if dictionary.broadcast else df.hint("shuffle_hash")
+    return F.broadcast(df) if dictionary.broadcast else df.hint("merge")
 
 
 def entity_hits(
@@ -210,23 +210,23 @@ def entity_hits(
 
     With a broadcast dictionary this is a BroadcastHashJoin and no token
     leaves its task. A dictionary over the bound is first restricted to the
-    entries that occur in the corpus (``restrict_to_corpus``, one extra
-    pass that shuffles only distinct words); if that fits, the join is
-    broadcast. Otherwise it is a shuffle-hash join on the token, and AQE's
-    skew-join handling splits a hot token's partition.
+    entries that occur in the corpus (``restrict_to_corpus``: one more pass
+    over the corpus, which moves only distinct words); if that fits, the
+    join is broadcast, otherwise it is ``salted_join``.
     """
-    if not dictionary.broadcast and dictionary.pinned != "shuffle":
+    if not dictionary.broadcast:
         dictionary = restrict_to_corpus(posts, dictionary, fields)
-    words = field_words(posts, keys, fields, dictionary.inline_keys)
-    d = _dictionary_side(dictionary, dictionary.df)
-    return words.join(d, words["word"] == d["key"]).select(
-        *keys, "field", "entity_type", "entity_name"
-    )
+    words = field_words(posts, keys, fields)
+    if dictionary.broadcast:
+        joined = words.join(F.broadcast(dictionary.df), words["word"] == dictionary.df["key"])
+    else:
+        joined = salted_join(words, dictionary, keys)
+    return joined.select(*keys, "field", "entity_type", "entity_name")
 
 
 def entity_counts_broadcast(posts: DataFrame, dictionary: PreparedDictionary) -> DataFrame:
     """Counts via the broadcast plan, weighting duplicate dictionary rows."""
-    words = field_words(posts, keys=(), match_keys=dictionary.inline_keys)
+    words = field_words(posts, keys=())
     d = F.broadcast(dictionary.weighted())
     return (
         words.join(d, words["word"] == d["key"])

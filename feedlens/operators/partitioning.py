@@ -1,11 +1,8 @@
-"""Partitioning helpers for CPU-heavy stages."""
+"""Parallelism lookup."""
 
 from __future__ import annotations
 
-import contextlib
-import io
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -18,47 +15,3 @@ def default_parallelism(spark: SparkSession) -> int:
             "spark.sql.shuffle.partitions", "200"
         )
         return int(conf)
-
-
-def _has_exchange(df: DataFrame) -> bool:
-    """Whether the physical plan already shuffles (planning only, nothing runs)."""
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return "Exchange" in buf.getvalue()
-
-
-def _num_partitions(df: DataFrame) -> int | None:
-    """Partitions of a shuffle-free input (file splits); None when unknown.
-
-    Only asked for plans without an exchange: on a plan with one, building
-    the RDD would run the upstream shuffle stages early under AQE.
-    """
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave placement to AQE
-        return None
-
-
-def spread(df: DataFrame, keys: list[str] | tuple[str, ...] = (), min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cluster before CPU-heavy per-row work.
-
-    Parquet splits only at row-group boundaries, so a file written as one
-    row group is read by one task however many cores there are. When the
-    input has fewer partitions than ``2 x defaultParallelism``, rows are
-    repartitioned: hashed on ``keys`` (unique post keys, so copies of one
-    text do not collide) or, without keys, round-robin (Spark sorts each
-    input partition first, so a retry sees the same assignment).
-
-    A large input already has far more splits than that, so at scale this
-    returns ``df`` unchanged and adds no shuffle. Streaming inputs, and
-    inputs that already shuffle, are left as they are; deciding runs no job.
-    """
-    if df.isStreaming or _has_exchange(df):
-        # an input that already went through a shuffle is spread by it
-        return df
-    target = min_partitions or 2 * default_parallelism(df.sparkSession)
-    n = _num_partitions(df)
-    if n is None or n >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -1,6 +1,5 @@
 """A hot word in every post: results stay exact and whole, the shuffle plan
-splits the hot partition (AQE skew join), the aggregate-first plan folds the
-hot word map-side. Checked against a brute-force count on the fixture."""
+splits the hot word by a salt, the aggregate-first plan folds it map-side. Checked against a brute-force count on the fixture."""
 
 from __future__ import annotations
 
@@ -11,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from feedlens import config
 from feedlens.operators import detect
 
 N_POSTS = 3000
@@ -42,13 +42,8 @@ def _brute_force():
 
 
 @pytest.fixture()
-def skew_conf(spark):
-    keys = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.shuffle.partitions": "16",
-    }
+def no_skew_join(spark):
+    keys = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -57,16 +52,46 @@ def skew_conf(spark):
         spark.conf.set(k, v)
 
 
-def test_hot_word_shuffle_hits_are_split_and_exact(spark, skew_conf):
+def test_hot_word_is_salted_without_skew_join(spark, no_skew_join, monkeypatch):
+    """The engine splits a hot word itself: no setting of the session does it."""
+    monkeypatch.setattr(config, "HOT_SHARE", 40)
     posts, dic = _fixture(spark)
-    hits = detect.entity_hits(posts, detect.prepare_dictionary(dic, force="shuffle"))
-    rows = hits.collect()
-    got = Counter((r["entity_type"], r["entity_name"]) for r in rows)
-    assert got == _brute_force()
+    prepared = detect.prepare_dictionary(dic, force="shuffle")
+    hits = detect.entity_hits(posts, prepared)
+    assert Counter((r["entity_type"], r["entity_name"]) for r in hits.collect()) == _brute_force()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         hits.explain()
-    assert "ShuffledHashJoin(skew=true)" in buf.getvalue()
+    assert "SortMergeJoin" in buf.getvalue() and "ShuffledHashJoin" not in buf.getvalue()
+    cut = detect.restrict_to_corpus(posts, prepared)
+    joined = detect.salted_join(detect.field_words(posts), cut, ("post_id",))
+    salts = {r["word"]: r["n"] for r in joined.groupBy("word").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert salts["hot"] >= 8 and salts["w6"] == 1
+
+
+def test_hot_words_without_an_entry_do_not_move(spark):
+    posts = spark.range(500).select(F.col("id").alias("post_id"), F.lit("common w1").alias("title"), F.lit("common").alias("selftext"))
+    dic = spark.createDataFrame([("Place", "w1")], "entity_type string, entity_name string")
+    cut = detect.restrict_to_corpus(posts, detect.prepare_dictionary(dic, force="shuffle"))
+    assert detect.salted_join(detect.field_words(posts), cut, ("post_id",)).count() == 500
+
+
+def test_over_bound_hits_read_the_corpus_twice(spark, tmpdir_path):
+    """Once for the vocabulary, once for the hits; measuring and joining read landed tables."""
+    posts, dic = _fixture(spark)
+    path = f"{tmpdir_path}/posts"
+    posts.write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    seen = spark.read.parquet(path).mapInArrow(counted, posts.schema)
+    hits = detect.entity_hits(seen, detect.prepare_dictionary(dic, max_rows=300))
+    assert Counter((r["entity_type"], r["entity_name"]) for r in hits.collect()) == _brute_force()
+    assert reads.value == 2 * N_POSTS
 
 
 def test_hot_word_counts_all_plans_exact(spark):
@@ -101,15 +126,3 @@ def test_restriction_drops_absent_entries(spark):
     cut = detect.restrict_to_corpus(posts, big)
     assert cut.rows == 502
 
-
-def test_spread_runs_no_job_and_skips_shuffled_inputs(spark):
-    from feedlens.operators.partitioning import spread
-
-    tracker = spark.sparkContext.statusTracker()
-    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
-    before = set(tracker.getJobIdsForGroup())
-    assert spread(grouped, ("k",)) is grouped  # already shuffled: left as is
-    assert set(tracker.getJobIdsForGroup()) == before  # and deciding ran nothing
-    narrow = spark.range(0, 1000, 1, 1)
-    spread_out = spread(narrow, ("id",))
-    assert spread_out is not narrow and spread_out.rdd.getNumPartitions() >= 2
