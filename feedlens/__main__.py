@@ -14,10 +14,17 @@ from feedlens.plans.quality import NoValidPosts
 from feedlens.session import local_session
 
 
+#: Warnings printed one by one; the rest are counted and stay in ``result.warnings``.
+MAX_PRINTED_WARNINGS = 1000
+
+
 def _print_warnings(result) -> None:
-    """Per-row warnings (Q6, Q7, Q8, S6), streamed partition by partition."""
-    for row in result.warnings.toLocalIterator():
+    """Per-row warnings."""
+    rows = result.warnings.limit(MAX_PRINTED_WARNINGS + 1).collect()
+    for row in rows[:MAX_PRINTED_WARNINGS]:
         print(row["message"])
+    if len(rows) > MAX_PRINTED_WARNINGS:
+        print(f"... {result.warnings.count() - MAX_PRINTED_WARNINGS} more warnings")
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -28,13 +35,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--entities-dir", default="data/valid_entities",
                    help="directory with the dictionary .txt files (default: %(default)s)")
     p.add_argument("--top-k", type=int, default=10, help="number of top entities to report (default: %(default)s)")
-    p.add_argument("--master", default="local[*]", help="Spark master for a local run (default: %(default)s)")
+    p.add_argument("--master", default="local[*]", help="Spark master (default: %(default)s); a cluster needs spark.checkpoint.dir in its configuration")
     a = p.parse_args(argv)
     if a.top_k <= 0:
         p.error("--top-k must be positive")
     owned = spark is None
     if owned:
-        spark = local_session(cores=a.master[len("local["):-1] if a.master.startswith("local[") else "*")
+        spark = local_session(master=a.master)
     try:
         result = run_analysis(spark, a.subscription_file, a.entities_dir, a.top_k)
         _print_warnings(result)

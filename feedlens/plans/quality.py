@@ -9,11 +9,12 @@ rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions import formatting as fmt
 from feedlens.operators.stats import feed_partials
+from feedlens.schemas import literal_table
 
 
 class NoValidPosts(ValueError):
@@ -24,6 +25,16 @@ class NoValidPosts(ValueError):
         self.result = result
 
 
+def path_listing(spark: SparkSession, paths: list[tuple[str, str]]) -> DataFrame:
+    """``(check_id, path, found)`` for each ``(check_id, path)``, asked of the path's file system."""
+    rows = []
+    for check_id, path in paths:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        rows.append((check_id, path, bool(store.globStatus(hadoop))))
+    return literal_table(spark, rows, "check_id string, path string, found boolean")
+
+
 def _stack(agg: DataFrame, checks: list[tuple[str, str, str, str]]) -> DataFrame:
     """Unpivot one aggregate row into check rows ``(check_id, check_name, ok, n)``.
 
@@ -44,18 +55,25 @@ def quality_checks(
     validated_entries: DataFrame,
     missing_files: DataFrame,
     parsed_feeds: DataFrame,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Q1-Q8 and S6 as rows; ``ok`` is True when nothing is wrong.
 
     One aggregate pass per source (entries, feeds, missing files, files),
     unpivoted with ``stack``: each source is scanned once. Kept posts (Q5)
     are counted from the per-feed partials, without exploding the posts.
-    Q1 and Q4 (missing paths) stop the run before any DataFrame exists, so
-    reaching this point means both passed; they are reported as ok.
+    Q1 and Q4 (missing paths) are counted from ``listing`` (see
+    ``path_listing``). Without one they are reported as ok: a run that got
+    here has opened both paths.
     """
     spark = validated_entries.sparkSession
     fixed = spark.range(1).select(F.lit(0).alias("zero"))
-    rows = [_stack(fixed, [("Q1", "subscriptions_file_found", "zero", "zero"), ("Q4", "entities_dir_found", "zero", "zero")])]
+    paths = [("Q1", "subscriptions_file_found"), ("Q4", "entities_dir_found")]
+    if listing is None:
+        rows = [_stack(fixed, [(i, name, "zero", "zero") for i, name in paths])]
+    else:
+        gone = listing.agg(*(F.count_if((F.col("check_id") == i) & ~F.col("found")).alias(i) for i, _ in paths))
+        rows = [_stack(gone, [(i, name, i, "zero") for i, name in paths])]
     if subscription_files is not None:
         files = subscription_files.agg(F.count_if(~F.col("file_ok")).alias("bad"))
     else:

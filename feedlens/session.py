@@ -16,9 +16,10 @@ def local_session(
     shuffle_partitions: int = 8,
     app_name: str = "feedlens",
     driver_memory: str = "8g",
+    master: str | None = None,
 ) -> SparkSession:
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(master or f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

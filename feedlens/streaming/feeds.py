@@ -1,27 +1,27 @@
 """Incremental entity counts over landed feeds (Structured Streaming).
 
-A fetch job lands parsed-ready feed rows as parquet files in a directory
+A fetch job lands feed rows as parquet files in a directory
 (``sources.feeds.land`` writes exactly that shape). This module treats the
-directory as a file stream and runs the same operators as the batch path:
-parse (P1) -> flatten (P2) -> live filter (F1) -> broadcast dictionary match
-(J1) -> counts by (type, name) (A1), plus the processing statistics (A10).
-
-State is one row per matched (type, name), bounded by the dictionary size,
-so the broadcast plan is required (the aggregate-first plan would keep
-per-word state). Results are written with ``foreachBatch``: in complete mode
-each micro-batch carries the whole (small) result, which is overwritten
-atomically, so a replayed batch is idempotent. The checkpoint location lives
-under the session's ``spark.checkpoint.dir``.
+directory as a file stream; each micro-batch runs the batch operators: parse
+(P1) -> flatten (P2) -> live filter (F1) -> dictionary match (J1, by whichever
+plan the dictionary's size asks for) -> counts by (type, name) (A1).
+
+The counts of a micro-batch are written to a folder of its own, named by its
+epoch, and the running result is their sum. So no state grows with the
+stream, a dictionary may have any size, and a replayed epoch replaces only
+what it wrote itself: its commit comes after its files. With the same
+checkpoint a later run goes on where the last one ended.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedlens.operators import detect, posts
+from feedlens.schemas import FEED, literal_table
 
-from feedlens import config
-from feedlens.operators import detect, posts, stats
-from feedlens.operators.partitioning import default_parallelism
-from feedlens.schemas import FEED
+COUNTS = "entity_type string, entity_name string, n bigint"
 
 
 def landed_feed_stream(spark: SparkSession, landed_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -32,49 +32,25 @@ def landed_feed_stream(spark: SparkSession, landed_dir: str, max_files_per_trigg
     return reader.parquet(landed_dir)
 
 
-def entity_count_stream(feeds: DataFrame, dictionary: detect.PreparedDictionary) -> DataFrame:
-    """Running ``(entity_type, entity_name, n)`` over a feeds stream."""
-    if not dictionary.broadcast:
-        raise ValueError("streaming counts need a dictionary that passed the broadcast size check")
-    kept = posts.live_filter(posts.explode_posts(posts.parse_feeds(feeds)))
-    return detect.entity_counts_broadcast(kept, dictionary)
-
-
-def processing_stats_stream(feeds: DataFrame) -> DataFrame:
-    """Running six processing statistics over a feeds stream (one-row state)."""
-    return stats.processing_stats(posts.parse_feeds(feeds))
+def run_available(feeds: DataFrame, dictionary: detect.PreparedDictionary, out_path: str, checkpoint: str) -> DataFrame:
+    """Count everything available now into ``out_path`` and stop; the running counts.
 
+    ``checkpoint`` is the stream's own folder on shared storage: keep it for
+    the next run. A directory without files gives no rows.
+    """
+    spark = feeds.sparkSession
+    literal_table(spark, [], COUNTS).write.mode("overwrite").parquet(f"{out_path}/epoch=-1")
 
-def run_available(
-    result_stream: DataFrame, out_path: str, name: str = "stream", state_partitions: int | None = None
-) -> str:
-    """Process everything available now into ``out_path`` (parquet) and stop.
+    def count(batch: DataFrame, epoch: int) -> None:
+        kept = posts.live_filter(posts.explode_posts(posts.parse_feeds(batch)))
+        detect.entity_counts(kept, dictionary).write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
 
-    Uses ``trigger(availableNow=True)``; each micro-batch overwrites the
-    output with the complete aggregate. The state has at most one row per
-    dictionary entry, so it gets ``state_partitions`` partitions (default:
-    the cluster's default parallelism) instead of the session's shuffle
-    setting; the number is fixed in the checkpoint when the stream starts.
-    Returns ``out_path``.
-    """
-    spark = result_stream.sparkSession
-    checkpoint = config.scratch_path(spark, f"{name}-checkpoint")
-    n = state_partitions or default_parallelism(spark)
+    started = feeds.writeStream.option("checkpointLocation", checkpoint).foreachBatch(count).trigger(availableNow=True).start()
+    started.awaitTermination()
+    return running_counts(spark, out_path)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
 
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        q = (
-            result_stream.writeStream.outputMode("complete")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(write_batch)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    q.awaitTermination()
-    return out_path
+def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """``(entity_type, entity_name, n)`` over all epochs so far."""
+    every = spark.read.schema(COUNTS).parquet(out_path)
+    return every.groupBy("entity_type", "entity_name").agg(F.sum("n").alias("n"))

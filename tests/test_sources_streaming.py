@@ -15,7 +15,7 @@ from feedlens.operators import aggregate, detect, posts
 from feedlens.sources import dictionary as dictsrc
 from feedlens.sources import feeds as feedsrc
 from feedlens.sources import subscriptions as subsrc
-from feedlens.streaming.feeds import entity_count_stream, landed_feed_stream, processing_stats_stream, run_available
+from feedlens.streaming.feeds import landed_feed_stream, run_available, running_counts
 
 
 def test_subscription_lines(spark, tmpdir_path):
@@ -53,6 +53,33 @@ def test_land_uses_checkpoint_dir(spark):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_fetch_hands_bodies_on_by_bytes(spark, tmpdir_path):
+    """Many large bodies: frames stay near the byte bound, whatever the number of urls."""
+    n, size = 40, 200_000
+    paths = []
+    for i in range(n):
+        paths.append(os.path.join(tmpdir_path, f"{i}.txt"))
+        with open(paths[-1], "w") as f:
+            f.write(str(i % 10) * size)
+    import pandas as pd
+
+    fetch = feedsrc._fetcher(5, 60, 4, 1_000_000)
+    frames = list(fetch(iter([pd.DataFrame({"feed_id": range(n), "feed_name": "x", "url": [f"file://{p}" for p in paths]})])))
+    assert sum(len(f) for f in frames) == n and len(frames) >= n * size // 2_700_000
+    assert max(f["content"].str.len().sum() for f in frames) <= 1_000_000 + 8 * size
+    assert sorted(pd.concat(frames)["feed_id"]) == list(range(n))
+
+
+def test_fetch_deadline(tmpdir_path):
+    import pandas as pd
+
+    path = os.path.join(tmpdir_path, "big.txt")
+    with open(path, "w") as f:
+        f.write("x" * 5_000_000)
+    (frame,) = feedsrc._fetcher(5, -1, 2, 1_000_000)(iter([pd.DataFrame({"feed_id": [1], "feed_name": ["x"], "url": [f"file://{path}"]})]))
+    assert frame["content"].isna().all()
+
+
 def test_landed_feed_files(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "landed")
     os.makedirs(d)
@@ -79,31 +106,39 @@ def _landed_golden(spark):
     return feedsrc.land_to(feeds, "stream-test-feeds")
 
 
-def test_streaming_counts_equal_batch(spark):
+def _paths(spark):
+    return config.scratch_path(spark, "stream-out"), config.scratch_path(spark, "stream-checkpoint")
+
+
+@pytest.mark.parametrize("force", [None, "shuffle"])
+def test_streaming_counts_equal_batch(spark, force):
     landed = _landed_golden(spark)
-    d = detect.prepare_dictionary(dictsrc.load_dictionary(spark, ENTITIES_DIR))
-    out = run_available(entity_count_stream(landed_feed_stream(spark, landed), d), config.scratch_path(spark, "o"))
-    streamed = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    d = detect.prepare_dictionary(dictsrc.load_dictionary(spark, ENTITIES_DIR), force=force)  # any size
+    streamed = run_available(landed_feed_stream(spark, landed), d, *_paths(spark))
     batch_posts = posts.live_filter(posts.explode_posts(posts.parse_feeds(spark.read.parquet(landed))))
     batch = sorted(tuple(r) for r in detect.entity_counts(batch_posts, d).collect())
-    assert streamed == batch
-    top = aggregate.top_entities(spark.read.parquet(out), 2).collect()
+    assert sorted(tuple(r) for r in streamed.collect()) == batch
+    top = aggregate.top_entities(streamed, 2).collect()
     assert [(r["entity_name"], r["n"]) for r in top] == [("Stockholm", 2), ("Scala", 2)]
 
 
-def test_streaming_stats(spark):
+def test_stream_goes_on_from_its_checkpoint(spark):
     landed = _landed_golden(spark)
-    out = run_available(processing_stats_stream(landed_feed_stream(spark, landed, 1)), config.scratch_path(spark, "s"))
-    row = spark.read.parquet(out).first().asDict()
-    assert row == {"feeds_success": 2, "feeds_failed": 1, "posts_success": 4, "posts_failed": 1,
-                   "posts_filtered": 1, "avg_chars": 39}
+    d = detect.prepare_dictionary(dictsrc.load_dictionary(spark, ENTITIES_DIR))
+    out, checkpoint = _paths(spark)
+    run = lambda: {tuple(r)[:2]: r["n"] for r in run_available(landed_feed_stream(spark, landed, 1), d, out, checkpoint).collect()}
+    first = run()
+    assert run() == first  # nothing new: nothing counted again
+    spark.read.parquet(landed).write.mode("append").parquet(landed + "-more")
+    spark.read.parquet(landed + "-more").write.mode("append").parquet(landed)
+    assert run() == {k: 2 * n for k, n in first.items()}
 
 
-def test_streaming_refuses_unbounded_state(spark):
-    landed = _landed_golden(spark)
-    d = detect.prepare_dictionary(dictsrc.load_dictionary(spark, ENTITIES_DIR), force="shuffle")
-    with pytest.raises(ValueError):
-        entity_count_stream(landed_feed_stream(spark, landed), d)
+def test_stream_over_an_empty_directory(spark, tmpdir_path):
+    d = detect.prepare_dictionary(dictsrc.load_dictionary(spark, ENTITIES_DIR))
+    out, checkpoint = _paths(spark)
+    assert run_available(landed_feed_stream(spark, tmpdir_path), d, out, checkpoint).collect() == []
+    assert running_counts(spark, out).count() == 0
 
 
 def test_cli_main(spark, golden, capsys):
@@ -211,3 +246,54 @@ print("LEN", len(fetch_feeds(subs, partitions=1).first()["content"]))
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-3000:]
     assert "LEN " in out.stdout and int(out.stdout.split("LEN ")[1].split()[0]) > 50
+
+
+def test_run_from_lines_and_landed_feeds(spark, tmpdir_path):
+    """Subscriptions as JSON Lines and feeds landed as files: no fetch at all."""
+    from feedlens.plans.analysis import run_analysis
+
+    subs = os.path.join(tmpdir_path, "subs.jsonl")
+    with open(subs, "w") as f:
+        f.write('{"name":"A","url":"u1"}\n{"name":"B","url":"u2"}\n{"name":"C"}\n')
+    ids = {r.feed_name: r.feed_id for r in subsrc.read_subscription_lines(spark, subs).valid.collect()}
+    landed = os.path.join(tmpdir_path, "landed")
+    os.makedirs(landed)
+    write_json(os.path.join(landed, f"{ids['A']}.json"), feed_json(GOLDEN_POSTS))
+    result = run_analysis(spark, subs, ENTITIES_DIR, subscription_lines=True, landed_feeds=landed)
+    assert result.processing_stats_row["feeds_success"] == 1 and result.processing_stats_row["feeds_failed"] == 1
+    assert result.rejected_subscriptions.count() == 1
+    assert {r.entity_name: r.n for r in result.entity_counts.collect()}["Scala"] == 2
+
+
+def test_two_subscription_files_do_not_mix(spark, tmpdir_path):
+    from feedlens.plans.analysis import run_analysis
+
+    subs, feeds = os.path.join(tmpdir_path, "subs"), os.path.join(tmpdir_path, "feeds")
+    os.makedirs(subs)
+    os.makedirs(feeds)
+    for name in ("x", "y"):
+        url = "file://" + write_json(os.path.join(feeds, f"{name}.json"), feed_json([(name, "Scala")]))
+        write_json(os.path.join(subs, f"{name}.json"), [{"name": name, "url": url}])
+    result = run_analysis(spark, subs, ENTITIES_DIR)
+    assert sorted((r.feed_name, r.title) for r in result.posts.collect()) == [("x", "x"), ("y", "y")]
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    from feedlens import session
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError):
+        config.scratch_path(Session(), "x")
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+    Session.conf = Conf({"spark.master": "spark://host:7077", "spark.checkpoint.dir": "hdfs://x/y"})
+    assert session.ensure_checkpoint_dir(Session()) == "hdfs://x/y"
