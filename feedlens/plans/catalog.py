@@ -2,8 +2,9 @@
 
 Every query reads the parquet tables at ``sf_dir`` (through the adapters in
 ``sources.tables``) and runs the engine's operators on the whole tables.
-The oracle SQL recomputes the same answer independently in DuckDB; column
-names and types are aligned (BIGINT counts, INT ordinals, VARCHAR text).
+The oracle SQL recomputes the same answer independently in DuckDB: its
+patterns, lists and labels are written out here, not taken from the engine.
+Column names and types are aligned (BIGINT counts, INT ordinals, VARCHAR text).
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from feedlens import config
 from feedlens.functions.text import java_trim, tokens, utf16_length
 from feedlens.operators import aggregate, detect, posts, stats
 from feedlens.plans import quality, reports
-from feedlens.schemas import DICTIONARY_FILES, ENTITY_TYPES
 from feedlens.sources import dictionary as dictsrc
+from feedlens.sources import feeds as feedsrc
 from feedlens.sources import subscriptions as subsrc
 from feedlens.sources import tables
 
@@ -43,12 +44,43 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-# The same Java-semantics regexes as the engine (config), as RE2 patterns.
-WS_SQL = f"'{config.WHITESPACE_RE}'"
+# --- Fixed values, written out by hand for the oracles. ---------------------
+WS_SQL = r"'[ \t\n\x0B\f\r]+'"
+TRIM_SQL = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
+ORACLE_TYPES = ["Person", "Organization", "University", "Place", "Technology", "ProgrammingLanguage"]
+ORACLE_FILES = [
+    (1, "people.txt", "Person"),
+    (2, "universities.txt", "University"),
+    (3, "languages.txt", "ProgrammingLanguage"),
+    (4, "organizations.txt", "Organization"),
+    (5, "places.txt", "Place"),
+]
+ORACLE_LITERALS = [
+    ("Person", "The"), ("Person", "of"), ("Place", "In"), ("Place", "In"), ("Place", "New York"),
+    ("University", "in"), ("ProgrammingLanguage", "en,"), ("Organization", "System"),
+]
+ORACLE_LINE_FILES = [("en", "people.txt"), ("de", "languages.txt"), ("fr", "places.txt"), ("es", "notas.txt")]
+ORACLE_LINE_TYPES = [("en", "Person"), ("de", "ProgrammingLanguage"), ("fr", "Place"), ("es", "Persona")]
+ORACLE_STATS = [
+    ("feedsSuccess", "Feeds descargados exitosamente", "feeds_success"),
+    ("feedsFailed", "Feeds fallidos", "feeds_failed"),
+    ("postsSuccess", "Posts descargados exitosamente", "posts_success"),
+    ("postsFailed", "Posts fallidos", "posts_failed"),
+    ("postsFiltered", "Posts filtrados (vacíos/nulos)", "posts_filtered"),
+    ("avgChars", "Largo promedio en posts", "avg_chars"),
+]
+MALFORMED_SQL = "'Warning: Skipping malformed subscription (missing ''name'' or ''url'' field)'"
+DOWNLOAD_SQL = "'Warning: Failed to download from ''%s'' (%s)'"
+PARSE_SQL = "'Warning: Failed to parse JSON from ''%s'''"
+MISSING_FILE_SQL = "'Warning: Could not load dictionary file ''%s'''"
+ENTITY_LINE_SQL = "'[Type=%s] %s: %d apariciones'"
+TOTAL_LINE_SQL = "'Entidades totales: %d'"
+TYPE_LINE_SQL = "'    [%s]: %d'"
+# --- end of fixed values ------------------------------------------------------
 
 
 def sql_jtrim(x: str) -> str:
-    return f"regexp_replace({x}, '{config.JAVA_TRIM_RE}', '', 'g')"
+    return f"regexp_replace({x}, {TRIM_SQL}, '', 'g')"
 
 
 def sql_u16(x: str) -> str:
@@ -62,13 +94,11 @@ def sql_values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
 
 
-LITERAL_DICT_CTE = f"dict(entity_type, entity_name) AS (VALUES {sql_values(tables.LITERAL_DICTIONARY)})"
+LITERAL_DICT_CTE = f"dict(entity_type, entity_name) AS (VALUES {sql_values(ORACLE_LITERALS)})"
 TYPE_DIM_CTE = "dim(ordinal, entity_type) AS (VALUES " + sql_values(
-    [(0, "total")] + [(i + 1, t) for i, t in enumerate(ENTITY_TYPES)]
-) + ")"
-FILE_MAP_CTE = "fmap(file_order, file_name, entity_type) AS (VALUES " + sql_values(
-    [(i + 1, f, t) for i, (f, t) in enumerate(DICTIONARY_FILES)]
+    [(0, "total"), *enumerate(ORACLE_TYPES, 1)]
 ) + ")"
+FILE_MAP_CTE = "fmap(file_order, file_name, entity_type) AS (VALUES " + sql_values(ORACLE_FILES) + ")"
 
 
 def sql_doc_posts(src: str = "documents") -> str:
@@ -134,10 +164,15 @@ type_stats AS (
   SELECT d.ordinal, d.entity_type, CAST(coalesce(t.n, 0) AS BIGINT) AS n
   FROM dim d LEFT JOIN twt t ON d.entity_type = t.entity_type)"""
 
-# Document lines (1-based line numbers) and their dictionary-file name.
-SQL_LINES = """lines AS (
+# Document lines (1-based line numbers), marked by doc_id, and their dictionary-file name.
+SQL_LINES = """raw_lines AS (
   SELECT doc_id, CAST(unnest(range(1, len(arr) + 1)) AS BIGINT) AS line_no, lang, unnest(arr) AS value
-  FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS arr FROM documents))"""
+  FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS arr FROM documents)),
+lines AS (
+  SELECT doc_id, line_no, lang,
+         CASE doc_id % 7 WHEN 0 THEN chr(9) || value || chr(11) WHEN 1 THEN '' WHEN 2 THEN ' # ' || value
+                         WHEN 3 THEN value || chr(128512) WHEN 4 THEN chr(12) || chr(13) ELSE value END AS value
+  FROM raw_lines)"""
 
 
 def sql_case(col: str, pairs: list[tuple[str, str]]) -> str:
@@ -145,14 +180,14 @@ def sql_case(col: str, pairs: list[tuple[str, str]]) -> str:
 
 
 SQL_CLEAN = f"""clean AS (
-  SELECT doc_id, line_no, lang, {sql_case('lang', tables.LINE_FILE_BY_LANG)} AS file_name,
+  SELECT doc_id, line_no, lang, {sql_case('lang', ORACLE_LINE_FILES)} AS file_name,
          {sql_jtrim('value')} AS entity_name
   FROM lines)"""
 SQL_CLEAN_KEPT = "clean_kept AS (SELECT * FROM clean WHERE entity_name <> '' AND NOT starts_with(entity_name, '#'))"
 
 # Paged document feeds: page = doc_id div page size; three damaged sources.
-_FAILED, _TRUNC, _MISSING = (_q(tables.FAILED_SOURCE), _q(tables.HTML_PAGE_SOURCE), _q(tables.MISSING_FIELD_SOURCE))
-SQL_FEEDS = f"""fp AS (SELECT *, CAST(post_id // {tables.FEED_PAGE_SIZE} AS BIGINT) AS page FROM posts),
+_FAILED, _TRUNC, _MISSING = "'src3'", "'src4'", "'src5'"
+SQL_FEEDS = f"""fp AS (SELECT *, CAST(post_id // 100 AS BIGINT) AS page FROM posts),
 feeds AS (
   SELECT feed_name AS source, page, min(post_id) AS feed_id, count(*) AS n_posts,
          feed_name || '/' || CAST(page AS VARCHAR) AS name,
@@ -189,6 +224,16 @@ def _doc_posts(spark: SparkSession, sf: str) -> DataFrame:
     return tables.documents_as_posts(_docs(spark, sf))
 
 
+#: Session setting: posts are spread over so many partitions before tokenising. Unset (as on any
+#: table with many row groups) nothing is moved; local runs over one-row-group files set it.
+SPREAD_CONF = "spark.feedlens.tokenizePartitions"
+
+
+def _spread(kept: DataFrame, *key: str) -> DataFrame:
+    n = kept.sparkSession.conf.get(SPREAD_CONF, None)
+    return kept.repartition(int(n), *key) if n else kept
+
+
 def _doc_kept(spark: SparkSession, sf: str) -> DataFrame:
     return posts.live_filter(_doc_posts(spark, sf))
 
@@ -200,11 +245,11 @@ def _literal(spark: SparkSession, force: str | None = None) -> detect.PreparedDi
 
 
 def _doc_hits(spark: SparkSession, sf: str, fields=detect.POST_FIELDS) -> DataFrame:
-    return detect.entity_hits(_doc_kept(spark, sf), _literal(spark), fields=fields)
+    return detect.entity_hits(_spread(_doc_kept(spark, sf), "post_id"), _literal(spark), fields=fields)
 
 
 def _doc_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.entity_counts(_doc_kept(spark, sf), _literal(spark))
+    return detect.entity_counts(_spread(_doc_kept(spark, sf), "post_id"), _literal(spark))
 
 
 def _doc_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,17 +267,24 @@ def _line_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 # ====================================================== step 1: text ========
 
+SQL_SPACED = """spaced AS (
+  SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN replace(text, ' ', chr(9)) WHEN 2 THEN replace(text, ' ', chr(11))
+                                 WHEN 3 THEN replace(text, ' ', chr(12)) WHEN 4 THEN replace(text, ' ', chr(13))
+                                 ELSE text END AS text FROM documents)"""
+
+
 @register(
     "tokens_per_document",
-    f"""SELECT doc_id,
+    sql_with(SQL_SPACED)
+    + f"""SELECT doc_id,
        CAST(len(list_filter(regexp_split_to_array(lower(text), {WS_SQL}), lambda t: t <> '')) AS BIGINT) AS n_tokens,
        CAST(len(list_distinct(list_filter(regexp_split_to_array(lower(text), {WS_SQL}), lambda t: t <> ''))) AS BIGINT)
          AS n_distinct_tokens
-FROM documents""",
+FROM spaced""",
 )
 def q_tokens_per_document(spark, sf):
     t = tokens("text")
-    return _docs(spark, sf).select(
+    return tables.spaced_documents(_docs(spark, sf)).select(
         "doc_id",
         F.size(t).cast("bigint").alias("n_tokens"),
         F.size(F.array_distinct(t)).cast("bigint").alias("n_distinct_tokens"),
@@ -257,11 +309,12 @@ def q_java_trim_lengths(spark, sf):
 
 @register(
     "utf16_lengths",
+    "WITH astral AS (SELECT doc_id, text || repeat(chr(128512), CAST(doc_id % 3 AS INTEGER)) AS text FROM documents) "
     f"SELECT doc_id, CAST(length(text) AS BIGINT) AS n_code_points, CAST({sql_u16('text')} AS BIGINT) AS n_utf16 "
-    "FROM documents",
+    "FROM astral",
 )
 def q_utf16_lengths(spark, sf):
-    return _docs(spark, sf).select(
+    return tables.astral_documents(_docs(spark, sf)).select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_code_points"),
         utf16_length("text").alias("n_utf16"),
@@ -305,9 +358,9 @@ def q_dictionary_missing_files(spark, sf):
     "entity_type_fallback",
     sql_with(SQL_LINES, SQL_CLEAN, SQL_CLEAN_KEPT)
     + "SELECT doc_id, line_no, CASE WHEN t IN ("
-    + ", ".join(_q(x) for x in ENTITY_TYPES)
+    + ", ".join(_q(x) for x in ORACLE_TYPES)
     + ") THEN t ELSE 'Person' END AS entity_type, entity_name FROM (SELECT *, "
-    + sql_case("lang", tables.TYPE_BY_LANG)
+    + sql_case("lang", ORACLE_LINE_TYPES)
     + " AS t FROM clean_kept)",
 )
 def q_entity_type_fallback(spark, sf):
@@ -327,11 +380,12 @@ def q_posts_live(spark, sf):
 @register(
     "posts_strict",
     sql_with(sql_doc_posts())
-    + f"SELECT post_id, feed_name, title, selftext FROM posts "
+    + "SELECT * FROM (SELECT post_id, feed_name, title, "
+    "CASE WHEN post_id % 11 = 0 THEN chr(9) || ' ' || chr(10) ELSE selftext END AS selftext FROM posts) "
     f"WHERE title <> '' AND selftext <> '' AND {sql_jtrim('selftext')} <> ''",
 )
 def q_posts_strict(spark, sf):
-    return posts.strict_filter(_doc_posts(spark, sf))
+    return posts.strict_filter(tables.blank_bodies(_doc_posts(spark, sf)))
 
 
 @register(
@@ -385,7 +439,7 @@ def q_entity_hits(spark, sf):
 @register("entity_hits_shuffle", _HITS_SQL + "SELECT post_id, field, entity_type, entity_name FROM hits")
 def q_entity_hits_shuffle(spark, sf):
     """The same hits through the non-broadcast (shuffle join) plan."""
-    return detect.entity_hits(_doc_kept(spark, sf), _literal(spark, force="shuffle"))
+    return detect.entity_hits(_spread(_doc_kept(spark, sf), "post_id"), _literal(spark, force="shuffle"))
 
 
 @register(
@@ -516,13 +570,10 @@ def q_processing_stats(spark, sf):
 
 
 def _stat_lines_sql() -> str:
-    from feedlens.functions.formatting import PROCESSING_LABELS
-    from feedlens.operators.stats import STAT_COLUMNS
-
     parts = [
-        f"SELECT {i + 1} AS ordinal, {_q(key)} AS metric, CAST({col} AS BIGINT) AS value, "
+        f"SELECT {i} AS ordinal, {_q(key)} AS metric, CAST({col} AS BIGINT) AS value, "
         f"printf('%s: %d', {_q(label)}, {col}) AS line FROM proc"
-        for i, ((key, label), col) in enumerate(zip(PROCESSING_LABELS, STAT_COLUMNS))
+        for i, (key, label, col) in enumerate(ORACLE_STATS, 1)
     ]
     return sql_with(sql_doc_posts(), SQL_FEEDS, SQL_PROC_STATS) + "\nUNION ALL\n".join(parts)
 
@@ -535,7 +586,7 @@ def q_processing_stats_lines(spark, sf):
 @register(
     "entity_lines",
     SQL_DOC_COUNTS.rstrip() + ",\ntop AS (" + sql_top(10) + ")\n"
-    "SELECT rank, printf('[Type=%s] %s: %d apariciones', entity_type, entity_name, n) AS line FROM top",
+    f"SELECT rank, printf({ENTITY_LINE_SQL}, entity_type, entity_name, n) AS line FROM top",
 )
 def q_entity_lines(spark, sf):
     return reports.entity_lines(aggregate.top_entities(_doc_counts(spark, sf), 10))
@@ -544,8 +595,8 @@ def q_entity_lines(spark, sf):
 @register(
     "type_lines",
     SQL_DOC_COUNTS.rstrip() + ",\n" + SQL_TWT + ",\n" + SQL_TYPE_STATS + "\n"
-    "SELECT ordinal, CASE WHEN ordinal = 0 THEN printf('Entidades totales: %d', n) "
-    "ELSE printf('    [%s]: %d', entity_type, n) END AS line FROM type_stats",
+    f"SELECT ordinal, CASE WHEN ordinal = 0 THEN printf({TOTAL_LINE_SQL}, n) "
+    f"ELSE printf({TYPE_LINE_SQL}, entity_type, n) END AS line FROM type_stats",
 )
 def q_type_lines(spark, sf):
     return reports.type_lines(aggregate.type_stats_from_counts(_doc_counts(spark, sf)))
@@ -555,11 +606,12 @@ _QC_SQL = (
     sql_with(sql_doc_posts(), SQL_FEEDS, SQL_ENTRIES, SQL_LINES, SQL_CLEAN, FILE_MAP_CTE)
     + """, missing AS (
   SELECT * FROM fmap WHERE file_name NOT IN (SELECT DISTINCT file_name FROM clean WHERE file_name IS NOT NULL)),
+bad_files AS (SELECT DISTINCT entry_index // 50 AS bucket FROM entries WHERE (entry_index // 50) % 4 IN (2, 3)),
 checks(check_id, check_name, n) AS (
   SELECT 'Q1', 'subscriptions_file_found', 0
-  UNION ALL SELECT 'Q2', 'subscriptions_file_invalid', 0
+  UNION ALL SELECT 'Q2', 'subscriptions_file_invalid', (SELECT count(*) FROM bad_files)
   UNION ALL SELECT 'Q3', 'valid_subscriptions', (SELECT count(*) FROM entries WHERE name IS NOT NULL)
-  UNION ALL SELECT 'Q4', 'entities_dir_found', 0
+  UNION ALL SELECT 'Q4', 'entities_dir_found', 1
   UNION ALL SELECT 'Q5', 'posts_after_filter', (SELECT count(*) FROM good WHERE title <> '' AND selftext <> '')
   UNION ALL SELECT 'Q6', 'malformed_subscriptions', (SELECT count(*) FROM entries WHERE name IS NULL)
   UNION ALL SELECT 'Q7', 'failed_downloads', (SELECT count(*) FROM feeds WHERE NOT downloaded)
@@ -574,18 +626,23 @@ FROM checks"""
 
 @register("quality_checks", _QC_SQL)
 def q_quality_checks(spark, sf):
-    return quality.quality_checks(None, _page_entries(spark, sf), _line_missing(spark, sf), _doc_feeds(spark, sf))
+    """Files that Spark wrote from ``pages`` (some invalid); the subscriptions path exists, the
+    entities path does not."""
+    path = tables.write_subscription_files(tables.table(spark, sf, "pages"), config.scratch_path(spark, "subscriptions"))
+    files = subsrc.read_subscription_files(spark, path)
+    listing = quality.path_listing(spark, [("Q1", path), ("Q4", config.scratch_path(spark, "no-entities"))])
+    return quality.quality_checks(files, _page_entries(spark, sf), _line_missing(spark, sf), _doc_feeds(spark, sf), listing)
 
 
 _WARN_SQL = (
     sql_with(sql_doc_posts(), SQL_FEEDS, SQL_ENTRIES, SQL_LINES, SQL_CLEAN, FILE_MAP_CTE)
     + """, missing AS (
   SELECT * FROM fmap WHERE file_name NOT IN (SELECT DISTINCT file_name FROM clean WHERE file_name IS NOT NULL))
-SELECT 'Q6' AS check_id, 'Warning: Skipping malformed subscription (missing ''name'' or ''url'' field)' AS message
-  FROM entries WHERE name IS NULL
-UNION ALL SELECT 'Q7', printf('Warning: Failed to download from ''%s'' (%s)', name, url) FROM feeds WHERE NOT downloaded
-UNION ALL SELECT 'Q8', printf('Warning: Failed to parse JSON from ''%s''', name) FROM feeds WHERE downloaded AND NOT parse_ok
-UNION ALL SELECT 'S6', printf('Warning: Could not load dictionary file ''%s''', file_name) FROM missing"""
+"""
+    + f"""SELECT 'Q6' AS check_id, {MALFORMED_SQL} AS message FROM entries WHERE name IS NULL
+UNION ALL SELECT 'Q7', printf({DOWNLOAD_SQL}, name, url) FROM feeds WHERE NOT downloaded
+UNION ALL SELECT 'Q8', printf({PARSE_SQL}, name) FROM feeds WHERE downloaded AND NOT parse_ok
+UNION ALL SELECT 'S6', printf({MISSING_FILE_SQL}, file_name) FROM missing"""
 )
 
 
@@ -613,7 +670,7 @@ def _bench_dict(spark: SparkSession, sf: str, force: str | None = None) -> detec
 
 @register("entity_counts_large_dictionary", _LARGE_COUNTS_SQL + "SELECT entity_type, entity_name, n FROM counts")
 def q_entity_counts_large_dictionary(spark, sf):
-    return detect.entity_counts(_doc_kept(spark, sf), _bench_dict(spark, sf))
+    return detect.entity_counts(_spread(_doc_kept(spark, sf), "post_id"), _bench_dict(spark, sf))
 
 
 @register(
@@ -622,12 +679,12 @@ def q_entity_counts_large_dictionary(spark, sf):
 )
 def q_entity_counts_large_dictionary_aggregate_first(spark, sf):
     """Large dictionary through the no-broadcast plan (shuffle by word first)."""
-    return detect.entity_counts(_doc_kept(spark, sf), _bench_dict(spark, sf, force="shuffle"), plan="aggregate_first")
+    return detect.entity_counts(_spread(_doc_kept(spark, sf), "post_id"), _bench_dict(spark, sf, force="shuffle"), plan="aggregate_first")
 
 
 @register("entity_counts_aggregate_first", SQL_DOC_COUNTS + "SELECT entity_type, entity_name, n FROM counts")
 def q_entity_counts_aggregate_first(spark, sf):
-    return detect.entity_counts(_doc_kept(spark, sf), _literal(spark), plan="aggregate_first")
+    return detect.entity_counts(_spread(_doc_kept(spark, sf), "post_id"), _literal(spark), plan="aggregate_first")
 
 
 # ================================================ step 9: second inputs =====
@@ -638,7 +695,7 @@ def q_entity_counts_aggregate_first(spark, sf):
 )
 def q_top_entities_pages(spark, sf):
     kept = posts.live_filter(tables.pages_as_posts(tables.table(spark, sf, "pages")))
-    return aggregate.top_entities(detect.entity_counts(kept, _literal(spark)), 10)
+    return aggregate.top_entities(detect.entity_counts(_spread(kept, "post_id"), _literal(spark)), 10)
 
 
 @register(
@@ -651,14 +708,6 @@ def q_top_entities_conversations(spark, sf):
     return aggregate.top_entities(detect.entity_counts(kept, _literal(spark)), 10)
 
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
-
-
 # ===================================================== streaming ===========
 
 _GOOD_POSTS_SQL = sql_with(sql_doc_posts(), SQL_FEEDS).rstrip() + """,
@@ -673,21 +722,111 @@ kept AS (SELECT post_id, title, selftext FROM good WHERE title <> '' AND selftex
 )
 def q_stream_entity_counts(spark, sf):
     """Document feeds landed as parquet, counted by a Structured Streaming query."""
-    from feedlens.sources.feeds import land_to
-    from feedlens.streaming.feeds import entity_count_stream, landed_feed_stream, run_available
+    from feedlens.streaming.feeds import landed_feed_stream, run_available
 
-    landed_dir = land_to(tables.feeds_from_documents(_docs(spark, sf)), "stream-feeds")
-    stream = entity_count_stream(landed_feed_stream(spark, landed_dir), _literal(spark))
-    out = run_available(stream, config.scratch_path(spark, "stream-counts"), "stream-counts")
-    return spark.read.parquet(out)
+    landed = feedsrc.land_to(tables.feeds_from_documents(_docs(spark, sf)), "stream-feeds")
+    out, checkpoint = config.scratch_path(spark, "stream-counts"), config.scratch_path(spark, "stream-checkpoint")
+    return run_available(landed_feed_stream(spark, landed), _literal(spark), out, checkpoint)
 
 
 @register("entity_counts_post_lines", SQL_DOC_COUNTS + "SELECT entity_type, entity_name, n FROM counts")
 def q_entity_counts_post_lines(spark, sf):
     """Posts landed as a JSON Lines bulk dump, read line by line, then counted."""
-    from feedlens.sources.feeds import read_post_lines
-
     path = config.scratch_path(spark, "post-lines")
     _doc_posts(spark, sf).select(F.to_json(F.struct("title", "selftext")).alias("value")).write.text(path)
-    lines = read_post_lines(spark, path).where("line_ok")
+    lines = feedsrc.read_post_lines(spark, path).where("line_ok")
     return detect.entity_counts(posts.live_filter(lines), _literal(spark))
+
+
+# ================================================ step 10: file sources =====
+
+_BUCKETS_SQL = sql_with(SQL_ENTRIES).rstrip() + """,
+buckets AS (SELECT *, CAST(entry_index // 50 AS BIGINT) AS bucket,
+                   (entry_index // 50) % 4 NOT IN (2, 3) AS file_ok FROM entries)
+"""
+
+
+def _subscription_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = tables.write_subscription_files(tables.table(spark, sf, "pages"), config.scratch_path(spark, "subscriptions"))
+    return subsrc.read_subscription_files(spark, path)
+
+
+def _bucket(column: str):
+    return F.regexp_extract(column, r"bucket=(\d+)", 1).cast("bigint")
+
+
+@register(
+    "subscription_files",
+    _BUCKETS_SQL + "SELECT bucket, file_ok, CAST(CASE WHEN file_ok THEN count(*) ELSE 0 END AS BIGINT) AS n_entries "
+    "FROM buckets GROUP BY bucket, file_ok",
+)
+def q_subscription_files(spark, sf):
+    """S1 + N5 on array files that Spark wrote; some are no arrays."""
+    n = F.when(F.col("file_ok"), F.size("entries")).otherwise(0).cast("bigint")
+    return _subscription_files(spark, sf).select(_bucket("file").alias("bucket"), "file_ok", n.alias("n_entries"))
+
+
+@register(
+    "subscription_file_entries",
+    _BUCKETS_SQL + "SELECT bucket, CAST(entry_index % 50 AS INTEGER) AS entry_index, name, url, name IS NOT NULL AS is_valid "
+    "FROM buckets WHERE file_ok",
+)
+def q_subscription_file_entries(spark, sf):
+    entries = subsrc.file_entries(_subscription_files(spark, sf))
+    return entries.select(_bucket("file").alias("bucket"), "entry_index", "name", "url", "is_valid")
+
+
+@register(
+    "dictionary_directory",
+    sql_with(SQL_LINES, SQL_CLEAN, SQL_CLEAN_KEPT, FILE_MAP_CTE)
+    + "SELECT m.entity_type, c.entity_name, CAST(count(*) AS BIGINT) AS n "
+    "FROM clean_kept c JOIN fmap m ON c.file_name = m.file_name GROUP BY m.entity_type, c.entity_name",
+)
+def q_dictionary_directory(spark, sf):
+    """S4 + S5 + F5 + P3 + U1 on a directory that Spark wrote; duplicates are kept."""
+    path = tables.write_dictionary_dir(_docs(spark, sf), config.scratch_path(spark, "entities"))
+    return dictsrc.load_dictionary(spark, path).groupBy("entity_type", "entity_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "dictionary_directory_missing",
+    sql_with(FILE_MAP_CTE)
+    + "SELECT file_order, file_name, entity_type FROM fmap WHERE file_name IN ('universities.txt', 'organizations.txt')",
+)
+def q_dictionary_directory_missing(spark, sf):
+    path = tables.write_dictionary_dir(_docs(spark, sf), config.scratch_path(spark, "entities"))
+    return dictsrc.missing_dictionary_files(dictsrc.present_dictionary_files(spark, path))
+
+
+@register(
+    "feeds_fetched",
+    sql_with(sql_doc_posts(), SQL_FEEDS)
+    + "SELECT feed_id, name AS feed_name, downloaded, parse_ok, "
+    "CAST(CASE WHEN parse_ok THEN n_posts ELSE 0 END AS BIGINT) AS n_posts FROM feeds",
+)
+def q_feeds_fetched(spark, sf):
+    """S3: feed files fetched by url, some of which do not exist, then parsed."""
+    subs = tables.write_feed_files(_docs(spark, sf), config.scratch_path(spark, "feed-files"))
+    parsed = posts.parse_feeds(feedsrc.fetch_feeds(subs))
+    return parsed.select("feed_id", "feed_name", "downloaded", "parse_ok", F.size("posts").cast("bigint").alias("n_posts"))
+
+
+@register("top_entities_large_dictionary", _LARGE_COUNTS_SQL + sql_top(500))
+def q_top_entities_large_dictionary(spark, sf):
+    """T1 where the limit cuts and equal counts are told apart by type and name."""
+    return aggregate.top_entities(detect.entity_counts(_doc_kept(spark, sf), _bench_dict(spark, sf)), 500)
+
+
+@register("entity_hits_large_dictionary_shuffle", sql_with(sql_doc_posts(), SQL_KEPT, sql_words(), _BENCH_DICT_CTE, sql_hits())
+          + "SELECT post_id, field, entity_type, entity_name FROM hits")
+def q_entity_hits_large_dictionary_shuffle(spark, sf):
+    """Per-post hits of a large dictionary through the salted sort-merge join."""
+    return detect.entity_hits(_doc_kept(spark, sf), _bench_dict(spark, sf, force="shuffle"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)

@@ -43,11 +43,18 @@ def require_dictionary_dir(spark: SparkSession, entities_dir: str) -> None:
 
 
 def _top_level(entities_dir: str) -> str:
-    # files directly in the directory, as the reference reads them;
+    # entries directly in the directory, as the reference reads them; a large
+    # dictionary file may be a folder of parts of the same name. Other
     # subdirectories are ignored
     return entities_dir.rstrip("/") + "/*.txt"
 
 
+def _file_name(path: Column, entities_dir: str) -> Column:
+    """The name directly below ``entities_dir`` on ``path``."""
+    folder = entities_dir.rstrip("/").rsplit("/", 1)[-1]
+    return F.regexp_extract(path, rf"/\Q{folder}\E/([^/]+\.txt)(?:/[^/]+)?$", 1)
+
+
 def read_dictionary_lines(spark: SparkSession, entities_dir: str) -> DataFrame:
     """S4 + S5: ``(file_name, value)`` for every line of every top-level ``*.txt`` file."""
     require_dictionary_dir(spark, entities_dir)
@@ -57,7 +64,7 @@ def read_dictionary_lines(spark: SparkSession, entities_dir: str) -> DataFrame:
         if _not_found(e):  # the directory exists but holds no .txt file
             return literal_table(spark, [], "file_name string, value string")
         raise
-    return lines.select(F.col("_metadata.file_name").alias("file_name"), "value")
+    return lines.select(_file_name(F.col("_metadata.file_path"), entities_dir).alias("file_name"), "value")
 
 
 def clean_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -121,7 +128,7 @@ def present_dictionary_files(spark: SparkSession, entities_dir: str) -> DataFram
         if _not_found(e):
             return literal_table(spark, [], "file_name string")
         raise
-    return listing.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"))
+    return listing.select(_file_name(F.col("path"), entities_dir).alias("file_name")).distinct()
 
 
 def missing_dictionary_files(present: DataFrame, files: list[tuple[str, str]] | None = None) -> DataFrame:

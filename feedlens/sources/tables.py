@@ -16,11 +16,11 @@ query reads the given tables and its work grows with them:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import after_first_line, first_line, java_trim, whitespace_split
-from feedlens.schemas import literal_table
+from feedlens.schemas import DICTIONARY_FILES, ENTITY_TYPES, literal_table
 
 TABLE_NAMES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -41,19 +41,28 @@ LITERAL_DICTIONARY = [
     ("ProgrammingLanguage", "en,"),
     ("Organization", "System"),
 ]
+# Marks put on texts and lines, by ``doc_id``, so that trimming, comment
+# dropping, every white-space character, the strict filter and UTF-16 lengths
+# have something to do.
+LINE_MARKS, SPACE_MARKS, BLANK_BODY_EVERY, ASTRAL_MARKS = 7, 5, 11, 3
+ASTRAL = "\U0001F600"
 # Feed damage applied to paged document feeds.
 FAILED_SOURCE = "src3"        # download failed: content NULL
 HTML_PAGE_SOURCE = "src4"     # the whole feed wrapped in an HTML error page: not JSON
 MISSING_FIELD_SOURCE = "src5" # first child has no selftext: feed rejected
 FEED_PAGE_SIZE = 100
+# Subscription files hold the entries of so many consecutive pages; of every
+# four files the third is a bare object and the fourth is cut short.
+SUBSCRIPTIONS_PER_FILE = 50
 # Dictionary file name given to document lines, by language.
 LINE_FILE_BY_LANG = [("en", "people.txt"), ("de", "languages.txt"), ("fr", "places.txt"), ("es", "notas.txt")]
 # Caller-given type by language (``Persona`` is not a type: falls back).
 TYPE_BY_LANG = [("en", "Person"), ("de", "ProgrammingLanguage"), ("fr", "Place"), ("es", "Persona")]
-# Types given to benchmark tokens by ``length(token) % 5``.
-BENCHMARK_TYPES = ["Person", "Organization", "University", "Place", "ProgrammingLanguage"]
 # --- end of fixture design -------------------------------------------------
 
+# Types given to benchmark tokens by ``length(token) % 5``: those that have a dictionary file.
+BENCHMARK_TYPES = [t for t in ENTITY_TYPES if t in {kind for _, kind in DICTIONARY_FILES}]
+
 
 # Declared schemas of the text tables: reading with a schema skips footer
 # inference (a distributed job over every file on a large input).
@@ -139,11 +148,48 @@ def benchmark_dictionary(bench: DataFrame) -> DataFrame:
     )
 
 
+def _marked(column: str, marks: int, values: dict[int, Column], otherwise: Column) -> Column:
+    """A CASE on ``column % marks``."""
+    out = otherwise
+    for k, v in values.items():
+        out = F.when(F.col(column) % marks == k, v).otherwise(out)
+    return out
+
+
 def document_lines(docs: DataFrame) -> DataFrame:
-    """Every line of every document: ``(doc_id, line_no, lang, value)``, 1-based."""
+    """Every line of every document, marked: ``(doc_id, line_no, lang, value)``, 1-based.
+
+    By ``doc_id``: wrapped in a tab and a vertical tab, emptied, made a comment, given a
+    supplementary character, made blank (form feed and carriage return), or left alone.
+    """
+    value = F.col("value")
+    marks = {
+        0: F.concat(F.lit("\t"), value, F.lit("\v")),
+        1: F.lit(""),
+        2: F.concat(F.lit(" # "), value),
+        3: F.concat(value, F.lit(ASTRAL)),
+        4: F.lit("\f\r"),
+    }
     return docs.select(
         "doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "value")
-    ).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "lang", "value")
+    ).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "lang", _marked("doc_id", LINE_MARKS, marks, value).alias("value"))
+
+
+def spaced_documents(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with spaces replaced, by ``doc_id``, by tab, VT, FF or CR."""
+    swaps = {k: F.replace("text", F.lit(" "), F.lit(c)) for k, c in enumerate("\t\v\f\r", 1)}
+    return docs.select("doc_id", _marked("doc_id", SPACE_MARKS, swaps, F.col("text")).alias("text"))
+
+
+def astral_documents(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with 0 to 2 supplementary characters at the end, by ``doc_id``."""
+    return docs.select("doc_id", F.concat("text", F.repeat(F.lit(ASTRAL), (F.col("doc_id") % ASTRAL_MARKS).cast("int"))).alias("text"))
+
+
+def blank_bodies(posts: DataFrame) -> DataFrame:
+    """Posts of which every eleventh has a body of white space only."""
+    blank = F.when(F.col("post_id") % BLANK_BODY_EVERY == 0, F.lit("\t \n")).otherwise(F.col("selftext"))
+    return posts.select("post_id", "feed_name", "title", blank.alias("selftext"))
 
 
 def dictionary_lines_from_documents(docs: DataFrame) -> DataFrame:
@@ -231,3 +277,42 @@ def subscription_entries_from_pages(pages: DataFrame) -> DataFrame:
         F.instr("url", "#") > 0, F.create_map(F.lit("url"), F.col("url"))
     ).otherwise(F.create_map(F.lit("name"), title, F.lit("url"), F.col("url")))
     return pages.select(F.col("page_id").alias("entry_index"), F.to_json(entry).alias("entry_json"))
+
+
+# ------------------------------------------------------ files on storage ----
+# The engine's file sources, fed with files that Spark writes from the tables.
+
+def write_subscription_files(pages: DataFrame, path: str) -> str:
+    """One array file for every ``SUBSCRIPTIONS_PER_FILE`` pages, under ``path/bucket=N``; of every
+    four, the third holds its first entry bare and the fourth lacks its last bracket."""
+    entries = subscription_entries_from_pages(pages).withColumn(
+        "bucket", F.floor(F.col("entry_index") / SUBSCRIPTIONS_PER_FILE).cast("bigint")
+    )
+    grouped = entries.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("entry_index", "entry_json"))).alias("es"))
+    texts = F.transform("es", lambda e: e["entry_json"])
+    opened = F.concat(F.lit("["), F.array_join(texts, ","))
+    body = F.when(F.col("bucket") % 4 == 2, texts[0]).when(F.col("bucket") % 4 == 3, opened).otherwise(F.concat(opened, F.lit("]")))
+    grouped.select("bucket", body.alias("value")).write.partitionBy("bucket").text(path)
+    return path
+
+
+def write_dictionary_dir(docs: DataFrame, path: str) -> str:
+    """Document lines as dictionary files: a folder of parts for each file name."""
+    lines = dictionary_lines_from_documents(docs)
+    for _, name in LINE_FILE_BY_LANG:
+        lines.where(F.col("file_name") == name).select("value").write.text(f"{path}/{name}")
+    return path
+
+
+def write_feed_files(docs: DataFrame, path: str) -> DataFrame:
+    """Feed bodies as files below ``path``; the subscriptions that point at them with ``file:``
+    urls. Feeds without a body point at a file that does not exist."""
+    feeds = feeds_from_documents(docs)
+    feeds.where("content is not null").select("feed_id", F.col("content").alias("value")).write.partitionBy("feed_id").text(f"{path}/feeds")
+    files = feeds.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+    found = files.load(f"{path}/feeds").select(
+        F.regexp_extract("path", r"feed_id=(-?\d+)/", 1).cast("bigint").alias("feed_id"),
+        F.regexp_replace("path", "^file:/+", "file:///").alias("found"),
+    )
+    missing = F.concat(F.lit("file:///missing/"), F.col("feed_id").cast("string"))
+    return feeds.select("feed_id", "feed_name").join(found, "feed_id", "left").select("feed_id", "feed_name", F.coalesce("found", missing).alias("url"))

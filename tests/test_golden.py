@@ -117,7 +117,7 @@ def test_top_k_two(spark, many_subs):
 def test_malformed_subscriptions_file(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "bad.json")
     with open(p, "w") as f:
-        f.write("This is not json")
+        f.write("no JSON here")
     with pytest.raises(InvalidSubscriptionsFile, match="invalid JSON format"):
         run_analysis(spark, p, ENTITIES_DIR)
 
@@ -130,17 +130,17 @@ def test_missing_subscriptions_file(spark, tmpdir_path):
 def test_bad_url(spark, many_subs, tmpdir_path):
     import json
 
-    subs = json.load(open(many_subs)) + [{"name": "This URL should fail", "url": "file:///no/such/feed.json"}]
+    subs = json.load(open(many_subs)) + [{"name": "gone feed", "url": "file:///no/such/feed.json"}]
     p = write_json(os.path.join(tmpdir_path, "bad_url.json"), subs)
     r = run_analysis(spark, p, ENTITIES_DIR)
     assert "Feeds fallidos: 1" in r.report()
-    assert any("Failed to download from 'This URL should fail'" in x["message"] for x in r.warnings.collect())
+    assert any("Failed to download from 'gone feed'" in x["message"] for x in r.warnings.collect())
 
 
 def test_missing_fields(spark, many_subs, tmpdir_path):
     import json
 
-    subs = json.load(open(many_subs)) + [{"incorrect_name": "incorrect_value"}]
+    subs = json.load(open(many_subs)) + [{"title": "no name, no url"}]
     p = write_json(os.path.join(tmpdir_path, "fields.json"), subs)
     r = run_analysis(spark, p, ENTITIES_DIR)
     assert r.rejected_subscriptions.count() == 1
