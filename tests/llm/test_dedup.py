@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from edge_cases import edge, edge_rows, nothing  # noqa: F401  (fixtures)
 from feedlens.llm import exact_dedup, near_dedup
 from feedlens.llm.components import components
 
@@ -94,7 +95,7 @@ def brute_components(sets):
 def test_near_duplicates_edge_cases(edge, edge_rows):
     sets = sets_of(edge_rows)
     want = brute_components(sets)
-    assert len(set(want.values())) < len(want) - 20
+    assert len(set(want.values())) < len(want) - 15
     got = near_dedup.near_duplicates(edge).collect()
     assert len(got) == len(edge_rows)
     for r in got:

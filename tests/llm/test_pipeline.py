@@ -6,6 +6,7 @@ import corpus_pipeline
 from feedlens.llm import quality_rules
 from feedlens.llm.common import land
 
+from edge_cases import edge, edge_rows, nothing  # noqa: F401  (fixtures)
 from test_dedup import brute_components, fold, sets_of
 from test_scoring import brute_rules
 from test_tokens import check_packing, ids

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from edge_cases import edge, edge_rows, nothing  # noqa: F401  (fixtures)
 from feedlens.llm import lm_score, mixing, quality_classifier, quality_rules, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -220,27 +221,24 @@ def test_lm_beats_its_base_on_held_out_documents(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
-def test_lm_probabilities_sum_to_one():
+def test_lm_probabilities_sum_to_one(spark):
     """In each context the predictive probabilities of all known words and of one unknown one."""
-    rng = np.random.default_rng(0)
-    words = np.arange(50, dtype=np.int64)
-    word = np.repeat(np.arange(50), 3)
-    context = np.tile([0, 1, 2], 50)
-    n = rng.integers(1, 2000, 150)
-    pairs = np.bincount(context, minlength=lm_score.CONTEXTS).astype(float)
-    model = {"N": n.sum(), "V": 50, "base": 1 / 51, "C": np.bincount(context, weights=n, minlength=lm_score.CONTEXTS), "d1": 0.3, "d0": 0.3, "T": pairs, "R": pairs.sum(), "S": 50.0}
-    for _ in range(3):
-        s = lm_score.Seating(words, word, context, n, model, 0)
-        root, tables = s.averaged()
-        model |= {"S": s.root_tables.sum(), "T": np.bincount(context, weights=tables, minlength=lm_score.CONTEXTS)}
-        model["R"] = model["T"].sum()
-    assert (tables >= 1).all() and (tables <= n).all()
-    unseen = (1 + model["d0"] * model["S"]) * model["base"] / (1 + model["R"])
-    assert abs(root.sum() + unseen - 1) < 0.05
-    for u in range(3):
-        own = 1 + model["C"][u]
-        total = ((n - 0.3 * tables)[context == u] / own).sum() + (1 + 0.3 * model["T"][u]) / own * (root.sum() + unseen)
-        assert abs(total - 1) < 0.02
+    rng = random.Random(0)
+    texts = [" ".join(rng.choice(["the", "of", "word", "thing", "other", "thing7", f"w{rng.randrange(30)}"]) for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id bigint, text string, held_out boolean")
+    asked = lm_score.encode(docs, 3).where("shard >= 0").select("chunk", "shard", "words", "pair_word", "pair_context", "pair_n")
+    counts = asked.groupBy("shard").applyInArrow(lm_score._merge, lm_score.COUNTS).persist()
+    model = lm_score.train(counts)
+    total, root_total = np.zeros(lm_score.CONTEXTS), 0.0
+    for batch in counts.toArrow().to_batches():
+        for s in lm_score._seatings(batch, model):
+            root, tables = s.averaged()
+            assert (tables >= 1).all() and (tables <= s.n).all()
+            total += np.bincount(s.context, weights=s.own(tables), minlength=lm_score.CONTEXTS)
+            root_total += root.sum() / model["whole"]
+    root_total += lm_score.unseen(model) / model["whole"]
+    assert abs(root_total - 1) < 1e-9 and (model["escape"] > 0).all()
+    assert np.allclose(total + model["escape"] * root_total, 1)
 
 
 def test_reseat_follows_the_seating_process():

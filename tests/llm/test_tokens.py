@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from edge_cases import edge, edge_rows, nothing  # noqa: F401  (fixtures)
 from feedlens.llm import packing, token_binary, token_count
 from feedlens.llm.common import scratch_path
 from feedlens.llm.word_ids import WordIds
@@ -38,6 +39,14 @@ def test_odd_texts():
         assert COUNTER.count([text]) == [len(LIBRARY[BYTE].encode(text, add_special_tokens=False).ids)], text
 
 
+def test_simple_words_keep_their_ids():
+    """Every letter below the bound, in a word of letters."""
+    letters = [ch for ch in map(chr, range(ord("ɐ"))) if ch.isalpha()]
+    for ch in letters:
+        text = f"a{ch}b {ch}{ch} X{ch}"
+        assert WordIds.encode(WORDS, [text.encode()])[0] == np.array(LIBRARY[WORD].encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
 def test_memo_generations(monkeypatch):
     from feedlens.llm import word_ids
 
@@ -130,7 +139,7 @@ def test_plan_places_everything(seed):
             placed[n] = placed.get(n, 0) + c * b.count
     assert placed == {int(v): int(c) for v, c in zip(values, counts, strict=True)}
     bound = max(-(-lengths.sum() // 4096), (lengths > 2048).sum())
-    assert sum(b.count for b in bins) <= bound * (1.03 if seed != 2 else 1.04) + 2
+    assert sum(b.count for b in bins) <= bound * 1.025 + 2
 
 
 def test_plan_rejects_lengths_beyond_the_capacity():
