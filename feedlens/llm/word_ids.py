@@ -4,18 +4,35 @@ Such a tokenizer (``word_bpe_49k.json`` cuts at white space before merging) enco
 the concatenation of its white-space words' ids, so each Python worker keeps the ids of words
 it has met, in a memo of bounded size, and asks the library only for new words, many in one
 call. Ids are little-endian unsigned 32-bit bytes throughout.
+
+A-Z are lower-cased first, which leaves the ids as they are and makes fewer distinct words (the
+tokenizer does so itself, after matching its special strings, so texts that may hold one are
+left alone). A stop or comma that ends a word after a-z is a pre-token of its own, so such a
+word's ids are those of the two parts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 
 from feedlens.llm.common import worker_state
 
-#: Words in each of a memo's two generations (about 200 bytes a word), the longest word kept, and characters given to the library at once.
-MEMO_WORDS, MEMO_BYTES, CALL_CHARS = 500_000, 64, 100_000
+#: Words in each of a memo's two generations (about 330 bytes a word), the longest word kept, and words given to the library as one text.
+MEMO_WORDS, MEMO_BYTES, CALL_WORDS = 250_000, 64, 500
+#: Letters below this code point are single code points in every normal form and case (but for the dotted capital I).
+SIMPLE_BELOW, DOTTED_I = "ɐ", "İ"
+
+
+def words_only(tokenizer: str) -> str:
+    """The tokenizer's definition for texts of lower-cased words of letters between spaces: the
+    same merges without normaliser, pattern and special strings, which do nothing to such texts."""
+    with open(tokenizer, encoding="utf-8") as f:
+        definition = json.load(f)
+    cut = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+    return json.dumps(definition | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": cut}})
 
 
 class WordIds:
@@ -23,42 +40,77 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.simple = Tokenizer.from_file(path), Tokenizer.from_str(words_only(path))
+        suffix = self.simple.model.end_of_word_suffix
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the tokens that end a word
+        self.ends[[k for token, k in self.tokenizer.get_vocab(False).items() if suffix and token.endswith(suffix)]] = True
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # the generation before; words met again move up
+        self.stops = {ord(c): np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in ".,"}
 
-    def learn(self, words: list[bytes]) -> None:
-        """Ask the library for these words: joined by spaces, cut again where each word begins."""
-        at = 0
-        while at < len(words):
-            taken, chars, starts = [], 0, []
-            while at < len(words) and (not taken or chars < CALL_CHARS):
-                word = words[at].decode("utf-8", "replace")
-                starts.append(chars)
-                taken.append(word)
-                chars += len(word) + 1
-                at += 1
-            found = self.tokenizer.encode(" ".join(taken), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            begins = np.array([a for a, _ in found.offsets], dtype=np.int64)
-            cuts = [4 * int(c) for c in np.searchsorted(begins, starts)] + [len(ids)]
-            for k, word in enumerate(words[at - len(taken) : at]):
-                self.memo[word] = ids[cuts[k] : cuts[k + 1]]
+    def learn(self, words: set[bytes]) -> None:
+        """Put ``words`` into the memo."""
+        known = words.intersection(self.older)
+        self.memo.update((w, self.older[w]) for w in known)
+        words = words - known
+        stopped = [w for w in words if w[-1] in self.stops and w[-2:-1].isalpha()]
+        whole = words.difference(stopped)
+        whole.update(w for w in (x[:-1] for x in stopped) if w not in self.memo)
+        self._ask(list(whole))
+        for word in stopped:
+            self.memo[word] = self.memo[word[:-1]] + self.stops[word[-1]]
+
+    def _ask(self, words: list[bytes]) -> None:
+        """Ask the library for these words, many in one text."""
+        simple, texts, other = [], [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha() and (text.isascii() or max(text) < SIMPLE_BELOW and DOTTED_I not in text):
+                simple.append(word)
+                texts.append(text if text.isascii() else text.lower())
+            else:
+                other.append(word)
+        parts = range(0, len(simple), CALL_WORDS)
+        found = self.simple.encode_batch_fast([" ".join(texts[k : k + CALL_WORDS]) for k in parts], add_special_tokens=False)
+        for k, encoding in zip(parts, found, strict=True):
+            ids = np.array(encoding.ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            own = simple[k : k + CALL_WORDS]
+            if len(cuts) != len(own) or cuts[-1] != len(ids):  # not a tokenizer with word ends
+                other += own
+            else:
+                self._keep(own, ids.tobytes(), [0, *cuts.tolist()])
+        for k in range(0, len(other), CALL_WORDS):
+            own = other[k : k + CALL_WORDS]
+            texts = [w.decode("utf-8", "replace") for w in own]
+            encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            begins = np.array([a for a, _ in encoding.offsets], dtype=np.int64)
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+            ids = np.array(encoding.ids, dtype="<u4")
+            self._keep(own, ids.tobytes(), [*np.searchsorted(begins, starts).tolist(), len(ids)])
+
+    def _keep(self, words: list[bytes], ids: bytes, cuts: list[int]) -> None:
+        for k, word in enumerate(words):
+            self.memo[word] = ids[4 * cuts[k] : 4 * cuts[k + 1]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(self.memo)
-        known = new.intersection(self.older)
-        self.memo.update((w, self.older[w]) for w in known)
-        new = list(new - known)
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        flat = [w for words in split for w in words]
+        ids = list(map(self.memo.get, flat))
+        missing = [k for k, x in enumerate(ids) if x is None]
+        new = {flat[k] for k in missing}
         self.learn(new)
-        get = self.memo.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
+        for k in missing:
+            ids[k] = self.memo[flat[k]]
         for word in new:
             if len(word) > MEMO_BYTES:
                 del self.memo[word]
+        out, at = [], 0
+        for words in split:
+            out.append(b"".join(ids[at : at + len(words)]))
+            at += len(words)
         return out
 
 
