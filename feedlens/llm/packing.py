@@ -3,14 +3,18 @@
 Lengths are whole numbers of at most ``capacity`` tokens, so the histogram of lengths (at most
 ``capacity`` rows however large the input) holds all that the plan needs. On the driver:
 
-1. *Large* lengths (over ``capacity / LARGE``) are put in order and cut into ``GROUPS`` groups
-   of equal cardinality; each is rounded up to the largest of its group.
+1. *Large* lengths (over ``capacity / LARGE``) are put in order and cut into groups of equal
+   cardinality; each is rounded up to the largest of its group.
 2. The few sizes left give a configuration problem, solved by column generation: a revised
    simplex over configurations, new ones found by an unbounded knapsack. Counts are rounded down.
 3. Actual lengths take the places of the rounded ones.
 4. What is left, and all small lengths, go by best fit, longest first, into the sequence with
    the least room that holds them; a new sequence opens only if none does.
 
+Few groups waste more room by rounding, many leave less of it for small lengths: the numbers
+of groups in ``GROUPS`` are tried in turn until a plan is within ``NEAR`` of the lower bound,
+and the shortest plan counts.
+
 The plan is a list of runs: the documents of one length with ranks r0, r0+1, ... go to
 consecutive sequences at one offset. Documents are ranked among those of their length by a
 distributed running count (any share of them may have one length) and find their run by
@@ -26,12 +30,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import land, running, slices, texts_of
+from feedlens.llm.common import bounded_batches, land, running, slices, texts_of
 from feedlens.llm.word_ids import encoder
 
 CAPACITY = 4096
-#: A length is large if it is over capacity / LARGE; large lengths fall into so many groups.
-LARGE, GROUPS = 8, 24
+#: A length is large if it is over capacity / LARGE. Numbers of groups to try, and when to stop.
+LARGE, GROUPS, NEAR = 8, (12, 24, 48, 96), 1.001
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
@@ -52,22 +56,28 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
         inverse = np.linalg.inv(basis)
         use = inverse @ demand
         price = np.ones(k) @ inverse
-        # the best configuration at these prices: an unbounded knapsack over the capacity
-        best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for j in range(k):
-            if price[j] > 1e-12:
-                s = int(sizes[j])
-                for c in range(s, capacity + 1, 1):
-                    v = best[c - s] + price[j]
-                    if v > best[c] + 1e-12:
-                        best[c], last[c] = v, j
+        # the best configuration at these prices: a knapsack in as many rounds as items can fit
+        best, last, before = np.zeros(capacity + 1), [], None
+        useful = np.flatnonzero(price > 1e-12)
+        for _ in range(capacity // int(sizes.min())):
+            before, pick = best, np.full(capacity + 1, -1)
+            best = before.copy()
+            for item in useful:
+                size = int(sizes[item])
+                value = before[:-size] + price[item]
+                more = value > best[size:] + 1e-12
+                best[size:][more], pick[size:][more] = value[more], item
+            last.append(pick)
+            if (pick < 0).all():
+                break
         c = int(best.argmax())
         if best[c] <= 1 + 1e-7:
             break
         column = np.zeros(k)
-        while c > 0 and last[c] >= 0:
-            column[last[c]] += 1
-            c -= int(sizes[last[c]])
+        for pick in reversed(last):
+            if pick[c] >= 0:
+                column[pick[c]] += 1
+                c -= int(sizes[pick[c]])
         direction = inverse @ column
         grows = direction > 1e-9
         if not grows.any():
@@ -129,11 +139,24 @@ def plan_large(counts: dict[int, int], capacity: int, groups: int) -> list[Bins]
     return placed
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, large: int = LARGE, groups: int = GROUPS) -> list[Bins]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, large: int = LARGE, groups: tuple[int, ...] = GROUPS) -> list[Bins]:
     """Sequences for ``histogram`` (length to count): every item placed, none over ``capacity``."""
     counts = {int(k): int(v) for k, v in histogram.items() if v > 0}
     if counts and (min(counts) < 1 or max(counts) > capacity):
         raise ValueError("lengths must lie between 1 and the capacity")
+    bound = max(-(-sum(k * v for k, v in counts.items()) // capacity), sum(v for k, v in counts.items() if 2 * k > capacity))
+    best: list[Bins] | None = None
+    for g in groups:
+        found = plan_with(dict(counts), capacity, large, g)
+        if best is None or sum(b.count for b in found) < sum(b.count for b in best):
+            best = found
+        if sum(b.count for b in best) <= NEAR * bound:
+            break
+    return best or []
+
+
+def plan_with(counts: dict[int, int], capacity: int, large: int, groups: int) -> list[Bins]:
+    """The plan with one number of groups."""
     done = [Bins(counts.pop(capacity), [(capacity, 1)])] if capacity in counts else []
     big = {k: v for k, v in counts.items() if k > capacity // large}
     open_bins: dict[int, list[Bins]] = {}
@@ -239,7 +262,7 @@ def token_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
                 d, p, s, x = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(p, pa.int32()), pa.array(s, pa.int64()), pa.array([len(i) // 4 for i in x], pa.int64()), pa.array(x, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
 
-    return df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(cut, PIECES)
+    return bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(cut, PIECES)
 
 
 def pack_documents(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
