@@ -16,6 +16,9 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 #: Ids, digests or runs are broadcast only when a count has shown at most so many rows.
 MAX_BROADCAST_ROWS = 1_000_000
 
+#: Largest Arrow batch between the JVM and a Python worker; both sides hold a few of them.
+ARROW_BYTES = 4_000_000
+
 #: Texts are taken out of an Arrow batch in slices of about so many bytes.
 SLICE_BYTES = 2_000_000
 
@@ -45,6 +48,14 @@ def bounded_broadcast(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session's Arrow batches are from now on at most ``ARROW_BYTES`` (a smaller setting stays)."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if int("".join(c for c in conf.get(key, "0") if c.isdigit()) or 0) > ARROW_BYTES:
+        conf.set(key, str(ARROW_BYTES))
+    return df
+
+
 def fold(column: Column) -> Column:
     """A-Z only lower-casing, JVM-side. ``translate`` walks the text by code point."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

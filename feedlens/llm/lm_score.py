@@ -13,15 +13,16 @@ one after another, each at a new table with probability
 probability`` (beyond the first few in growing blocks, in which the probability is held). A
 sweep does so for every word and context, then for the root. The tables of a whole restaurant
 are summed over all words between rounds, as usual for distributed Gibbs. The predictive
-probability is averaged over ``SAMPLES`` sweeps. Discounts come from the counts of counts.
+probability is averaged over ``SAMPLES`` sweeps, and each context's mass is made to sum to one
+over all words and an unknown one. Discounts come from the counts of counts.
 
 How the work is spread. Each task reads *chunks* of about ``CHUNK_BYTES`` of text, numbers a
 chunk's distinct words and (word, context) pairs, and keeps its documents as pair numbers. The
 pairs go to *shards* by word hash, one row for each chunk and shard: there the counts of all
 chunks meet (a hot word is one entry a chunk), a word's seating is wholly local, and the answer
 for each chunk's pairs goes back. So what is gathered grows with the corpus, no vocabulary is
-ever in one place, and a chunk or shard has a bounded size: there are as many shards as input
-partitions. Each text is read once.
+ever in one place, and a chunk or shard has a bounded size: there are twice as many shards as
+input partitions. Each text is read once.
 
 Defined cases: null and empty texts are the end token alone; null ids are never held out;
 repeated rows count each time; with no training rows at all every token has probability one;
@@ -34,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import land, mix, remainder, slices, texts_of, word_hashes
+from feedlens.llm.common import bounded_batches, land, mix, remainder, slices, texts_of, word_hashes
 
 CONTEXTS, SHORT = 32, 3
 CHUNK_BYTES = 16_000_000
@@ -190,6 +191,10 @@ class Seating:
         self.root_customers = np.bincount(self.word, weights=self.tables, minlength=len(self.words))
         self.root_tables = reseat(self.root_customers, np.full(len(self.words), (THETA + m["d0"] * m["S"]) * m["base"]), m["d0"], self.random)
 
+    def own(self, tables):
+        """What a context gives to each of its words itself, before it asks the root."""
+        return np.maximum(self.n - self.m["d1"] * tables, 0) / (THETA + self.m["C"][self.context])
+
     def averaged(self) -> tuple[np.ndarray, np.ndarray]:
         """Mean root probability of each word, and mean tables of each pair, over the samples."""
         for _ in range(BURN_IN):
@@ -248,14 +253,27 @@ def train(counts: DataFrame) -> dict:
 
         v = _summed(counts, tables)
         model |= {"S": v[0], "T": v[1:], "R": v[1:].sum()}
+    # what the averages give to known words; the rest of each context's mass goes to the root, whose own is made whole
+    if model["N"]:
+        settled = dict(model)
+
+        def masses(batch):
+            for s in _seatings(batch, settled):
+                root, tables = s.averaged()
+                yield np.r_[root.sum(), np.bincount(s.context, weights=s.own(tables), minlength=CONTEXTS)]
+
+        mass = _summed(counts, masses)
+        model |= {"whole": mass[0] + unseen(model), "escape": 1 - mass[1:]}
     return model
 
 
+def unseen(model: dict) -> float:
+    """The root's probability of a word without customers."""
+    return (THETA + model["d0"] * model["S"]) * model["base"] / (THETA + model["R"])
+
+
 def _answer(model: dict):
     """For one shard: the log10 probability and the training count of each chunk's pairs."""
-    own = (THETA + model["C"]) if model["N"] else np.ones(CONTEXTS)
-    escape = (THETA + model["d1"] * model["T"]) / own
-
     def run(asked, counts):
         import pyarrow as pa
 
@@ -263,11 +281,10 @@ def _answer(model: dict):
             (s,) = _seatings(counts.combine_chunks().to_batches()[0], model)
             root, tables = s.averaged() if len(s.words) else (np.empty(0), np.empty(0))
             count = np.bincount(s.word, weights=s.n, minlength=len(s.words)).astype(np.int64)
-            add = np.maximum(s.n - model["d1"] * tables, 0) / own[s.context] if len(s.n) else np.empty(0)
+            add = s.own(tables) if len(s.n) else np.empty(0)
             known, keys = s.words, s.word * CONTEXTS + s.context
         else:
             root, count, add, known, keys = np.empty(0), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
-        unseen = (THETA + model["d0"] * model["S"]) * model["base"] / (THETA + model["R"]) if model["N"] else 1.0
         words, n_words = _lists(asked.column("words"))
         pair_word, n_pairs = _lists(asked.column("pair_word"))
         context = _lists(asked.column("pair_context"))[0].astype(np.int64)
@@ -278,11 +295,11 @@ def _answer(model: dict):
 
         at, hit = found(known, words)
         # one place more, for what is not there
-        root, count, add = np.r_[root, unseen], np.r_[count, 0], np.r_[add, 0.0]
+        root, count, add = np.r_[root, unseen(model) if model["N"] else 1.0], np.r_[count, 0], np.r_[add, 0.0]
         at = np.where(hit, at, len(known))
         word = at[np.repeat(np.cumsum(n_words) - n_words, n_pairs) + pair_word]
         pair, there = found(keys, word * CONTEXTS + context)
-        p = add[np.where(there, pair, len(keys))] + escape[context] * root[word] if model["N"] else np.ones(len(word))
+        p = add[np.where(there, pair, len(keys))] + model["escape"][context] * root[word] / model["whole"] if model["N"] else np.ones(len(word))
         offsets = pa.array(np.r_[0, np.cumsum(n_pairs)], pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(v, k)) for v, k in ((np.log10(p), pa.float32()), (count[word], pa.int64()))]
         return pa.table([asked.column("chunk").combine_chunks(), asked.column("shard").combine_chunks(), *lists], names=["chunk", "shard", "logp", "count"])
@@ -313,9 +330,9 @@ def _score(model: dict):
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` and its ``perplexity``."""
-    chosen = df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
+    chosen = bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     chosen = chosen.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), HELD_MODULUS) == HELD_REMAINDER, F.lit(False)))
-    encoded = land(encode(chosen, max(8, chosen.rdd.getNumPartitions())), "encoded")
+    encoded = land(encode(chosen, max(8, 2 * chosen.rdd.getNumPartitions())), "encoded")
     asked = encoded.where("shard >= 0").select("chunk", "shard", "words", "pair_word", "pair_context", "pair_n")
     counts = land(asked.groupBy("shard").applyInArrow(_merge, COUNTS), "counts")
     model = train(counts)

@@ -17,11 +17,12 @@ a document's component is the smallest id reachable through links.
    standard errors), the full sets decide.
 5. Buckets whose members are then all in one component are done. In the others the pairs
    across components are searched without writing them all down. Each open document x has a
-   home pivot p; with a = |x & p| and e = how many of x's shingles outside p some other
+   home pivot p; with a = |x & p| and E = those of x's shingles outside p that some other
    open document of that home has, two documents of one home share at most
-   ``min(a, a') + min(e, e')`` shingles. Pairs for which this is too few are never formed;
-   the others, and pairs with different homes, are compared as in step 4. So no link between
-   bucket mates is lost, and a large group of copies costs about its size, not its square.
+   ``min(a, a') + |E & E'|`` shingles, and documents with ``a + |E|`` too small for any mate
+   need no look. Pairs for which this is too few are never formed; the others, and pairs
+   with different homes, are compared as in step 4. So no link between bucket mates is
+   lost, and a large group of copies costs about its size, not its square.
 6. Components by star contraction.
 
 Shuffles move ids, keys and registers; full sets move for bucket mates only. Texts are read
@@ -38,7 +39,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_broadcast, land, mix, slices, texts_of, word_hashes
+from feedlens.llm.common import bounded_batches, bounded_broadcast, land, mix, slices, texts_of, word_hashes
 from feedlens.llm.components import components
 
 SHINGLE = 4
@@ -121,7 +122,7 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
 
 
 def _chosen(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
+    return bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -217,8 +218,9 @@ def open_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
     told = land(compared.mapInArrow(_outside, "doc_id bigint, home bigint, shared bigint, outside array<bigint>"), "outside")
     apart = told.select("doc_id", "home", F.explode("outside").alias("s"))
     common = apart.groupBy("home", "s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    extra = apart.join(common, ["home", "s"]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("extra"))
-    known = of.join(told.groupBy("doc_id").agg(F.max("shared").alias("shared")), "doc_id").join(extra, "doc_id", "left").fillna(0, ["extra"])
+    extra = apart.join(common, ["home", "s"]).groupBy("doc_id").agg(F.collect_list("s").alias("extra"))
+    known = of.join(told.groupBy("doc_id").agg(F.max("shared").alias("shared")), "doc_id").join(extra, "doc_id", "left")
+    known = known.withColumn("extra", F.coalesce("extra", F.array().cast("array<bigint>")))
     placed = land(open_members.select("key", "doc_id").distinct().join(known, "doc_id"), "placed")
 
     def cross(rows: DataFrame, on: list[str], more: str) -> DataFrame:
@@ -232,10 +234,12 @@ def open_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
         return left.join(right, F.expr(" and ".join(f"{c} = {c}_r" for c in on) + f" and {fits}")).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
 
     group = placed.groupBy("key", "home").agg(F.min("n").alias("least_n"))
-    able = placed.join(group, ["key", "home"]).where("9 * (shared + extra) >= 4 * (n + least_n)").drop("least_n")
-    alike = cross(able, ["key", "home"], "9 * (least(shared_a, shared_b) + least(extra_a, extra_b)) >= 4 * (n_a + n_b)")
+    able = placed.join(group, ["key", "home"]).where("9 * (shared + size(extra)) >= 4 * (n + least_n)").drop("least_n")
+    enough = "9 * (least(shared_a, shared_b) + {}) >= 4 * (n_a + n_b)"
+    cheap, exact = enough.format("least(size(extra_a), size(extra_b))"), enough.format("size(array_intersect(extra_a, extra_b))")
+    alike = cross(able, ["key", "home"], f"{cheap} and {exact}")
     several = group.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
-    other = cross(placed.join(several, "key", "left_semi"), ["key"], "home_a <> home_b")
+    other = cross(placed.join(several, "key", "left_semi").drop("extra", "shared"), ["key"], "home_a <> home_b")
     return alike.unionByName(other).distinct()
 
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import land, remainder, segment_sums, slices, texts_of, word_hashes
+from feedlens.llm.common import bounded_batches, land, remainder, segment_sums, slices, texts_of, word_hashes
 
 #: Share of the pooled covariance, then of the diagonal, in each class's covariance.
 POOLED, DIAGONAL = 0.10, 0.10
@@ -99,7 +99,7 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 column = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), column], names=["doc_id", "x"])
 
-    return df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(compute, "doc_id bigint, x array<double>")
+    return bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(compute, "doc_id bigint, x array<double>")
 
 
 def matrix(column) -> np.ndarray:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from feedlens.llm.common import segment_sums, slices, texts_of, word_hashes
+from feedlens.llm.common import bounded_batches, segment_sums, slices, texts_of, word_hashes
 
 #: Largest share of characters inside repeated n-grams, by n; the first occurrence does not count.
 NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -135,7 +135,7 @@ def _judge(batches, limits, line_limit, symbol_limit):
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
     """One row for each row of ``df``: its figures, ``base_failed`` and ``kept``."""
-    chosen = df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
+    chosen = bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     return chosen.mapInArrow(lambda batches: _judge(batches, limits, line_limit, symbol_limit), SCHEMA)
 
 
@@ -154,4 +154,4 @@ def keep_good(df: DataFrame, text_col: str = "text") -> DataFrame:
                 kept = [x.column("kept") for x in _judge([alone], limits, LINE_LIMIT, SYMBOL_LIMIT)]
                 yield part.filter(pa.chunked_array(kept).combine_chunks())
 
-    return df.mapInArrow(judge, df.schema)
+    return bounded_batches(df).mapInArrow(judge, df.schema)

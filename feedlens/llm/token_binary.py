@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import scratch_path, slices, texts_of
+from feedlens.llm.common import bounded_batches, scratch_path, slices, texts_of
 from feedlens.llm.word_ids import encoder
 
 LENGTH, BATCH_SEQUENCES = 2048, 128
@@ -107,7 +107,7 @@ def write(df: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int
         if shard:
             shard.close()
 
-    chosen = df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").withColumn("tie", F.xxhash64("text"))
+    chosen = bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").withColumn("tie", F.xxhash64("text"))
     ordered = chosen.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     ordered.mapInArrow(put, INDEX).write.parquet(f"{path}/index")
     return df.sparkSession.read.schema(INDEX).parquet(f"{path}/index")

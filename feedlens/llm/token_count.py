@@ -22,7 +22,7 @@ import os
 
 from pyspark.sql import DataFrame
 
-from feedlens.llm.common import slices, texts_of, worker_state
+from feedlens.llm.common import bounded_batches, slices, texts_of, worker_state
 
 #: Character classes are compared with the library's below this code point.
 SAFE_BELOW = "ɐ"
@@ -111,4 +111,4 @@ def token_counts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
                 n = counter.count([t.decode("utf-8", "replace") for t in raw])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t) for t in raw], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-    return df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(count, SCHEMA)
+    return bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text").mapInArrow(count, SCHEMA)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 
@@ -26,13 +27,20 @@ MEMO_WORDS, MEMO_BYTES, CALL_WORDS = 250_000, 64, 500
 SIMPLE_BELOW, DOTTED_I = "ɐ", "İ"
 
 
-def words_only(tokenizer: str) -> str:
-    """The tokenizer's definition for texts of lower-cased words of letters between spaces: the
-    same merges without normaliser, pattern and special strings, which do nothing to such texts."""
-    with open(tokenizer, encoding="utf-8") as f:
-        definition = json.load(f)
-    cut = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
-    return json.dumps(definition | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": cut}})
+def words_only(path: str):
+    """A tokenizer for texts of lower-cased words of letters between spaces: the file's merges
+    without normaliser, pattern and special strings, which do nothing to such texts, and
+    without the library's own memo. None if the file's model does not mark the ends of words."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model["type"] != "BPE" or not model.get("end_of_word_suffix"):
+        return None
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    out = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, end_of_word_suffix=model["end_of_word_suffix"]))
+    out.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return out
 
 
 class WordIds:
@@ -40,19 +48,22 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.simple = Tokenizer.from_file(path), Tokenizer.from_str(words_only(path))
-        suffix = self.simple.model.end_of_word_suffix
+        self.tokenizer, self.simple = Tokenizer.from_file(path), words_only(path)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the tokens that end a word
-        self.ends[[k for token, k in self.tokenizer.get_vocab(False).items() if suffix and token.endswith(suffix)]] = True
+        if self.simple:
+            suffix = self.simple.model.end_of_word_suffix
+            self.ends[[k for token, k in self.tokenizer.get_vocab(False).items() if token.endswith(suffix)]] = True
         self.memo: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}  # the generation before; words met again move up
+        self.older: dict[bytes, bytes] = {}  # the generation before
+        self.frequent: dict[bytes, bytes] = {}  # words met in two generations: they stay on
         self.stops = {ord(c): np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in ".,"}
 
     def learn(self, words: set[bytes]) -> None:
         """Put ``words`` into the memo."""
-        known = words.intersection(self.older)
-        self.memo.update((w, self.older[w]) for w in known)
-        words = words - known
+        known = {w: self.older[w] for w in words.intersection(self.older)}
+        self.memo |= known
+        self.frequent |= known
+        words = words.difference(known)
         stopped = [w for w in words if w[-1] in self.stops and w[-2:-1].isalpha()]
         whole = words.difference(stopped)
         whole.update(w for w in (x[:-1] for x in stopped) if w not in self.memo)
@@ -65,21 +76,17 @@ class WordIds:
         simple, texts, other = [], [], []
         for word in words:
             text = word.decode("utf-8", "replace")
-            if text.isalpha() and (text.isascii() or max(text) < SIMPLE_BELOW and DOTTED_I not in text):
+            if self.simple and text.isalpha() and (text.isascii() or max(text) < SIMPLE_BELOW and DOTTED_I not in text):
                 simple.append(word)
                 texts.append(text if text.isascii() else text.lower())
             else:
                 other.append(word)
         parts = range(0, len(simple), CALL_WORDS)
-        found = self.simple.encode_batch_fast([" ".join(texts[k : k + CALL_WORDS]) for k in parts], add_special_tokens=False)
+        found = self.simple.encode_batch_fast([" ".join(texts[k : k + CALL_WORDS]) for k in parts], add_special_tokens=False) if simple else []
         for k, encoding in zip(parts, found, strict=True):
             ids = np.array(encoding.ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            own = simple[k : k + CALL_WORDS]
-            if len(cuts) != len(own) or cuts[-1] != len(ids):  # not a tokenizer with word ends
-                other += own
-            else:
-                self._keep(own, ids.tobytes(), [0, *cuts.tolist()])
+            self._keep(simple[k : k + CALL_WORDS], ids.tobytes(), [0, *cuts.tolist()])
         for k in range(0, len(other), CALL_WORDS):
             own = other[k : k + CALL_WORDS]
             texts = [w.decode("utf-8", "replace") for w in own]
@@ -95,9 +102,11 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.memo) > MEMO_WORDS:
-            self.memo, self.older = {}, self.memo
+            if len(self.frequent) > MEMO_WORDS // 2:
+                self.frequent = {}
+            self.memo, self.older = dict(self.frequent), self.memo
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        flat = [w for words in split for w in words]
+        flat = list(chain.from_iterable(split))
         ids = list(map(self.memo.get, flat))
         missing = [k for k, x in enumerate(ids) if x is None]
         new = {flat[k] for k in missing}
