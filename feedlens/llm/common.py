@@ -51,8 +51,8 @@ def bounded_broadcast(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFram
 def bounded_batches(df: DataFrame) -> DataFrame:
     """``df``; its session's Arrow batches are from now on at most ``ARROW_BYTES`` (a smaller setting stays)."""
     key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
-    if int("".join(c for c in conf.get(key, "0") if c.isdigit()) or 0) > ARROW_BYTES:
-        conf.set(key, str(ARROW_BYTES))
+    if df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(key)) > ARROW_BYTES:
+        conf.set(key, f"{ARROW_BYTES}b")
     return df
 
 
