@@ -145,3 +145,26 @@ def test_plan_places_everything(seed):
 def test_plan_rejects_lengths_beyond_the_capacity():
     with pytest.raises(ValueError):
         packing.plan({5000: 1})
+
+
+def test_workers_need_no_package(tmp_path):
+    """Python workers that cannot import ``feedlens``: functions and classes go by value."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from feedlens.session import local_session
+from feedlens.llm import lm_score, near_dedup, packing, quality_rules
+spark = local_session(cores=2, shuffle_partitions=2)
+docs = spark.createDataFrame([(i, "some words of a text number %d" % (i // 2)) for i in range(6)], "doc_id bigint, text string")
+print("ROWS", packing.pack_documents(docs, {WORD!r}, 1).count(), quality_rules.quality_rules(docs).count(),
+      near_dedup.near_duplicates(docs).where("kept").count(), lm_score.lm_scores(docs).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert "ROWS 6 6 3 6" in out.stdout
