@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import config
+from feedlens.functions import formatting as fmt
 from feedlens.functions.text import java_trim, tokens, utf16_length
 from feedlens.operators import aggregate, detect, posts, stats
 from feedlens.plans import quality, reports
@@ -76,6 +77,9 @@ MISSING_FILE_SQL = "'Warning: Could not load dictionary file ''%s'''"
 ENTITY_LINE_SQL = "'[Type=%s] %s: %d apariciones'"
 TOTAL_LINE_SQL = "'Entidades totales: %d'"
 TYPE_LINE_SQL = "'    [%s]: %d'"
+ENTITY_HEADER_SQL = "'============ ENTIDADES NOMBRADAS MÁS FRECUENTES ============'"
+TYPE_HEADER_SQL = "'============ ESTADÍSTICAS DE ENTIDADES ============'"
+TYPE_SUBHEADER_SQL = "'Entidades por categoría:'"
 # --- end of fixed values ------------------------------------------------------
 
 
@@ -602,6 +606,31 @@ def q_type_lines(spark, sf):
     return reports.type_lines(aggregate.type_stats_from_counts(_doc_counts(spark, sf)))
 
 
+@register(
+    "entity_report_text",
+    SQL_DOC_COUNTS.rstrip() + ",\ntop AS (" + sql_top(10) + ")\n"
+    f"SELECT {ENTITY_HEADER_SQL} || chr(10) || coalesce(string_agg(printf({ENTITY_LINE_SQL}, entity_type, entity_name, n), "
+    "chr(10) ORDER BY rank), '') AS text FROM top",
+)
+def q_entity_report_text(spark, sf):
+    """K4 + X13: the whole report as one text."""
+    lines = reports.entity_lines(aggregate.top_entities(_doc_counts(spark, sf), 10))
+    return reports.rendered(lines, "rank", fmt.ENTITY_HEADER)
+
+
+@register(
+    "type_report_text",
+    SQL_DOC_COUNTS.rstrip() + ",\n" + SQL_TWT + ",\n" + SQL_TYPE_STATS + "\n"
+    f"SELECT {TYPE_HEADER_SQL} || chr(10) || max(CASE WHEN ordinal = 0 THEN printf({TOTAL_LINE_SQL}, n) END) || chr(10) "
+    f"|| {TYPE_SUBHEADER_SQL} || chr(10) || string_agg(printf({TYPE_LINE_SQL}, entity_type, n), chr(10) ORDER BY ordinal) "
+    "FILTER (WHERE ordinal > 0) AS text FROM type_stats",
+)
+def q_type_report_text(spark, sf):
+    """K3 + X13: the whole report as one text."""
+    lines = reports.type_lines(aggregate.type_stats_from_counts(_doc_counts(spark, sf)))
+    return reports.rendered(lines, "ordinal", fmt.TYPE_HEADER, subheader_after=1)
+
+
 _QC_SQL = (
     sql_with(sql_doc_posts(), SQL_FEEDS, SQL_ENTRIES, SQL_LINES, SQL_CLEAN, FILE_MAP_CTE)
     + """, missing AS (

@@ -47,11 +47,18 @@ def type_lines(stats: DataFrame) -> DataFrame:
     return stats.select("ordinal", line.alias("line"))
 
 
-def render(lines: DataFrame, order: str, header: str, subheader_after: int | None = None) -> str:
-    """Text of one report: header then the lines in order (bounded rows)."""
-    rows = [r["line"] for r in lines.orderBy(order).collect()]
+def rendered(lines: DataFrame, order: str, header: str, subheader_after: int | None = None) -> DataFrame:
+    """One report as one row ``text``: header, newline, then the lines in order joined by
+    newlines (so an empty report still ends with the newline after its header)."""
+    sorted_lines = F.transform(F.array_sort(F.collect_list(F.struct(order, "line"))), lambda r: r["line"])
     if subheader_after is not None:
-        rows.insert(subheader_after, fmt.TYPE_SUBHEADER)
-    # header, newline, then the lines joined by newlines (so an empty
-    # report still ends with the newline after its header)
-    return header + "\n" + "\n".join(rows)
+        rest = F.slice("lines", subheader_after + 1, F.greatest(F.size("lines"), F.lit(1)))
+        body = F.concat(F.slice("lines", 1, subheader_after), F.array(F.lit(fmt.TYPE_SUBHEADER)), rest)
+    else:
+        body = F.col("lines")
+    return lines.agg(sorted_lines.alias("lines")).select(F.concat(F.lit(header + "\n"), F.array_join(body, "\n")).alias("text"))
+
+
+def render(lines: DataFrame, order: str, header: str, subheader_after: int | None = None) -> str:
+    """Text of one report (bounded rows)."""
+    return rendered(lines, order, header, subheader_after).first()["text"]
