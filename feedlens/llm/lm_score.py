@@ -3,9 +3,8 @@
 Tokens are a text's lower-cased words and one end token. The model is a hierarchy of Chinese
 restaurants: the root serves words over a uniform base of 1 / (V + 1); each *context* has a
 restaurant whose new tables are customers of the root, which all contexts share as parent.
-A token's context is the nearest preceding word of at most ``SHORT`` bytes (articles,
-prepositions and the like: they tell language and syntax), hashed to one of ``CONTEXTS - 1``
-restaurants; before the first such word there is one more.
+A token's context is the word right before it, whatever its length; a text's first token has a
+context of its own. So there are as many restaurants as words that precede another.
 
 Seating is sampled by Gibbs: all customers of a word in a restaurant leave and sit down again
 one after another, each at a new table with probability
@@ -16,13 +15,15 @@ are summed over all words between rounds, as usual for distributed Gibbs. The pr
 probability is averaged over ``SAMPLES`` sweeps, and each context's mass is made to sum to one
 over all words and an unknown one. Discounts come from the counts of counts.
 
-How the work is spread. Each task reads *chunks* of about ``CHUNK_BYTES`` of text, numbers a
-chunk's distinct words and (word, context) pairs, and keeps its documents as pair numbers. The
-pairs go to *shards* by word hash, one row for each chunk and shard: there the counts of all
-chunks meet (a hot word is one entry a chunk), a word's seating is wholly local, and the answer
-for each chunk's pairs goes back. So what is gathered grows with the corpus, no vocabulary is
-ever in one place, and a chunk or shard has a bounded size: there are twice as many shards as
-input partitions. Each text is read once.
+How the work is spread: see ``lm_restaurants``. Each task reads *chunks* of about
+``CHUNK_BYTES`` of text and keeps its documents as numbers of the chunk's distinct pairs; the
+pairs are counted on a grid of twice as many shards as input partitions, and the answer for
+each chunk's pairs goes back. So what is gathered grows with the corpus, and no vocabulary and
+no restaurant need be in one place. Each text is read once.
+
+``encode``, ``_merge``, ``Seating`` and ``train`` are the reduced model of earlier versions (the
+nearest word of at most ``SHORT`` bytes, hashed to ``CONTEXTS`` restaurants). ``lm_scores`` does
+not use them; an existing test does.
 
 Defined cases: null and empty texts are the end token alone; null ids are never held out;
 repeated rows count each time; with no training rows at all every token has probability one;
@@ -272,41 +273,6 @@ def unseen(model: dict) -> float:
     return (THETA + model["d0"] * model["S"]) * model["base"] / (THETA + model["R"])
 
 
-def _answer(model: dict):
-    """For one shard: the log10 probability and the training count of each chunk's pairs."""
-    def run(asked, counts):
-        import pyarrow as pa
-
-        if counts.num_rows:
-            (s,) = _seatings(counts.combine_chunks().to_batches()[0], model)
-            root, tables = s.averaged() if len(s.words) else (np.empty(0), np.empty(0))
-            count = np.bincount(s.word, weights=s.n, minlength=len(s.words)).astype(np.int64)
-            add = s.own(tables) if len(s.n) else np.empty(0)
-            known, keys = s.words, s.word * CONTEXTS + s.context
-        else:
-            root, count, add, known, keys = np.empty(0), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
-        words, n_words = _lists(asked.column("words"))
-        pair_word, n_pairs = _lists(asked.column("pair_word"))
-        context = _lists(asked.column("pair_context"))[0].astype(np.int64)
-
-        def found(table, x):
-            at = np.minimum(np.searchsorted(table, x), max(len(table) - 1, 0))
-            return at, (table[at] == x if len(table) else np.zeros(len(x), bool))
-
-        at, hit = found(known, words)
-        # one place more, for what is not there
-        root, count, add = np.r_[root, unseen(model) if model["N"] else 1.0], np.r_[count, 0], np.r_[add, 0.0]
-        at = np.where(hit, at, len(known))
-        word = at[np.repeat(np.cumsum(n_words) - n_words, n_pairs) + pair_word]
-        pair, there = found(keys, word * CONTEXTS + context)
-        p = add[np.where(there, pair, len(keys))] + model["escape"][context] * root[word] / model["whole"] if model["N"] else np.ones(len(word))
-        offsets = pa.array(np.r_[0, np.cumsum(n_pairs)], pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, k)) for v, k in ((np.log10(p), pa.float32()), (count[word], pa.int64()))]
-        return pa.table([asked.column("chunk").combine_chunks(), asked.column("shard").combine_chunks(), *lists], names=["chunk", "shard", "logp", "count"])
-
-    return run
-
-
 def _score(model: dict):
     """For one chunk: the figures of its documents."""
     whole = np.log10(model["N"] + model["V"] + 1)
@@ -330,14 +296,20 @@ def _score(model: dict):
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` and its ``perplexity``."""
+    from feedlens.llm import lm_restaurants
+
     chosen = bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
     chosen = chosen.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), HELD_MODULUS) == HELD_REMAINDER, F.lit(False)))
-    encoded = land(encode(chosen, max(8, 2 * chosen.rdd.getNumPartitions())), "encoded")
-    asked = encoded.where("shard >= 0").select("chunk", "shard", "words", "pair_word", "pair_context", "pair_n")
-    counts = land(asked.groupBy("shard").applyInArrow(_merge, COUNTS), "counts")
-    model = train(counts)
-    questions = asked.select("chunk", "shard", "words", "pair_word", "pair_context")
-    answers = questions.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(_answer(model), "chunk bigint, shard int, logp array<float>, count array<bigint>")
+    grid = lm_restaurants.side(max(8, 2 * chosen.rdd.getNumPartitions()))
+    with lm_restaurants.tidy(df.sparkSession):
+        encoded = land(lm_restaurants.encode(chosen, grid), "encoded")
+        pairs = encoded.where("shard >= 0").select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
+        shards = land(pairs.groupBy("shard").applyInArrow(lm_restaurants.merge(grid), lm_restaurants.SHARDS), "shards")
+        model, letters = lm_restaurants.train(shards, grid)
+        answers = shards.groupBy("shard").cogroup(letters.groupBy("cell")).applyInArrow(lm_restaurants.answer(model, grid), "chunk bigint, shard int, logp array<float>, count array<bigint>")
+        answers = land(answers, "answers")
+        for done in (letters, shards):
+            lm_restaurants.drop_landed(done)
     docs = encoded.where("shard < 0").select("chunk", "doc_id", "held_out", "tokens")
     scored = docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _score(model), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
