@@ -8,7 +8,8 @@ a document's component is the smallest id reachable through links.
    registers: the smallest of the set's exponential variables under each hash, truncated to a
    16-bit step on an exponential scale of base ``BASE``. The register of a union is the
    maximum of the registers, and registers of similar sets are often equal.
-2. Equal sets (same digest) are one class, stood for by its smallest id.
+2. Equal sets (same digest) are one class with a number of its own; from here on classes are
+   compared, not ids. Classes that share an id are linked.
 3. Bands of ``BAND`` register values are bucket keys. Of two sets with similarity 0.8 or more,
    all 32 bands differ with probability below 5e-8.
 4. Every bucket has a pivot, its member with the most company over all its buckets. Members
@@ -23,14 +24,15 @@ a document's component is the smallest id reachable through links.
    need no look. Pairs for which this is too few are never formed; the others, and pairs
    with different homes, are compared as in step 4. So no link between bucket mates is
    lost, and a large group of copies costs about its size, not its square.
-6. Components by star contraction.
+6. Components by star contraction, named by the smallest id of their classes.
 
 Shuffles move ids, keys and registers; full sets move for bucket mates only. Texts are read
 twice. Hot keys meet in plain joins (split by adaptive execution) and map-side aggregates.
 
 Defined cases: null and empty texts, and texts of white space, have empty sets and are linked
 with nothing; a row with a null id is kept, has no component and links nothing; rows that
-repeat an id are one document (their texts' links are joined); further columns are ignored.
+repeat an id, with equal or different texts, are one document (their texts' links are joined);
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -125,6 +127,13 @@ def _chosen(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return bounded_batches(df).selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
 
 
+def digests(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit halves of each set's digest."""
+    both = [(int(mix(x).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(x * np.uint64(0x9E3779B97F4A7C15))))) if len(x) else (0, 0) for x in np.split(hashes, np.cumsum(sizes)[:-1])]
+    lo, hi = (np.array(x, dtype=np.uint64).view(np.int64) for x in zip(*both, strict=True))
+    return lo, hi
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n, lo, hi, regs`` for each row of ``docs(doc_id, text)``."""
 
@@ -134,9 +143,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 h, n = shingles(texts_of(part))
-                cuts = np.cumsum(n)[:-1]
-                digests = [(int(mix(x).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(x * np.uint64(0x9E3779B97F4A7C15))))) if len(x) else (0, 0) for x in np.split(h, cuts)]
-                lo, hi = (np.array(x, dtype=np.uint64).view(np.int64) for x in zip(*digests, strict=True))
+                lo, hi = digests(h, n)
                 regs = [r.tobytes() for r in registers(h, n).astype("<u2")]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(lo), pa.array(hi), pa.array(regs, pa.binary())], names=["doc_id", "n", "lo", "hi", "regs"])
 
@@ -144,7 +151,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, set`` (ascending 64-bit hashes) for each row of ``docs(doc_id, text)``."""
+    """``doc_id, n, lo, hi, set`` (ascending 64-bit hashes) for each row of ``docs(doc_id, text)``."""
 
     def collect(batches):
         import pyarrow as pa
@@ -152,9 +159,10 @@ def full_sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 h, n = shingles(texts_of(part))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in np.split(h, np.cumsum(n)[:-1])], pa.binary())], names=["doc_id", "set"])
+                lo, hi = digests(h, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(lo), pa.array(hi), pa.array([x.tobytes() for x in np.split(h, np.cumsum(n)[:-1])], pa.binary())], names=["doc_id", "n", "lo", "hi", "set"])
 
-    return docs.mapInArrow(collect, "doc_id bigint, set binary")
+    return docs.mapInArrow(collect, "doc_id bigint, n bigint, lo bigint, hi bigint, set binary")
 
 
 def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -247,12 +255,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     docs = _chosen(df, id_col, text_col)
     signed = land(signatures(docs), "signatures")
-    named = signed.where("doc_id is not null")
-    classes = named.where("n > 0").groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("rep"))
-    joined = named.where("n > 0").join(classes, ["n", "lo", "hi"]).select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("regs")).alias("regs"))
-    mapped = land(joined, "classes")
-    reps = mapped.where("regs is not null").dropDuplicates(["doc_id"]).select("doc_id", "n", "regs")
-    reps = land(reps, "reps")
+    # an empty set is a class of its id alone
+    named = signed.where("doc_id is not null").withColumn("alone", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.lit(0)))
+    key = ["n", "lo", "hi", "alone"]
+    classes = named.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs"))
+    classes = land(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    mapped = land(named.drop("regs").join(classes.drop("regs"), key).select("doc_id", "n", "rep", "node"), "mapped")
+    # below, doc_id is the number of a class
+    reps = classes.where("n > 0").select(F.col("node").alias("doc_id"), "n", "regs")
+    several = mapped.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("_most")).where("b <> _most").drop("_most")
+    same_id = mapped.join(bounded_broadcast(land(several, "several")), "doc_id").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * BAND) + 1, F.lit(2 * BAND))))
     banded = reps.select("doc_id", "n", F.explode(band).alias("key"))
@@ -264,10 +276,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pivots = pivots.select("key", (-F.col("p.least")).alias("pivot"), F.col("p.company").alias("pivot_company"))
     met = land(met.join(pivots, "key").select("key", "doc_id", "n", "pivot", "pivot_company"), "met")
 
-    mates = land(met.select("doc_id").distinct(), "mates")
-    sets = land(full_sets(docs.join(bounded_broadcast(mates), "doc_id", "left_semi")), "sets").dropDuplicates(["doc_id"])
+    mates = met.select(F.col("doc_id").alias("node")).distinct().join(classes.drop("regs", "alone"), "node").withColumnRenamed("rep", "doc_id")
+    mates = land(mates, "mates")
+    read = full_sets(docs.join(bounded_broadcast(mates.select("doc_id").distinct()), "doc_id", "left_semi"))
+    sets = read.join(bounded_broadcast(mates), ["doc_id", "n", "lo", "hi"]).select(F.col("node").alias("doc_id"), "set")
+    sets = land(sets, "sets").dropDuplicates(["doc_id"])
     pairs = met.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = land(linked(pairs, reps, sets), "links")
+    links = land(linked(pairs, reps, sets).unionByName(same_id), "links")
     parts = components(links)
 
     at = met.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
@@ -278,10 +293,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not late.isEmpty():
             parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
 
-    found = mapped.select("doc_id", "n", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    empty = signed.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.unionByName(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    grouped = parts.unionByName(parts.select(F.col("component").alias("node"), "component").distinct())
+    least = land(grouped.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least")), "least")
+    found = mapped.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")).join(bounded_broadcast(least), "component", "left")
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "rep").alias("component_id"))
+    unnamed = signed.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return found.unionByName(unnamed).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
