@@ -7,7 +7,8 @@
    ``heavy_rows`` rows are the *verified winners*: digest, rows, largest id.
 3. The winners are broadcast (their number is bounded by ``tracked``). Their rows get their
    verdict map-side and never move; all other digests meet in an ordinary shuffle, where no
-   group can be large.
+   group can be large. Where a winner's largest id itself has many rows (repeated rows, or null
+   ids only), the one that stays is chosen in two steps: one in each task, then one of those.
 
 Results are the same whatever the sketch finds: it only decides which rows move.
 
@@ -36,12 +37,15 @@ def with_digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def heavy_digests(digests: DataFrame, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Verified winners of ``digests(id, digest)``: ``digest, heavy_keep, heavy_size``; at most ``tracked`` rows."""
+    """Verified winners of ``digests(id, digest)``: ``digest, heavy_keep, heavy_size`` and
+    ``heavy_tops``, the rows with the largest id; at most ``tracked`` rows."""
     top = digests.agg(F.expr(f"approx_top_k(digest, {tracked // 2}, {tracked})").alias("top"))
     candidates = top.select(F.explode("top.item").alias("digest"))
     counted = digests.join(F.broadcast(candidates), "digest", "left_semi").groupBy("digest")
     found = counted.agg(F.max("id").alias("heavy_keep"), F.count(F.lit(1)).alias("heavy_size"))
-    return land(found.where(F.col("heavy_size") >= heavy_rows), "heavy")
+    winners = land(found.where(F.col("heavy_size") >= heavy_rows), "winners")
+    tops = digests.join(F.broadcast(winners), "digest").where(F.col("id").eqNullSafe(F.col("heavy_keep")))
+    return land(tops.groupBy("digest", "heavy_keep", "heavy_size").agg(F.count(F.lit(1)).alias("heavy_tops")), "heavy")
 
 
 def mark(digested: DataFrame, winners: DataFrame) -> DataFrame:
@@ -51,13 +55,24 @@ def mark(digested: DataFrame, winners: DataFrame) -> DataFrame:
     lost = F.col("heavy_size").isNotNull() & ~F.col("id").eqNullSafe(F.col("heavy_keep"))
     removed = split.where(lost).select(*carried, F.col("heavy_keep").alias("keep_id"), F.col("heavy_size").alias("group_size"), F.lit(False).alias("kept"))
     group = Window.partitionBy("digest")
-    ranked = split.where(~lost).select(
+    many = F.coalesce(F.col("heavy_tops") >= HEAVY_ROWS, F.lit(False))
+    ranked = split.where(~lost & ~many).select(
         *carried,
         F.max("id").over(group).alias("keep_id"),
         F.coalesce(F.col("heavy_size"), F.count(F.lit(1)).over(group)).alias("group_size"),
         (F.row_number().over(group.orderBy(F.col("id").desc_nulls_last())) == 1).alias("kept"),
     )
-    return removed.unionByName(ranked)
+    marked = removed.unionByName(ranked)
+    if winners.where(many).isEmpty():
+        return marked
+    order = F.col("id").desc_nulls_last()
+    tops = split.where(~lost & many).withColumn("_task", F.spark_partition_id())
+    tops = tops.withColumn("_place", F.row_number().over(Window.partitionBy("digest", "_task").orderBy(order)))
+    # the first of each task meet, the others stay with their task
+    tops = tops.withColumn("_task", F.when(F.col("_place") == 1, F.lit(-1)).otherwise(F.col("_task")))
+    first = F.row_number().over(Window.partitionBy("digest", "_task").orderBy(order)) == 1
+    tops = tops.select(*carried, F.col("heavy_keep").alias("keep_id"), F.col("heavy_size").alias("group_size"), ((F.col("_task") == -1) & first).alias("kept"))
+    return marked.unionByName(tops)
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
