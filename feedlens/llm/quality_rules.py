@@ -109,10 +109,13 @@ def measure(texts: list[bytes], limits: dict[int, float] = NGRAM_LIMITS) -> dict
     repeat_words = segment_sums(covered(everywhere, BASE_N, len(flat)).view(np.uint8), starts, ends)
     hit = np.zeros(len(texts), bool)
     hit[doc[everywhere]] = True
-    # a longer n-gram that repeats holds shorter ones that do: other texts need no look
+    # an n-gram longer than BASE_N that repeats holds one of BASE_N that does: other texts need no look
     some = np.flatnonzero(hit[doc]) if len(flat) else np.empty(0, np.int64)
     for k, n in enumerate(sorted(limits)):
-        at = later if n == BASE_N else some[repeated_windows(codes[some], doc[some], n)[1]]
+        if n < BASE_N:
+            at = repeated_windows(codes, doc, n)[1]
+        else:
+            at = later if n == BASE_N else some[repeated_windows(codes[some], doc[some], n)[1]]
         inside = covered(at, n, len(flat))
         shares[:, k] = segment_sums(np.where(inside, chars, 0), starts, ends) / np.maximum(word_chars, 1)
     return {"n_words": n_words, "word_chars": word_chars, "n_symbols": symbols, "n_dup_lines": lines[:, 0], "n_repeat_words": repeat_words, "line_share": lines[:, 1] / np.maximum(word_chars, 1), "shares": shares}
