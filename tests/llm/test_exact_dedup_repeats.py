@@ -19,7 +19,9 @@ def test_a_hot_digest_of_repeated_rows_is_spread(spark):
     try:
         digests = exact_dedup.land(exact_dedup.with_digest(rows).select("id", "digest"), "digests")
         marked = exact_dedup.mark(digests.repartition(24), exact_dedup.heavy_digests(digests))
-        per_task = [r["count"] for r in marked.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        # with the marks, or no window would be computed
+        placed = marked.select("id", "kept", "keep_id", "group_size", F.spark_partition_id().alias("p"))
+        per_task = [r.n for r in placed.groupBy("p").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")), F.max("keep_id"), F.max("group_size")).collect()]
         assert max(per_task) < n / 2 and sum(per_task) == 2 * n + 900
         sizes = {r.id: (r.rows, r.stay, r.size) for r in marked.where("id is null or id = 7").groupBy("id").agg(F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay"), F.max("group_size").alias("size")).collect()}
         assert sizes == {7: (n, 1, n), None: (n, 1, n)}
