@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import exact_dedup, lm_score, mixing, near_dedup, packing, quality_classifier, quality_rules, token_binary, token_count, url_filter
+from feedlens.llm import exact_dedup, lm_score, mixing, near_dedup, packing, quality_classifier, quality_rules, spelling, token_binary, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -63,9 +63,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op6_lm_score, op7_token_binary, op8_token_counts, op9_best_fit_packing, op10_quality_rules)
+    for f in (
+        op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op6_lm_score, op7_token_binary, op8_token_counts,
+        op9_best_fit_packing, op10_quality_rules, op13_spelling_variants,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": exact_dedup.oracle_sql(), "op3_url_filter": url_filter.oracle_sql()}
