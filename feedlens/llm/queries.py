@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import alignment, exact_dedup, lm_score, mixing, near_dedup, packing, quality_classifier, quality_rules, spelling, token_binary, token_count, url_filter
+from feedlens.llm import alignment, exact_dedup, lm_score, mixing, near_dedup, neighbours, packing, quality_classifier, quality_rules, spelling, token_binary, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.token_alignment(_table(spark, sf_dir, "documents", "doc_id", "text"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -75,7 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_near_dedup, op3_url_filter, op4_quality_classifier, op5_source_mix, op6_lm_score, op7_token_binary, op8_token_counts,
-        op9_best_fit_packing, op10_quality_rules, op11_token_alignment, op13_spelling_variants,
+        op9_best_fit_packing, op10_quality_rules, op11_token_alignment,
+        op12_nearest_neighbours, op13_spelling_variants,
     )
 }
 
