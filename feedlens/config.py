@@ -28,11 +28,13 @@ BROADCAST_ROW_OVERHEAD = 96
 # rows are split so that each part has at most that share.
 HOT_SHARE = 2000
 
-# Feed fetches: limits of one socket operation and of a whole download, and
-# bytes of bodies a task holds before it hands them on.
+# Feed fetches: limits of one socket operation and of a whole download, bytes
+# of bodies a task gathers before it hands them on, and bytes of all bodies it
+# may hold, under way or gathered.
 FETCH_TIMEOUT_SECONDS = 30.0
 FETCH_DEADLINE_SECONDS = 300.0
 FETCH_BATCH_BYTES = 16 * 1024 * 1024
+FETCH_BUDGET_BYTES = 64 * 1024 * 1024
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,8 +1,9 @@
 """Feed fetch (S3) and landing.
 
 Fetching is the one step that needs Python: each partition downloads its
-URLs with a bounded thread pool (I/O bound), a timeout and a deadline; any
-error yields NULL content (a failed feed), never a failed task.
+URLs with a bounded thread pool (I/O bound), a timeout, a hard deadline and
+a byte budget (``sources.download``); any error yields NULL content (a
+failed feed), never a failed task.
 
 Download results are not deterministic, so they are landed once to parquet
 under ``spark.checkpoint.dir`` and every statistic is computed from the
@@ -18,67 +19,20 @@ from pyspark.sql import functions as F
 from feedlens import config
 from feedlens.functions.jsonfeed import post_fields
 from feedlens.operators.partitioning import default_parallelism
+from feedlens.sources.download import fetcher
 
 FETCHED_SCHEMA = "feed_id bigint, feed_name string, url string, content string"
 
 
-def _fetcher(timeout: float, deadline: float, threads: int, batch_bytes: int):
-    """The per-partition fetch function.
+def _fetcher(timeout: float, deadline: float, threads: int, batch_bytes: int, budget_bytes: int = config.FETCH_BUDGET_BYTES):
+    """The fetch over pandas frames, for ``mapInPandas`` and for callers without Spark."""
+    arrow = fetcher(timeout, deadline, threads, batch_bytes, budget_bytes)
 
-    Self-contained on purpose: it imports what it needs inside and refers to
-    nothing in this package, so it is shipped to Python workers by value and
-    executors do not need ``feedlens`` installed. At most ``2 * threads``
-    downloads are under way or waiting at a time, and bodies are handed on
-    as soon as they have ``batch_bytes`` together.
-    """
+    def fetch(frames):
+        import pyarrow as pa
 
-    def fetch(batches):
-        import time
-        import urllib.request
-        from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
-
-        import pandas as pd
-
-        def download(url):
-            # whole body as UTF-8 text; None on any error (bad URL, HTTP error, bad bytes, too slow)
-            if not url:
-                return None
-            try:
-                end, parts = time.monotonic() + deadline, []
-                with urllib.request.urlopen(url, timeout=timeout) as resp:
-                    while part := resp.read(1 << 20):
-                        if time.monotonic() > end:
-                            return None
-                        parts.append(part)
-                return b"".join(parts).decode("utf-8")
-            except Exception:
-                return None
-
-        def frame(rows):
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            out = pd.DataFrame(dict(zip(("feed_id", "feed_name", "url", "content"), columns)))
-            return out.astype({"feed_id": "int64", "feed_name": "object", "url": "object", "content": "object"})
-
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            done, size, running = [], 0, {}
-            for pdf in batches:
-                for row in pdf[["feed_id", "feed_name", "url"]].itertuples(index=False):
-                    while len(running) >= 2 * threads:
-                        for f in wait(running, return_when=FIRST_COMPLETED).done:
-                            done.append((*running.pop(f), f.result()))
-                            size += len(done[-1][3] or "")
-                        if size >= batch_bytes:
-                            yield frame(done)
-                            done, size = [], 0
-                    running[pool.submit(download, row.url)] = tuple(row)
-            while running:
-                for f in wait(running, return_when=FIRST_COMPLETED).done:
-                    done.append((*running.pop(f), f.result()))
-                    size += len(done[-1][3] or "")
-                if size >= batch_bytes:
-                    yield frame(done)
-                    done, size = [], 0
-            yield frame(done)
+        for batch in arrow(pa.RecordBatch.from_pandas(f[["feed_id", "feed_name", "url"]], preserve_index=False) for f in frames):
+            yield batch.to_pandas()
 
     return fetch
 
@@ -90,9 +44,13 @@ def fetch_feeds(
     threads: int = 8,
     deadline: float = config.FETCH_DEADLINE_SECONDS,
     batch_bytes: int = config.FETCH_BATCH_BYTES,
+    budget_bytes: int = config.FETCH_BUDGET_BYTES,
 ) -> DataFrame:
     """S3: ``(feed_id, feed_name, url, content)``; content NULL = download failed.
 
+    ``deadline`` bounds a whole download however slowly it trickles;
+    ``budget_bytes`` the bodies a task holds at a time (and one more body).
+
     Subscriptions are hash-spread by ``feed_id`` so fetches run in parallel
     and a retried partition gets the same URLs. A URL listed twice is
     fetched twice, as in the reference.
@@ -102,7 +60,7 @@ def fetch_feeds(
     return (
         subscriptions.select("feed_id", "feed_name", "url")
         .repartition(n, "feed_id")
-        .mapInPandas(_fetcher(timeout, deadline, threads, batch_bytes), FETCHED_SCHEMA)
+        .mapInArrow(fetcher(timeout, deadline, threads, batch_bytes, budget_bytes), FETCHED_SCHEMA)
     )
 
 
