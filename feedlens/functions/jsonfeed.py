@@ -13,10 +13,12 @@ A feed whose content is not JSON, or has no ``data.children`` array, is
 rejected too. Rejected feeds yield no posts but were still downloaded. A key
 given twice counts once, with its last value; text after the JSON is ignored.
 
-Fields are read as strings, with no limit on the length of a text or of a
-feed. Only where that leaves a doubt (a NULL may be missing, a text that
-begins with a bracket may be an object or array) is the content read again,
-as the other types. Every expression here is a built-in (no Python per row).
+The content is parsed once. A field is read as a VARIANT, which keeps its kind:
+a missing field is a NULL, a JSON null is a null VARIANT, a string that begins
+with a bracket is still a string. A number with a fraction or an exponent is
+written as a double, a whole number by its digits (up to 38; longer ones are
+doubles). One field holds up to 128 MiB, a feed any number of them. Every
+expression here is a built-in (no Python per row).
 """
 
 from __future__ import annotations
@@ -32,13 +34,23 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _children(content: Column, kind: str) -> Column:
-    schema = f"data struct<children:array<struct<data:{kind}>>>"
-    return F.from_json(content, schema, UNLIMITED)["data"]["children"]
+FIELDS = "struct<title:variant,selftext:variant>"
 
 
-def _fields(kind: str) -> str:
-    return f"struct<title:{kind},selftext:{kind}>"
+def _kind(field: Column) -> Column:
+    return F.schema_of_variant(field)
+
+
+def field_ok(field: Column) -> Column:
+    """The field is there and is a scalar or JSON null."""
+    return F.coalesce(~_kind(field).startswith("OBJECT") & ~_kind(field).startswith("ARRAY"), F.lit(False))
+
+
+def field_text(field: Column) -> Column:
+    """A scalar's text; NULL for JSON null. A DECIMAL that is a bigint too was written with a
+    fraction, as a whole number of that size is a BIGINT."""
+    fraction = _kind(field).startswith("DECIMAL") & (~_kind(field).endswith(",0)") | F.try_variant_get(field, "$", "bigint").isNotNull())
+    return F.when(fraction, F.try_variant_get(field, "$", "double").cast("string")).otherwise(F.try_variant_get(field, "$", "string"))
 
 
 def plain(text: Column) -> Column:
@@ -47,36 +59,33 @@ def plain(text: Column) -> Column:
 
 
 def feed_children(content: Column | str) -> Column:
-    """The feed's children, ``array<struct<data:struct<title,selftext>>>``; NULL when unparsable or absent."""
-    return _children(_c(content), _fields("string"))
+    """The feed's children, ``array<struct<data:struct<title,selftext>>>`` of VARIANT fields;
+    NULL when unparsable or absent."""
+    schema = f"data struct<children:array<struct<data:{FIELDS}>>>"
+    return F.from_json(_c(content), schema, UNLIMITED)["data"]["children"]
 
 
-def children_ok(children: Column | str, content: Column | str) -> Column:
+def children_ok(children: Column | str) -> Column:
     """True when there is a children array and every child has valid fields."""
-    ch, text = _c(children), _c(content)
-    sure = F.forall(ch, lambda c: plain(c["data"]["title"]) & plain(c["data"]["selftext"]))
-    present = F.forall(
-        _children(text, "map<string,string>"),
-        lambda c: c["data"].isNotNull() & F.map_contains_key(c["data"], "title") & F.map_contains_key(c["data"], "selftext"),
-    )
-    nested = [
-        F.exists(_children(text, _fields(kind)), lambda c: c["data"]["title"].isNotNull() | c["data"]["selftext"].isNotNull())
-        for kind in ("map<string,string>", "array<string>")
-    ]
-    careful = F.coalesce(present & ~nested[0] & ~nested[1], F.lit(False))
-    return F.when(ch.isNull(), F.lit(False)).when(F.coalesce(sure, F.lit(False)), F.lit(True)).otherwise(careful)
+    valid = F.forall(_c(children), lambda c: field_ok(c["data"]["title"]) & field_ok(c["data"]["selftext"]))
+    return F.coalesce(valid, F.lit(False))
 
 
 def children_posts(children: Column | str) -> Column:
     """``array<struct<title, selftext>>`` extracted from each child."""
-    return F.transform(_c(children), lambda c: F.struct(c["data"]["title"].alias("title"), c["data"]["selftext"].alias("selftext")))
+    return F.transform(_c(children), lambda c: post_text(c["data"]))
+
+
+def post_text(post: Column) -> Column:
+    """``struct<title, selftext>`` of strings."""
+    return F.struct(*(field_text(post[name]).alias(name) for name in ("title", "selftext")))
+
+
+def read_post(text: Column | str) -> Column:
+    """One post object's fields as VARIANTs (``post_ok``, ``post_text``)."""
+    return F.from_json(_c(text), "title variant, selftext variant", UNLIMITED)
 
 
-def post_fields(text: Column) -> tuple[Column, Column]:
-    """One post object's fields, and whether they are valid by the same rules."""
-    read = lambda kind: F.from_json(text, f"title {kind}, selftext {kind}", UNLIMITED)
-    fields, keys = read("string"), F.from_json(text, "map<string,string>", UNLIMITED)
-    has = F.map_contains_key(keys, "title") & F.map_contains_key(keys, "selftext")
-    nested = [read(k)["title"].isNotNull() | read(k)["selftext"].isNotNull() for k in ("map<string,string>", "array<string>")]
-    careful = F.coalesce(has & ~nested[0] & ~nested[1], F.lit(False))
-    return fields, F.when(plain(fields["title"]) & plain(fields["selftext"]), F.lit(True)).otherwise(careful)
+def post_ok(post: Column) -> Column:
+    """The same rules as for a feed's child."""
+    return field_ok(post["title"]) & field_ok(post["selftext"])

@@ -19,11 +19,11 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
     """Add ``downloaded``, ``parse_ok`` and ``posts`` to a feeds table.
 
     ``feeds`` needs a nullable ``content`` column (NULL = download failed).
-    The children array is projected once, then checked and converted; only
-    a feed with a doubtful field is read again (see ``functions.jsonfeed``).
+    The content is parsed once into the children array, which is then checked
+    and converted (see ``functions.jsonfeed``).
     """
     staged = feeds.withColumn("_children", feed_children("content"))
-    ok = F.col("content").isNotNull() & children_ok("_children", "content")
+    ok = F.col("content").isNotNull() & children_ok("_children")
     return (
         staged.withColumn("downloaded", F.col("content").isNotNull())
         .withColumn("parse_ok", ok)
@@ -36,10 +36,13 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
 
 
 def explode_posts(parsed_feeds: DataFrame, keep: tuple[str, ...] = ("feed_id", "feed_name")) -> DataFrame:
-    """One row per post, keyed by ``(feed_id, post_pos)``; 0..n rows per feed."""
-    return parsed_feeds.select(
-        *keep, F.posexplode("posts").alias("post_pos", "post")
-    ).select(*keep, F.col("post_pos").cast("bigint").alias("post_pos"), "post.title", "post.selftext")
+    """One row per post, keyed by ``(feed_id, post_pos)``; 0..n rows per feed.
+
+    The outer form, its row for an empty feed dropped afterwards: for the inner one the optimizer
+    infers ``size(posts) > 0`` and pushes it below the parse, where the content is parsed again.
+    """
+    exploded = parsed_feeds.select(*keep, F.posexplode_outer("posts").alias("post_pos", "post")).where("post_pos is not null")
+    return exploded.select(*keep, F.col("post_pos").cast("bigint").alias("post_pos"), "post.title", "post.selftext")
 
 
 def live_keep(title: Column | str = "title", selftext: Column | str = "selftext") -> Column:

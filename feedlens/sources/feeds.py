@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import config
-from feedlens.functions.jsonfeed import post_fields
+from feedlens.functions.jsonfeed import post_ok, post_text, read_post
 from feedlens.operators.partitioning import default_parallelism
 from feedlens.sources.download import fetcher
 
@@ -100,7 +100,7 @@ def read_post_lines(spark: SparkSession, path: str) -> DataFrame:
     rejects only itself. Returns ``(file, line_ok, title, selftext)``.
     """
     raw = spark.read.text(path).where(F.trim("value") != "")
-    fields, ok = post_fields(F.col("value"))
-    read = raw.select(F.col("_metadata.file_path").alias("file"), ok.alias("line_ok"), fields.alias("fields"))
+    read = raw.select(F.col("_metadata.file_path").alias("file"), read_post("value").alias("post"))
+    checked = read.select("file", post_ok(F.col("post")).alias("line_ok"), post_text(F.col("post")).alias("fields"))
     own = lambda name: F.when(F.col("line_ok"), F.col(f"fields.{name}")).alias(name)
-    return read.select("file", "line_ok", own("title"), own("selftext"))
+    return checked.select("file", "line_ok", own("title"), own("selftext"))
