@@ -23,6 +23,10 @@ MAX_BROADCAST_DICTIONARY_BYTES = 64 * 1024 * 1024
 # Rough bytes of one row in a broadcast hash relation besides its texts.
 BROADCAST_ROW_OVERHEAD = 96
 
+# A filter of dictionary keys (16 bits a key) is broadcast up to this size:
+# over 100 million keys.
+MAX_BROADCAST_FILTER_BYTES = 256 * 1024 * 1024
+
 # A word with over 1/HOT_SHARE of all tokens is hot: at most HOT_SHARE words
 # can be, whatever the corpus, so their list may be broadcast. A hot word's
 # rows are split so that each part has at most that share.

@@ -16,10 +16,13 @@ Two physical plans:
   meets the dictionary in a shuffle join.
 
 Both give the same counts; tests check that. Per-post hits cannot be
-pre-aggregated, so an over-bound dictionary is first cut to the entries that
-occur in the corpus, landed and measured again (``restrict_to_corpus``); only
-if that is still too large do tokens go through a sort-merge join, with hot
-words split by a salt (``salted_join``).
+pre-aggregated. For an over-bound dictionary a Bloom filter of its keys is
+broadcast (``operators.keyfilter``) and drops, where the corpus is read, the
+tokens that cannot match. The rest is landed, so the corpus is read once;
+the dictionary is cut to the words that are left and measured again. If it
+fits now the join is broadcast; otherwise it is a sort-merge join with hot
+words split by a salt (``salted_join``). Only a dictionary whose filter is
+over its own bound has the corpus read twice (``restrict_to_corpus``).
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 
 from feedlens import config
 from feedlens.functions.text import java_lower, word_set
+from feedlens.operators import keyfilter
 from feedlens.schemas import literal_table
 from feedlens.sources.feeds import land
 
@@ -129,12 +133,28 @@ def restrict_to_corpus(
     cut dictionary fits, per-post hits use a broadcast join and tokens never
     cross the network.
     """
-    counted = field_words(posts, keys=(), fields=fields).groupBy("word").agg(F.count(F.lit(1)).alias("word_n"))
-    vocab = land(counted, "vocabulary")
+    return _cut_to(field_words(posts, keys=(), fields=fields), dictionary, max_rows, max_bytes)
+
+
+def _cut_to(words: DataFrame, dictionary: PreparedDictionary, max_rows: int, max_bytes: int) -> PreparedDictionary:
+    """``dictionary`` cut to the entries whose key is one of ``words``, with their landed counts."""
+    vocab = land(words.groupBy("word").agg(F.count(F.lit(1)).alias("word_n")), "vocabulary")
     matched = land(dictionary.df.join(vocab.hint("merge"), dictionary.df["key"] == vocab["word"], "left_semi"), "dictionary")
     return replace(_measure(matched, max_rows, max_bytes, dictionary.pinned), vocabulary=vocab)
 
 
+def candidate_words(
+    posts: DataFrame,
+    dictionary: PreparedDictionary,
+    keys: tuple[str, ...],
+    fields: tuple[str, ...] = ("title", "selftext"),
+) -> DataFrame:
+    """The tokens that may match, landed: one pass over the corpus, in which the broadcast
+    filter of the dictionary's keys drops all others before anything moves."""
+    filtered = keyfilter.build(dictionary.df, "key", dictionary.rows)
+    return land(keyfilter.passing(field_words(posts, keys, fields), "word", filtered), "candidate-words")
+
+
 def salted_join(words: DataFrame, dictionary: PreparedDictionary, keys: tuple[str, ...]) -> DataFrame:
     """``words`` joined to a dictionary too large to broadcast, hot words split.
 
@@ -209,14 +229,18 @@ def entity_hits(
     """One row per (post, field, matching dictionary row); bag semantics.
 
     With a broadcast dictionary this is a BroadcastHashJoin and no token
-    leaves its task. A dictionary over the bound is first restricted to the
-    entries that occur in the corpus (``restrict_to_corpus``: one more pass
-    over the corpus, which moves only distinct words); if that fits, the
-    join is broadcast, otherwise it is ``salted_join``.
+    leaves its task. For a dictionary over the bound the tokens that may
+    match are landed (``candidate_words``) and the dictionary is cut to them;
+    if that fits, the join is broadcast, otherwise it is ``salted_join``.
     """
-    if not dictionary.broadcast:
+    if dictionary.broadcast:
+        words = field_words(posts, keys, fields)
+    elif keyfilter.fits(dictionary.rows):
+        words = candidate_words(posts, dictionary, keys, fields)
+        dictionary = _cut_to(words, dictionary, config.MAX_BROADCAST_DICTIONARY_ROWS, config.MAX_BROADCAST_DICTIONARY_BYTES)
+    else:
         dictionary = restrict_to_corpus(posts, dictionary, fields)
-    words = field_words(posts, keys, fields)
+        words = field_words(posts, keys, fields)
     if dictionary.broadcast:
         joined = words.join(F.broadcast(dictionary.df), words["word"] == dictionary.df["key"])
     else:

@@ -76,8 +76,12 @@ def test_hot_words_without_an_entry_do_not_move(spark):
     assert detect.salted_join(detect.field_words(posts), cut, ("post_id",)).count() == 500
 
 
-def test_over_bound_hits_read_the_corpus_twice(spark, tmpdir_path):
-    """Once for the vocabulary, once for the hits; measuring and joining read landed tables."""
+@pytest.mark.parametrize("filter_bytes, times", [(None, 1), (0, 2)])
+def test_over_bound_hits_read_the_corpus_once(spark, tmpdir_path, monkeypatch, filter_bytes, times):
+    """Once, behind the filter of keys; twice only where that filter is over its bound (for the
+    vocabulary and for the hits). Measuring and joining read landed tables."""
+    if filter_bytes is not None:
+        monkeypatch.setattr(config, "MAX_BROADCAST_FILTER_BYTES", filter_bytes)
     posts, dic = _fixture(spark)
     path = f"{tmpdir_path}/posts"
     posts.write.parquet(path)
@@ -91,7 +95,7 @@ def test_over_bound_hits_read_the_corpus_twice(spark, tmpdir_path):
     seen = spark.read.parquet(path).mapInArrow(counted, posts.schema)
     hits = detect.entity_hits(seen, detect.prepare_dictionary(dic, max_rows=300))
     assert Counter((r["entity_type"], r["entity_name"]) for r in hits.collect()) == _brute_force()
-    assert reads.value == 2 * N_POSTS
+    assert reads.value == times * N_POSTS
 
 
 def test_hot_word_counts_all_plans_exact(spark):
