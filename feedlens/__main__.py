@@ -10,21 +10,17 @@ import argparse
 import sys
 
 from feedlens.plans.analysis import run_analysis
-from feedlens.plans.quality import NoValidPosts
+from feedlens.plans.quality import NoValidPosts, write_quarantine
 from feedlens.session import local_session
 
 
-#: Warnings printed one by one; the rest are counted and stay in ``result.warnings``.
-MAX_PRINTED_WARNINGS = 1000
-
-
-def _print_warnings(result) -> None:
-    """Per-row warnings."""
-    rows = result.warnings.limit(MAX_PRINTED_WARNINGS + 1).collect()
-    for row in rows[:MAX_PRINTED_WARNINGS]:
+def _print_warnings(result, quarantine: str | None) -> None:
+    """Per-row warnings (Q6, Q7, Q8, S6), all of them, a partition at a time; the records behind
+    them go to ``quarantine``."""
+    for row in result.warnings.toLocalIterator():
         print(row["message"])
-    if len(rows) > MAX_PRINTED_WARNINGS:
-        print(f"... {result.warnings.count() - MAX_PRINTED_WARNINGS} more warnings")
+    if quarantine:
+        print(f"Quarantine: {write_quarantine(result.quarantine, quarantine)}")
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -36,6 +32,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                    help="directory with the dictionary .txt files (default: %(default)s)")
     p.add_argument("--top-k", type=int, default=10, help="number of top entities to report (default: %(default)s)")
     p.add_argument("--master", default="local[*]", help="Spark master (default: %(default)s); a cluster needs spark.checkpoint.dir in its configuration")
+    p.add_argument("--quarantine", metavar="PATH", help="write rejected entries and failed feeds, with reason and source position, as a table there")
+    p.add_argument("--run-id", help="name of the run: the same call again goes on from what a broken one has landed")
     a = p.parse_args(argv)
     if a.top_k <= 0:
         p.error("--top-k must be positive")
@@ -43,13 +41,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if owned:
         spark = local_session(master=a.master)
     try:
-        result = run_analysis(spark, a.subscription_file, a.entities_dir, a.top_k)
-        _print_warnings(result)
-        print(result.report())
+        with run_analysis(spark, a.subscription_file, a.entities_dir, a.top_k, run_id=a.run_id) as result:
+            _print_warnings(result, a.quarantine)
+            print(result.report())
         return 0
     except NoValidPosts as e:
-        _print_warnings(e.result)
-        print(e.result.report() + "\n")
+        with e.result as result:
+            _print_warnings(result, a.quarantine)
+            print(result.report() + "\n")
         print(f"Error: {e}")
         return 1
     except (FileNotFoundError, ValueError) as e:

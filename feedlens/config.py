@@ -41,6 +41,17 @@ FETCH_BATCH_BYTES = 16 * 1024 * 1024
 FETCH_BUDGET_BYTES = 64 * 1024 * 1024
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``: shared storage, never a folder of one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; point it at shared storage "
+            "(e.g. an HDFS/S3 prefix) before landing tables"
+        )
+    return base.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -49,13 +60,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     The setting is read from the session; it is never replaced by a
     machine-local temporary folder. The folder is deleted when the driver ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(e.g. an HDFS/S3 prefix) before landing tables"
-        )
-    path = f"{base.rstrip('/')}/feedlens/{name}-{uuid.uuid4().hex}"
+    base = checkpoint_base(spark)
+    path = f"{base}/feedlens/{name}-{uuid.uuid4().hex}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.formatting import describe
 from feedlens.schemas import ENTITY_TYPES, TOTAL_LABEL, literal_table
+from feedlens.sources.feeds import land
 
 
 def entity_counts_from_hits(hits: DataFrame) -> DataFrame:
@@ -120,16 +121,20 @@ def validate_k(k: int) -> int:
     return k
 
 
+#: Up to this k the top rows are ranked in one task.
+REPORT_K = 10_000
+
+
 def top_entities(counts: DataFrame, k: int = 10) -> DataFrame:
     """Count desc, type asc, name asc; first k, with their 1-based rank.
 
-    Plans as TakeOrderedAndProject (each task keeps k, one task merges), so
-    only k rows per task ever move, and the rank window runs over those k
-    rows only. The order is total on distinct rows, hence deterministic.
-    This is the report operator, meant for report-sized k; a full ranking
-    of all entities is ``counts.orderBy(...)``, a distributed range sort.
+    Up to ``REPORT_K`` rows this plans as TakeOrderedAndProject (each task
+    keeps k, one task merges and ranks). Any larger k is ranked in parallel
+    (``ranked``). The order is total on distinct rows, hence deterministic.
     """
     validate_k(k)
+    if k > REPORT_K:
+        return ranked(counts, k)
     order = [F.desc("n"), F.asc("entity_type"), F.asc("entity_name")]
     top = counts.orderBy(*order).limit(k)
     return top.select(
@@ -140,6 +145,27 @@ def top_entities(counts: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
+def ranked(counts: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` rows with their rank, for any k: rows are dealt by ranges of the order and
+    landed; a row's rank is its place in its range plus the sizes of the ranges ahead, which are
+    one number for each range. Ranges that begin beyond k are not read again."""
+    spark = counts.sparkSession
+    order = [F.desc("n"), F.asc("entity_type"), F.asc("entity_name")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.select("entity_type", "entity_name", "n").repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    landed = land(dealt, "ranges")
+    sizes = sorted((r["part"], r["size"]) for r in landed.groupBy("part").agg(F.count(F.lit(1)).alias("size")).collect())  # a row for each range
+    ahead, before = 0, []
+    for part, size in sizes:
+        if ahead < k:
+            before.append((part, ahead))
+        ahead += size
+    starts = F.broadcast(literal_table(spark, before, "part int, ahead bigint"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) + F.col("ahead")
+    placed = landed.join(starts, "part").withColumn("rank", place.cast("bigint"))
+    return placed.where(F.col("rank") <= k).select("rank", "entity_type", "entity_name", "n")
+
+
 def describe_hits(hits: DataFrame, keys: tuple[str, ...] = ("post_id",)) -> DataFrame:
     """``[Type] name`` for each hit."""
     return hits.select(*keys, "field", describe(F.col("entity_type"), F.col("entity_name")).alias("describe"))

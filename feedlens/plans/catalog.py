@@ -19,6 +19,7 @@ from feedlens.functions import formatting as fmt
 from feedlens.functions.text import java_trim, tokens, utf16_length
 from feedlens.operators import aggregate, detect, posts, stats
 from feedlens.plans import quality, reports
+from feedlens.plans.analysis import run_analysis
 from feedlens.sources import dictionary as dictsrc
 from feedlens.sources import feeds as feedsrc
 from feedlens.sources import subscriptions as subsrc
@@ -853,6 +854,75 @@ def q_entity_hits_large_dictionary_shuffle(spark, sf):
     return detect.entity_hits(_doc_kept(spark, sf), _bench_dict(spark, sf, force="shuffle"))
 
 
+# ============================================== step 11: the whole run =======
+
+PROCESSING_HEADER_SQL = "'============ ESTADÍSTICAS DE PROCESAMIENTO ============'"
+_RUN_CTES = (
+    sql_with(sql_doc_posts(), SQL_FEEDS, SQL_PROC_STATS).rstrip()
+    + ",\nkept AS (SELECT post_id, title, selftext FROM good WHERE title <> '' AND selftext <> ''),\n"
+    + ",\n".join([sql_words(), _BENCH_DICT_CTE, sql_hits(), SQL_COUNTS, SQL_TWT, SQL_TYPE_STATS])
+    + ",\ntop AS (" + sql_top(10) + ")\n"
+)
+_RUN_STATS_LINES = " || chr(10) || ".join(f"printf('%s: %d', {_q(label)}, {col})" for _, label, col in ORACLE_STATS)
+
+
+def _run_inputs(spark: SparkSession, sf: str) -> tuple[str, str]:
+    return tables.write_run_inputs(
+        _docs(spark, sf), tables.table(spark, sf, "pages"), tables.table(spark, sf, "benchmark"), config.scratch_path(spark, "run-inputs")
+    )
+
+
+@register(
+    "end_to_end_run",
+    _RUN_CTES
+    + f"""SELECT 1 AS ordinal, 'processing' AS report, {PROCESSING_HEADER_SQL} || chr(10) || {_RUN_STATS_LINES} AS text FROM proc
+UNION ALL SELECT 2, 'entities', {ENTITY_HEADER_SQL} || chr(10)
+  || coalesce(string_agg(printf({ENTITY_LINE_SQL}, entity_type, entity_name, n), chr(10) ORDER BY rank), '') FROM top
+UNION ALL SELECT 3, 'types', {TYPE_HEADER_SQL} || chr(10) || max(CASE WHEN ordinal = 0 THEN printf({TOTAL_LINE_SQL}, n) END) || chr(10)
+  || {TYPE_SUBHEADER_SQL} || chr(10) || string_agg(printf({TYPE_LINE_SQL}, entity_type, n), chr(10) ORDER BY ordinal)
+  FILTER (WHERE ordinal > 0) FROM type_stats""",
+)
+def q_end_to_end_run(spark, sf):
+    """The reference's whole workload on files: subscriptions, fetch by ``file:`` urls, parse,
+    statistics, entities of the dictionary directory, and the three reports."""
+    result = run_analysis(spark, *_run_inputs(spark, sf), top_k=10)
+    stat_lines = reports.processing_stats_lines(result.processing_stats)
+    texts = [
+        ("processing", reports.rendered(stat_lines, "ordinal", fmt.PROCESSING_HEADER)),
+        ("entities", reports.rendered(reports.entity_lines(result.top_entities), "rank", fmt.ENTITY_HEADER)),
+        ("types", reports.rendered(reports.type_lines(result.type_stats), "ordinal", fmt.TYPE_HEADER, subheader_after=1)),
+    ]
+    parts = [text.select(F.lit(i).alias("ordinal"), F.lit(name).alias("report"), "text") for i, (name, text) in enumerate(texts, 1)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(
+    "quarantined",
+    sql_with(sql_doc_posts(), SQL_FEEDS).rstrip()
+    + """,
+entries AS (
+  SELECT feed_id // 5000 AS bucket, 0 AS kind, feed_id AS id, name, downloaded, parse_ok FROM feeds
+  UNION ALL SELECT page_id // 5000, 1, page_id, NULL, NULL, NULL FROM pages WHERE instr(url, '#') > 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY kind, id) - 1 AS entry_index FROM entries)
+SELECT CASE WHEN kind = 1 THEN 'malformed_subscription' WHEN NOT downloaded THEN 'failed_download' ELSE 'failed_parse' END AS reason,
+       CAST(bucket AS BIGINT) AS bucket, CAST(entry_index AS BIGINT) AS entry_index, name
+FROM placed WHERE kind = 1 OR NOT parse_ok""",
+)
+def q_quarantined(spark, sf):
+    """Q6, Q7, Q8 records written as a table by reason and read again."""
+    subscriptions, _ = _run_inputs(spark, sf)
+    subs = subsrc.read_subscriptions(spark, subscriptions)
+    parsed = feedsrc.land(posts.parse_feeds(feedsrc.fetch_feeds(subs.valid)).drop("content"), "quarantine-feeds")
+    path = quality.write_quarantine(quality.quarantine(subs.validated, parsed), config.scratch_path(spark, "quarantine"))
+    return spark.read.parquet(path).select("reason", _bucket("file").alias("bucket"), "entry_index", "name")
+
+
+@register("top_entities_ranked", _LARGE_COUNTS_SQL + sql_top(1_000_000))
+def q_top_entities_ranked(spark, sf):
+    """T1 for a k far beyond a report: ranked in parallel."""
+    return aggregate.top_entities(detect.entity_counts(_doc_kept(spark, sf), _bench_dict(spark, sf)), 1_000_000)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

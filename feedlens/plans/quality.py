@@ -127,3 +127,26 @@ def warnings(validated_entries: DataFrame, parsed_feeds: DataFrame, missing_file
         F.format_string("Warning: Could not load dictionary file '%s'", "file_name").alias("message"),
     )
     return q6.unionByName(q7).unionByName(q8).unionByName(s6)
+
+
+def quarantine(validated_entries: DataFrame, parsed_feeds: DataFrame) -> DataFrame:
+    """Q6, Q7 and Q8 as records: ``(reason, file, entry_index, feed_id, name, url)``, one for each
+    rejected entry and each feed that could not be downloaded or parsed, with the place of its
+    subscription (entries of JSON Lines have no index). No rows for what was used.
+
+    ``validated_entries`` needs ``feed_id, file, entry_index``. Only ids and places meet in the
+    join; the feeds' posts are not read.
+    """
+    place = ["feed_id", "file", F.col("entry_index").cast("bigint").alias("entry_index")]
+    rejected = validated_entries.where(~F.col("is_valid")).select(F.lit("malformed_subscription").alias("reason"), *place, "name", "url")
+    reason = F.when(~F.col("downloaded"), F.lit("failed_download")).otherwise(F.lit("failed_parse"))
+    failed = parsed_feeds.where(~F.col("downloaded") | ~F.col("parse_ok")).select(reason.alias("reason"), "feed_id", F.col("feed_name").alias("name"), "url")
+    found = failed.join(validated_entries.where("is_valid").select(*place).dropDuplicates(["feed_id"]), "feed_id", "left")
+    columns = ["reason", "file", "entry_index", "feed_id", "name", "url"]
+    return rejected.select(*columns).unionByName(found.select(*columns))
+
+
+def write_quarantine(records: DataFrame, path: str) -> str:
+    """The records as a table partitioned by reason."""
+    records.write.mode("overwrite").partitionBy("reason").parquet(path)
+    return path

@@ -316,3 +316,22 @@ def write_feed_files(docs: DataFrame, path: str) -> DataFrame:
     )
     missing = F.concat(F.lit("file:///missing/"), F.col("feed_id").cast("string"))
     return feeds.select("feed_id", "feed_name").join(found, "feed_id", "left").select("feed_id", "feed_name", F.coalesce("found", missing).alias("url"))
+
+
+def write_run_inputs(docs: DataFrame, pages: DataFrame, bench: DataFrame, path: str) -> tuple[str, str]:
+    """Everything a whole run reads, as files below ``path``: subscription array files (an entry
+    for every document feed, with its ``file:`` url, and a nameless one for every page whose url
+    has a ``#``) and a dictionary directory (``benchmark`` tokens by type). Returns both paths."""
+    feeds = write_feed_files(docs, path)
+    per_file = FEED_PAGE_SIZE * SUBSCRIPTIONS_PER_FILE
+    bucket = lambda c: F.floor(F.col(c) / per_file).cast("bigint").alias("bucket")
+    entry = F.to_json(F.struct(F.col("feed_name").alias("name"), "url"))
+    nameless = pages.where(F.instr("url", "#") > 0).select(bucket("page_id"), F.lit(1).alias("kind"), F.col("page_id").alias("id"), F.to_json(F.struct("url")).alias("entry"))
+    entries = feeds.select(bucket("feed_id"), F.lit(0).alias("kind"), F.col("feed_id").alias("id"), entry.alias("entry")).unionByName(nameless)
+    grouped = entries.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("kind", "id", "entry"))).alias("es"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("es", lambda e: e["entry"]), ",\n"), F.lit("]"))
+    grouped.select("bucket", body.alias("value")).write.partitionBy("bucket").text(f"{path}/subscriptions")
+    dictionary = benchmark_dictionary(bench)
+    for name, kind in DICTIONARY_FILES:
+        dictionary.where(F.col("entity_type") == kind).select(F.col("entity_name").alias("value")).write.text(f"{path}/entities/{name}")
+    return f"{path}/subscriptions", f"{path}/entities"

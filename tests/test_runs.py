@@ -1,0 +1,147 @@
+"""A run's folder: freed by ``close()``, taken over by a run started again under its id."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from conftest import ENTITIES_DIR
+from feedlens.__main__ import main
+from feedlens.operators import aggregate
+from feedlens.plans import analysis, quality
+from feedlens.plans.analysis import analyze_posts, run_analysis
+from feedlens.runs import RunFolder, RunMismatch
+from feedlens.sources import feeds as feedsrc
+from feedlens.sources.dictionary import load_dictionary
+
+from conftest import write_json
+
+
+def runs(spark) -> set[str]:
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/feedlens/runs"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_close_frees_every_landed_table(spark, golden):
+    before = runs(spark)
+    with run_analysis(spark, golden, ENTITIES_DIR) as result:
+        report = result.report()
+        assert len(runs(spark) - before) == 1 and result.folder.exists()
+    assert runs(spark) == before and not result.folder.exists()
+    result.close()  # again: nothing left to do
+    again = run_analysis(spark, golden, ENTITIES_DIR)
+    assert again.report() == report
+    again.close()
+    assert runs(spark) == before
+
+
+def test_a_failed_private_run_leaves_nothing(spark, golden, monkeypatch):
+    before = runs(spark)
+    monkeypatch.setattr(analysis, "analyze_posts", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_analysis(spark, golden, ENTITIES_DIR)
+    assert runs(spark) == before
+
+
+def test_a_run_without_posts_frees_through_its_result(spark, tmpdir_path):
+    subs = write_json(os.path.join(tmpdir_path, "s.json"), [{"name": "x", "url": "file:///missing"}])
+    before = runs(spark)
+    with pytest.raises(quality.NoValidPosts) as caught:
+        run_analysis(spark, subs, ENTITIES_DIR)
+    assert len(runs(spark) - before) == 1
+    caught.value.result.close()
+    assert runs(spark) == before
+
+
+def test_analyze_posts_owns_its_counts(spark):
+    before = runs(spark)
+    posts = spark.createDataFrame([("Scala", "x"), ("a", "scala")], "title string, selftext string")
+    with analyze_posts(posts, load_dictionary(spark, ENTITIES_DIR)) as report:
+        assert {r.entity_name: r.n for r in report.entity_counts.collect()}["Scala"] == 2
+    assert runs(spark) == before
+
+
+def test_restart_does_not_fetch_again(spark, golden, monkeypatch):
+    """Broken off after the fetch; the second attempt has no network and other feeds."""
+    want = run_analysis(spark, golden, ENTITIES_DIR)
+    fetched = spark.sparkContext.accumulator(0)
+
+    def counting(valid):
+        def count(batches):
+            for batch in batches:
+                fetched.add(batch.num_rows)
+                yield batch
+
+        return feedsrc.fetch_feeds(valid).mapInArrow(count, feedsrc.FETCHED_SCHEMA)
+
+    real = analysis.analyze_posts
+    monkeypatch.setattr(analysis, "analyze_posts", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_analysis(spark, golden, ENTITIES_DIR, fetch=counting, run_id="restart-1")
+    assert fetched.value == 3 and "restart-1" in runs(spark)
+    monkeypatch.setattr(analysis, "analyze_posts", real)
+    with run_analysis(spark, golden, ENTITIES_DIR, fetch=counting, run_id="restart-1") as result:
+        assert fetched.value == 3
+        assert result.report() == want.report()
+        assert result.extras["fetch_metrics"] == want.extras["fetch_metrics"]
+        with run_analysis(spark, golden, ENTITIES_DIR, top_k=1, fetch=counting, run_id="restart-1") as third:  # another report of the same run
+            assert fetched.value == 3 and third.top_entities.count() == 1
+    assert "restart-1" not in runs(spark)
+    want.close()
+
+
+def test_half_written_table_is_written_again(spark):
+    folder = RunFolder(spark, "half", {"a": 1})
+    spark.range(5).write.parquet(f"{folder.path}/numbers")  # no mark: an attempt broke off
+    assert not folder.has("numbers")
+    assert folder.land(spark.range(3), "numbers").count() == 3 and folder.has("numbers")
+    assert RunFolder(spark, "half", {"a": 1}).land(spark.range(9), "numbers").count() == 3
+    with pytest.raises(RunMismatch):
+        RunFolder(spark, "half", {"a": 2})
+    folder.close()
+    assert not folder.exists()
+    for bad in ("", "a/b", "../x", ".hidden"):
+        with pytest.raises(ValueError):
+            RunFolder(spark, bad)
+
+
+def test_quarantine_has_the_place_of_everything_rejected(spark, tmpdir_path, capsys):
+    good = write_json(os.path.join(tmpdir_path, "a.json"), {"data": {"children": [{"data": {"title": "Scala", "selftext": "x"}}]}})
+    bad = os.path.join(tmpdir_path, "b.json")
+    with open(bad, "w") as f:
+        f.write("<html>")
+    entries = [{"name": "A", "url": f"file://{good}"}, {"url": "u"}, {"name": "B", "url": f"file://{bad}"}, {"name": "C", "url": "file:///missing"}]
+    entries += [{"name": f"n{i}"} for i in range(1500)]
+    subs, out = write_json(os.path.join(tmpdir_path, "subs.json"), entries), os.path.join(tmpdir_path, "quarantine")
+    assert main(["--subscription-file", subs, "--entities-dir", ENTITIES_DIR, "--quarantine", out], spark) == 0
+    printed = capsys.readouterr().out
+    assert printed.count("malformed subscription") == 1501 and f"Quarantine: {out}" in printed  # uncut
+    table = spark.read.parquet(out)
+    assert sorted(os.listdir(out))[-3:] == ["reason=failed_download", "reason=failed_parse", "reason=malformed_subscription"]
+    got = {(r.reason, r.entry_index, r["name"], r.url) for r in table.collect()}
+    want = {("malformed_subscription", 1, None, "u"), ("failed_parse", 2, "B", f"file://{bad}"), ("failed_download", 3, "C", "file:///missing")}
+    assert got == want | {("malformed_subscription", 4 + i, f"n{i}", None) for i in range(1500)}
+    assert table.select("file").distinct().count() == 1 and table.count() == 1503
+
+
+def test_ranking_of_any_k(spark, monkeypatch):
+    """The same as the report's ranking; no window over all rows in the plan."""
+    counts = spark.range(1_000_000).selectExpr("concat('T', id % 7) as entity_type", "concat('n', id) as entity_name", "pmod(hash(id), 5000) as n")
+    whole = aggregate.top_entities(counts, 1_000_000)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "TakeOrderedAndProject" not in plan
+    rows = whole.selectExpr("count(*) as n", "min(rank) as a", "max(rank) as b", "count(distinct rank) as d").first()
+    assert tuple(rows) == (1_000_000, 1, 1_000_000, 1_000_000)
+    report = aggregate.top_entities(counts, 500).orderBy("rank").collect()
+    monkeypatch.setattr(aggregate, "REPORT_K", 0)
+    assert aggregate.top_entities(counts, 500).orderBy("rank").collect() == report
+    assert whole.where("rank <= 500").orderBy("rank").collect() == report
+
+
+def test_ranking_of_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "REPORT_K", 0)
+    none = spark.createDataFrame([], "entity_type string, entity_name string, n bigint")
+    assert aggregate.top_entities(none, 5).collect() == []
+    few = spark.createDataFrame([("B", "x", 2), ("A", "y", 2), ("A", "z", 3)], none.schema)
+    assert [tuple(r) for r in aggregate.top_entities(few, 2).orderBy("rank").collect()] == [(1, "A", "z", 3), (2, "A", "y", 2)]
