@@ -169,15 +169,19 @@ type_stats AS (
   SELECT d.ordinal, d.entity_type, CAST(coalesce(t.n, 0) AS BIGINT) AS n
   FROM dim d LEFT JOIN twt t ON d.entity_type = t.entity_type)"""
 
-# Document lines (1-based line numbers), marked by doc_id, and their dictionary-file name.
+# Document lines (1-based line numbers), some marked by doc_id, further lines after them, and
+# their dictionary-file name.
 SQL_LINES = """raw_lines AS (
-  SELECT doc_id, CAST(unnest(range(1, len(arr) + 1)) AS BIGINT) AS line_no, lang, unnest(arr) AS value
+  SELECT doc_id, CAST(unnest(range(1, len(arr) + 1)) AS BIGINT) AS line_no, len(arr) AS n_lines, lang, unnest(arr) AS value
   FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS arr FROM documents)),
 lines AS (
   SELECT doc_id, line_no, lang,
-         CASE doc_id % 7 WHEN 0 THEN chr(9) || value || chr(11) WHEN 1 THEN '' WHEN 2 THEN ' # ' || value
-                         WHEN 3 THEN value || chr(128512) WHEN 4 THEN chr(12) || chr(13) ELSE value END AS value
-  FROM raw_lines)"""
+         CASE doc_id % 7 WHEN 0 THEN chr(9) || value || chr(11) WHEN 3 THEN value || chr(128512) ELSE value END AS value
+  FROM raw_lines
+  UNION ALL
+  SELECT doc_id, CAST(n_lines + line_no AS BIGINT), lang,
+         CASE doc_id % 7 WHEN 1 THEN '' WHEN 2 THEN ' # ' || value WHEN 5 THEN chr(9) || '#' || value ELSE chr(12) || chr(13) END
+  FROM raw_lines WHERE doc_id % 7 IN (1, 2, 4, 5))"""
 
 
 def sql_case(col: str, pairs: list[tuple[str, str]]) -> str:
@@ -377,20 +381,26 @@ def q_entity_type_fallback(spark, sf):
 
 # ====================================================== step 3: posts =======
 
-@register("posts_live", sql_with(sql_doc_posts(), SQL_KEPT) + "SELECT post_id, feed_name, title, selftext FROM kept")
+# All posts, and a post with a body of white space only for every eleventh.
+_BLANK_POSTS_SQL = sql_with(sql_doc_posts()).rstrip() + """,
+more AS (
+  SELECT post_id, feed_name, title, selftext FROM posts
+  UNION ALL SELECT -1 - post_id, feed_name, title, chr(9) || ' ' || chr(10) FROM posts WHERE post_id % 11 = 0)
+"""
+
+
+@register("posts_live", _BLANK_POSTS_SQL + "SELECT post_id, feed_name, title, selftext FROM more WHERE title <> '' AND selftext <> ''")
 def q_posts_live(spark, sf):
-    return _doc_kept(spark, sf)
+    return posts.live_filter(tables.with_blank_posts(_doc_posts(spark, sf)))
 
 
 @register(
     "posts_strict",
-    sql_with(sql_doc_posts())
-    + "SELECT * FROM (SELECT post_id, feed_name, title, "
-    "CASE WHEN post_id % 11 = 0 THEN chr(9) || ' ' || chr(10) ELSE selftext END AS selftext FROM posts) "
+    _BLANK_POSTS_SQL + "SELECT post_id, feed_name, title, selftext FROM more "
     f"WHERE title <> '' AND selftext <> '' AND {sql_jtrim('selftext')} <> ''",
 )
 def q_posts_strict(spark, sf):
-    return posts.strict_filter(tables.blank_bodies(_doc_posts(spark, sf)))
+    return posts.strict_filter(tables.with_blank_posts(_doc_posts(spark, sf)))
 
 
 @register(

@@ -41,9 +41,9 @@ LITERAL_DICTIONARY = [
     ("ProgrammingLanguage", "en,"),
     ("Organization", "System"),
 ]
-# Marks put on texts and lines, by ``doc_id``, so that trimming, comment
-# dropping, every white-space character, the strict filter and UTF-16 lengths
-# have something to do.
+# Marks put on texts and lines, and lines and posts added, by ``doc_id``, so
+# that trimming, comment dropping, every white-space character, the strict
+# filter and UTF-16 lengths have something to do. Nothing of a text is lost.
 LINE_MARKS, SPACE_MARKS, BLANK_BODY_EVERY, ASTRAL_MARKS = 7, 5, 11, 3
 ASTRAL = "\U0001F600"
 # Feed damage applied to paged document feeds.
@@ -157,22 +157,23 @@ def _marked(column: str, marks: int, values: dict[int, Column], otherwise: Colum
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """Every line of every document, marked: ``(doc_id, line_no, lang, value)``, 1-based.
+    """Every line of every document, ``(doc_id, line_no, lang, value)``, 1-based, and marked lines
+    beside them.
 
-    By ``doc_id``: wrapped in a tab and a vertical tab, emptied, made a comment, given a
-    supplementary character, made blank (form feed and carriage return), or left alone.
+    By ``doc_id``: the lines wrapped in a tab and a vertical tab, or given a supplementary
+    character, or left alone and followed by a further line for each: empty, a comment, or blank
+    (form feed and carriage return).
     """
-    value = F.col("value")
-    marks = {
-        0: F.concat(F.lit("\t"), value, F.lit("\v")),
-        1: F.lit(""),
-        2: F.concat(F.lit(" # "), value),
-        3: F.concat(value, F.lit(ASTRAL)),
-        4: F.lit("\f\r"),
-    }
-    return docs.select(
-        "doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("pos", "value")
-    ).select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "lang", _marked("doc_id", LINE_MARKS, marks, value).alias("value"))
+    lines, mark = F.split("text", "\n"), F.col("doc_id") % LINE_MARKS
+    whole = F.when(mark == 0, F.transform(lines, lambda v: F.concat(F.lit("\t"), v, F.lit("\v"))))
+    whole = whole.when(mark == 3, F.transform(lines, lambda v: F.concat(v, F.lit(ASTRAL)))).otherwise(lines)
+    further = F.when(mark == 1, F.transform(lines, lambda v: F.lit("")))
+    further = further.when(mark == 2, F.transform(lines, lambda v: F.concat(F.lit(" # "), v)))
+    further = further.when(mark == 5, F.transform(lines, lambda v: F.concat(F.lit("\t#"), v)))
+    further = further.when(mark == 4, F.transform(lines, lambda v: F.lit("\f\r"))).otherwise(F.array().cast("array<string>"))
+    return docs.select("doc_id", "lang", F.posexplode(F.concat(whole, further)).alias("pos", "value")).select(
+        "doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "lang", "value"
+    )
 
 
 def spaced_documents(docs: DataFrame) -> DataFrame:
@@ -186,10 +187,13 @@ def astral_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.concat("text", F.repeat(F.lit(ASTRAL), (F.col("doc_id") % ASTRAL_MARKS).cast("int"))).alias("text"))
 
 
-def blank_bodies(posts: DataFrame) -> DataFrame:
-    """Posts of which every eleventh has a body of white space only."""
-    blank = F.when(F.col("post_id") % BLANK_BODY_EVERY == 0, F.lit("\t \n")).otherwise(F.col("selftext"))
-    return posts.select("post_id", "feed_name", "title", blank.alias("selftext"))
+def with_blank_posts(posts: DataFrame) -> DataFrame:
+    """All posts, and for every eleventh another one (``-1 - post_id``) with its title and a body
+    of white space only."""
+    blank = posts.where(F.col("post_id") % BLANK_BODY_EVERY == 0).select(
+        (-1 - F.col("post_id")).alias("post_id"), "feed_name", "title", F.lit("\t \n").alias("selftext")
+    )
+    return posts.select("post_id", "feed_name", "title", "selftext").unionByName(blank)
 
 
 def dictionary_lines_from_documents(docs: DataFrame) -> DataFrame:
