@@ -14,9 +14,9 @@
    pairs are joined by Spark: each is held by fewer texts than any common one, so no key of
    that join is hot however the tokens are spread. Sums by text are added to the figures.
 
-``fast_ids`` encodes A with ``tiktoken`` when a check on the driver shows that the file is the
-same byte-level BPE (merges in order of ids, the known pattern, nothing else in front or
-behind); otherwise the library itself encodes.
+``fast_ids`` encodes A by ranks of bytes (``byte_ranks``, which proves the same merges) when a
+check on the driver shows that the file is a plain byte-level BPE with the known pattern and
+nothing in front of it; otherwise the library itself encodes.
 
 A text's links go out in blocks of whole A ids with about ``BLOCK_PAIRS`` pairs, so a text
 whose tokens never end together needs bounded memory too.
@@ -30,7 +30,6 @@ no rows; further columns do not matter.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
 import re
 
@@ -38,6 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.llm.byte_ranks import coding, model_of, plain_bpe
 from feedlens.llm.common import bounded_batches, land, slices, texts_of, worker_state
 from feedlens.llm.token_count import PATTERN, byte_letters
 
@@ -55,9 +55,7 @@ SCHEMA = f"row bigint, doc_id bigint, {FIGURES}, pairs binary, times binary, pai
 
 def byte_tokens(path: str) -> list[bytes]:
     """The bytes of each id of a byte-level BPE file."""
-    with open(path, encoding="utf-8") as f:
-        file = json.load(f)
-    letters = byte_letters()
+    file, letters = model_of(path), byte_letters()
     out = [b""] * (1 + max([*file["model"]["vocab"].values(), *(t["id"] for t in file["added_tokens"])]))
     for token, k in file["model"]["vocab"].items():
         out[k] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
@@ -72,37 +70,24 @@ def piece_tokens(model) -> list[bytes]:
 
 
 def same_as_ranks(path: str) -> bool:
-    """Whether the file's BPE is the one that merges by rank of its ids: ids in order of
-    merges, a byte-level pattern cut without further normaliser, and no options of the model."""
-    with open(path, encoding="utf-8") as f:
-        file = json.load(f)
-    model, letters, cut = file["model"], byte_letters(), file["pre_tokenizer"] or {}
-    special = {t["content"] for t in file["added_tokens"]}
-    ids = model["vocab"]
-    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-    ordered = [ids.get(a + b) for a, b in merges]
+    """Whether the file is a byte-level BPE that ranks of bytes give too (``byte_ranks``): the
+    known pattern, nothing else in front, no options of the model."""
+    file, cut = model_of(path), model_of(path)["pre_tokenizer"] or {}
     return (
-        model["type"] == "BPE"
-        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
-        and file["normalizer"] is None
+        plain_bpe(file["model"]) and not file["model"].get("end_of_word_suffix") and file["normalizer"] is None
         and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
-        and None not in ordered and ordered == sorted(set(ordered))
-        and all(c in ids for c in letters) and all(ids[c] < (ordered[0] if ordered else len(ids)) for c in letters)
-        and len(ids.keys() - special) == len(letters) + len(merges)
-    )
+    )
 
 
 def fast_ids(path: str, by_ranks: bool):
     """A function from texts to lists of ids, special strings being plain text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if by_ranks:
-        import tiktoken
-
-        with open(path, encoding="utf-8") as f:
-            special = {t["id"] for t in json.load(f)["added_tokens"]}
-        ranks = {token: k for k, token in enumerate(byte_tokens(path)) if k not in special}
-        coding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [coding.encode_ordinary(t) for t in texts]
+        ranks, ids = coding(model_of(path)["model"], PATTERN)
+        to_id = ids.tolist()
+        if to_id == list(range(len(to_id))):
+            return lambda texts: [ranks.encode_ordinary(t) for t in texts]
+        return lambda texts: [[to_id[k] for k in ranks.encode_ordinary(t)] for t in texts]
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)

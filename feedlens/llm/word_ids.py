@@ -2,8 +2,9 @@
 
 Such a tokenizer (``word_bpe_49k.json`` cuts at white space before merging) encodes a text as
 the concatenation of its white-space words' ids, so each Python worker keeps the ids of words
-it has met, in a memo of bounded size, and asks the library only for new words, many in one
-call. Ids are little-endian unsigned 32-bit bytes throughout.
+it has met, in a memo of bounded size. New words of letters are merged by ranks, many in one
+call (``byte_ranks``: the same merges, proved on the file); all others go to the library. Ids are
+little-endian unsigned 32-bit bytes throughout.
 
 A-Z are lower-cased first, which leaves the ids as they are and makes fewer distinct words (the
 tokenizer does so itself, after matching its special strings, so texts that may hold one are
@@ -13,34 +14,41 @@ word's ids are those of the two parts.
 
 from __future__ import annotations
 
-import json
 import os
+import re
 from itertools import chain
 
 import numpy as np
 
+from feedlens.llm.byte_ranks import MARK, coding, model_of, plain_bpe
 from feedlens.llm.common import worker_state
 
 #: Words in each of a memo's two generations (about 330 bytes a word), the longest word kept, and words given to the library as one text.
-MEMO_WORDS, MEMO_BYTES, CALL_WORDS = 250_000, 64, 500
+MEMO_WORDS, MEMO_BYTES, CALL_WORDS, SIMPLE_WORDS = 250_000, 64, 500, 5000
 #: Letters below this code point are single code points in every normal form and case (but for the dotted capital I).
 SIMPLE_BELOW, DOTTED_I = "ɐ", "İ"
-
-
-def words_only(path: str):
-    """A tokenizer for texts of lower-cased words of letters between spaces: the file's merges
-    without normaliser, pattern and special strings, which do nothing to such texts, and
-    without the library's own memo. None if the file's model does not mark the ends of words."""
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    if model["type"] != "BPE" or not model.get("end_of_word_suffix"):
-        return None
-    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-    out = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, end_of_word_suffix=model["end_of_word_suffix"]))
-    out.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    return out
+#: Words whose pre-tokens are found here: visible ASCII and the letters from U+00C0 on below that bound.
+SAFE = re.compile(r"[!-~\u00C0-\u024F]+")
+#: The pattern of pre-tokens between white space that the shortcuts rely on; fixed by the tokenizer file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def checked_file(path: str) -> dict:
+    """The tokenizer file, if it is one that this module knows; a ValueError says what is not."""
+    file = model_of(path)
+    steps = (file["normalizer"] or {}).get("normalizers", [])
+    cuts = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}, {}])
+    known = {
+        "a byte-level BPE with word ends": plain_bpe(file["model"]) and bool(file["model"].get("end_of_word_suffix")),
+        "normaliser NFC, white space, lower case": [(s["type"], s.get("pattern"), s.get("content")) for s in steps] == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)],
+        "pre-tokens cut at white space": cuts[0].get("pattern") == {"Regex": PATTERN} and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert") is True,
+        "bytes without a pattern of their own": cuts[1].get("type") == "ByteLevel" and not cuts[1].get("add_prefix_space") and cuts[1].get("use_regex") is False and len(cuts) == 2,
+        "special strings that begin with <|": all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in file["added_tokens"]),
+        "no template, cut or filling": file.get("truncation") is None and file.get("padding") is None,
+    }
+    if missing := [what for what, found in known.items() if not found]:
+        raise ValueError(f"{path} is not as the word encoder needs it: {'; '.join(missing)}")
+    return file
 
 
 class WordIds:
@@ -48,11 +56,16 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.simple = Tokenizer.from_file(path), words_only(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the tokens that end a word
-        if self.simple:
-            suffix = self.simple.model.end_of_word_suffix
-            self.ends[[k for token, k in self.tokenizer.get_vocab(False).items() if token.endswith(suffix)]] = True
+        file = checked_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        import regex
+
+        self.cut = regex.compile(PATTERN).findall
+        self.ranks, self.file_ids = coding(file["model"], "[^ ]+")
+        suffix = file["model"]["end_of_word_suffix"]
+        ending = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # the tokens that end a word
+        ending[[k for token, k in file["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        self.ends = ending[self.file_ids]  # by rank
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # the generation before
         self.frequent: dict[bytes, bytes] = {}  # words met in two generations: they stay on
@@ -72,21 +85,22 @@ class WordIds:
             self.memo[word] = self.memo[word[:-1]] + self.stops[word[-1]]
 
     def _ask(self, words: list[bytes]) -> None:
-        """Ask the library for these words, many in one text."""
-        simple, texts, other = [], [], []
+        """Merge these words, or ask the library for them, many in one text."""
+        simple, cut, other = [w for w in words if w.isalpha()], [], []  # bytes: a-z and A-Z only
+        texts = b" ".join(simple).decode().lower().split()
         for word in words:
+            if word.isalpha():
+                continue
             text = word.decode("utf-8", "replace")
-            if self.simple and text.isalpha() and (text.isascii() or max(text) < SIMPLE_BELOW and DOTTED_I not in text):
+            if text.isalpha() and max(text) < SIMPLE_BELOW and DOTTED_I not in text:
                 simple.append(word)
-                texts.append(text if text.isascii() else text.lower())
+                texts.append(text.lower())
+            elif SAFE.fullmatch(text) and "<|" not in text and DOTTED_I not in text:
+                cut.append((word, self.cut(text.lower())))
             else:
                 other.append(word)
-        parts = range(0, len(simple), CALL_WORDS)
-        found = self.simple.encode_batch_fast([" ".join(texts[k : k + CALL_WORDS]) for k in parts], add_special_tokens=False) if simple else []
-        for k, encoding in zip(parts, found, strict=True):
-            ids = np.array(encoding.ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            self._keep(simple[k : k + CALL_WORDS], ids.tobytes(), [0, *cuts.tolist()])
+        self._merge(simple, texts, None)
+        self._merge([w for w, _ in cut], [p for _, pieces in cut for p in pieces], [len(pieces) for _, pieces in cut])
         for k in range(0, len(other), CALL_WORDS):
             own = other[k : k + CALL_WORDS]
             texts = [w.decode("utf-8", "replace") for w in own]
@@ -96,6 +110,18 @@ class WordIds:
             ids = np.array(encoding.ids, dtype="<u4")
             self._keep(own, ids.tobytes(), [*np.searchsorted(begins, starts).tolist(), len(ids)])
 
+    def _merge(self, words: list[bytes], pieces: list[str], counts: list[int] | None) -> None:
+        """Words by the ranks of their pre-tokens ``pieces``: one each, or as ``counts`` says."""
+        ends = np.arange(1, len(words) + 1) if counts is None else np.cumsum(counts)
+        at = 0
+        while at < len(words):
+            first = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, first + SIMPLE_WORDS, "right")))
+            ranks = np.array(self.ranks.encode_ordinary((MARK + " ").join(pieces[first : int(ends[to - 1])]) + MARK), dtype=np.int64)
+            borders = np.r_[0, np.flatnonzero(self.ends[ranks]) + 1]
+            self._keep(words[at:to], self.file_ids[ranks].tobytes(), borders[np.r_[first, ends[at:to]] - first].tolist())
+            at = to
+
     def _keep(self, words: list[bytes], ids: bytes, cuts: list[int]) -> None:
         for k, word in enumerate(words):
             self.memo[word] = ids[4 * cuts[k] : 4 * cuts[k + 1]]

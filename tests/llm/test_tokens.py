@@ -47,6 +47,40 @@ def test_simple_words_keep_their_ids():
         assert WordIds.encode(WORDS, [text.encode()])[0] == np.array(LIBRARY[WORD].encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_words_by_ranks_are_the_librarys():
+    """Words with stops, quotes, digits, symbols and accents, and capitals beside a special string."""
+    words = ["l'été,", "(a1b2)", "it's", "we'll'd", "--x--", "¿qué?", "3,14", "a.b.c", "x×y÷z", "don't.", "“q”", "naïve's", "A|b<c", "ÀÉÎ's", "ǅabc1", "a\x01b", "\x01", "e\u0301t"]
+    for text in [*words, " ".join(words), "<| Hello WORLD É's <|x", "Hello <|endoftext|> World's"]:
+        assert WordIds(WORD).encode([text.encode()])[0] == np.array(LIBRARY[WORD].encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def test_unknown_tokenizer_files_are_refused(tmp_path):
+    import json
+
+    from feedlens.llm import word_ids
+
+    with pytest.raises(ValueError, match="word ends"):
+        WordIds(BYTE)
+    with open(WORD, encoding="utf-8") as f:
+        file = json.load(f)
+    for change in ({"normalizer": None}, {"added_tokens": [*file["added_tokens"], {"id": 49408, "content": "[x]", "normalized": False, "lstrip": False, "rstrip": False, "single_word": False, "special": True}]}):
+        (tmp_path / "other.json").write_text(json.dumps(file | change), encoding="utf-8")
+        with pytest.raises(ValueError):
+            word_ids.checked_file(str(tmp_path / "other.json"))
+
+
+def test_unreachable_tokens_get_no_rank():
+    from feedlens.llm import byte_ranks
+
+    model = {"type": "BPE", "vocab": {c: k for k, c in enumerate(byte_ranks.byte_letters())}, "merges": ["a b", "b c", "a bc"]}
+    model["vocab"] |= {"ab": 256, "bc": 257, "abc": 258}  # abc alone is ab, c: its own merge never comes about
+    assert byte_ranks.reachable(model, ["ab", "bc", "abc"]) == {"ab", "bc"}
+    ranks, _ = byte_ranks.ranked(model)
+    assert b"bc" in ranks and b"abc" not in ranks
+    coded, ids = byte_ranks.coding(model, "[^ ]+")
+    assert [int(ids[k]) for k in coded.encode_ordinary("abc bc")] == [256, model["vocab"]["c"], 257]
+
+
 def test_memo_generations(monkeypatch):
     from feedlens.llm import word_ids
 
