@@ -46,7 +46,7 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    read = token_binary.token_binary(docs, _tokenizer("word_bpe_49k.json"), 49_408, 2)
+    read = token_binary.token_binary(docs, _tokenizer("word_bpe_49k.json"), None, 2)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

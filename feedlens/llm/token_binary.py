@@ -82,7 +82,30 @@ class _Shard:
             self._batch(np.pad(values, (0, -len(values) % self.length)), len(values))
         self.writer.close()
         self.sink.close()
-        self.store.move(self.private, self.final)
+        keep_first(self.store, self.private, self.final)
+
+
+def keep_first(store, private: str, final: str) -> None:
+    """Move a finished file to its name, unless an earlier attempt of the same task has left its
+    (equal) file there; some stores refuse to move onto a file."""
+    from pyarrow import fs
+
+    there = lambda: store.get_file_info(final).type == fs.FileType.File
+    if not there():
+        try:
+            store.move(private, final)
+            return
+        except OSError:
+            if not there():  # not another attempt's doing
+                raise
+    store.delete_file(private)
+
+
+def vocabulary_size(tokenizer: str, end_id: int) -> int:
+    """One more than the largest id that is written."""
+    from tokenizers import Tokenizer
+
+    return 1 + max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
 
 
 def write(df: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -170,8 +193,9 @@ def read_documents(spark: SparkSession, path: str, length: int = LENGTH) -> Data
     return chosen.mapInArrow(get, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
-def token_binary(df: DataFrame, tokenizer: str, vocabulary: int, end_id: int) -> DataFrame:
-    """Write ``df`` under the shared scratch folder and read it back."""
+def token_binary(df: DataFrame, tokenizer: str, vocabulary: int | None, end_id: int) -> DataFrame:
+    """Write ``df`` under the shared scratch folder and read it back; without a ``vocabulary`` its
+    size is the tokenizer's."""
     path = scratch_path(df.sparkSession, "token-binary")
-    write(df, path, tokenizer, vocabulary, end_id)
+    write(df, path, tokenizer, vocabulary or vocabulary_size(tokenizer, end_id), end_id)
     return read_documents(df.sparkSession, path)

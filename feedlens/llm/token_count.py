@@ -44,12 +44,19 @@ def byte_letters() -> dict[str, int]:
 
 
 def whole_tokens(tokenizer: str) -> list[str]:
-    """The strings that are one pre-token and encode alone as one token."""
+    """The strings that are one pre-token and encode alone as one token. A file with another
+    pattern or normaliser than this module's raises a ValueError."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer)
+    file = json.loads(library.to_str())
+    cut = file["pre_tokenizer"] or {}
+    if file["normalizer"] is not None or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        raise ValueError(f"{tokenizer}: not a byte-level BPE with the known pattern and no normaliser")
+    if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in file["added_tokens"]):
+        raise ValueError(f"{tokenizer}: its special strings take in more than themselves")
     letters, strings = byte_letters(), []
-    for token in json.loads(library.to_str())["model"]["vocab"]:
+    for token in file["model"]["vocab"]:
         raw = bytes(letters[c] for c in token) if all(c in letters for c in token) else b"\xff"
         try:
             strings.append(raw.decode("utf-8"))

@@ -81,6 +81,33 @@ def test_unreachable_tokens_get_no_rank():
     assert [int(ids[k]) for k in coded.encode_ordinary("abc bc")] == [256, model["vocab"]["c"], 257]
 
 
+def test_counts_refuse_unknown_files():
+    with pytest.raises(ValueError, match="known pattern"):
+        token_count.whole_tokens(WORD)
+
+
+def test_repeated_attempt_keeps_the_first_file(tmp_path):
+    from pyarrow import fs
+
+    class NoOverwrite:  # as hdfs does
+        def __init__(self):
+            self.inner = fs.LocalFileSystem()
+
+        def move(self, a, b):
+            if self.inner.get_file_info(b).type == fs.FileType.File:
+                raise OSError("exists")
+            self.inner.move(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    for attempt in ("first", "second"):
+        (tmp_path / attempt).write_text(attempt)
+        token_binary.keep_first(NoOverwrite(), str(tmp_path / attempt), str(tmp_path / "final"))
+    assert (tmp_path / "final").read_text() == "first" and not (tmp_path / "second").exists()
+    assert token_binary.vocabulary_size(WORD, 2) == 49_408 and token_binary.vocabulary_size(WORD, 70_000) == 70_001
+
+
 def test_memo_generations(monkeypatch):
     from feedlens.llm import word_ids
 
