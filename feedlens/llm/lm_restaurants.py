@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 from feedlens.llm import lm_score as lm
 from feedlens.llm.common import land, mix, slices, texts_of, word_hashes
 
-ENCODED = "chunk bigint, shard int, words array<bigint>, contexts array<bigint>, pair_word array<int>, pair_context array<int>, pair_n array<bigint>, doc_id bigint, held_out boolean, tokens array<int>"
-SHARDS = "shard int, words array<bigint>, contexts array<bigint>, pair_word array<int>, pair_context array<int>, pair_n array<bigint>, chunks array<bigint>, asked_n array<int>, asked array<int>"
-LETTERS = "cell int, kind int, source int, keys array<bigint>, ints array<bigint>, nums array<double>"
+ENCODED = "chunk bigint, shard int, words binary, contexts binary, pair_word binary, pair_context binary, pair_n binary, doc_id bigint, held_out boolean, tokens binary"
+SHARDS = "shard int, words binary, contexts binary, pair_word binary, pair_context binary, pair_n binary, chunks binary, asked_n binary, asked binary"
+LETTERS = "cell int, kind int, source int, keys binary, ints binary, nums binary"
 #: Kinds of letters: about words, about contexts, a shard's own tables, sums for the driver.
 WORDS, PLACES, TABLES, SUMS = range(4)
+#: Numbers that a cell sends to the driver.
+SUMMED = 4 + max(4, lm.SAMPLES)
 
 
 def side(shards: int) -> int:
@@ -43,10 +45,10 @@ def lines(hashes: np.ndarray, grid: int) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(grid)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(grid)).astype(np.int64)
 
 
-def _list(values: list, kind):
+def _packed(values: list):
     import pyarrow as pa
 
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(v) for v in values])], pa.int32()), pa.array(np.concatenate(values) if values else [], kind))
+    return pa.array([lm.pack(v) for v in values], pa.binary())
 
 
 def encode(docs: DataFrame, grid: int) -> DataFrame:
@@ -84,26 +86,28 @@ def encode(docs: DataFrame, grid: int) -> DataFrame:
             tokens = place[tokens]
             shard, word, context, n = shard[order], word[order], context[order], n[order]
             cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)]
-            names_of, places_of, pair_word, pair_context = [], [], [], []
+            names_of, places_of, per_word, pair_context, counts = [], [], [], [], []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                for of, at, numbers in ((names_of, pair_word, word[a:b]), (places_of, pair_context, context[a:b])):
-                    known, inside = np.unique(numbers, return_inverse=True)
-                    of.append(words[known].view(np.int64))
-                    at.append(inside)
+                known, per = np.unique(word[a:b], return_counts=True)  # the pairs are in the order of words
+                names_of.append(words[known].view(np.int64))
+                per_word.append(per)
+                known, inside = np.unique(context[a:b], return_inverse=True)
+                places_of.append(words[known].view(np.int64))
+                pair_context.append(inside)
+                counts.append(n[a:b])
             k, d = len(cuts) - 1, len(lengths)
-            counts = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(n, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(k, number)), pa.array(shard[cuts[:-1]], pa.int32()), _list(names_of, pa.int64()), _list(places_of, pa.int64()), _list(pair_word, pa.int32()),
-                    _list(pair_context, pa.int32()), counts, pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.list_(pa.int32())),
+                    pa.array(np.full(k, number)), pa.array(shard[cuts[:-1]], pa.int32()), *map(_packed, (names_of, places_of, per_word, pair_context, counts)),
+                    pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.binary()),
                 ],
                 names=names,
             )
-            nothing = [pa.nulls(d, pa.list_(t)) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())]
+            nothing = [pa.nulls(d, pa.binary())] * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(d, number)), pa.array(np.full(d, -1), pa.int32()), *nothing, pa.chunked_array(ids, pa.int64()).combine_chunks(), pa.array(outs),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32())),
+                    _packed(np.split(tokens, ends[1:-1])),
                 ],
                 names=names,
             )
@@ -138,23 +142,24 @@ def merge(grid: int):
         import pyarrow as pa
 
         def unified(names, at, n_pairs):
-            hashes, n = lm._lists(table.column(names))
+            hashes, n = lm.unpacked(table.column(names))
             known, inside = np.unique(hashes, return_inverse=True)
             order = np.argsort(lines(known, grid)[1], kind="stable")  # by keeper
             place = np.empty(len(known), np.int64)
             place[order] = np.arange(len(known))
             return known[order], place[inside[np.repeat(np.cumsum(n) - n, n_pairs) + at]]
 
-        (pair_word, n_pairs), pair_context = lm._lists(table.column("pair_word")), lm._lists(table.column("pair_context"))[0]
-        words, word = unified("words", pair_word, n_pairs)
+        per_word, n_words = lm.unpacked(table.column("pair_word"))
+        pair_context, n_pairs = lm.unpacked(table.column("pair_context"))
+        within = np.arange(len(per_word)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
+        words, word = unified("words", np.repeat(within, per_word), n_pairs)
         contexts, context = unified("contexts", pair_context, n_pairs)
         pairs, asked = np.unique(word * len(contexts) + context, return_inverse=True)
         n = np.zeros(len(pairs), np.int64)
-        np.add.at(n, asked, lm._lists(table.column("pair_n"))[0])
+        np.add.at(n, asked, lm.unpacked(table.column("pair_n"))[0])
         word, context = np.divmod(pairs, len(contexts))
-        values = [words, contexts, word, context, n, table.column("chunk").to_numpy(), n_pairs, asked]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), *(pa.array([v], pa.list_(k)) for v, k in zip(values, kinds, strict=True))], names=[c.split()[0] for c in SHARDS.split(", ")])
+        values = [words, contexts, np.bincount(word, minlength=len(words)), context, n, table.column("chunk").to_numpy(), n_pairs, asked]
+        return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), *(_packed([v]) for v in values)], names=[c.split()[0] for c in SHARDS.split(", ")])
 
     return run
 
@@ -165,7 +170,7 @@ def _letters(rows: list[tuple]):
 
     cells, kinds, sources, keys, ints, nums = zip(*rows, strict=True) if rows else [()] * 6
     flat = [pa.array(x, pa.int32()) for x in (cells, kinds, sources)]
-    return pa.table([*flat, _list(keys, pa.int64()), _list(ints, pa.int64()), _list(nums, pa.float64())], names=[c.split()[0] for c in LETTERS.split(", ")])
+    return pa.table([*flat, *map(_packed, (keys, ints, nums))], names=[c.split()[0] for c in LETTERS.split(", ")])
 
 
 def _sorted(table, kind: int):
@@ -175,6 +180,17 @@ def _sorted(table, kind: int):
     return table.filter(pc.equal(table.column("kind"), kind)).sort_by("source").combine_chunks()
 
 
+def _columns(column, sizes: np.ndarray) -> list[np.ndarray]:
+    """Letters hold several arrays after another, each of ``sizes`` values: each array over all letters."""
+    values, lengths = lm.unpacked(column)
+    if not len(sizes) or not lengths.sum():
+        return [np.zeros(0)]
+    per = int(lengths[np.argmax(sizes)] // sizes.max())
+    at = np.cumsum(lengths) - lengths
+    first = np.repeat(at - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    return [values[first + j * np.repeat(sizes, sizes)].astype(float) for j in range(per)]
+
+
 NONE = np.empty(0, np.int64)
 
 
@@ -183,15 +199,17 @@ class Shard:
 
     def __init__(self, table, told, model: dict, grid: int, stage: int):
         self.shard, self.grid, self.m = table.column("shard")[0].as_py(), grid, model
-        self.words, self.contexts, word, context, n = (lm._lists(table.column(c))[0] for c in ("words", "contexts", "pair_word", "pair_context", "pair_n"))
-        self.word, self.context, self.n = word.astype(np.int64), context.astype(np.int64), n
+        self.words, self.contexts, per_word, self.context, self.n = (lm.unpacked(table.column(c))[0] for c in ("words", "contexts", "pair_word", "pair_context", "pair_n"))
+        self.word = np.repeat(np.arange(len(self.words)), per_word)
         self.random = np.random.default_rng([lm.SEED, self.shard, stage])
-        self.tables = np.minimum(n, 1).astype(float)
+        self.tables = np.minimum(self.n, 1).astype(float)
         if stage:
-            self.tables = lm._lists(_sorted(told, TABLES).column("ints"))[0].astype(float)
+            self.tables = lm.unpacked(_sorted(told, TABLES).column("ints"))[0].astype(float)
             about = {k: _sorted(told, k) for k in (WORDS, PLACES)}
-            self.word_ints, self.context_ints = (lm._lists(about[k].column("ints"))[0] for k in (WORDS, PLACES))
-            self.word_nums, self.context_nums = (lm._lists(about[k].column("nums"))[0] for k in (WORDS, PLACES))
+            self.word_ints, self.context_ints = (lm.unpacked(about[k].column("ints"))[0] for k in (WORDS, PLACES))
+            (self.word_nums, *self.word_samples), (self.context_nums, *self.context_samples) = (
+                _columns(about[k].column("nums"), lm.unpacked(about[k].column("ints"))[1]) for k in (WORDS, PLACES)
+            )
 
     def of_words(self, values):
         return np.bincount(self.word, weights=values, minlength=len(self.words))
@@ -208,7 +226,8 @@ class Shard:
             was = self.tables
             others = np.maximum(customers[self.word] - was, 0)  # without this pair's own tables
             parent = root(m, others, np.minimum(root_tables[self.word], others))
-            self.tables = lm.reseat(n, (lm.THETA + m["d1"] * tables[self.context]) * parent, m["d1"], self.random)
+            left = np.maximum(tables[self.context] - was, 0)  # the restaurant's tables while these customers are out
+            self.tables = lm.reseat(n, (lm.THETA + m["d1"] * left) * parent, m["d1"], self.random, m["d1"] * parent)
             customers = customers + self.of_words(self.tables - was)
             tables = tables + self.of_contexts(self.tables - was)
             yield self.tables
@@ -251,13 +270,13 @@ def _tell(model: dict, grid: int, stage: int):
                 words.append(s.of_words(s.n))
                 rows.append((s.shard, SUMS, s.shard, NONE, np.array([(s.n == 1).sum(), (s.n == 2).sum()]), NONE))
             return _letters([*rows, *s.letters(WORDS, words), *s.letters(PLACES, [s.of_contexts(s.tables)])])
-        samples, total = [], np.zeros(len(s.n))
+        samples, given, total = [], [], np.zeros(len(s.n))
         for k, tables in enumerate(s.sweeps(lm.BURN_IN + lm.SAMPLES)):
             if k >= lm.BURN_IN:
                 samples.append(s.of_words(tables))
+                given.append(s.of_contexts(np.maximum(s.n - model["d1"] * tables, 0)))
                 total += tables
-        given = s.of_contexts(np.maximum(s.n - model["d1"] * (total / lm.SAMPLES), 0))
-        return _letters([s.kept(total), *s.letters(WORDS, [*samples, s.of_words(s.n)]), *s.letters(PLACES, [s.of_contexts(s.n)], [given])])
+        return _letters([s.kept(total), *s.letters(WORDS, [*samples, s.of_words(s.n)]), *s.letters(PLACES, [s.of_contexts(s.n)], given)])
 
     return run
 
@@ -269,26 +288,23 @@ def _keep(model: dict, stage: int):
         cell, rows = table.column("cell")[0].as_py(), []
         random = np.random.default_rng([lm.SEED, cell, stage, 1])
         own = _sorted(table, TABLES)
-        rows += [(cell, TABLES, cell, NONE, lm._lists(own.column("ints"))[0], NONE)] if own.num_rows else []
-        sums = np.zeros(8)
-        singles = lm._lists(_sorted(table, SUMS).column("ints"))[0]
+        rows += [(cell, TABLES, cell, NONE, lm.unpacked(own.column("ints"))[0], NONE)] if own.num_rows else []
+        sums = np.zeros(SUMMED)
+        singles = lm.unpacked(_sorted(table, SUMS).column("ints"))[0]
         if len(singles):
             sums[:2] = singles
 
         def added(kind):
             letters = _sorted(table, kind)
-            (keys, sizes), (ints, n_ints), (nums, _) = (lm._lists(letters.column(c)) for c in ("keys", "ints", "nums"))
+            keys, sizes = lm.unpacked(letters.column("keys"))
             known, inside = np.unique(keys, return_inverse=True)
-            per = int(n_ints[0] // sizes[0]) if len(sizes) else 0
-            at = np.cumsum(n_ints) - n_ints
-            first, step = np.repeat(at - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(keys)), np.repeat(sizes, sizes)
-            totals = [np.bincount(inside, weights=ints[first + j * step], minlength=len(known)) for j in range(per)]
-            return letters.column("source").to_numpy(), np.r_[0, np.cumsum(sizes)], inside, totals, np.bincount(inside, weights=nums, minlength=len(known)) if len(nums) else np.zeros(len(known))
+            totals, nums = ([np.bincount(inside, weights=v, minlength=len(known)) for v in _columns(letters.column(c), sizes) if len(v)] for c in ("ints", "nums"))
+            return letters.column("source").to_numpy(), np.r_[0, np.cumsum(sizes)], inside, totals, nums
 
         def answer(kind, sources, cuts, inside, ints, nums):
             for source, a, b in zip(sources.tolist(), cuts[:-1], cuts[1:], strict=True):
                 i = inside[a:b]
-                rows.append((source, kind, cell, NONE, ints[i].astype(np.int64), nums[i].astype(float)))
+                rows.append((source, kind, cell, NONE, ints[i].astype(np.int64), np.concatenate([v[i] for v in nums]).astype(float)))
 
         sources, cuts, inside, totals, _ = added(WORDS)
         if len(sources):
@@ -299,18 +315,18 @@ def _keep(model: dict, stage: int):
                 sums[2:4] = customers.sum(), seated.sum()
                 if not stage:
                     c = totals[1]
-                    sums[4:] = c.sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum()
-                answer(WORDS, sources, cuts, inside, customers, seated)
+                    sums[4:8] = c.sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum()
+                answer(WORDS, sources, cuts, inside, customers, [seated])
             else:
-                mean = np.zeros(len(totals[0]))
-                for customers in totals[:-1]:
-                    mean += root(model, customers, lm.reseat(customers, np.full(len(customers), (lm.THETA + model["d0"] * model["S"]) * model["base"]), model["d0"], random)) / lm.SAMPLES
-                sums[2] = mean[totals[-1] > 0].sum()
-                answer(WORDS, sources, cuts, inside, totals[-1], mean)
+                mass = (lm.THETA + model["d0"] * model["S"]) * model["base"]
+                roots = [root(model, customers, lm.reseat(customers, np.full(len(customers), mass), model["d0"], random)) for customers in totals[:-1]]
+                sums[4 : 4 + lm.SAMPLES] = [r[totals[-1] > 0].sum() for r in roots]
+                answer(WORDS, sources, cuts, inside, totals[-1], [sum(roots) / lm.SAMPLES, *roots])
         sources, cuts, inside, totals, given = added(PLACES)
         if len(sources):
-            # at the end: a context's customers and what it leaves to the root
-            answer(PLACES, sources, cuts, inside, totals[0], given if stage <= lm.ROUNDS else 1 - given / (lm.THETA + totals[0]))
+            # at the end: a context's customers and what it leaves to the root in each sample
+            rest = [1 - g / (lm.THETA + totals[0]) for g in given]
+            answer(PLACES, sources, cuts, inside, totals[0], [np.zeros(len(totals[0]))] if stage <= lm.ROUNDS else [sum(rest) / lm.SAMPLES, *rest])
         return _letters([*rows, (-1, SUMS, cell, NONE, NONE, sums)])
 
     return run
@@ -350,16 +366,14 @@ def train(shards: DataFrame, grid: int) -> tuple[dict, DataFrame]:
         if stage:
             drop_landed(letters)
         letters = answers.where("cell >= 0")
-        found = answers.where("cell < 0").select(F.posexplode("nums").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()
-        v = np.zeros(8)
-        for r in found:
-            v[r["k"]] = r["v"]
+        v = sum((lm.unpack(r["nums"]) for r in answers.where("cell < 0").select("nums").collect()), np.zeros(SUMMED))  # a few numbers for each cell
         if not stage:
             model = {"N": int(v[4]), "V": int(v[5]), "base": 1 / (v[5] + 1), "d1": discount(v[0], v[1]), "d0": discount(v[6], v[7])}
         if stage <= lm.ROUNDS:
             model |= {"R": v[2], "S": v[3]}
         else:
-            model["whole"] = v[2] + lm.unseen(model)
+            model["wholes"] = [r + lm.unseen(model) for r in v[4 : 4 + lm.SAMPLES]]
+            model["whole"] = sum(model["wholes"]) / lm.SAMPLES
     return model, letters
 
 
@@ -370,10 +384,13 @@ def answer(model: dict, grid: int):
         import pyarrow as pa
 
         s = Shard(table, told, model, grid, lm.ROUNDS + 2)
-        p = s.own(s.tables / lm.SAMPLES, s.context_ints[s.context]) + s.context_nums[s.context] * s.word_nums[s.word] / model["whole"] if model["N"] else np.ones(len(s.n))
-        asked, (n_pairs, _), (chunks, _) = (lm._lists(table.column(c)) for c in ("asked", "asked_n", "chunks"))
-        offsets = pa.array(np.r_[0, np.cumsum(n_pairs)], pa.int32())
-        figures = [pa.ListArray.from_arrays(offsets, pa.array(v[asked[0]], k)) for v, k in ((np.log10(p), pa.float32()), (s.word_ints[s.word], pa.int64()))]
+        p = np.ones(len(s.n))
+        if model["N"]:
+            asked_root = sum(e[s.context] * r[s.word] / whole for e, r, whole in zip(s.context_samples, s.word_samples, model["wholes"], strict=True))
+            p = s.own(s.tables / lm.SAMPLES, s.context_ints[s.context]) + asked_root / lm.SAMPLES
+        asked, (n_pairs, _), (chunks, _) = (lm.unpacked(table.column(c)) for c in ("asked", "asked_n", "chunks"))
+        ends = np.cumsum(n_pairs)[:-1]
+        figures = [_packed(np.split(v[asked[0]], ends)) for v in (np.log10(p).astype(np.float32), s.word_ints[s.word])]
         return pa.table([pa.array(chunks, pa.int64()), pa.array(np.full(len(chunks), s.shard), pa.int32()), *figures], names=["chunk", "shard", "logp", "count"])
 
     return run

@@ -9,21 +9,19 @@ context of its own. So there are as many restaurants as words that precede anoth
 Seating is sampled by Gibbs: all customers of a word in a restaurant leave and sit down again
 one after another, each at a new table with probability
 ``A / (A + seated - d * tables)``, ``A = (theta + d * tables of the restaurant) * parent's
-probability`` (beyond the first few in growing blocks, in which the probability is held). A
+probability`` (beyond the first few in growing blocks, in which the probability is held; the
+tables that have left are not counted). A
 sweep does so for every word and context, then for the root. The tables of a whole restaurant
 are summed over all words between rounds, as usual for distributed Gibbs. The predictive
-probability is averaged over ``SAMPLES`` sweeps, and each context's mass is made to sum to one
-over all words and an unknown one. Discounts come from the counts of counts.
+probability is averaged over ``SAMPLES`` sweeps (of the whole, not of its factors), and each
+context's mass sums to one over all words and an unknown one. Discounts come from the counts of counts.
 
 How the work is spread: see ``lm_restaurants``. Each task reads *chunks* of about
 ``CHUNK_BYTES`` of text and keeps its documents as numbers of the chunk's distinct pairs; the
 pairs are counted on a grid of twice as many shards as input partitions, and the answer for
 each chunk's pairs goes back. So what is gathered grows with the corpus, and no vocabulary and
-no restaurant need be in one place. Each text is read once.
-
-``encode``, ``_merge``, ``Seating`` and ``train`` are the reduced model of earlier versions (the
-nearest word of at most ``SHORT`` bytes, hashed to ``CONTEXTS`` restaurants). ``lm_scores`` does
-not use them; an existing test does.
+no restaurant need be in one place. Each text is read once. Arrays travel packed (``pack``), and
+what a step has used up is deleted.
 
 Defined cases: null and empty texts are the end token alone; null ids are never held out;
 repeated rows count each time; with no training rows at all every token has probability one;
@@ -36,133 +34,55 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import bounded_batches, land, mix, remainder, slices, texts_of, word_hashes
+from feedlens.llm.common import bounded_batches, land, remainder, scratch_path
 
-CONTEXTS, SHORT = 32, 3
 CHUNK_BYTES = 16_000_000
 THETA = 1.0
 #: Rounds that settle the restaurants' totals, sweeps before sampling, sweeps averaged.
 ROUNDS, BURN_IN, SAMPLES = 2, 2, 4
 HELD_MODULUS, HELD_REMAINDER = 7, 2
 SEED = 11
-ENCODED = "chunk bigint, shard int, words array<bigint>, pair_word array<int>, pair_context array<tinyint>, pair_n array<bigint>, doc_id bigint, held_out boolean, tokens array<int>"
-COUNTS = "shard int, words array<bigint>, pair_word array<int>, pair_context array<tinyint>, pair_n array<bigint>"
-
-
-def encode(docs: DataFrame, shards: int) -> DataFrame:
-    """Rows of ``docs(doc_id, text, held_out)`` as chunks: a row for each document (its pair
-    numbers) and for each shard (words and pairs with their training counts)."""
-
-    def run(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        end = word_hashes([b" end "])  # no word holds a space
-        number, held, size = TaskContext.get().partitionId() << 24, [], 0
 
-        def flush():
-            nonlocal number, held, size
-            ids, outs, hashes, contexts, lengths = zip(*held, strict=True)
-            held, size = [], 0
-            lengths = np.concatenate(lengths)
-            training = np.repeat(~np.concatenate(outs), lengths)
-            words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-            shard = (words >> np.uint64(24)) % np.uint64(shards)
-            order = np.lexsort((words, shard))
-            place = np.empty(len(words), np.int64)
-            place[order] = np.arange(len(words))
-            pairs, tokens = np.unique(place[inverse] * CONTEXTS + np.concatenate(contexts), return_inverse=True)
-            del inverse
-            n = np.bincount(tokens[training], minlength=len(pairs)).astype(np.int64)
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64)).astype(np.int64)
-            pair_cuts = np.searchsorted(pairs, cuts * CONTEXTS)
-            some = np.flatnonzero(np.diff(cuts))
-            word_at = np.repeat(cuts[:-1], np.diff(pair_cuts))
-            lists = lambda at, values, kind: pa.ListArray.from_arrays(pa.array(np.r_[at[some], at[-1]], pa.int32()), pa.array(values, kind))
-            k, d = len(some), len(lengths)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(k, number)), pa.array(some, pa.int32()), lists(cuts, words[order].view(np.int64), pa.int64()), lists(pair_cuts, pairs // CONTEXTS - word_at, pa.int32()),
-                    lists(pair_cuts, pairs % CONTEXTS, pa.int8()), lists(pair_cuts, n, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.list_(pa.int32())),
-                ],
-                names=names,
-            )
-            ends = np.r_[0, np.cumsum(lengths)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(d, number)), pa.array(np.full(d, -1), pa.int32()), pa.nulls(d, pa.list_(pa.int64())), pa.nulls(d, pa.list_(pa.int32())), pa.nulls(d, pa.list_(pa.int8())),
-                    pa.nulls(d, pa.list_(pa.int64())), pa.chunked_array(ids, pa.int64()).combine_chunks(), pa.array(np.concatenate(outs)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32())),
-                ],
-                names=names,
-            )
-            number += 1
 
-        for batch in batches:
-            for part in slices(batch):
-                texts = texts_of(part)
-                split = [t.lower().split() for t in texts]
-                n = np.array([len(w) for w in split], dtype=np.int64)
-                flat = [w for words in split for w in words]
-                h, short = word_hashes(flat), np.fromiter(map(len, flat), np.int64, len(flat)) <= SHORT
-                lengths = n + 1
-                ends = np.cumsum(lengths) - 1
-                total = int(lengths.sum())
-                is_word = np.ones(total, bool)
-                is_word[ends] = False
-                hashes, marks = np.empty(total, np.uint64), np.zeros(total, bool)
-                hashes[is_word], hashes[ends], marks[is_word] = h, end[0], short
-                at = np.where(marks, np.arange(total), -1)
-                last = np.r_[-1, np.maximum.accumulate(at)[:-1]] if total else at
-                inside = last >= np.repeat(ends + 1 - lengths, lengths)
-                context = np.where(inside, 1 + (mix(hashes[np.maximum(last, 0)]) % np.uint64(CONTEXTS - 1)).astype(np.int64), 0)
-                held.append((part.column(0), part.column(2).to_numpy(zero_copy_only=False).astype(bool), hashes, context.astype(np.int8), lengths))
-                size += sum(map(len, texts))
-                if size >= CHUNK_BYTES:
-                    yield from flush()
-        if held:
-            yield from flush()
+#: Element kinds of a packed array, by its first byte.
+KINDS = ["u1", "<u2", "<u4", "<i8", "<f4", "<f8"]
 
-    names = [c.split()[0] for c in ENCODED.split(", ")]
-    return docs.mapInArrow(run, ENCODED)
 
+def pack(values: np.ndarray) -> bytes:
+    """An array as bytes: whole numbers in as few bytes each as the largest needs, all first bytes
+    before all second ones, so that bytes that are mostly zero compress away."""
+    if values.dtype.kind == "f" and not (values.dtype.itemsize == 4 or len(values) and ((values < 0) | (values != np.floor(values)) | (values >= 2**53)).any()):
+        values = values.astype(np.int64)
+    if values.dtype.kind == "f":
+        code = 4 if values.dtype.itemsize == 4 else 5
+    else:
+        most = int(values.max(initial=0)) if int(values.min(initial=0)) >= 0 else 2**32
+        code = next((k for k in range(3) if most < 256 ** (1 << k)), 3)
+    typed = np.ascontiguousarray(values.astype(KINDS[code]))
+    return bytes([code]) + typed.view(np.uint8).reshape(len(typed), typed.itemsize).T.tobytes()
 
-def _lists(column) -> tuple[np.ndarray, np.ndarray]:
-    """Values and lengths of a list column."""
-    import pyarrow as pa
 
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values, np.diff(column.offsets.to_numpy()).astype(np.int64)
+def unpack(data: bytes) -> np.ndarray:
+    """The array, as 64-bit whole or floating numbers."""
+    kind = np.dtype(KINDS[data[0]])
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind).astype(np.float64 if kind.kind == "f" else np.int64)
 
 
-def _merge(table):
-    """The training counts of one shard over all chunks."""
-    import pyarrow as pa
+def unpacked(column) -> tuple[np.ndarray, np.ndarray]:
+    """Values and lengths of a column of packed arrays."""
+    parts = [unpack(x) for x in column.to_pylist()]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64), np.array([len(x) for x in parts], np.int64)
 
-    words, n_words = _lists(table.column("words"))
-    pair_word, n_pairs = _lists(table.column("pair_word"))
-    context, n = _lists(table.column("pair_context"))[0], _lists(table.column("pair_n"))[0]
-    first = np.repeat(np.cumsum(n_words) - n_words, n_pairs)
-    hashes, seen = words[first + pair_word], n > 0
-    hashes, context, n = hashes[seen], context[seen], n[seen]
-    order = np.lexsort((context, hashes))
-    hashes, context, n = hashes[order], context[order], n[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (context[1:] != context[:-1])
-    at = np.flatnonzero(new)
-    total = np.add.reduceat(n, at) if len(at) else n
-    known, place = np.unique(hashes[at], return_inverse=True)
-    one = lambda v, kind: pa.array([v], pa.list_(kind))
-    return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), one(known, pa.int64()), one(place, pa.int32()), one(context[at], pa.int8()), one(total, pa.int64())], names=["shard", "words", "pair_word", "pair_context", "pair_n"])
 
-
-def reseat(n: np.ndarray, mass: np.ndarray, discount: float, random) -> np.ndarray:
-    """Tables after ``n`` customers sit down in turn; ``mass`` is A of the module's text."""
+def reseat(n: np.ndarray, mass: np.ndarray, discount: float, random, grow: np.ndarray | float = 0.0) -> np.ndarray:
+    """Tables after ``n`` customers sit down in turn; ``mass`` is A of the module's text without
+    their own tables, each of which adds ``grow`` to it."""
     tables, seated = np.minimum(n, 1).astype(float), np.minimum(n, 1).astype(float)
-    active = np.flatnonzero(n > 1)
+    grow, active = np.broadcast_to(grow, n.shape), np.flatnonzero(n > 1)
     while len(active):
-        i, t, a = seated[active], tables[active], mass[active]
+        i, t = seated[active], tables[active]
+        a = mass[active] + grow[active] * t
         block = np.minimum(np.maximum(1, i // 8), n[active] - i)
         tables[active] = t + random.binomial(block.astype(np.int64), a / (a + i - discount * t))
         seated[active] = i + block
@@ -170,104 +90,6 @@ def reseat(n: np.ndarray, mass: np.ndarray, discount: float, random) -> np.ndarr
     return tables
 
 
-class Seating:
-    """The words of one shard in the root and in all contexts."""
-
-    def __init__(self, words, pair_word, context, n, model: dict, shard: int):
-        self.words, self.word, self.context, self.n, self.m = words, pair_word.astype(np.int64), context.astype(np.int64), n.astype(float), model
-        self.random = np.random.default_rng([SEED, shard])
-        self.tables = np.ones(len(n))
-        self.root_customers = np.bincount(self.word, minlength=len(words)).astype(float)
-        self.root_tables = np.ones(len(words))
-
-    def root(self, customers, tables):
-        m = self.m
-        return (customers - m["d0"] * tables + (THETA + m["d0"] * m["S"]) * m["base"]) / (THETA + m["R"])
-
-    def sweep(self) -> None:
-        m = self.m
-        others = self.root_customers[self.word] - self.tables  # without this pair's own tables
-        parent = self.root(others, np.minimum(self.root_tables[self.word], others))
-        self.tables = reseat(self.n, (THETA + m["d1"] * m["T"][self.context]) * parent, m["d1"], self.random)
-        self.root_customers = np.bincount(self.word, weights=self.tables, minlength=len(self.words))
-        self.root_tables = reseat(self.root_customers, np.full(len(self.words), (THETA + m["d0"] * m["S"]) * m["base"]), m["d0"], self.random)
-
-    def own(self, tables):
-        """What a context gives to each of its words itself, before it asks the root."""
-        return np.maximum(self.n - self.m["d1"] * tables, 0) / (THETA + self.m["C"][self.context])
-
-    def averaged(self) -> tuple[np.ndarray, np.ndarray]:
-        """Mean root probability of each word, and mean tables of each pair, over the samples."""
-        for _ in range(BURN_IN):
-            self.sweep()
-        root, tables = np.zeros(len(self.words)), np.zeros(len(self.n))
-        for _ in range(SAMPLES):
-            self.sweep()
-            root += self.root(self.root_customers, self.root_tables)
-            tables += self.tables
-        return root / SAMPLES, tables / SAMPLES
-
-
-def _seatings(batch, model: dict):
-    """A ``Seating`` for each row of counts."""
-    for k in range(batch.num_rows):
-        row = batch.slice(k, 1)
-        yield Seating(*(_lists(row.column(c))[0] for c in ("words", "pair_word", "pair_context", "pair_n")), model, row.column("shard")[0].as_py())
-
-
-def _summed(counts: DataFrame, figures) -> np.ndarray:
-    """The sum over all shards of ``figures(batch)`` (a short vector for each row)."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            rows = [list(map(float, v)) for v in figures(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["v"])
-
-    summed = counts.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
-    return np.array([r["v"] for r in sorted(summed.collect(), key=lambda r: r["k"])])  # under a hundred numbers
-
-
-def train(counts: DataFrame) -> dict:
-    """Totals, discounts and settled tables of the whole model."""
-
-    def totals(batch):
-        for s in _seatings(batch, {}):
-            c = np.bincount(s.word, weights=s.n, minlength=len(s.words))
-            yield np.r_[s.n.sum(), len(s.words), (s.n == 1).sum(), (s.n == 2).sum(), (c == 1).sum(), (c == 2).sum(), np.bincount(s.context, weights=s.n, minlength=CONTEXTS), np.bincount(s.context, minlength=CONTEXTS)]
-
-    t = _summed(counts, totals)
-    if not len(t):
-        t = np.zeros(6 + 2 * CONTEXTS)
-    discount = lambda one, two: float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one + two else 0.5
-    pairs = t[6 + CONTEXTS :]
-    model = {"N": int(t[0]), "V": int(t[1]), "base": 1 / (t[1] + 1), "C": t[6 : 6 + CONTEXTS], "d1": discount(t[2], t[3]), "d0": discount(t[4], t[5]), "T": pairs, "R": pairs.sum(), "S": t[1]}
-    for _ in range(ROUNDS if model["N"] else 0):
-        now = dict(model)
-
-        def tables(batch, now=now):
-            for s in _seatings(batch, now):
-                for _ in range(BURN_IN):
-                    s.sweep()
-                yield np.r_[s.root_tables.sum(), np.bincount(s.context, weights=s.tables, minlength=CONTEXTS)]
-
-        v = _summed(counts, tables)
-        model |= {"S": v[0], "T": v[1:], "R": v[1:].sum()}
-    # what the averages give to known words; the rest of each context's mass goes to the root, whose own is made whole
-    if model["N"]:
-        settled = dict(model)
-
-        def masses(batch):
-            for s in _seatings(batch, settled):
-                root, tables = s.averaged()
-                yield np.r_[root.sum(), np.bincount(s.context, weights=s.own(tables), minlength=CONTEXTS)]
-
-        mass = _summed(counts, masses)
-        model |= {"whole": mass[0] + unseen(model), "escape": 1 - mass[1:]}
-    return model
-
-
 def unseen(model: dict) -> float:
     """The root's probability of a word without customers."""
     return (THETA + model["d0"] * model["S"]) * model["base"] / (THETA + model["R"])
@@ -281,8 +103,8 @@ def _score(model: dict):
         import pyarrow as pa
 
         answers = answers.sort_by("shard")
-        logp, count = _lists(answers.column("logp"))[0].astype(np.float64), _lists(answers.column("count"))[0]
-        tokens, n = _lists(docs.column("tokens"))
+        logp, count = unpacked(answers.column("logp"))[0].astype(np.float64), unpacked(answers.column("count"))[0]
+        tokens, n = unpacked(docs.column("tokens"))
         starts = np.cumsum(n) - n  # every document has its end token
         per = [np.add.reduceat(x[tokens], starts) for x in (logp, np.log10(count + 1.0), (count > 0).astype(np.int64))]
         return pa.table(
@@ -293,6 +115,16 @@ def _score(model: dict):
     return run
 
 
+def land_apart(encoded: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs and the documents of chunks, landed in one pass in a folder each, so that the
+    pairs can be deleted first."""
+    spark, path = encoded.sparkSession, scratch_path(encoded.sparkSession, name)
+    encoded.withColumn("of_pairs", F.col("shard") >= 0).write.option("compression", "zstd").partitionBy("of_pairs").parquet(path)
+    spark.createDataFrame([], encoded.schema).write.mode("append").parquet(f"{path}/of_pairs=true")  # the folders are there without rows too
+    spark.createDataFrame([], encoded.schema).write.mode("append").parquet(f"{path}/of_pairs=false")
+    return tuple(spark.read.schema(encoded.schema).parquet(f"{path}/of_pairs={side}") for side in ("true", "false"))
+
+
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` and its ``perplexity``."""
@@ -302,15 +134,16 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chosen = chosen.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), HELD_MODULUS) == HELD_REMAINDER, F.lit(False)))
     grid = lm_restaurants.side(max(8, 2 * chosen.rdd.getNumPartitions()))
     with lm_restaurants.tidy(df.sparkSession):
-        encoded = land(lm_restaurants.encode(chosen, grid), "encoded")
-        pairs = encoded.where("shard >= 0").select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
+        pairs, docs = land_apart(lm_restaurants.encode(chosen, grid), "encoded")
+        pairs = pairs.select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
         shards = land(pairs.groupBy("shard").applyInArrow(lm_restaurants.merge(grid), lm_restaurants.SHARDS), "shards")
+        lm_restaurants.drop_landed(pairs)
         model, letters = lm_restaurants.train(shards, grid)
-        answers = shards.groupBy("shard").cogroup(letters.groupBy("cell")).applyInArrow(lm_restaurants.answer(model, grid), "chunk bigint, shard int, logp array<float>, count array<bigint>")
+        answers = shards.groupBy("shard").cogroup(letters.groupBy("cell")).applyInArrow(lm_restaurants.answer(model, grid), "chunk bigint, shard int, logp binary, count binary")
         answers = land(answers, "answers")
         for done in (letters, shards):
             lm_restaurants.drop_landed(done)
-    docs = encoded.where("shard < 0").select("chunk", "doc_id", "held_out", "tokens")
+    docs = docs.select("chunk", "doc_id", "held_out", "tokens")
     scored = docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _score(model), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )

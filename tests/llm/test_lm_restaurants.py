@@ -85,3 +85,67 @@ def test_a_hot_context_lies_in_many_shards(spark):
     follow = [int((s.contexts[s.context] == the).sum()) for s in shards]
     before = [int((s.words[s.word] == the).sum()) for s in shards]
     assert max(follow) < 0.5 * sum(follow) and max(before) < 0.5 * sum(before)
+
+
+def small_shard(counts: dict, model: dict, tables, stage=1):
+    """One shard with the pairs of ``counts`` ((context, word) -> n), told its own totals."""
+    import pyarrow as pa
+
+    contexts, words = sorted({c for c, _ in counts}), sorted({w for _, w in counts})
+    pairs = sorted(counts, key=lambda p: (words.index(p[1]), contexts.index(p[0])))
+    word, context = np.array([words.index(w) for _, w in pairs]), np.array([contexts.index(c) for c, _ in pairs])
+    n, t = np.array([counts[p] for p in pairs]), np.asarray(tables)
+    p = lambda v: pa.array([lm_score.pack(np.asarray(v))], pa.binary())
+    table = pa.table([pa.array([0], pa.int32()), p(np.arange(len(words))), p(np.arange(len(contexts))), p(np.bincount(word)), p(context), p(n)], names=["shard", "words", "contexts", "pair_word", "pair_context", "pair_n"])
+    customers, places = np.bincount(word, weights=t), np.bincount(context, weights=t)
+    told = lm_restaurants._letters([
+        (0, lm_restaurants.TABLES, 0, lm_restaurants.NONE, t.astype(np.int64), lm_restaurants.NONE),
+        (0, lm_restaurants.WORDS, 0, lm_restaurants.NONE, customers.astype(np.int64), np.minimum(customers, 1)),
+        (0, lm_restaurants.PLACES, 0, lm_restaurants.NONE, places.astype(np.int64), np.zeros(len(contexts))),
+    ])
+    return lm_restaurants.Shard(table, told, model, 1, stage), pairs, n
+
+
+def test_sweeps_follow_gibbs_one_customer_at_a_time():
+    """Mean tables of each pair after three sweeps, against seating every customer alone."""
+    counts = {("a", "x"): 9, ("a", "y"): 2, ("b", "x"): 5, ("b", "z"): 1, ("c", "only"): 12, ("d", "y"): 3, ("d", "z"): 7}
+    model = {"d0": 0.4, "d1": 0.6, "S": 4.0, "R": 7.0, "base": 1 / 5, "N": 39}
+    start = np.ones(len(counts))
+    runs, sweeps = 3000, 3
+    got = np.zeros(len(counts))
+    for k in range(runs):
+        shard, pairs, n = small_shard(counts, model, start)
+        shard.random = np.random.default_rng([9, k])
+        got += list(shard.sweeps(sweeps))[-1]
+    rng = np.random.default_rng(8)
+    words, contexts = sorted({w for _, w in pairs}), sorted({c for c, _ in pairs})
+    want = np.zeros(len(counts))
+    for _ in range(runs):
+        t = start.copy()
+        customers = {w: sum(t[i] for i, p in enumerate(pairs) if p[1] == w) for w in words}
+        places = {c: sum(t[i] for i, p in enumerate(pairs) if p[0] == c) for c in contexts}
+        for _ in range(sweeps):
+            new = t.copy()
+            for i, (c, w) in enumerate(pairs):  # the totals of other pairs are those before the sweep
+                others = customers[w] - t[i]
+                parent = (others - model["d0"] * min(1, others) + (lm_score.THETA + model["d0"] * model["S"]) * model["base"]) / (lm_score.THETA + model["R"])
+                tables = 1
+                for seated in range(1, int(n[i])):
+                    a = (lm_score.THETA + model["d1"] * (places[c] - t[i] + tables)) * parent
+                    tables += rng.random() < a / (a + seated - model["d1"] * tables)
+                new[i] = tables
+            for i, (c, w) in enumerate(pairs):
+                customers[w] += new[i] - t[i]
+                places[c] += new[i] - t[i]
+            t = new
+        want += t
+    assert np.allclose(got / runs, want / runs, atol=0.12), (got / runs, want / runs)
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(3)
+    for v in ([], [0], [255, 0], [256], [65536, 1], [2**32, 5], [-1, 7], [2**62, -(2**62)], rng.integers(0, 2**40, 100), [0.5, -1.25], [3.0, 7.0], [float("inf"), 1.0]):
+        v = np.array(v) if len(v) else np.empty(0, np.int64)
+        assert np.array_equal(lm_score.unpack(lm_score.pack(v)), v)
+    assert np.allclose(lm_score.unpack(lm_score.pack(np.array([-3.5, 0.1], np.float32))), [-3.5, 0.1])
+    assert len(lm_score.pack(np.ones(100, np.int64))) == 101

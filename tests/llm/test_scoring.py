@@ -221,26 +221,6 @@ def test_lm_beats_its_base_on_held_out_documents(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    """In each context the predictive probabilities of all known words and of one unknown one."""
-    rng = random.Random(0)
-    texts = [" ".join(rng.choice(["the", "of", "word", "thing", "other", "thing7", f"w{rng.randrange(30)}"]) for _ in range(60)) for _ in range(40)]
-    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id bigint, text string, held_out boolean")
-    asked = lm_score.encode(docs, 3).where("shard >= 0").select("chunk", "shard", "words", "pair_word", "pair_context", "pair_n")
-    counts = asked.groupBy("shard").applyInArrow(lm_score._merge, lm_score.COUNTS).persist()
-    model = lm_score.train(counts)
-    total, root_total = np.zeros(lm_score.CONTEXTS), 0.0
-    for batch in counts.toArrow().to_batches():
-        for s in lm_score._seatings(batch, model):
-            root, tables = s.averaged()
-            assert (tables >= 1).all() and (tables <= s.n).all()
-            total += np.bincount(s.context, weights=s.own(tables), minlength=lm_score.CONTEXTS)
-            root_total += root.sum() / model["whole"]
-    root_total += lm_score.unseen(model) / model["whole"]
-    assert abs(root_total - 1) < 1e-9 and (model["escape"] > 0).all()
-    assert np.allclose(total + model["escape"] * root_total, 1)
-
-
 def test_reseat_follows_the_seating_process():
     """Mean tables of one customer after another, against the block sampler."""
     rng = np.random.default_rng(1)
