@@ -16,14 +16,14 @@ a document's component is the smallest id reachable through links.
    are compared with their pivots only: the maximum-likelihood similarity, from how many
    registers are equal, larger and smaller, rules out what is far off (``FAR_OFF``, six
    standard errors), the full sets decide.
-5. Buckets whose members are then all in one component are done. In the others the pairs
-   across components are searched without writing them all down. Each open document x has a
-   home pivot p; with a = |x & p| and E = those of x's shingles outside p that some other
-   open document of that home has, two documents of one home share at most
-   ``min(a, a') + |E & E'|`` shingles, and documents with ``a + |E|`` too small for any mate
-   need no look. Pairs for which this is too few are never formed; the others, and pairs
-   with different homes, are compared as in step 4. So no link between bucket mates is
-   lost, and a large group of copies costs about its size, not its square.
+5. Buckets whose members are then all in one component are done. Among the members of the
+   others the links across components are found by their rarest shingles: in a common order,
+   rarest first, two linked sets of n <= n' elements have an element in common among the first
+   ``n - ceil(8n/9) + 1`` of the one and the first ``n' - ceil(4n'/5) + 1`` of the other (they
+   share at least 4/9 (n + n') elements). Only pairs that meet there, in a shingle that several
+   components have, are formed, and compared as in step 4. So no link between bucket mates is
+   lost, pages that share no more than a template are not paired, and a large group of copies
+   costs about its size, not its square.
 6. Components by star contraction, named by the smallest id of their classes.
 
 Shuffles move ids, keys and registers; full sets move for bucket mates only. Texts are read
@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.common import bounded_batches, bounded_broadcast, land, mix, slices, texts_of, word_hashes
 from feedlens.llm.components import components
+from feedlens.llm.spelling import spread_join
 
 SHINGLE = 4
 #: Bands take the first ``BANDS * BAND`` registers, likelihood estimates all of them.
@@ -202,53 +203,38 @@ def linked(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     return _beside(land(estimated, "candidates"), sets, "set").select("a", "b", "set_a", "set_b").mapInArrow(verify, "a bigint, b bigint")
 
 
-def _outside(batches):
-    """What each document shares with its home, and its shingles outside it."""
+def _elements(batches):
+    """The elements of each set."""
     import pyarrow as pa
 
     for batch in batches:
-        shared, outside = [], []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
-            out = x[~np.isin(x, y, assume_unique=True)]
-            shared.append(x.size - out.size)
-            outside.append(out)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(outside, pa.list_(pa.int64()))], names=["doc_id", "home", "shared", "outside"])
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("set")]
+        offsets = np.r_[0, np.cumsum([len(x) for x in sets])]
+        listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets) if sets else [], pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), listed], names=["id", "elements"])
 
 
 def open_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` across components in ``open_members(key, doc_id, n, comp, pivot, pivot_company)``
-    that the bound of step 5 does not rule out."""
-    best = F.max(F.struct("pivot_company", (-F.col("pivot")).alias("least"))).alias("best")
-    of = open_members.groupBy("doc_id", "n", "comp").agg(best, F.collect_set("key").alias("keys"))
-    of = land(of.select("doc_id", "n", "comp", (-F.col("best.least")).alias("home"), "keys"), "open")
-    compared = _beside(of.select(F.col("doc_id").alias("a"), F.col("home").alias("b")), sets, "set").select("a", "b", "set_a", "set_b")
-    told = land(compared.mapInArrow(_outside, "doc_id bigint, home bigint, shared bigint, outside array<bigint>"), "outside")
-    apart = told.select("doc_id", "home", F.explode("outside").alias("s"))
-    common = apart.groupBy("home", "s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    extra = apart.join(common, ["home", "s"]).groupBy("doc_id").agg(F.collect_list("s").alias("extra"))
-    known = of.join(told.groupBy("doc_id").agg(F.max("shared").alias("shared")), "doc_id").join(extra, "doc_id", "left")
-    known = known.withColumn("extra", F.coalesce("extra", F.array().cast("array<bigint>")))
-    placed = land(open_members.select("key", "doc_id").distinct().join(known, "doc_id"), "placed")
-
-    def cross(rows: DataFrame, on: list[str], more: str) -> DataFrame:
-        names = [c for c in rows.columns if c not in on]
-        left = rows.select(*on, *(F.col(c).alias(f"{c}_a") for c in names))
-        right = rows.select(*on, *(F.col(c).alias(f"{c}_b") for c in names))
-        # a pair that meets in several buckets is formed in the first of them only
-        first = "key = array_min(array_intersect(keys_a, keys_b))"
-        fits = f"doc_id_a < doc_id_b and comp_a <> comp_b and 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) and {more} and {first}"
-        right = right.withColumnsRenamed({c: f"{c}_r" for c in on})
-        return left.join(right, F.expr(" and ".join(f"{c} = {c}_r" for c in on) + f" and {fits}")).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-
-    group = placed.groupBy("key", "home").agg(F.min("n").alias("least_n"))
-    able = placed.join(group, ["key", "home"]).where("9 * (shared + size(extra)) >= 4 * (n + least_n)").drop("least_n")
-    enough = "9 * (least(shared_a, shared_b) + {}) >= 4 * (n_a + n_b)"
-    cheap, exact = enough.format("least(size(extra_a), size(extra_b))"), enough.format("size(array_intersect(extra_a, extra_b))")
-    alike = cross(able, ["key", "home"], f"{cheap} and {exact}")
-    several = group.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
-    other = cross(placed.join(several, "key", "left_semi").drop("extra", "shared"), ["key"], "home_a <> home_b")
-    return alike.unionByName(other).distinct()
+    """Pairs ``a, b`` across components of the documents in ``open_members(doc_id, n, comp, ..)`` that
+    share one of the shingles of step 5. Hot shingles are spread by a salt (``spread_join``)."""
+    docs = land(open_members.select(F.col("doc_id").alias("id"), "n", "comp").distinct(), "open-documents")
+    chosen = sets.join(docs.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "set")
+    rows = land(chosen.mapInArrow(_elements, "id bigint, elements array<bigint>").select("id", F.explode("elements").alias("s")), "open-shingles")
+    total = rows.count()
+    # a shingle of one document only is the rarest there is, but nothing meets in it
+    shared = rows.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    met = spread_join(rows, total, shared, ["s"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("common"))
+    alone = F.col("n") - F.size("common")
+    first = lambda least: F.greatest(F.col("n") - F.ceil(least) + 1 - alone, F.lit(0)).cast("int")
+    ranked = met.join(docs, "id").select("id", "n", "comp", F.col("common.s").alias("s"), first(8 * F.col("n") / 9).alias("small"), first(4 * F.col("n") / 5).alias("large"))
+    entries = ranked.select("id", "n", "comp", "small", F.posexplode(F.slice("s", F.lit(1), F.col("large"))).alias("at", "s"))
+    entries = land(entries.select("id", "n", "comp", "s", (F.col("at") < F.col("small")).alias("small")), "rarest")
+    several = entries.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("s")
+    entries = land(spread_join(entries, entries.count(), several, ["s"]), "rarest-open")
+    small = land(entries.where("small").select("id", "n", "comp", "s"), "smaller")
+    other = entries.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    fits = "comp <> comp_b and 5 * n >= 4 * n_b and (n < n_b or n = n_b and id < b)"
+    return spread_join(small, small.count(), other, ["s"]).where(fits).select(F.col("id").alias("a"), "b").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
