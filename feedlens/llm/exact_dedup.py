@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import fold, land
+from feedlens.llm.common import bounded_broadcast, fold, land
 
 #: Counters of the frequent-items sketch (a power of two), and so the most rows ever broadcast.
 TRACKED = 4096
@@ -82,10 +82,27 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the rows that an equal text with a larger id (or an equal row) stands for."""
-    digested = with_digest(df, id_col, text_col)
-    winners = heavy_digests(land(digested.select("id", "digest"), "digests"))
-    return mark(digested, winners).where("kept").select("row.*")
+    """``df`` without the rows that an equal text with a larger id (or an equal row) stands for.
+
+    Decided on the landed ids and digests; texts do not move. Ids none of whose rows stays are
+    dropped by an anti join. Only rows of ids that occur more than once, or are null, are looked
+    at again: of those equal in id and text one is taken, folded where they are read.
+    """
+    digests = land(with_digest(df, id_col, text_col).select("id", "digest"), "digests")
+    marked = land(mark(digests, heavy_digests(digests)).select("id", "digest", "kept"), "marked")
+    ids = marked.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("stay"))
+    ids = land(ids.where("stay = 0 or rows > 1 or id is null"), "ids")
+    gone = ids.where("stay = 0 or rows > 1 or id is null").select(F.col("id").alias("_gone"))
+    packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(id_col).alias("_id"))
+    plain = packed.join(bounded_broadcast(gone), F.col("_id").eqNullSafe(F.col("_gone")), "left_anti").select("row.*")
+    again = ids.where("stay > 0").select(F.col("id").alias("_again"))
+    if again.isEmpty():
+        return plain
+    rows = with_digest(df, id_col, text_col).join(bounded_broadcast(again), F.col("id").eqNullSafe(F.col("_again")), "left_semi")
+    winners = marked.where("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    one = rows.groupBy("id", "digest").agg(F.first("row").alias("row"))
+    staying = one.join(winners, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_semi")
+    return plain.unionByName(staying.select("row.*"))
 
 
 def oracle_sql() -> str:

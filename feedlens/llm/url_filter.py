@@ -136,21 +136,59 @@ def url_filter(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rul
     return judged.select("page_id", "host", "path", "rule", decided.alias("verdict"), pattern.alias("pattern"))
 
 
-def oracle_sql(rules=RULES, patterns: tuple[str, ...] = PATTERNS) -> str:
-    """The same over every pattern and rule, without an index."""
+# The oracle's own rules and expressions, typed out by hand.
+_ORACLE_RULES = """
+    CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'allow www.example.com/en/'
+         WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'block example.com/en/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'block net/es/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'block net/fr/'
+         WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'allow com/' END"""
+_ORACLE_EXCEPTIONS = [r"/docs/login([^a-z0-9_.%-]|$)", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?research\."]
+_ORACLE_PATTERNS = [
+    ("||free-bets.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?free-bets\."),
+    ("||spam-farm.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?spam-farm\."),
+    ("-casino.", r"-casino\."),
+    ("||casino.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?casino\."),
+    ("/casino/", r"/casino/"),
+    ("/poker/", r"/poker/"),
+    ("||ads.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?ads\."),
+    ("||ad.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?ad\."),
+    ("||track.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?track\."),
+    ("||pixel.", r"^[a-z][a-z0-9+.-]*://([^/?#]*\.)?pixel\."),
+    ("/ads/*/banner^", r"/ads/.*/banner([^a-z0-9_.%-]|$)"),
+    ("/cgi-bin/", r"/cgi-bin/"),
+    ("/wp-login.php^", r"/wp-login\.php([^a-z0-9_.%-]|$)"),
+    ("/wp-admin/", r"/wp-admin/"),
+    ("/login^", r"/login([^a-z0-9_.%-]|$)"),
+    ("/signin^", r"/signin([^a-z0-9_.%-]|$)"),
+    ("/logout^", r"/logout([^a-z0-9_.%-]|$)"),
+    ("/register^", r"/register([^a-z0-9_.%-]|$)"),
+    ("/cart/", r"/cart/"),
+    ("/checkout/", r"/checkout/"),
+    ("^sessionid=", r"([^a-z0-9_.%-]|$)sessionid="),
+    ("^phpsessid=", r"([^a-z0-9_.%-]|$)phpsessid="),
+    ("^jsessionid=", r"([^a-z0-9_.%-]|$)jsessionid="),
+    ("^replytocom=", r"([^a-z0-9_.%-]|$)replytocom="),
+    ("^print=1^", r"([^a-z0-9_.%-]|$)print=1([^a-z0-9_.%-]|$)"),
+    (".exe^", r"\.exe([^a-z0-9_.%-]|$)"),
+    (".apk^", r"\.apk([^a-z0-9_.%-]|$)"),
+    (".torrent^", r"\.torrent([^a-z0-9_.%-]|$)"),
+    ("/tag/*/page/", r"/tag/.*/page/"),
+    ("xxx-", r"xxx-"),
+]
+
+
+def oracle_sql() -> str:
+    """The same by hand-typed rules and expressions, without an index."""
     folded = "translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     parts = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
-    quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    fits = lambda p: f"regexp_matches(folded, {quoted('(?s)' + regex_of(p))})"
-    ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r[1]))
-    when = lambda pick: " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{pick(a, h, p)}'" for a, h, p in ordered)
-    excepted = " OR ".join(fits(p) for p in patterns if p.startswith("@@")) or "false"
-    first = " ".join(f"WHEN {fits(p)} THEN {quoted(p)}" for p in patterns if not p.startswith("@@"))
+    excepted = " OR ".join(f"regexp_matches(folded, '(?s){e}')" for e in _ORACLE_EXCEPTIONS)
+    first = " ".join(f"WHEN regexp_matches(folded, '(?s){e}') THEN '{p}'" for p, e in _ORACLE_PATTERNS)
     return f"""
         WITH u AS (SELECT page_id, {folded} AS folded,
                           coalesce(regexp_extract({folded}, {parts}, 1), '') AS host,
                           coalesce(regexp_extract(url, {parts}, 2), '') AS path FROM pages),
-             r AS (SELECT *, CASE {when(lambda a, h, p: h + p)} END AS rule, CASE {when(lambda a, h, p: a)} END AS said FROM u),
-             d AS (SELECT *, CASE WHEN rule IS NOT NULL OR ({excepted}) THEN NULL {first} END AS pattern FROM r)
-        SELECT page_id, host, path, rule,
-               coalesce(said, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern FROM d"""
+             r AS (SELECT *, {_ORACLE_RULES} AS fitting FROM u),
+             d AS (SELECT *, CASE WHEN fitting IS NOT NULL OR ({excepted}) THEN NULL {first} END AS pattern FROM r)
+        SELECT page_id, host, path, split_part(fitting, ' ', 2) AS rule,
+               coalesce(split_part(fitting, ' ', 1), CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern FROM d"""
