@@ -20,6 +20,7 @@ from feedlens.functions.text import java_trim, tokens, utf16_length
 from feedlens.operators import aggregate, detect, posts, stats
 from feedlens.plans import quality, reports
 from feedlens.plans.analysis import run_analysis
+from feedlens.schemas import DICTIONARY_FILES, ENTITY_TYPES
 from feedlens.sources import dictionary as dictsrc
 from feedlens.sources import feeds as feedsrc
 from feedlens.sources import subscriptions as subsrc
@@ -838,6 +839,25 @@ def q_dictionary_directory_missing(spark, sf):
     return dictsrc.missing_dictionary_files(dictsrc.present_dictionary_files(spark, path))
 
 
+@register(
+    "type_stats_extended",
+    sql_with(SQL_LINES, SQL_CLEAN, SQL_CLEAN_KEPT, FILE_MAP_CTE).rstrip()
+    + """,
+more AS (SELECT file_name, entity_type FROM fmap UNION ALL SELECT 'notas.txt', 'Song'),
+typed AS (SELECT m.entity_type FROM clean_kept c JOIN more m ON c.file_name = m.file_name),
+labels(ordinal, entity_type) AS (VALUES (0, 'total'), (1, 'Person'), (2, 'Organization'), (3, 'University'), (4, 'Place'),
+                                        (5, 'Technology'), (6, 'ProgrammingLanguage'), (7, 'Song'))
+SELECT ordinal, entity_type, CAST(CASE WHEN ordinal = 0 THEN (SELECT count(*) FROM typed)
+       ELSE (SELECT count(*) FROM typed t WHERE t.entity_type = labels.entity_type) END AS BIGINT) AS n FROM labels""",
+)
+def q_type_stats_extended(spark, sf):
+    """A further type with a file of its own, by a row in each list; entries counted by type."""
+    path = tables.write_dictionary_dir(_docs(spark, sf), config.scratch_path(spark, "entities"))
+    found = dictsrc.load_dictionary(spark, path, [*DICTIONARY_FILES, ("notas.txt", "Song")])
+    counts = found.groupBy("entity_type", "entity_name").agg(F.count(F.lit(1)).alias("n"))
+    return aggregate.type_stats_from_counts(counts, [*ENTITY_TYPES, "Song"])
+
+
 @register(
     "feeds_fetched",
     sql_with(sql_doc_posts(), SQL_FEEDS)

@@ -310,7 +310,12 @@ def write_dictionary_dir(docs: DataFrame, path: str) -> str:
 
 def write_feed_files(docs: DataFrame, path: str) -> DataFrame:
     """Feed bodies as files below ``path``; the subscriptions that point at them with ``file:``
-    urls. Feeds without a body point at a file that does not exist."""
+    urls. Feeds without a body point at a file that does not exist. The fetcher opens local files
+    only, so ``path`` has to be on a file system of that kind."""
+    hadoop = docs.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = hadoop.getFileSystem(docs.sparkSession.sparkContext._jsc.hadoopConfiguration()).getScheme()
+    if scheme != "file":
+        raise RuntimeError(f"the fetcher cannot open {scheme}: urls; point spark.checkpoint.dir at a file: path for this query")
     feeds = feeds_from_documents(docs)
     feeds.where("content is not null").select("feed_id", F.col("content").alias("value")).write.partitionBy("feed_id").text(f"{path}/feeds")
     files = feeds.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
