@@ -208,9 +208,10 @@ def _indexer(tree):
     def index(batches):
         import pyarrow as pa
 
+        fitted = Tree(*tree.value)
         for batch in batches:
             if batch.num_rows:
-                leaf = tree.value.descend(unit_rows(matrix(batch.column(1))))
+                leaf = fitted.descend(unit_rows(matrix(batch.column(1))))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf, pa.int32())], names=["vec_id", "vector", "leaf"])
 
     return index
@@ -276,10 +277,11 @@ def _visitor(tree, visits: int):
     def visit(batches):
         import pyarrow as pa
 
+        fitted = Tree(*tree.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [tree.value.visits(u, visits) for u in unit_rows(matrix(part.column(1)))]
+                found = [fitted.visits(u, visits) for u in unit_rows(matrix(part.column(1)))]
                 leaf = np.array([x for f in found for x in f], np.int32)
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(leaf)], names=["query_id", "leaf"])
@@ -309,7 +311,7 @@ def nearest_neighbours(df: DataFrame, id_col: str = "vec_id", vector_col: str =
     vectors = land(bounded_batches(usable_vectors(df, id_col, vector_col, k)), "vectors")
     n = vectors.count()
     tree = fitted_tree(vectors, n)
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast((tree.centres, tree.first, tree.count, tree.leaf))  # arrays: workers need no package
     indexed = land(vectors.mapInArrow(_indexer(shared), INDEX_SCHEMA), "indexed")
     queries = query_vectors(df, id_col, vector_col, query_every, vectors)
     visits = calibrated_visits(indexed, queries, tree, k, target)
