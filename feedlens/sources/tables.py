@@ -51,6 +51,8 @@ FAILED_SOURCE = "src3"        # download failed: content NULL
 HTML_PAGE_SOURCE = "src4"     # the whole feed wrapped in an HTML error page: not JSON
 MISSING_FIELD_SOURCE = "src5" # first child has no selftext: feed rejected
 FEED_PAGE_SIZE = 100
+# Feed files lie in as many folders as so many hexadecimal digits can name.
+FEED_FOLDER_DIGITS = 2
 # Subscription files hold the entries of so many consecutive pages; of every
 # four files the third is a bare object and the fourth is cut short.
 SUBSCRIPTIONS_PER_FILE = 50
@@ -74,6 +76,10 @@ TABLE_SCHEMAS = {
 }
 
 
+# What a written feed file's subscription is made of.
+FEED_URLS = "feed_id bigint, feed_name string, url string"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
@@ -308,23 +314,58 @@ def write_dictionary_dir(docs: DataFrame, path: str) -> str:
     return path
 
 
+def feed_file_writer(folder: str):
+    """One partition's feed bodies as files below ``folder``, a file for each feed; Arrow batches
+    ``feed_id, feed_name, content`` in, ``feed_id, feed_name, url`` out. A file is named by its feed
+    and appears whole, so a repeated attempt writes the same again."""
+
+    def write(batches):
+        import hashlib
+        import os
+        import uuid
+        from pathlib import Path
+
+        import pyarrow as pa
+
+        for batch in batches:
+            urls = []
+            for feed_id, name, content in zip(*(batch.column(k) for k in range(3)), strict=True):
+                if not feed_id.is_valid:
+                    urls.append(None)
+                elif not content.is_valid:
+                    urls.append(f"file:///missing/{feed_id.as_py()}")
+                else:
+                    key = hashlib.sha1(name.as_py().encode()).hexdigest()
+                    file = Path(folder, key[:FEED_FOLDER_DIGITS], f"{feed_id.as_py()}-{key}.json")
+                    file.parent.mkdir(parents=True, exist_ok=True)
+                    part = file.with_name(f".{file.name}-{uuid.uuid4().hex}")
+                    with open(part, "wb") as out:
+                        out.write(content.as_buffer())
+                        out.write(b"\n")
+                    os.replace(part, file)
+                    urls.append(file.as_uri())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(urls, pa.string())], names=["feed_id", "feed_name", "url"])
+
+    return write
+
+
 def write_feed_files(docs: DataFrame, path: str) -> DataFrame:
-    """Feed bodies as files below ``path``; the subscriptions that point at them with ``file:``
-    urls. Feeds without a body point at a file that does not exist. The fetcher opens local files
-    only, so ``path`` has to be on a file system of that kind."""
-    hadoop = docs.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    scheme = hadoop.getFileSystem(docs.sparkSession.sparkContext._jsc.hadoopConfiguration()).getScheme()
+    """Feed bodies as files below ``path``; the subscriptions (landed beside them) that point at
+    them with ``file:`` urls. Feeds without a body point at a file that does not exist, feeds
+    without an id nowhere. The fetcher opens local files only, so ``path`` has to be on a file
+    system of that kind.
+
+    The tasks that make the bodies write them and tell where: a feed costs one file, and neither
+    commits nor listings of all feeds pass through the driver."""
+    spark = docs.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme()
     if scheme != "file":
         raise RuntimeError(f"the fetcher cannot open {scheme}: urls; point spark.checkpoint.dir at a file: path for this query")
-    feeds = feeds_from_documents(docs)
-    feeds.where("content is not null").select("feed_id", F.col("content").alias("value")).write.partitionBy("feed_id").text(f"{path}/feeds")
-    files = feeds.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
-    found = files.load(f"{path}/feeds").select(
-        F.regexp_extract("path", r"feed_id=(-?\d+)/", 1).cast("bigint").alias("feed_id"),
-        F.regexp_replace("path", "^file:/+", "file:///").alias("found"),
-    )
-    missing = F.concat(F.lit("file:///missing/"), F.col("feed_id").cast("string"))
-    return feeds.select("feed_id", "feed_name").join(found, "feed_id", "left").select("feed_id", "feed_name", F.coalesce("found", missing).alias("url"))
+    feeds = feeds_from_documents(docs).select("feed_id", "feed_name", "content")
+    written = feeds.mapInArrow(feed_file_writer(f"{hadoop.toUri().getPath()}/feeds"), FEED_URLS)
+    written.write.parquet(f"{path}/feed-urls")
+    return spark.read.schema(FEED_URLS).parquet(f"{path}/feed-urls")
 
 
 def write_run_inputs(docs: DataFrame, pages: DataFrame, bench: DataFrame, path: str) -> tuple[str, str]:
