@@ -78,8 +78,12 @@ def encode(docs: DataFrame, grid: int) -> DataFrame:
             del before, number_of
             n = np.bincount(tokens[training], minlength=len(pairs)).astype(np.int64)
             context, word = np.divmod(pairs, len(words))
-            line = lines(words, grid)[0]
+            line, keeper = lines(words, grid)
             shard = line[word] * grid + line[context]
+            by_rank = np.lexsort((words.view(np.int64), keeper))  # the order of a merged shard
+            rank = np.empty(len(words), np.int64)
+            rank[by_rank] = np.arange(len(words))
+            context, word = rank[context], rank[word]
             order = np.lexsort((context, word, shard))
             place = np.empty(len(pairs), np.int32)
             place[order] = np.arange(len(pairs), dtype=np.int32)
@@ -89,10 +93,10 @@ def encode(docs: DataFrame, grid: int) -> DataFrame:
             names_of, places_of, per_word, pair_context, counts = [], [], [], [], []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 known, per = np.unique(word[a:b], return_counts=True)  # the pairs are in the order of words
-                names_of.append(words[known].view(np.int64))
+                names_of.append(words[by_rank[known]].view(np.int64))
                 per_word.append(per)
                 known, inside = np.unique(context[a:b], return_inverse=True)
-                places_of.append(words[known].view(np.int64))
+                places_of.append(words[by_rank[known]].view(np.int64))
                 pair_context.append(inside)
                 counts.append(n[a:b])
             k, d = len(cuts) - 1, len(lengths)
@@ -136,7 +140,8 @@ def encode(docs: DataFrame, grid: int) -> DataFrame:
 
 def merge(grid: int):
     """For one shard: its pairs with their training counts over all chunks (none for a pair that
-    only held-out texts have), and where each chunk's pairs are among them."""
+    only held-out texts have), and where each chunk's pairs are among them: they ascend, so the
+    steps between them are kept."""
 
     def run(table):
         import pyarrow as pa
@@ -158,7 +163,10 @@ def merge(grid: int):
         n = np.zeros(len(pairs), np.int64)
         np.add.at(n, asked, lm.unpacked(table.column("pair_n"))[0])
         word, context = np.divmod(pairs, len(contexts))
-        values = [words, contexts, np.bincount(word, minlength=len(words)), context, n, table.column("chunk").to_numpy(), n_pairs, asked]
+        steps = np.diff(asked, prepend=0)
+        first = np.cumsum(n_pairs) - n_pairs
+        steps[first] = asked[first]
+        values = [words, contexts, np.bincount(word, minlength=len(words)), context, n, table.column("chunk").to_numpy(), n_pairs, steps]
         return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int32()), *(_packed([v]) for v in values)], names=[c.split()[0] for c in SHARDS.split(", ")])
 
     return run
@@ -206,10 +214,23 @@ class Shard:
         if stage:
             self.tables = lm.unpacked(_sorted(told, TABLES).column("ints"))[0].astype(float)
             about = {k: _sorted(told, k) for k in (WORDS, PLACES)}
+            if stage > lm.ROUNDS + 1:
+                self.sampled(about)
+                return
             self.word_ints, self.context_ints = (lm.unpacked(about[k].column("ints"))[0] for k in (WORDS, PLACES))
-            (self.word_nums, *self.word_samples), (self.context_nums, *self.context_samples) = (
-                _columns(about[k].column("nums"), lm.unpacked(about[k].column("ints"))[1]) for k in (WORDS, PLACES)
-            )
+            self.word_nums, self.context_nums = (_columns(about[k].column("nums"), lm.unpacked(about[k].column("ints"))[1])[0] for k in (WORDS, PLACES))
+
+    def sampled(self, about):
+        """After the last letters: each word's count and its probability in the root, each
+        context's customers and what it leaves to the root, in every sample and on average."""
+        m = self.m
+        (count, *seats), (customers, *tables) = (
+            _columns(about[k].column("ints"), lm.unpacked(about[k].column("ints"))[1] // per) for k, per in ((WORDS, 1 + 2 * lm.SAMPLES), (PLACES, 1 + lm.SAMPLES))
+        )
+        self.word_ints, self.context_ints = count.astype(np.int64), customers.astype(np.int64)
+        self.word_samples = [root(m, c, t) for c, t in zip(seats[: lm.SAMPLES], seats[lm.SAMPLES :], strict=True)]
+        self.context_samples = [1 - (customers - m["d1"] * t) / (lm.THETA + customers) for t in tables]
+        self.word_nums, self.context_nums = sum(self.word_samples) / lm.SAMPLES, sum(self.context_samples) / lm.SAMPLES
 
     def of_words(self, values):
         return np.bincount(self.word, weights=values, minlength=len(self.words))
@@ -236,7 +257,7 @@ class Shard:
         """What a context with so many customers gives to each of its words itself."""
         return np.maximum(self.n - self.m["d1"] * tables, 0) / (lm.THETA + customers)
 
-    def letters(self, kind: int, ints: list[np.ndarray], nums: list[np.ndarray] = ()):
+    def letters(self, kind: int, ints: list[np.ndarray]):
         """To every keeper, the values of its words or contexts."""
         keys = self.words if kind == WORDS else self.contexts
         keeper = lines(keys, self.grid)[1]
@@ -244,7 +265,7 @@ class Shard:
         row, column = divmod(self.shard, self.grid)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             cell = row * self.grid + keeper[a] if kind == WORDS else keeper[a] * self.grid + column
-            yield cell, kind, self.shard, keys[a:b], np.concatenate([v[a:b] for v in ints]).astype(np.int64), np.concatenate([v[a:b] for v in nums]) if nums else NONE
+            yield cell, kind, self.shard, keys[a:b], np.concatenate([v[a:b] for v in ints]).astype(np.int64), NONE
 
     def kept(self, tables):
         return self.shard, TABLES, self.shard, NONE, tables.astype(np.int64), NONE
@@ -270,13 +291,13 @@ def _tell(model: dict, grid: int, stage: int):
                 words.append(s.of_words(s.n))
                 rows.append((s.shard, SUMS, s.shard, NONE, np.array([(s.n == 1).sum(), (s.n == 2).sum()]), NONE))
             return _letters([*rows, *s.letters(WORDS, words), *s.letters(PLACES, [s.of_contexts(s.tables)])])
-        samples, given, total = [], [], np.zeros(len(s.n))
+        samples, places, total = [], [], np.zeros(len(s.n))
         for k, tables in enumerate(s.sweeps(lm.BURN_IN + lm.SAMPLES)):
             if k >= lm.BURN_IN:
                 samples.append(s.of_words(tables))
-                given.append(s.of_contexts(np.maximum(s.n - model["d1"] * tables, 0)))
+                places.append(s.of_contexts(tables))
                 total += tables
-        return _letters([s.kept(total), *s.letters(WORDS, [*samples, s.of_words(s.n)]), *s.letters(PLACES, [s.of_contexts(s.n)], given)])
+        return _letters([s.kept(total), *s.letters(WORDS, [*samples, s.of_words(s.n)]), *s.letters(PLACES, [s.of_contexts(s.n), *places])])
 
     return run
 
@@ -298,15 +319,15 @@ def _keep(model: dict, stage: int):
             letters = _sorted(table, kind)
             keys, sizes = lm.unpacked(letters.column("keys"))
             known, inside = np.unique(keys, return_inverse=True)
-            totals, nums = ([np.bincount(inside, weights=v, minlength=len(known)) for v in _columns(letters.column(c), sizes) if len(v)] for c in ("ints", "nums"))
-            return letters.column("source").to_numpy(), np.r_[0, np.cumsum(sizes)], inside, totals, nums
+            totals = [np.bincount(inside, weights=v, minlength=len(known)) for v in _columns(letters.column("ints"), sizes) if len(v)]
+            return letters.column("source").to_numpy(), np.r_[0, np.cumsum(sizes)], inside, totals
 
         def answer(kind, sources, cuts, inside, ints, nums):
             for source, a, b in zip(sources.tolist(), cuts[:-1], cuts[1:], strict=True):
                 i = inside[a:b]
-                rows.append((source, kind, cell, NONE, ints[i].astype(np.int64), np.concatenate([v[i] for v in nums]).astype(float)))
+                rows.append((source, kind, cell, NONE, np.concatenate([v[i] for v in ints]).astype(np.int64), np.concatenate([v[i] for v in nums]).astype(float) if nums else NONE))
 
-        sources, cuts, inside, totals, _ = added(WORDS)
+        sources, cuts, inside, totals = added(WORDS)
         if len(sources):
             if stage <= lm.ROUNDS:
                 customers = totals[0]
@@ -316,17 +337,17 @@ def _keep(model: dict, stage: int):
                 if not stage:
                     c = totals[1]
                     sums[4:8] = c.sum(), (c > 0).sum(), (c == 1).sum(), (c == 2).sum()
-                answer(WORDS, sources, cuts, inside, customers, [seated])
+                answer(WORDS, sources, cuts, inside, [customers], [seated])
             else:
                 mass = (lm.THETA + model["d0"] * model["S"]) * model["base"]
-                roots = [root(model, customers, lm.reseat(customers, np.full(len(customers), mass), model["d0"], random)) for customers in totals[:-1]]
-                sums[4 : 4 + lm.SAMPLES] = [r[totals[-1] > 0].sum() for r in roots]
-                answer(WORDS, sources, cuts, inside, totals[-1], [sum(roots) / lm.SAMPLES, *roots])
-        sources, cuts, inside, totals, given = added(PLACES)
+                seated = [lm.reseat(customers, np.full(len(customers), mass), model["d0"], random) for customers in totals[:-1]]
+                sums[4 : 4 + lm.SAMPLES] = [root(model, c, t)[totals[-1] > 0].sum() for c, t in zip(totals[:-1], seated, strict=True)]
+                # whole numbers, small for most words: the shards make the probabilities of them
+                answer(WORDS, sources, cuts, inside, [totals[-1], *totals[:-1], *seated], [])
+        sources, cuts, inside, totals = added(PLACES)
         if len(sources):
-            # at the end: a context's customers and what it leaves to the root in each sample
-            rest = [1 - g / (lm.THETA + totals[0]) for g in given]
-            answer(PLACES, sources, cuts, inside, totals[0], [np.zeros(len(totals[0]))] if stage <= lm.ROUNDS else [sum(rest) / lm.SAMPLES, *rest])
+            # at the end: a context's customers and its tables in each sample
+            answer(PLACES, sources, cuts, inside, totals, [np.zeros(len(totals[0]))] if stage <= lm.ROUNDS else [])
         return _letters([*rows, (-1, SUMS, cell, NONE, NONE, sums)])
 
     return run
@@ -353,8 +374,9 @@ def drop_landed(table: DataFrame) -> None:
 
 
 def train(shards: DataFrame, grid: int) -> tuple[dict, DataFrame]:
-    """Totals and discounts of the whole model, and the last letters: to each shard the root's
-    probability and the count of its words, the customers and the rest of its contexts, its tables."""
+    """Totals and discounts of the whole model, and the last letters: to each shard the count of
+    its words and their customers and tables in the root in each sample, the customers of its
+    contexts and their tables in each sample, its tables."""
     # the questions of the chunks stay where they are
     pairs = shards.select("shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
     letters = shards.sparkSession.createDataFrame([], LETTERS)
@@ -388,9 +410,9 @@ def answer(model: dict, grid: int):
         if model["N"]:
             asked_root = sum(e[s.context] * r[s.word] / whole for e, r, whole in zip(s.context_samples, s.word_samples, model["wholes"], strict=True))
             p = s.own(s.tables / lm.SAMPLES, s.context_ints[s.context]) + asked_root / lm.SAMPLES
-        asked, (n_pairs, _), (chunks, _) = (lm.unpacked(table.column(c)) for c in ("asked", "asked_n", "chunks"))
-        ends = np.cumsum(n_pairs)[:-1]
-        figures = [_packed(np.split(v[asked[0]], ends)) for v in (np.log10(p).astype(np.float32), s.word_ints[s.word])]
+        (steps, _), (n_pairs, _), (chunks, _) = (lm.unpacked(table.column(c)) for c in ("asked", "asked_n", "chunks"))
+        asked = [np.cumsum(x) for x in np.split(steps, np.cumsum(n_pairs)[:-1])]
+        figures = [_packed([v[i] for i in asked]) for v in (np.log10(p).astype(np.float32), s.word_ints[s.word])]
         return pa.table([pa.array(chunks, pa.int64()), pa.array(np.full(len(chunks), s.shard), pa.int32()), *figures], names=["chunk", "shard", "logp", "count"])
 
     return run

@@ -149,3 +149,28 @@ def test_packed_arrays_come_back():
         assert np.array_equal(lm_score.unpack(lm_score.pack(v)), v)
     assert np.allclose(lm_score.unpack(lm_score.pack(np.array([-3.5, 0.1], np.float32))), [-3.5, 0.1])
     assert len(lm_score.pack(np.ones(100, np.int64))) == 101
+
+
+def test_last_letters_are_whole_numbers(spark):
+    """What stays on disk for the answers: counts of words and contexts, no eight-byte fractions."""
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(400)}" for _ in range(50)), False) for i in range(60)], "doc_id bigint, text string, held_out boolean")
+    rows = lm_restaurants.encode(docs, 2).where("shard >= 0").select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
+    _, letters = lm_restaurants.train(rows.groupBy("shard").applyInArrow(lm_restaurants.merge(2), lm_restaurants.SHARDS).persist(), 2)
+    got = letters.collect()
+    assert {r.kind for r in got} == {lm_restaurants.WORDS, lm_restaurants.PLACES, lm_restaurants.TABLES}
+    assert all(r.nums[0] != lm_score.KINDS.index("<f8") and r.ints[0] <= lm_score.KINDS.index("<u2") for r in got)
+
+
+def test_questions_of_a_chunk_ascend(spark):
+    """Each chunk names its pairs in the merged order, so small steps are kept."""
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(300)}" for _ in range(40)), i % 5 == 0) for i in range(80)], "doc_id bigint, text string, held_out boolean").repartition(4)
+    rows = lm_restaurants.encode(docs, 3).where("shard >= 0").select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
+    merged = rows.groupBy("shard").applyInArrow(lm_restaurants.merge(3), lm_restaurants.SHARDS).collect()
+    assert len(merged) > 1
+    for r in merged:
+        ends = np.cumsum(lm_score.unpack(r.asked_n))[:-1]
+        n_pairs = len(lm_score.unpack(r.pair_n))
+        for steps in np.split(lm_score.unpack(r.asked), ends):
+            assert (steps[1:] > 0).all() and steps.sum() < n_pairs
