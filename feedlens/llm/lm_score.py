@@ -42,6 +42,8 @@ THETA = 1.0
 ROUNDS, BURN_IN, SAMPLES = 2, 2, 4
 HELD_MODULUS, HELD_REMAINDER = 7, 2
 SEED = 11
+#: Pairs are shuffled to their shards in so many parts, one after another.
+PARTS = 2
 
 
 #: Element kinds of a packed array, by its first byte.
@@ -115,14 +117,16 @@ def _score(model: dict):
     return run
 
 
-def land_apart(encoded: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """The pairs and the documents of chunks, landed in one pass in a folder each, so that the
-    pairs can be deleted first."""
+def land_apart(encoded: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """The pairs of chunks in ``PARTS`` parts of the shards, and their documents, landed in one
+    pass in a folder each, so that a part can be deleted before the next is shuffled."""
     spark, path = encoded.sparkSession, scratch_path(encoded.sparkSession, name)
-    encoded.withColumn("of_pairs", F.col("shard") >= 0).write.option("compression", "zstd").partitionBy("of_pairs").parquet(path)
-    spark.createDataFrame([], encoded.schema).write.mode("append").parquet(f"{path}/of_pairs=true")  # the folders are there without rows too
-    spark.createDataFrame([], encoded.schema).write.mode("append").parquet(f"{path}/of_pairs=false")
-    return tuple(spark.read.schema(encoded.schema).parquet(f"{path}/of_pairs={side}") for side in ("true", "false"))
+    part = F.when(F.col("shard") >= 0, F.col("shard") % PARTS).otherwise(-1)
+    encoded.withColumn("part", part).write.option("compression", "zstd").partitionBy("part").parquet(path)
+    for k in range(-1, PARTS):  # the folders are there without rows too
+        spark.createDataFrame([], encoded.schema).write.mode("append").parquet(f"{path}/part={k}")
+    docs, *pairs = (spark.read.schema(encoded.schema).parquet(f"{path}/part={k}") for k in range(-1, PARTS))
+    return pairs, docs
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,10 +138,14 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chosen = chosen.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), HELD_MODULUS) == HELD_REMAINDER, F.lit(False)))
     grid = lm_restaurants.side(max(8, 2 * chosen.rdd.getNumPartitions()))
     with lm_restaurants.tidy(df.sparkSession):
-        pairs, docs = land_apart(lm_restaurants.encode(chosen, grid), "encoded")
-        pairs = pairs.select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
-        shards = land(pairs.groupBy("shard").applyInArrow(lm_restaurants.merge(grid), lm_restaurants.SHARDS), "shards")
-        lm_restaurants.drop_landed(pairs)
+        parts, docs = land_apart(lm_restaurants.encode(chosen, grid), "encoded")
+        path = scratch_path(df.sparkSession, "shards")
+        for part in parts:
+            pairs = part.select("chunk", "shard", "words", "contexts", "pair_word", "pair_context", "pair_n")
+            merged = pairs.groupBy("shard").applyInArrow(lm_restaurants.merge(grid), lm_restaurants.SHARDS)
+            merged.write.mode("append").option("compression", "zstd").parquet(path)
+            lm_restaurants.drop_landed(part)
+        shards = df.sparkSession.read.schema(lm_restaurants.SHARDS).parquet(path)
         model, letters = lm_restaurants.train(shards, grid)
         answers = shards.groupBy("shard").cogroup(letters.groupBy("cell")).applyInArrow(lm_restaurants.answer(model, grid), "chunk bigint, shard int, logp binary, count binary")
         answers = land(answers, "answers")
